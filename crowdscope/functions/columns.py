@@ -79,7 +79,7 @@ def url_sections(url, fixed: bool = False) -> tuple[Column, Column]:
 def install_weekday(idate_text, fmt: str = "dd-MM-yyyy") -> Column:
     """English weekday name of a ``dd-MM-yyyy`` text date; null when the text
     does not parse (F12, F14)."""
-    return F.date_format(F.try_to_date(_col(idate_text), F.lit(fmt)), "EEEE")
+    return F.date_format(F.try_to_date(_col(idate_text), fmt), "EEEE")
 
 
 def list_item(list_text, index: int, sep: str = ",") -> Column:

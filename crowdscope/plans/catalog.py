@@ -45,3 +45,475 @@ def _sql_retention() -> str:
 def q_retention(spark, sf):
     t = Tables(spark, sf)
     return R.retention(I.retention_events(t), I.members(t), I.RET_START, I.RET_AS_OF, with_timestamp=False)
+
+
+# ------------------------------------------------------------- shared SQL --
+
+def sql_url_sections(u: str) -> tuple[str, str]:
+    """DuckDB form of :func:`crowdscope.functions.columns.url_sections`."""
+    parts = f"string_split({u}, '/')"
+    n = f"(len({parts}) - 1)"
+    j = f"len(string_split(substr({u}, 1, 7), '/'))"
+    s1 = (f"CASE WHEN {u} IS NULL THEN NULL WHEN {n} >= {j} + 1 THEN ({parts})[{j} + 1] "
+          f"WHEN {n} = {j} THEN '' WHEN {n} >= 1 THEN ({parts})[1] ELSE '' END")
+    s2 = (f"CASE WHEN {u} IS NULL THEN NULL WHEN {n} >= {j} + 2 THEN ({parts})[{j} + 2] "
+          f"WHEN {n} = {j} + 1 THEN '' WHEN {n} = {j} THEN ({parts})[1] WHEN {n} >= 2 THEN ({parts})[2] "
+          f"ELSE '' END")
+    return f"lower(trim({s1}))", f"lower(trim({s2}))"
+
+
+SQL_PBASE = f"""pbase AS (
+  SELECT p.uid, p.asource, p.aversion, p.localecity, p.osversion, p.scresolution, p.dtype, p.idate,
+         {I.sql_device_key('p.dtype')} AS dtype2, d.price, d.price_range, f.channelids, f.languages
+  FROM profiles p LEFT JOIN prefs f ON p.uid = f.uid
+  LEFT JOIN deviceprice d ON {I.sql_device_key('p.dtype')} = d.id)"""
+
+_BASE_CTES = (I.SQL_PROFILES, I.SQL_PREFS, I.SQL_DEVICEPRICE, SQL_PBASE)
+
+SQL_LONG = f"""rj AS (
+  SELECT r.segment_id, pb.* FROM (SELECT DISTINCT segment_id, uid AS member_uid FROM members) r
+  LEFT JOIN pbase pb ON r.member_uid = pb.uid),
+long AS (
+  SELECT segment_id, uid, 'asource' AS feature, asource AS value FROM rj
+  UNION ALL SELECT segment_id, uid, 'aversion', aversion FROM rj
+  UNION ALL SELECT segment_id, uid, 'localecity', localecity FROM rj
+  UNION ALL SELECT segment_id, uid, 'osversion', osversion FROM rj
+  UNION ALL SELECT segment_id, uid, 'scresolution', scresolution FROM rj
+  UNION ALL SELECT segment_id, uid, 'install_day', dayname(try_strptime(idate, '%d-%m-%Y')) FROM rj
+  UNION ALL SELECT segment_id, uid, 'languages', languages FROM rj
+  UNION ALL SELECT segment_id, uid, 'Device_brand', {I.sql_device_brand('dtype')} FROM rj
+  UNION ALL SELECT segment_id, uid, 'device_price', price_range FROM rj
+  UNION ALL SELECT segment_id, uid, 'Publication', v FROM (
+    SELECT segment_id, uid, unnest(string_split(channelids, ',')[1:30]) AS v FROM rj WHERE channelids IS NOT NULL)),
+sizes AS (SELECT segment_id, count(*) AS n FROM members GROUP BY segment_id),
+shares AS (
+  SELECT l.segment_id, l.feature, coalesce(l.value, 'Not_Available') AS feature_values,
+         count(DISTINCT l.uid) / s.n AS perc_users
+  FROM long l JOIN sizes s ON l.segment_id = s.segment_id
+  GROUP BY l.segment_id, l.feature, coalesce(l.value, 'Not_Available'), s.n),
+top AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY segment_id, feature
+                                    ORDER BY perc_users DESC, feature_values) AS INTEGER) AS rank
+  FROM shares)"""
+
+SQL_SUBMITTED = f"sjobs AS (SELECT * FROM jobs WHERE job_status = 'SUBMITTED' AND app = '{I.APP}')"
+
+
+def _t(spark, sf) -> Tables:
+    return Tables(spark, sf)
+
+
+def _base(t: Tables):
+    from crowdscope.plans import profile as P
+    return P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
+
+
+def _jobs(t: Tables):
+    from crowdscope.sources import payloads as S
+    return S.submitted_jobs(S.job_requests(I.job_payloads(t)), I.APP)
+
+
+# ----------------------------------------------------- scans and simple aggs --
+
+@register("scan_project_filter",
+          "SELECT event_id, user_id, event_type, value * 10 AS value_x10 FROM events WHERE event_type = 'view'")
+def q_scan_project_filter(spark, sf):
+    from crowdscope.sources.tables import scan
+    e = _t(spark, sf).events
+    return scan(e, ["event_id", "user_id", "event_type", (F.col("value") * 10).alias("value_x10")],
+                where=F.col("event_type") == "view")
+
+
+@register("count_rows", "SELECT count(*) AS n_rows FROM events")
+def q_count_rows(spark, sf):
+    return _t(spark, sf).events.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("sum_column", "SELECT round(sum(value), 2) AS sum_value FROM events")
+def q_sum_column(spark, sf):
+    return _t(spark, sf).events.agg(F.round(F.sum("value"), 2).alias("sum_value"))
+
+
+@register("min_max_time", "SELECT min(ts) AS min_ts, max(ts) AS max_ts FROM events")
+def q_min_max_time(spark, sf):
+    return _t(spark, sf).events.agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
+
+
+@register("distinct_users", "SELECT count(DISTINCT user_id) AS n_users FROM events")
+def q_distinct_users(spark, sf):
+    return _t(spark, sf).events.agg(F.count_distinct("user_id").alias("n_users"))
+
+
+@register("events_time_range",
+          f"SELECT event_id, user_id, event_type, ts FROM events "
+          f"WHERE ts >= TIMESTAMP '{I.EVENTS_TS_START}' + INTERVAL 1 MILLISECOND "
+          f"AND ts < TIMESTAMP '{I.EVENTS_TS_END}' + INTERVAL 1 MILLISECOND")
+def q_events_time_range(spark, sf):
+    from crowdscope.sources.tables import time_range
+    e = _t(spark, sf).events
+    return time_range(e, "ts", I.EVENTS_TS_START, I.EVENTS_TS_END).select("event_id", "user_id", "event_type", "ts")
+
+
+@register("events_date_range",
+          "SELECT event_id, user_id, ts FROM events "
+          "WHERE CAST(ts AS DATE) >= DATE '2024-01-05' AND CAST(ts AS DATE) < DATE '2024-01-12'")
+def q_events_date_range(spark, sf):
+    from crowdscope.sources.tables import date_range
+    return date_range(_t(spark, sf).events, "ts", "2024-01-05", "2024-01-12").select("event_id", "user_id", "ts")
+
+
+@register("rename_columns",
+          'SELECT event_id AS eventid, user_id AS uid, ts AS "timestamp", event_type AS mevent, value AS dataused '
+          "FROM events")
+def q_rename_columns(spark, sf):
+    e = _t(spark, sf).events
+    return e.select("event_id", "user_id", "ts", "event_type", "value").toDF(
+        "eventid", "uid", "timestamp", "mevent", "dataused")
+
+
+@register("literal_column",
+          "SELECT event_id, 'newspoint' AS appid, DATE '2024-01-31' AS as_of_date FROM events")
+def q_literal_column(spark, sf):
+    e = _t(spark, sf).events.select("event_id")
+    return e.withColumn("appid", F.lit(I.APP)).withColumn("as_of_date", F.lit("2024-01-31").cast("date"))
+
+
+@register("derived_prefix", "SELECT event_id, event_type, substr(event_type, 1, 3) AS mevent2 FROM events")
+def q_derived_prefix(spark, sf):
+    e = _t(spark, sf).events.select("event_id", "event_type")
+    return e.withColumn("mevent2", F.substring("event_type", 1, 3))
+
+
+@register("group_count", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def q_group_count(spark, sf):
+    return _t(spark, sf).events.groupBy("event_type").count()
+
+
+@register("daily_event_count",
+          "SELECT CAST(ts AS DATE) AS day, count(user_id) AS n_events FROM events GROUP BY CAST(ts AS DATE)")
+def q_daily_event_count(spark, sf):
+    from crowdscope.operators.aggregates import daily_count
+    return daily_count(_t(spark, sf).events, "ts", "user_id")
+
+
+@register("last_activity",
+          "SELECT user_id AS uid, max(CAST(ts AS DATE)) AS maxtime FROM events GROUP BY user_id")
+def q_last_activity(spark, sf):
+    e = _t(spark, sf).events.select(F.col("user_id").alias("uid"), F.to_date("ts").alias("d"))
+    return R.last_activity(e)
+
+
+_SQL_COND = ("SELECT uid, CAST(sum(CASE WHEN mevent = 'read' THEN 1 ELSE 0 END) AS BIGINT) AS read "
+             "FROM app_events GROUP BY uid")
+
+
+@register("conditional_sum", with_ctes(I.SQL_APP_EVENTS, body=_SQL_COND))
+def q_conditional_sum(spark, sf):
+    from crowdscope.operators.aggregates import conditional_count
+    ev = I.app_events(_t(spark, sf))
+    return conditional_count(ev, ["uid"], "read", F.col("mevent") == "read")
+
+
+@register("sql_conditional_sum", with_ctes(I.SQL_APP_EVENTS, body=_SQL_COND))
+def q_sql_conditional_sum(spark, sf):
+    I.app_events(_t(spark, sf)).createOrReplaceTempView("app_events")
+    return spark.sql("select uid, sum(case when mevent = 'read' then 1 else 0 end) as read "
+                     "from app_events group by uid")
+
+
+@register("distinct_rows", "SELECT DISTINCT user_id, event_type FROM events")
+def q_distinct_rows(spark, sf):
+    return _t(spark, sf).events.select("user_id", "event_type").distinct()
+
+
+# ------------------------------------------------------------------ quality --
+
+@register("null_group_count",
+          with_ctes(I.SQL_GAPS, body="SELECT mevent, count(*) AS count FROM gaps WHERE mevent IS NULL GROUP BY mevent"))
+def q_null_group_count(spark, sf):
+    from crowdscope.operators.aggregates import null_group_count
+    return null_group_count(I.events_with_gaps(_t(spark, sf)), "mevent")
+
+
+@register("null_fill", with_ctes(I.SQL_GAPS, body="SELECT event_id, coalesce(mevent, 'e') AS mevent FROM gaps"))
+def q_null_fill(spark, sf):
+    return I.events_with_gaps(_t(spark, sf)).na.fill("e", ["mevent"]).select("event_id", "mevent")
+
+
+@register("nan_filter", with_ctes(I.SQL_GAPS, body="SELECT event_id, uid FROM gaps WHERE isnan(value)"))
+def q_nan_filter(spark, sf):
+    g = I.events_with_gaps(_t(spark, sf))
+    return g.filter(F.isnan("value")).select("event_id", "uid")
+
+
+@register("column_quality", with_ctes(I.SQL_GAPS, body=(
+    'SELECT count(*) AS "rows", count(DISTINCT uid) AS users, '
+    "CAST(sum(CASE WHEN mevent = '' OR mevent IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS mevent, "
+    "CAST(sum(CASE WHEN props = '' OR props IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS props FROM gaps")))
+def q_column_quality(spark, sf):
+    from crowdscope.operators.aggregates import column_quality
+    return column_quality(I.events_with_gaps(_t(spark, sf)), ["mevent", "props"])
+
+
+def _sql_daily_activity() -> str:
+    tests = [("read", "mevent = 'read'"), ("notf_del", "mevent = 'notification_delivered'"),
+             ("notf_open", "mevent = 'notification_open'"), ("pub_change", "mevent = 'publication_changed'"),
+             ("videp_pause", "mevent = 'video/pause'"), ("video_play", "mevent = 'video/play'"),
+             ("shared", "substr(mevent, 1, 5) = 'share'"), ("setting_chg", "mevent = 'settings_changed'")]
+    cols = ", ".join(f"count(DISTINCT CASE WHEN {t} THEN eventid END) AS {n}" for n, t in tests)
+    return with_ctes(I.SQL_APP_EVENTS, body=(
+        'SELECT uid, CAST("timestamp" AS DATE) AS "date", '
+        f"max(CASE WHEN mevent = 'install' THEN 1 ELSE 0 END) AS install, {cols} "
+        'FROM app_events GROUP BY uid, CAST("timestamp" AS DATE)'))
+
+
+@register("daily_user_activity", _sql_daily_activity())
+def q_daily_user_activity(spark, sf):
+    from crowdscope.operators.aggregates import daily_user_activity
+    return daily_user_activity(I.app_events(_t(spark, sf)))
+
+
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@register("crosstab", "SELECT o_orderstatus AS o_orderstatus_o_orderpriority, " + ", ".join(
+    f"CAST(sum(CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{p}\"" for p in _PRIORITIES)
+    + " FROM orders GROUP BY o_orderstatus")
+def q_crosstab(spark, sf):
+    from crowdscope.operators.aggregates import crosstab
+    return crosstab(_t(spark, sf).orders, "o_orderstatus", "o_orderpriority")
+
+
+@register("pivot_sum", "SELECT o_orderstatus, " + ", ".join(
+    f"round(sum(CASE WHEN o_orderpriority = '{p}' THEN o_totalprice END), 2) AS \"{p}\"" for p in _PRIORITIES)
+    + " FROM orders GROUP BY o_orderstatus")
+def q_pivot_sum(spark, sf):
+    from crowdscope.operators.aggregates import pivot_sum
+    return pivot_sum(_t(spark, sf).orders, ["o_orderstatus"], "o_orderpriority", "o_totalprice",
+                     values=list(_PRIORITIES), decimals=2)
+
+
+@register("top_k_limit",
+          "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 10")
+def q_top_k_limit(spark, sf):
+    from crowdscope.operators.topk import top_k
+    e = _t(spark, sf).events.select("event_id", "user_id", "value")
+    return top_k(e, [F.desc("value"), F.asc("event_id")], 10)
+
+
+# ------------------------------------------------------------------ columns --
+
+@register("union_all_features", with_ctes(I.SQL_PROFILES, body=(
+    "SELECT uid, 'asource' AS feature, asource AS value FROM profiles "
+    "UNION ALL SELECT uid, 'localecity', localecity FROM profiles "
+    "UNION ALL SELECT uid, 'scresolution', scresolution FROM profiles")))
+def q_union_all_features(spark, sf):
+    from crowdscope.operators.reshape import feature_union
+    return feature_union(I.profiles(_t(spark, sf)), ["uid"], ["asource", "localecity", "scresolution"])
+
+
+@register("device_key", f"SELECT p_partkey, dtype, {I.sql_device_key('dtype')} AS device_key "
+          f"FROM (SELECT p_partkey, {I.SQL_DEVICE_TEXT} AS dtype FROM part)")
+def q_device_key(spark, sf):
+    from crowdscope.functions.columns import device_key
+    d = I.device_text(_t(spark, sf).part)
+    return d.select("p_partkey", "dtype", device_key("dtype").alias("device_key"))
+
+
+@register("device_brand", f"SELECT p_partkey, {I.sql_device_brand('dtype')} AS device_brand "
+          f"FROM (SELECT p_partkey, {I.SQL_DEVICE_TEXT} AS dtype FROM part)")
+def q_device_brand(spark, sf):
+    from crowdscope.functions.columns import device_brand
+    d = I.device_text(_t(spark, sf).part)
+    return d.select("p_partkey", device_brand("dtype").alias("device_brand"))
+
+
+@register("device_price_enrich", with_ctes(*_BASE_CTES, body="SELECT uid, dtype2, price, price_range FROM pbase"))
+def q_device_price_enrich(spark, sf):
+    return _base(_t(spark, sf)).select("uid", "dtype2", "price", "price_range")
+
+
+_S1, _S2 = sql_url_sections("url")
+
+
+@register("url_sections", f"SELECT page_id, {_S1} AS col1, {_S2} AS col2 FROM pages")
+def q_url_sections(spark, sf):
+    from crowdscope.functions.columns import url_sections
+    p = _t(spark, sf).pages
+    s1, s2 = url_sections("url")
+    return p.select("page_id", s1.alias("col1"), s2.alias("col2"))
+
+
+@register("install_weekday",
+          "SELECT dayname(try_strptime(strftime(o_orderdate, '%d-%m-%Y'), '%d-%m-%Y')) AS install_day, "
+          "count(*) AS orders FROM orders GROUP BY 1")
+def q_install_weekday(spark, sf):
+    from crowdscope.functions.columns import install_weekday
+    o = _t(spark, sf).orders
+    day = install_weekday(F.date_format("o_orderdate", "dd-MM-yyyy")).alias("install_day")
+    return o.groupBy(day).agg(F.count(F.lit(1)).alias("orders"))
+
+
+@register("list_item_at", with_ctes(I.SQL_PREFS, body="SELECT uid, " + ", ".join(
+    f"string_split(channelids, ',')[{i + 1}] AS col{i + 1}" for i in range(30)) + " FROM prefs"))
+def q_list_item_at(spark, sf):
+    from crowdscope.operators.reshape import list_columns
+    return list_columns(I.preferences(_t(spark, sf)), ["uid"], "channelids", 30)
+
+
+@register("list_explode", with_ctes(I.SQL_PREFS, body=(
+    "SELECT uid, CAST(i - 1 AS INTEGER) AS pos, l[i] AS value FROM ("
+    "  SELECT uid, l, unnest(generate_series(1, least(len(l), 30))) AS i FROM ("
+    "    SELECT uid, string_split(channelids, ',') AS l FROM prefs WHERE channelids IS NOT NULL))")))
+def q_list_explode(spark, sf):
+    from crowdscope.operators.reshape import list_explode
+    return list_explode(I.preferences(_t(spark, sf)), ["uid"], "channelids", 30)
+
+
+# ----------------------------------------------------------------- segments --
+
+@register("segment_members", with_ctes(I.SQL_MEMBERS, body=(
+    "SELECT segment_id, CAST(uid AS VARCHAR) AS uid FROM members")))
+def q_segment_members(spark, sf):
+    from crowdscope.sources.payloads import segment_members
+    return segment_members(I.member_payloads(_t(spark, sf)))
+
+
+@register("segment_left_join", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, body=(
+    "SELECT m.segment_id, pb.* FROM members m LEFT JOIN pbase pb ON m.uid = pb.uid")))
+def q_segment_left_join(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.segment_left_join(I.members(t), _base(t))
+
+
+@register("job_requests", with_ctes(I.SQL_MEMBERS, I.SQL_JOBS, SQL_SUBMITTED, body=(
+    "SELECT job_id, job_status, segment_id, app, segment_compare FROM sjobs")))
+def q_job_requests(spark, sf):
+    return _jobs(_t(spark, sf)).drop("requested_at")
+
+
+@register("profile_base", with_ctes(*_BASE_CTES, body="SELECT * FROM pbase"))
+def q_profile_base(spark, sf):
+    return _base(_t(spark, sf))
+
+
+@register("feature_shares", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, body="SELECT * FROM shares"))
+def q_feature_shares(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.feature_shares(I.members(t), _base(t))
+
+
+@register("top_features", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, body="SELECT * FROM top WHERE rank <= 10"))
+def q_top_features(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.top_features(P.feature_shares(I.members(t), _base(t)))
+
+
+@register("segment_compare", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, I.SQL_JOBS, SQL_SUBMITTED, body=(
+    "SELECT j.job_id, j.segment_id, j.segment_compare, t.feature, t.feature_values, t.perc_users, "
+    "coalesce(o.perc_users, 0.0) AS perc_users_compare "
+    "FROM sjobs j JOIN top t ON t.segment_id = j.segment_id AND t.rank <= 10 "
+    "LEFT JOIN shares o ON o.segment_id = j.segment_compare AND o.feature = t.feature "
+    "AND o.feature_values = t.feature_values")))
+def q_segment_compare(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.segment_compare(_jobs(t), P.feature_shares(I.members(t), _base(t)))
+
+
+@register("profile_json")
+def q_profile_json(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.profile_json(P.feature_shares(I.members(t), _base(t)))
+
+
+@register("profile_report")
+def q_profile_report(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.jobs_profiles(_jobs(t), I.members(t), _base(t))
+
+
+# ---------------------------------------------------------------- cohorts ----
+
+_SQL_INSTALLS = "inst AS (SELECT DISTINCT uid, d FROM ev WHERE mevent = 'install')"
+_SQL_COHORTS = (f"coh AS (SELECT uid, d AS idate FROM inst WHERE d >= DATE '{I.RET_START}' "
+                f"AND d <= DATE '{I.RET_AS_OF}')")
+
+
+@register("cohort_users", with_ctes(I.SQL_EV, I.SQL_MEMBERS, _SQL_INSTALLS, _SQL_COHORTS, body=(
+    "SELECT DISTINCT m.segment_id, c.uid, c.idate FROM members m JOIN coh c ON m.uid = c.uid")))
+def q_cohort_users(spark, sf):
+    t = _t(spark, sf)
+    return R.cohort_users(I.retention_events(t), I.members(t), I.RET_START, I.RET_AS_OF)
+
+
+def _sql_reinstall() -> str:
+    lost = ", ".join(
+        f"(coalesce(maxtime < idate + {n}, false) OR coalesce(next_install < idate + {n}, false)) AS lost_{name}"
+        for name, n in _RET_WINDOWS)
+    return with_ctes(I.SQL_EV, _SQL_INSTALLS, _SQL_COHORTS,
+                     "nx AS (SELECT c.uid, c.idate, (SELECT min(i.d) FROM inst i WHERE i.uid = c.uid "
+                     "AND i.d > c.idate) AS next_install FROM coh c)",
+                     "la AS (SELECT uid, max(d) AS maxtime FROM ev GROUP BY uid)",
+                     body=f"SELECT nx.uid, idate, next_install, maxtime, {lost} FROM nx LEFT JOIN la ON nx.uid = la.uid")
+
+
+@register("reinstall_within", _sql_reinstall())
+def q_reinstall_within(spark, sf):
+    return R.reinstall_within(I.retention_events(_t(spark, sf)), I.RET_START, I.RET_AS_OF)
+
+
+# ----------------------------------------------------------------- tagging ---
+
+def _sql_category_shares() -> str:
+    s1, s2 = sql_url_sections("aurl")
+    cats = []
+    for c in I.SHOP_TAXONOMY:
+        terms = []
+        if c.section1:
+            terms.append("col1 IN (" + ", ".join(f"'{x}'" for x in c.section1) + ")")
+        if c.section2:
+            terms.append("col2 IN (" + ", ".join(f"'{x}'" for x in c.section2) + ")")
+        cats.append(f"sum(CASE WHEN {' OR '.join(terms)} THEN 1 ELSE 0 END) / count(*) AS {c.name}")
+    return with_ctes(I.SQL_READS,
+                     f"sec AS (SELECT uid, {s1} AS col1, {s2} AS col2 FROM reads WHERE mevent = 'read')",
+                     f"cs AS (SELECT uid, {', '.join(cats)}, count(*) AS tot_readevent FROM sec GROUP BY uid)",
+                     body="SELECT * FROM cs")
+
+
+_SQL_CS = _sql_category_shares()
+_SQL_UNPIVOT = " UNION ALL ".join(
+    f"SELECT uid, tot_readevent, '{c.name}' AS pref_catg, {c.name} AS value FROM cs" for c in I.SHOP_TAXONOMY)
+
+
+@register("category_shares", _SQL_CS)
+def q_category_shares(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.category_shares(I.reads(_t(spark, sf)), I.SHOP_TAXONOMY)
+
+
+@register("unpivot_shares", _SQL_CS.replace("SELECT * FROM cs", _SQL_UNPIVOT))
+def q_unpivot_shares(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.unpivot_shares(G.category_shares(I.reads(_t(spark, sf)), I.SHOP_TAXONOMY), I.SHOP_TAXONOMY)
+
+
+@register("interest_tags", _SQL_CS.replace("SELECT * FROM cs", (
+    f"SELECT CAST(month(DATE '{I.TAG_AS_OF}') AS INTEGER) AS month, CAST(year(DATE '{I.TAG_AS_OF}') AS INTEGER) AS year, "
+    "uid, pref_catg, value, tot_readevent FROM (" + _SQL_UNPIVOT.replace("FROM cs", "FROM cs WHERE uid IS NOT NULL")
+    + ") WHERE ((value > 0.5 AND tot_readevent > 4) OR (value > 0.75 AND tot_readevent >= 3)) "
+    "AND pref_catg IN ('entertainment', 'lifestyle', 'sports', 'business', 'health', 'tech')")))
+def q_interest_tags(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY)
+
+
+@register("tag_row_ids")
+def q_tag_row_ids(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.with_row_ids(G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY))
