@@ -517,3 +517,86 @@ def q_interest_tags(spark, sf):
 def q_tag_row_ids(spark, sf):
     from crowdscope.plans import tagging as G
     return G.with_row_ids(G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY))
+
+
+# ------------------------------------------------------------ sinks, stream --
+
+@register("upsert_latest_by_key", (
+    "SELECT user_id, event_id, event_type, value, written_at FROM ("
+    "  SELECT user_id, event_id, event_type, value, ts AS written_at, row_number() OVER ("
+    "    PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"))
+def q_upsert_latest_by_key(spark, sf):
+    from crowdscope.sinks.writers import upsert
+    e = _t(spark, sf).events.select("user_id", "event_id", "event_type", "value", F.col("ts").alias("written_at"))
+    cut = F.lit(I.EVENTS_TS_END).cast("timestamp_ntz")
+    return upsert(e.filter(F.col("written_at") < cut), e.filter(F.col("written_at") >= cut),
+                  ["user_id"], "written_at", [F.desc("event_id")])
+
+
+@register("sink_append_roundtrip", (
+    'SELECT CAST(ts AS DATE) AS "date", count(*) AS n, count(DISTINCT user_id) AS users '
+    "FROM events GROUP BY CAST(ts AS DATE)"))
+def q_sink_append_roundtrip(spark, sf):
+    from crowdscope.session import scratch_path
+    from crowdscope.sinks.writers import write_table
+    ev = I.app_events(_t(spark, sf)).withColumn("date", F.to_date("timestamp"))
+    path = scratch_path(spark, "events-append")
+    cut = F.lit(I.EVENTS_TS_END).cast("timestamp_ntz")
+    cols = ["eventid", "uid", "timestamp", "mevent", "date"]
+    write_table(ev.filter(F.col("timestamp") < cut), path, "errorifexists", ["date"], columns=cols)
+    write_table(ev.filter(F.col("timestamp") >= cut), path, "append", ["date"], columns=cols)
+    back = spark.read.parquet(path)
+    return (back.groupBy(F.col("date").cast("date").alias("date"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("uid").alias("users")))
+
+
+@register("delimited_text_read",
+          "SELECT p_partkey, p_brand, p_size FROM part WHERE p_size BETWEEN 3 AND 45 AND p_size <> 10")
+def q_delimited_text_read(spark, sf):
+    """Part rows written as tab-separated lines, some malformed on purpose:
+    an extra field (size > 45), a missing field (size < 3), and a trailing
+    empty field (size 10, which splits to two fields and is dropped)."""
+    from pyspark.sql import types as T
+    from crowdscope.session import scratch_path
+    from crowdscope.sources.text import read_delimited
+    p = _t(spark, sf).part
+    key, brand, size = (F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_size").cast("string"))
+    line = (F.when(F.col("p_size") > 45, F.concat_ws("\t", key, brand, size, F.lit("extra")))
+            .when(F.col("p_size") < 3, F.concat_ws("\t", key, brand))
+            .when(F.col("p_size") == 10, F.concat_ws("\t", key, brand, F.lit("")))
+            .otherwise(F.concat_ws("\t", key, brand, size)))
+    path = scratch_path(spark, "part-tsv")
+    p.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_brand", T.StringType()),
+                           T.StructField("p_size", T.IntegerType())])
+    return read_delimited(spark, path, schema)
+
+
+def _run_job_stream(spark, sf):
+    from crowdscope.plans import profile as P  # noqa: F401
+    from crowdscope.session import scratch_path
+    from crowdscope.streaming.jobs import start_job_stream
+    t = _t(spark, sf)
+    jobs_dir, out_dir, ckpt = (scratch_path(spark, n) for n in ("jobs-in", "jobs-out", "jobs-ckpt"))
+    payloads = I.job_payloads(t)
+    payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=1")
+    payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=2")      # the same requests delivered again
+    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(t), lambda: _base(t), I.APP,
+                         available_now=True, files_per_batch=1)
+    q.awaitTermination()
+    return out_dir
+
+
+@register("stream_job_profiles")
+def q_stream_job_profiles(spark, sf):
+    from crowdscope.streaming.jobs import read_reports
+    return read_reports(spark, _run_job_stream(spark, sf))
+
+
+@register("job_status_log")
+def q_job_status_log(spark, sf):
+    from crowdscope.plans import profile as P
+    from crowdscope.sinks.writers import job_status_rows
+    t = _t(spark, sf)
+    jobs = _jobs(t)
+    return job_status_rows(jobs, P.jobs_profiles(jobs, I.members(t), _base(t)))
