@@ -338,10 +338,8 @@ _S1, _S2 = sql_url_sections("url")
 
 @register("url_sections", f"SELECT page_id, {_S1} AS col1, {_S2} AS col2 FROM pages")
 def q_url_sections(spark, sf):
-    from crowdscope.functions.columns import url_sections
-    p = _t(spark, sf).pages
-    s1, s2 = url_sections("url")
-    return p.select("page_id", s1.alias("col1"), s2.alias("col2"))
+    from crowdscope.functions.columns import with_url_sections
+    return with_url_sections(_t(spark, sf).pages.select("page_id", "url"), "url").select("page_id", "col1", "col2")
 
 
 @register("install_weekday",

@@ -38,11 +38,15 @@ class Tables:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.base}/{name}.parquet")
+        # one reader per table: the file listing and footer read happen once
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.base}/{name}.parquet")
+        return self._frames[name]
 
 
 # ---------------------------------------------------------------- retention --

@@ -125,8 +125,12 @@ def top_features(shares: DataFrame, k: int = TOP_K) -> DataFrame:
 def segment_compare(jobs: DataFrame, shares: DataFrame, k: int = TOP_K) -> DataFrame:
     """For each job, the base segment's top values with the comparison
     segment's share of the same value, 0 when it has none (C4, J7, P16)."""
-    top = top_features(shares, k).select("segment_id", "feature", "feature_values", "perc_users")
-    base = jobs.select("job_id", "segment_id", "segment_compare").join(top, "segment_id")
+    return _compare(jobs, top_features(shares, k), shares)
+
+
+def _compare(jobs: DataFrame, top: DataFrame, shares: DataFrame) -> DataFrame:
+    base = (jobs.select("job_id", "segment_id", "segment_compare")
+            .join(top.select("segment_id", "feature", "feature_values", "perc_users"), "segment_id"))
     other = shares.select(F.col("segment_id").alias("segment_compare"), "feature", "feature_values",
                           F.col("perc_users").alias("perc_users_compare"))
     return (base.join(other, ["segment_compare", "feature", "feature_values"], "left")
@@ -162,7 +166,7 @@ def profile_report(jobs: DataFrame, shares: DataFrame, k: int = TOP_K) -> DataFr
     top = top_features(shares, k)
     base_maps = (top.groupBy("segment_id", "feature")
                  .agg(_value_map("feature_values", "perc_users").alias("data")))
-    cmp = segment_compare(jobs, shares, k)
+    cmp = _compare(jobs, top, shares)
     cmp_maps = (cmp.groupBy("job_id", "feature")
                 .agg(_value_map("feature_values", "perc_users_compare").alias("data_compare")))
     slots = (jobs.select("job_id", "segment_id", "segment_compare", F.inline(_feature_list()))

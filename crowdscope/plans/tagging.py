@@ -23,8 +23,8 @@ def category_shares(events: DataFrame, taxonomy: tuple[Category, ...] = NEWS_TAX
     ``tot_readevent`` (A15, P11). Categories overlap; an event matching a
     category on both sections counts once; a null URL counts in the total
     only. A null ``uid`` forms its own group here."""
-    s1, s2 = C.url_sections(F.col(url_col), fixed=fixed_sections)
-    reads = events.filter(F.col("mevent") == "read").select("uid", s1.alias("col1"), s2.alias("col2"))
+    reads = C.with_url_sections(events.filter(F.col("mevent") == "read").select("uid", url_col), url_col,
+                                fixed=fixed_sections).select("uid", "col1", "col2")
     total = F.count(F.lit(1))
     aggs = [(F.sum(F.when(cat.matches(F.col("col1"), F.col("col2")), 1).otherwise(0)) / total).alias(cat.name)
             for cat in taxonomy]

@@ -40,24 +40,32 @@ def job_request_stream(spark: SparkSession, jobs_dir: str, app: str, watermark:
     return jobs.withWatermark("requested_at", watermark).dropDuplicatesWithinWatermark(["job_id"])
 
 
-def profile_batch_writer(members: Callable[[], DataFrame], base: Callable[[], DataFrame], out_dir: str,
-                         k: int = P.TOP_K):
-    """``foreachBatch`` function: profile every job of the batch at once."""
+def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame], base: Callable[[], DataFrame],
+                         out_dir: str, k: int = P.TOP_K):
+    """``foreachBatch`` function: profile every job of the batch at once.
+
+    The batch's job requests are first written as a small table under
+    ``out_dir`` and read back through the main session. That cuts the
+    streaming lineage (the profile plan never re-runs the stateful
+    de-duplication), gets the profile plan AQE (micro-batch plans run with it
+    off), and makes a retried batch rewrite the same folder.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
-        jobs = batch.select("job_id", "segment_id", "segment_compare", "requested_at")
+        req_path = f"{out_dir}/requests/batch={batch_id}"
+        (batch.select("job_id", "segment_id", "segment_compare", "requested_at")
+         .write.mode("overwrite").parquet(req_path))
+        jobs = spark.read.parquet(req_path)
         if jobs.isEmpty():        # watermark-only or fully de-duplicated batch
             return
-        jobs = jobs.persist()
+        reports = P.jobs_profiles(jobs, members(), base(), k).persist()
         try:
-            reports = P.jobs_profiles(jobs, members(), base(), k).persist()
             stamp = F.lit(batch_id).cast("long")
             (reports.withColumn("batch_id", stamp)
              .write.mode("overwrite").parquet(f"{out_dir}/reports/batch={batch_id}"))
             (job_status_rows(jobs, reports).withColumn("batch_id", stamp)
              .write.mode("overwrite").parquet(f"{out_dir}/status/batch={batch_id}"))
-            reports.unpersist()
         finally:
-            jobs.unpersist()
+            reports.unpersist()
     return run
 
 
@@ -68,7 +76,7 @@ def start_job_stream(spark: SparkSession, jobs_dir: str, out_dir: str, checkpoin
     """Start the stream. ``available_now`` processes what is there and
     stops (tests, scheduled runs); otherwise it polls every ``poll``."""
     stream = job_request_stream(spark, jobs_dir, app, watermark, files_per_batch)
-    writer = (stream.writeStream.foreachBatch(profile_batch_writer(members, base, out_dir))
+    writer = (stream.writeStream.foreachBatch(profile_batch_writer(spark, members, base, out_dir))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
     return writer.start()
