@@ -9,12 +9,17 @@ between ``idate`` and ``idate + n``. Retention for window ``n`` is kept users
 over all users, counted only over cohorts whose window has fully elapsed
 (``idate + n <= as_of``), in numerator and denominator alike.
 
-Plan shape (no per-segment loop, no fan-out join):
-  * distinct install days per user, ``lead`` gives the next install
-    (a window over at most one row per user and day);
-  * last activity per user, a partial (map-side) max;
+Plan shape (no per-segment loop, no fan-out join, one pass over events):
+  * one ``groupBy(uid)`` over the events gives the last active date and the
+    sorted set of install days. Both aggregates are partial (map-side), and
+    the install set is bounded by the number of days scanned, so a user with
+    a third of all events costs one short array per map task. The events
+    table, the largest input, is scanned and shuffled once;
+  * each install day becomes a cohort row whose next install is the next
+    element of the same array (no window, no second shuffle);
   * members are de-duplicated (partial aggregate first, so a member repeated
     millions of times is collapsed before the shuffle) and joined on ``uid``;
+    the per-user side is already hash-partitioned on ``uid``;
   * one aggregation per segment computes every window's ratio directly from
     ``(segment, user, cohort)`` rows.
 """
@@ -32,17 +37,27 @@ def _date(v) -> Column:
     return v if isinstance(v, Column) else F.lit(str(v)).cast("date")
 
 
-def install_cohorts(events: DataFrame, start, as_of, install: str = "install") -> DataFrame:
-    """``(uid, idate, next_install)`` for installs dated in ``[start, as_of]``.
+def user_summary(events: DataFrame, install: str = "install") -> DataFrame:
+    """Per user: ``maxtime`` (last active date, A7) and ``installs`` (sorted
+    distinct install dates)."""
+    return events.groupBy("uid").agg(
+        F.max("d").alias("maxtime"),
+        F.array_sort(F.collect_set(F.when(F.col("mevent") == install, F.col("d")))).alias("installs"))
+
+
+def _cohorts(summary: DataFrame, start, as_of) -> DataFrame:
+    """``(uid, idate, next_install, maxtime)`` for installs dated in
+    ``[start, as_of]``; ``next_install`` is the next install over *all*
+    scanned installs, so a re-install after ``as_of`` still counts."""
+    rows = summary.select("uid", "maxtime", "installs", F.posexplode("installs").alias("pos", "idate"))
+    return (rows.withColumn("next_install", F.get(F.col("installs"), F.col("pos") + 1))
+            .filter(F.col("idate").between(_date(start), _date(as_of)))
+            .select("uid", "idate", "next_install", "maxtime"))
 
-    ``next_install`` is taken over *all* installs in the events, before the
-    cohort range is applied, so a re-install after ``as_of`` still counts.
-    """
-    installs = (events.filter(F.col("mevent") == install)
-                .select("uid", F.col("d").alias("idate")).distinct())
-    nxt = F.lead("idate").over(Window.partitionBy("uid").orderBy("idate"))
-    return (installs.withColumn("next_install", nxt)
-            .filter(F.col("idate").between(_date(start), _date(as_of))))
+
+def install_cohorts(events: DataFrame, start, as_of, install: str = "install") -> DataFrame:
+    """``(uid, idate, next_install)`` for installs dated in ``[start, as_of]``."""
+    return _cohorts(user_summary(events, install), start, as_of).drop("maxtime")
 
 
 def last_activity(events: DataFrame) -> DataFrame:
@@ -70,7 +85,7 @@ def _lost(n: int) -> Column:
 def reinstall_within(events: DataFrame, start, as_of, windows=DEFAULT_WINDOWS) -> DataFrame:
     """Per install cohort, whether the user was lost in each window:
     ``(uid, idate, next_install, maxtime, lost_<name>...)`` (J5, J6, W2)."""
-    rows = install_cohorts(events, start, as_of).join(last_activity(events), "uid", "left")
+    rows = _cohorts(user_summary(events), start, as_of)
     return rows.select("uid", "idate", "next_install", "maxtime",
                        *[_lost(n).alias(f"lost_{name}") for name, n in windows])
 
@@ -80,10 +95,9 @@ def retention(events: DataFrame, members: DataFrame, start, as_of,
     """One row per segment: ``installfromdate, installtodate,
     [lastupdatedtime,] <window ratios>..., segment`` (C1, A14, A19)."""
     as_of_d = _date(as_of)
-    cohorts = install_cohorts(events, start, as_of)
-    rows = (segment_users(members)
-            .join(cohorts, "uid", "left")          # members without installs keep their segment
-            .join(last_activity(events), "uid", "left"))
+    cohorts = _cohorts(user_summary(events), start, as_of)
+    # members without installs keep their segment (a row with null idate)
+    rows = segment_users(members).join(cohorts, "uid", "left")
     aggs = []
     for name, n in windows:
         due = F.date_add(F.col("idate"), n) <= as_of_d
