@@ -50,7 +50,8 @@ def url_sections(url, fixed: bool = False) -> tuple[Column, Column]:
     """
     u = _col(url)
     if fixed:
-        segs = F.split(F.regexp_replace(F.parse_url(u, F.lit("PATH")), "^/", ""), "/", -1)
+        # try_: under ANSI a malformed URL would fail the job; it gives null instead
+        segs = F.split(F.regexp_replace(F.try_parse_url(u, F.lit("PATH")), "^/", ""), "/", -1)
         s1, s2 = F.get(segs, 0), F.get(segs, 1)
         clean = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
         return (F.when(u.isNull(), None).otherwise(clean(s1)),

@@ -342,6 +342,18 @@ def q_url_sections(spark, sf):
     return with_url_sections(_t(spark, sf).pages.select("page_id", "url"), "url").select("page_id", "col1", "col2")
 
 
+_PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+_PSEG = f"string_split(regexp_replace({_PATH}, '^/', ''), '/')"
+
+
+@register("url_sections_path", f"SELECT page_id, lower(trim(coalesce({_PSEG}[1], ''))) AS col1, "
+          f"lower(trim(coalesce({_PSEG}[2], ''))) AS col2 FROM pages")
+def q_url_sections_path(spark, sf):
+    from crowdscope.functions.columns import with_url_sections
+    p = _t(spark, sf).pages.select("page_id", "url")
+    return with_url_sections(p, "url", fixed=True).select("page_id", "col1", "col2")
+
+
 @register("install_weekday",
           "SELECT dayname(try_strptime(strftime(o_orderdate, '%d-%m-%Y'), '%d-%m-%Y')) AS install_day, "
           "count(*) AS orders FROM orders GROUP BY 1")
@@ -436,6 +448,31 @@ def q_profile_report(spark, sf):
     return P.jobs_profiles(_jobs(t), I.members(t), _base(t))
 
 
+def _sql_report_entries() -> str:
+    from crowdscope.plans import profile as P
+    feats = ", ".join(f"({i}, '{fid}', '{name}')" for i, (fid, name) in enumerate(P.FEATURES))
+    return with_ctes(
+        I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, I.SQL_JOBS, SQL_SUBMITTED,
+        f"feat AS (SELECT * FROM (VALUES {feats}) f(pos, feature, name))",
+        "cmp AS (SELECT j.job_id, t.feature, t.feature_values, coalesce(o.perc_users, 0.0) AS share "
+        "FROM sjobs j JOIN top t ON t.segment_id = j.segment_id AND t.rank <= 10 "
+        "LEFT JOIN shares o ON o.segment_id = j.segment_compare AND o.feature = t.feature "
+        "AND o.feature_values = t.feature_values)",
+        body=("SELECT j.job_id, 'result' AS side, f.pos, f.feature, f.name, 'bar' AS display, "
+              "t.feature_values, t.perc_users AS share FROM sjobs j CROSS JOIN feat f "
+              "LEFT JOIN top t ON t.segment_id = j.segment_id AND t.feature = f.feature AND t.rank <= 10 "
+              "UNION ALL SELECT j.job_id, 'result_compare', f.pos, f.feature, f.name, 'bar', c.feature_values, "
+              "c.share FROM sjobs j CROSS JOIN feat f LEFT JOIN cmp c ON c.job_id = j.job_id "
+              "AND c.feature = f.feature"))
+
+
+@register("profile_report_entries", _sql_report_entries())
+def q_profile_report_entries(spark, sf):
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.report_entries(P.jobs_profiles(_jobs(t), I.members(t), _base(t)))
+
+
 # ---------------------------------------------------------------- cohorts ----
 
 _SQL_INSTALLS = "inst AS (SELECT DISTINCT uid, d FROM ev WHERE mevent = 'install')"
@@ -579,8 +616,9 @@ def _run_job_stream(spark, sf):
     payloads = I.job_payloads(t)
     payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=1")
     payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=2")      # the same requests delivered again
-    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(t), lambda: _base(t), I.APP,
-                         available_now=True, files_per_batch=1)
+    # fresh readers per batch: each micro-batch lists the tables again and sees current data
+    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(_t(spark, sf)),
+                         lambda: _base(_t(spark, sf)), I.APP, available_now=True, files_per_batch=1)
     q.awaitTermination()
     return out_dir
 

@@ -186,6 +186,22 @@ def profile_report(jobs: DataFrame, shares: DataFrame, k: int = TOP_K) -> DataFr
             .agg(ordered(item("data")).alias("result"), ordered(item("data_compare")).alias("result_compare")))
 
 
+REPORT_SCHEMA = "array<struct<id: string, name: string, display: string, data: map<string, double>>>"
+
+
+def report_entries(reports: DataFrame) -> DataFrame:
+    """Reports back to rows: ``job_id, side, pos, feature, name, display,
+    feature_values, share``; a feature with empty ``data`` keeps one row
+    with null value and share."""
+    sides = [reports.select("job_id", F.lit(side).alias("side"),
+                            F.posexplode(F.from_json(F.col(side), REPORT_SCHEMA)).alias("pos", "it"))
+             for side in ("result", "result_compare")]
+    both = sides[0].unionByName(sides[1])
+    return both.select("job_id", "side", "pos", F.col("it.id").alias("feature"), F.col("it.name").alias("name"),
+                       F.col("it.display").alias("display"),
+                       F.explode_outer("it.data").alias("feature_values", "share"))
+
+
 def jobs_profiles(jobs: DataFrame, members: DataFrame, base: DataFrame, k: int = TOP_K) -> DataFrame:
     """Profile reports for a batch of jobs: only segments named by the jobs
     are profiled (a semi join of the member table)."""

@@ -17,8 +17,11 @@ def _plan(df) -> str:
 def test_stream_runs_twice_on_one_checkpoint(spark):
     t = I.Tables(spark, SF001)
     jobs_dir, out_dir, ckpt = (scratch_path(spark, n) for n in ("t-jobs", "t-out", "t-ckpt"))
-    base = lambda: P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
-    members = lambda: I.members(t)
+    def base():
+        f = I.Tables(spark, SF001)
+        return P.profile_base(I.profiles(f), I.preferences(f), I.device_prices(f))
+
+    members = lambda: I.members(I.Tables(spark, SF001))
     I.job_payloads(t).coalesce(1).write.text(f"{jobs_dir}/d=1")
 
     def run():
