@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
 from crowdscope.functions.taxonomy import Category
+from crowdscope.sources.tables import ensure_parallel
 
 RET_START = "1995-01-01"
 RET_AS_OF = "1998-01-01"
@@ -33,11 +34,17 @@ SHOP_TAXONOMY: tuple[Category, ...] = (
 # ---------------------------------------------------------------------------
 
 
+# Tables whose scans feed heavy per-row work (two joins, URL building and
+# parsing) and are worth spreading when the file has fewer splits than there
+# are cores. Smaller inputs are not: the extra stage costs more than it saves.
+FACT_TABLES = ("lineitem",)
+
+
 class Tables:
     """Lazy reader of the driver's parquet tables under one directory."""
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
+    def __init__(self, spark: SparkSession, base: str, spread: bool = True):
+        self.spark, self.base, self.spread = spark, base.rstrip("/"), spread
         self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -45,7 +52,10 @@ class Tables:
             raise AttributeError(name)
         # one reader per table: the file listing and footer read happen once
         if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(f"{self.base}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.base}/{name}.parquet")
+            if self.spread and name in FACT_TABLES:
+                df = ensure_parallel(df)
+            self._frames[name] = df
         return self._frames[name]
 
 
