@@ -8,37 +8,37 @@ from pyspark.sql import functions as F
 from crowdscope.plans import inputs as I
 from crowdscope.plans import retention as R
 from crowdscope.plans.inputs import Tables, with_ctes
-from crowdscope.registry import register
+from crowdscope.registry import ORACLE, register
 
 # ------------------------------------------------------------------ retention
 
 _RET_WINDOWS = R.DEFAULT_WINDOWS
 
 
-def _sql_retention() -> str:
+def _sql_retention(ev: str = I.SQL_EV, members: str = I.SQL_MEMBERS, start: str = I.RET_START,
+                   as_of: str = I.RET_AS_OF) -> str:
+    """Independent formulation: one row per (segment, user, install day);
+    a re-install inside the window is a correlated EXISTS."""
     lost = ",\n    ".join(
-        f"max(CASE WHEN b.maxtime < a.idate + {n} OR (c.mevent = 'install' AND c.timedate < a.idate + {n} "
-        f"AND c.timedate > a.idate) THEN 1 ELSE 0 END) AS l_{name}" for name, n in _RET_WINDOWS)
-    kept = ",\n    ".join(f"sum(CASE WHEN l_{name} = 0 THEN 1 ELSE 0 END) AS k_{name}" for name, _ in _RET_WINDOWS)
+        f"(coalesce(ls.last_day < ch.idate + {n}, false) OR EXISTS (SELECT 1 FROM inst x WHERE x.uid = ch.uid "
+        f"AND x.d > ch.idate AND x.d < ch.idate + {n})) AS lost_{name}" for name, n in _RET_WINDOWS)
     ratio = ",\n    ".join(
-        f"sum(CASE WHEN idate + {n} <= DATE '{I.RET_AS_OF}' THEN k_{name} ELSE 0 END) / "
-        f"nullif(sum(CASE WHEN idate + {n} <= DATE '{I.RET_AS_OF}' THEN users ELSE 0 END), 0) AS {name}"
-        for name, n in _RET_WINDOWS)
-    names = ", ".join(f"r.{name}" for name, _ in _RET_WINDOWS)
+        f"count(*) FILTER (WHERE due_{name} AND NOT lost_{name}) / "
+        f"nullif(count(*) FILTER (WHERE due_{name}), 0) AS {name}" for name, _ in _RET_WINDOWS)
+    due = ", ".join(f"idate + {n} <= DATE '{as_of}' AS due_{name}" for name, n in _RET_WINDOWS)
+    names = ", ".join(f"per_seg.{name}" for name, _ in _RET_WINDOWS)
     return with_ctes(
-        I.SQL_EV, I.SQL_MEMBERS,
-        "aa AS (SELECT DISTINCT segment_id, uid FROM members)",
-        f"a AS (SELECT DISTINCT uid, d AS idate FROM ev WHERE mevent = 'install' "
-        f"AND d >= DATE '{I.RET_START}' AND d <= DATE '{I.RET_AS_OF}')",
-        "b AS (SELECT uid, max(d) AS maxtime FROM ev GROUP BY uid)",
-        "c AS (SELECT DISTINCT uid, d AS timedate, mevent FROM ev)",
-        f"u AS (SELECT aa.segment_id, a.uid, a.idate,\n    {lost}\n  FROM aa JOIN a ON aa.uid = a.uid "
-        "LEFT JOIN b ON aa.uid = b.uid LEFT JOIN c ON aa.uid = c.uid GROUP BY aa.segment_id, a.uid, a.idate)",
-        f"g AS (SELECT segment_id, idate, count(DISTINCT uid) AS users,\n    {kept}\n  FROM u GROUP BY segment_id, idate)",
-        f"r AS (SELECT segment_id,\n    {ratio}\n  FROM g GROUP BY segment_id)",
-        body=f"SELECT '{I.RET_START}' AS installfromdate, '{I.RET_AS_OF}' AS installtodate, {names}, "
-             "s.segment_id AS segment FROM (SELECT DISTINCT segment_id FROM members) s "
-             "LEFT JOIN r ON s.segment_id = r.segment_id")
+        ev, members,
+        "inst AS (SELECT DISTINCT uid, d FROM ev WHERE mevent = 'install')",
+        f"ch AS (SELECT uid, d AS idate FROM inst WHERE d BETWEEN DATE '{start}' AND DATE '{as_of}')",
+        "ls AS (SELECT uid, max(d) AS last_day FROM ev GROUP BY uid)",
+        f"flags AS (SELECT sm.segment_id, ch.idate, {due},\n    {lost}\n"
+        "  FROM (SELECT DISTINCT segment_id, uid FROM members) sm JOIN ch ON sm.uid = ch.uid "
+        "LEFT JOIN ls ON ls.uid = ch.uid)",
+        f"per_seg AS (SELECT segment_id,\n    {ratio}\n  FROM flags GROUP BY segment_id)",
+        body=f"SELECT '{start}' AS installfromdate, '{as_of}' AS installtodate, {names}, "
+             "segs.segment_id AS segment FROM (SELECT DISTINCT segment_id FROM members) segs "
+             "LEFT JOIN per_seg ON segs.segment_id = per_seg.segment_id")
 
 
 @register("retention", _sql_retention())
@@ -47,6 +47,25 @@ def q_retention(spark, sf):
     return R.retention(I.retention_events(t), I.members(t), I.RET_START, I.RET_AS_OF, with_timestamp=False)
 
 
+def _sql_daily_retention() -> str:
+    import datetime as dt
+    end = dt.date.fromisoformat(I.EVENTS_AS_OF)
+    start = (end - dt.timedelta(days=91)).isoformat()
+    ev = (f"ev AS (SELECT user_id AS uid, CAST(ts AS DATE) AS d, CASE WHEN event_type = 'signup' THEN 'install' "
+          f"ELSE event_type END AS mevent FROM events WHERE ts >= TIMESTAMP '{start}' + INTERVAL 1 MILLISECOND "
+          f"AND ts < TIMESTAMP '{I.EVENTS_AS_OF}' + INTERVAL 1 MILLISECOND)")
+    members = "members AS (SELECT lower(c_mktsegment) AS segment_id, c_custkey AS uid FROM customer)"
+    return _sql_retention(ev, members, start, I.EVENTS_AS_OF)
+
+
+@register("retention_daily_window", _sql_daily_retention())
+def q_retention_daily_window(spark, sf):
+    t = Tables(spark, sf)
+    members = t.customer.select(F.lower("c_mktsegment").alias("segment_id"), F.col("c_custkey").alias("uid"))
+    df = R.daily_retention(I.app_signups(t), members, I.EVENTS_AS_OF)
+    return df.drop("lastupdatedtime")
+
+
 # ------------------------------------------------------------- shared SQL --
 
 def sql_url_sections(u: str) -> tuple[str, str]:
@@ -548,6 +567,23 @@ def q_interest_tags(spark, sf):
     return G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY)
 
 
+def _sql_tags_window() -> str:
+    import datetime as dt
+    end = dt.date.fromisoformat(I.TAG_AS_OF)
+    start = (end - dt.timedelta(days=31)).isoformat()
+    windowed = I.SQL_READS.replace(
+        "JOIN part p ON l.l_partkey = p.p_partkey)",
+        f"JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_shipdate >= TIMESTAMP '{start}' + INTERVAL 1 MILLISECOND "
+        f"AND l.l_shipdate < TIMESTAMP '{I.TAG_AS_OF}' + INTERVAL 1 MILLISECOND)")
+    return ORACLE["interest_tags"].replace(I.SQL_READS, windowed)
+
+
+@register("interest_tags_window", _sql_tags_window())
+def q_interest_tags_window(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.daily_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, taxonomy=I.SHOP_TAXONOMY)
+
+
 @register("tag_row_ids")
 def q_tag_row_ids(spark, sf):
     from crowdscope.plans import tagging as G

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
 from crowdscope.functions.taxonomy import Category
-from crowdscope.sources.tables import ensure_parallel
+from crowdscope.sources.tables import ensure_parallel, read_table
 
 RET_START = "1995-01-01"
 RET_AS_OF = "1998-01-01"
@@ -52,7 +52,7 @@ class Tables:
             raise AttributeError(name)
         # one reader per table: the file listing and footer read happen once
         if name not in self._frames:
-            df = self.spark.read.parquet(f"{self.base}/{name}.parquet")
+            df = read_table(self.spark, self.base, name, "parquet")
             if self.spread and name in FACT_TABLES:
                 df = ensure_parallel(df)
             self._frames[name] = df
@@ -265,6 +265,17 @@ SQL_APP_EVENTS = "app_events AS (SELECT event_id AS eventid, user_id AS uid, ts
     " ELSE event_type END AS mevent, value AS dataused FROM events)"
 
 
+def app_signups(t: Tables) -> DataFrame:
+    """The events table for retention: ``uid, ts, mevent`` with sign-ups as
+    installs."""
+    e = t.events
+    return e.select(F.col("user_id").alias("uid"), "ts",
+                    F.when(F.col("event_type") == "signup", "install").otherwise(F.col("event_type")).alias("mevent"))
+
+
+EVENTS_AS_OF = "2024-01-31"
+
+
 def events_with_gaps(t: Tables) -> DataFrame:
     """Events with nulls, blanks and NaN made from the data: error events lose
     their type, their value becomes NaN, and clicks get a blank ``props``."""

@@ -110,3 +110,19 @@ def retention(events: DataFrame, members: DataFrame, start, as_of,
         head.append(F.current_timestamp().alias("lastupdatedtime"))
     return per_segment.select(*head, *[name for name, _ in windows],
                               F.col("segment_id").alias("segment"))
+
+
+def daily_retention(events: DataFrame, members: DataFrame, as_of, days_back: int = 91,
+                    windows=DEFAULT_WINDOWS, ts_col: str = "ts") -> DataFrame:
+    """The scheduled job: events with a timestamp ``ts`` are scanned in the
+    time-id window ``(as_of - days_back, as_of]`` at millisecond grain (S4,
+    Q2), dated by ``cast(ts as date)`` (Q23), and cohorts run from
+    ``as_of - days_back`` to ``as_of`` (Q3: yesterday and 92 days back in
+    the original schedule, i.e. ``as_of`` = yesterday, ``days_back`` = 91)."""
+    from crowdscope.sources.tables import time_range
+    import datetime as _dt
+    end = _dt.date.fromisoformat(str(as_of))
+    start = end - _dt.timedelta(days=days_back)
+    scanned = time_range(events, ts_col, start, end)
+    ev = scanned.select("uid", F.to_date(F.col(ts_col)).alias("d"), "mevent")
+    return retention(ev, members, start.isoformat(), end.isoformat(), windows)

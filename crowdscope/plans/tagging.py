@@ -64,3 +64,15 @@ def with_row_ids(tags: DataFrame) -> DataFrame:
     """Adds ``createdtime``: a random UUID per row plus the creation
     timestamp (D1). ``uuid()`` is a built-in, so no Python runs per row."""
     return tags.withColumn("createdtime", F.expr("uuid()")).withColumn("created_at", F.current_timestamp())
+
+
+def daily_tags(events: DataFrame, as_of, days_back: int = 31, taxonomy: tuple[Category, ...] = NEWS_TAXONOMY,
+               ts_col: str = "ts", **kw) -> DataFrame:
+    """The scheduled tagging job: reads in the time-id window
+    ``(as_of - days_back, as_of]`` at millisecond grain (S4), tagged as of
+    ``as_of`` (month and year)."""
+    from crowdscope.sources.tables import time_range
+    import datetime as _dt
+    end = _dt.date.fromisoformat(str(as_of))
+    scanned = time_range(events, ts_col, end - _dt.timedelta(days=days_back), end)
+    return interest_tags(scanned, as_of, taxonomy, **kw)

@@ -19,17 +19,28 @@ URL_CASES = [
 ]
 
 
-def _nested_locate_sections(df):
-    """The legacy nested-``locate`` form, kept here only as the equivalence
-    reference for :func:`url_sections`."""
-    p8 = "locate('/', u, 8)"
-    e = f"locate('/', u, {p8} + 1)"
-    l3 = f"locate('/', u, locate('/', u, {p8}) + 1)"
-    l4 = f"locate('/', u, {l3})"
-    l5 = f"locate('/', u, {l4} + 1)"
-    return df.selectExpr(
-        "u", f"lower(trim(substr(u, {p8} + 1, {e} - {p8} - 1))) AS a",
-        f"lower(trim(substr(u, {l4} + 1, {l5} - {l4} - 1))) AS b")
+def sections_model(u):
+    """Plain-Python statement of the section rule, by slash positions
+    (1-based): ``late`` is the first slash at character 8 or later."""
+    if u is None:
+        return None, None
+    slashes = [i + 1 for i, ch in enumerate(u) if ch == "/"]
+    after = lambda p: next((q for q in slashes if q > p), 0)
+    between = lambda p, q: u[p:q - 1]                  # text strictly between positions p and q
+    first = slashes[0] if slashes else 0
+    late = next((q for q in slashes if q >= 8), 0)
+    if late:
+        nxt = after(late)
+        if nxt:
+            third = after(nxt)
+            s1, s2 = between(late, nxt), (between(nxt, third) if third else "")
+        else:
+            s1, s2 = "", u[:first - 1]
+    else:
+        s1 = u[:first - 1] if first else ""
+        second = after(first) if first else 0
+        s2 = between(first, second) if first and second else ""
+    return s1.strip(" ").lower(), s2.strip(" ").lower()
 
 
 def test_url_sections_literal_cases(spark):
@@ -40,15 +51,26 @@ def test_url_sections_literal_cases(spark):
         assert got[u] == (a, b), u
 
 
-def test_url_sections_equal_nested_locate(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select(F.col("url").alias("u"))
-    extra = spark.createDataFrame([(u,) for u, _, _ in URL_CASES], "u string")
-    df = pages.unionByName(extra)
+def test_url_sections_match_model_on_pages_and_random_text(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    pages = [r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect()]
     s1, s2 = C.url_sections("u")
-    ours = df.select("u", s1.alias("a"), s2.alias("b"))
-    legacy = _nested_locate_sections(df)
-    assert ours.exceptAll(legacy).count() == 0
-    assert legacy.exceptAll(ours).count() == 0
+
+    def check(urls):
+        df = spark.createDataFrame([(u,) for u in urls], "u string")
+        for r in df.select("u", s1.alias("a"), s2.alias("b")).collect():
+            assert (r.a, r.b) == sections_model(r.u), r.u
+
+    check(pages + [u for u, _, _ in URL_CASES])
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.text(alphabet="/:ab.h ", max_size=24), min_size=50, max_size=50))
+    def random_batches(urls):
+        check(urls)
+
+    random_batches()
 
 
 def test_url_sections_fixed_mode(spark):
@@ -104,3 +126,13 @@ def test_taxonomy_on_literal_urls(spark):
     assert r["lifestyle"] == 1 / 6
     assert r["spirituaity"] == 0.0
     assert [c.name for c in NEWS_TAXONOMY][13] == "spirituaity"
+
+
+def test_null_uid_kept_in_shares_dropped_from_tags(spark):
+    from crowdscope.plans.tagging import category_shares, interest_tags
+    rows = [(None, "read", "http://x.com/sports/a/1")] * 5 + [("u", "read", "http://x.com/sports/a/1")] * 5
+    ev = spark.createDataFrame(rows, "uid string, mevent string, aurl string")
+    shares = {r.uid: r.sports for r in category_shares(ev).collect()}
+    assert shares == {None: 1.0, "u": 1.0}
+    tags = interest_tags(ev, "2024-05-01").collect()
+    assert [(t.uid, t.pref_catg, t.month, t.year, t.tot_readevent) for t in tags] == [("u", "sports", 5, 2024, 5)]
