@@ -91,6 +91,14 @@ def _feature_entries(rows: DataFrame) -> DataFrame:
     return rows.select("segment_id", "uid", F.inline(F.concat(scalars, pubs)))
 
 
+def member_copies(members: DataFrame) -> DataFrame:
+    """Distinct ``(segment_id, uid)`` with the number of times each was
+    listed. Partial aggregate first, so a hot repeated id collapses
+    map-side; the raw member table is read once for both the distinct users
+    and the segment sizes."""
+    return members.groupBy("segment_id", "uid").agg(F.count(F.lit(1)).alias("copies"))
+
+
 def segment_sizes(members: DataFrame) -> DataFrame:
     """Member rows per segment, duplicates included (the share denominator)."""
     return members.groupBy("segment_id").agg(F.count(F.lit(1)).alias("members"))
@@ -104,11 +112,13 @@ def feature_shares(members: DataFrame, base: DataFrame) -> DataFrame:
     Null values are filled with ``Not_Available`` before counting, so a null
     and a literal ``Not_Available`` form one group.
     """
-    uniq = members.select("segment_id", F.col("uid").alias("member_uid")).distinct()
+    copies = member_copies(members)
+    sizes = copies.groupBy("segment_id").agg(F.sum("copies").alias("members"))
+    uniq = copies.select("segment_id", F.col("uid").alias("member_uid"))
     rows = uniq.join(base, uniq.member_uid == base.uid, "left").drop("member_uid")
     entries = _feature_entries(rows).withColumn("value", F.coalesce("value", F.lit(C.NOT_AVAILABLE)))
     counts = entries.groupBy("segment_id", "feature", "value").agg(F.count("uid").alias("users"))
-    return (counts.join(segment_sizes(members), "segment_id")
+    return (counts.join(sizes, "segment_id")
             .select("segment_id", "feature", F.col("value").alias("feature_values"),
                     (F.col("users") / F.col("members")).alias("perc_users")))
 
