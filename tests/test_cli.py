@@ -13,7 +13,12 @@ def _app_tables(spark):
     members = scratch_path(spark, "cli-members")
     I.members(t).write.parquet(members)
     reads = scratch_path(spark, "cli-reads")
-    I.reads(t).withColumnRenamed("ts", "timestamp").write.parquet(reads)
+    news = {"economy": "business", "small": "sports", "medium": "cricket", "large": "tech", "promo": "market",
+            "standard": "politics"}
+    url = F.col("aurl")
+    for shop, section in news.items():
+        url = F.regexp_replace(url, f"^http://shop.example.com/{shop}/", f"http://news.example.com/{section}/")
+    I.reads(t).withColumn("aurl", url).withColumnRenamed("ts", "timestamp").write.parquet(reads)
     return t, events, members, reads
 
 
@@ -32,6 +37,7 @@ def test_retention_and_tags_jobs_append(spark):
     main(["tags", "--events", reads, "--out", tags_out, "--as-of", I.TAG_AS_OF, "--days-back", "3000"], spark)
     tags = spark.read.parquet(tags_out)
     assert tags.count() > 0 and "createdtime" in tags.columns
+    assert {r.pref_catg for r in tags.select("pref_catg").distinct().collect()} <= {"business", "sports", "tech"}
 
 
 def test_members_from_payload_pages(spark):
