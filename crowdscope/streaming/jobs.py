@@ -8,6 +8,9 @@ Job requests arrive as JSON text files in a directory. Each micro-batch:
   * profiles **all** jobs of the batch in one plan (only the segments the
     jobs name are read), then writes the reports and the status events.
 
+A batch whose profile run fails records a ``FAILED`` status row for each of
+its jobs (with the error text) and the stream continues with later batches.
+
 Writes are idempotent per micro-batch: each batch writes its own
 ``batch=<id>`` folder with ``overwrite``, so a batch re-run after a failure
 replaces its own output instead of duplicating it. Readers take the latest
@@ -57,15 +60,22 @@ def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame],
         jobs = spark.read.parquet(req_path)
         if jobs.isEmpty():        # watermark-only or fully de-duplicated batch
             return
-        reports = P.jobs_profiles(jobs, members(), base(), k).persist()
+        stamp = F.lit(batch_id).cast("long")
+        status_path = f"{out_dir}/status/batch={batch_id}"
+        reports = None
         try:
-            stamp = F.lit(batch_id).cast("long")
+            reports = P.jobs_profiles(jobs, members(), base(), k).persist()
             (reports.withColumn("batch_id", stamp)
              .write.mode("overwrite").parquet(f"{out_dir}/reports/batch={batch_id}"))
             (job_status_rows(jobs, reports).withColumn("batch_id", stamp)
-             .write.mode("overwrite").parquet(f"{out_dir}/status/batch={batch_id}"))
+             .write.mode("overwrite").parquet(status_path))
+        except Exception as err:  # noqa: BLE001 - the jobs of this batch fail, the stream goes on
+            failed = jobs.select("job_id", F.lit(f"{type(err).__name__}: {str(err)[:500]}").alias("error"))
+            (job_status_rows(jobs, failed=failed).filter(F.col("status") != "EXECUTING")
+             .withColumn("batch_id", stamp).write.mode("overwrite").parquet(status_path))
         finally:
-            reports.unpersist()
+            if reports is not None:
+                reports.unpersist()
     return run
 
 

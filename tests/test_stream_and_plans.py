@@ -45,6 +45,22 @@ def test_stream_runs_twice_on_one_checkpoint(spark):
     assert status.filter("status = 'SUCCESS'").count() == 3
 
 
+def test_failed_batch_records_failed_status(spark):
+    t = I.Tables(spark, SF001)
+    jobs_dir, out_dir, ckpt = (scratch_path(spark, n) for n in ("f-jobs", "f-out", "f-ckpt"))
+    I.job_payloads(t).coalesce(1).write.text(f"{jobs_dir}/d=1")
+
+    def broken_base():
+        return spark.read.parquet(f"{SF001}/no_such_table.parquet")
+
+    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(I.Tables(spark, SF001)), broken_base,
+                         I.APP, available_now=True)
+    q.awaitTermination()
+    status = read_status(spark, out_dir).collect()
+    assert len(status) == 3 and {r.status for r in status} == {"FAILED"}
+    assert "no_such_table" in json.loads(status[0].payload)["response"]["result"]
+
+
 def test_time_filter_reaches_parquet_scan(spark):
     e = spark.read.parquet(f"{SF001}/events.parquet")
     df = e.filter(F.col("ts").cast("date") >= F.lit("2024-01-05").cast("date")).select("event_id")
