@@ -4,17 +4,18 @@ JSON report (C2-C5).
 All segments and all jobs are rows, so one plan profiles any number of them.
 
 Plan shape for the shares (one pass over the members x profile join):
-  * members are de-duplicated per ``(segment_id, uid)`` (partial aggregate
-    first, so repeated ids collapse before the shuffle); the row count per
-    segment, duplicates included, is a separate partial count;
+  * members are de-duplicated per ``(segment_id, uid)`` with their copy
+    count (partial aggregate first, so repeated ids collapse before the
+    shuffle); the member table is read once;
   * one ``inline`` generator emits ``(feature, value)`` for the nine scalar
     features and the first 30 publications, instead of a ten-way union that
     would re-read the joined table per branch;
   * one ``groupBy(segment_id, feature, value)`` with a map-side partial
     count; a value holding a third of all users is just a bigger partial
     count, never a bigger task;
-  * the per-segment totals (one row per segment) are joined back; AQE
-    broadcasts them when their measured size is small.
+  * the per-segment totals come out of the same aggregate (a pseudo-feature
+    weighted by copies) and reach the other rows through a window over the
+    small aggregated result; the top-k window then needs no new shuffle.
 
 The profile base is keyed by ``uid`` (one row per user), so after member
 de-duplication ``count(uid)`` equals the distinct-user count; publication
@@ -71,7 +72,7 @@ def segment_left_join(members: DataFrame, base: DataFrame) -> DataFrame:
     return m.join(base, m.member_uid == base.uid, "left").drop("member_uid")
 
 
-def _feature_entries(rows: DataFrame) -> DataFrame:
+def _feature_entries(rows: DataFrame, extra: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     scalar = (
         ("asource", F.col("asource")),
         ("aversion", F.col("aversion")),
@@ -88,7 +89,8 @@ def _feature_entries(rows: DataFrame) -> DataFrame:
     items = F.array_distinct(F.slice(F.split(F.col("channelids"), ",", -1), 1, MAX_PUBLICATIONS))
     pubs = F.coalesce(F.transform(items, lambda x: entry("Publication", x)),
                       F.array().cast("array<struct<feature:string,value:string>>"))
-    return rows.select("segment_id", "uid", F.inline(F.concat(scalars, pubs)))
+    arrays = [scalars, pubs] + ([extra] if extra is not None else [])
+    return rows.select("segment_id", "uid", *carry, F.inline(F.concat(*arrays)))
 
 
 def member_copies(members: DataFrame) -> DataFrame:
@@ -104,6 +106,9 @@ def segment_sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("segment_id").agg(F.count(F.lit(1)).alias("members"))
 
 
+_SIZE_KEY = "\u0000segment_size"     # pseudo-feature carrying member copies; never a real feature name
+
+
 def feature_shares(members: DataFrame, base: DataFrame) -> DataFrame:
     """``(segment_id, feature, feature_values, perc_users)`` for every value
     of the ten features (C3, R3, A5, A16, P15).
@@ -111,14 +116,26 @@ def feature_shares(members: DataFrame, base: DataFrame) -> DataFrame:
     The share is distinct matched users over the segment's member rows.
     Null values are filled with ``Not_Available`` before counting, so a null
     and a literal ``Not_Available`` form one group.
+
+    One pass over the member table: each distinct member row also emits a
+    pseudo-feature entry weighted by how often it was listed, so the same
+    aggregate yields both the per-value user counts and the segment sizes.
+    The size reaches the other rows of its segment through a window over the
+    aggregated rows (a segment's rows are its distinct feature values, not
+    its users, so even the largest segment is a small window partition).
+    Two branches joined back would not share work: Catalyst prunes each
+    branch's aggregate differently, so the member join would run twice.
     """
-    copies = member_copies(members)
-    sizes = copies.groupBy("segment_id").agg(F.sum("copies").alias("members"))
-    uniq = copies.select("segment_id", F.col("uid").alias("member_uid"))
-    rows = uniq.join(base, uniq.member_uid == base.uid, "left").drop("member_uid")
-    entries = _feature_entries(rows).withColumn("value", F.coalesce("value", F.lit(C.NOT_AVAILABLE)))
-    counts = entries.groupBy("segment_id", "feature", "value").agg(F.count("uid").alias("users"))
-    return (counts.join(sizes, "segment_id")
+    copies = member_copies(members).withColumnRenamed("uid", "member_uid")
+    rows = copies.join(base, copies.member_uid == base.uid, "left")
+    size_entry = F.array(F.struct(F.lit(_SIZE_KEY).alias("feature"), F.lit(None).cast("string").alias("value")))
+    entries = _feature_entries(rows, extra=size_entry, carry=("copies",))
+    agg = (entries.withColumn("value", F.coalesce("value", F.lit(C.NOT_AVAILABLE)))
+           .groupBy("segment_id", "feature", "value")
+           .agg(F.count("uid").alias("users"), F.sum("copies").alias("listed")))
+    size = F.max(F.when(F.col("feature") == _SIZE_KEY, F.col("listed"))).over(Window.partitionBy("segment_id"))
+    return (agg.withColumn("members", size)
+            .filter(F.col("feature") != _SIZE_KEY)
             .select("segment_id", "feature", F.col("value").alias("feature_values"),
                     (F.col("users") / F.col("members")).alias("perc_users")))
 
