@@ -653,8 +653,9 @@ def _run_job_stream(spark, sf):
     payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=1")
     payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=2")      # the same requests delivered again
     # fresh readers per batch: each micro-batch lists the tables again and sees current data
-    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(_t(spark, sf)),
-                         lambda: _base(_t(spark, sf)), I.APP, available_now=True, files_per_batch=1)
+    fresh = lambda: Tables(spark, sf, fresh=True)
+    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(fresh()), lambda: _base(fresh()), I.APP,
+                         available_now=True, files_per_batch=1)
     q.awaitTermination()
     return out_dir
 

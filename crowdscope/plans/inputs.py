@@ -40,12 +40,21 @@ SHOP_TAXONOMY: tuple[Category, ...] = (
 FACT_TABLES = ("lineitem",)
 
 
+# Readers shared per session and directory: the driver's tables are
+# read-only, so their file listing and schema are read once per session.
+_SHARED: dict[tuple[int, str, bool], dict[str, DataFrame]] = {}
+
+
 class Tables:
-    """Lazy reader of the driver's parquet tables under one directory."""
+    """Lazy reader of the driver's parquet tables under one directory.
+
+    ``fresh=True`` gives private readers that list the files again (for
+    tables that change between uses, such as inputs of a running stream)."""
 
-    def __init__(self, spark: SparkSession, base: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, base: str, spread: bool = True, fresh: bool = False):
         self.spark, self.base, self.spread = spark, base.rstrip("/"), spread
-        self._frames: dict[str, DataFrame] = {}
+        key = (id(spark._jsparkSession), self.base, spread)
+        self._frames: dict[str, DataFrame] = {} if fresh else _SHARED.setdefault(key, {})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

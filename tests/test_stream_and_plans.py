@@ -18,10 +18,10 @@ def test_stream_runs_twice_on_one_checkpoint(spark):
     t = I.Tables(spark, SF001)
     jobs_dir, out_dir, ckpt = (scratch_path(spark, n) for n in ("t-jobs", "t-out", "t-ckpt"))
     def base():
-        f = I.Tables(spark, SF001)
+        f = I.Tables(spark, SF001, fresh=True)
         return P.profile_base(I.profiles(f), I.preferences(f), I.device_prices(f))
 
-    members = lambda: I.members(I.Tables(spark, SF001))
+    members = lambda: I.members(I.Tables(spark, SF001, fresh=True))
     I.job_payloads(t).coalesce(1).write.text(f"{jobs_dir}/d=1")
 
     def run():
