@@ -643,6 +643,33 @@ def q_delimited_text_read(spark, sf):
     return read_delimited(spark, path, schema)
 
 
+@register("daily_activity_table", _sql_daily_activity())
+def q_daily_activity_table(spark, sf):
+    """Daily activity written as a table keyed by (uid, date): partitioned by
+    date with uid hashed into buckets (K3), then read back."""
+    from crowdscope.operators.aggregates import daily_user_activity
+    from crowdscope.session import scratch_path
+    from crowdscope.sinks.writers import write_table
+    path = scratch_path(spark, "daily-activity")
+    write_table(daily_user_activity(I.app_events(_t(spark, sf))), path, "errorifexists", ["date"],
+                bucket_keys=["uid"], buckets=4)
+    back = spark.read.parquet(path)
+    return back.select("uid", F.col("date").cast("date").alias("date"), "install", "read", "notf_del", "notf_open",
+                       "pub_change", "videp_pause", "video_play", "shared", "setting_chg")
+
+
+@register("csv_source_options", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_csv_source_options(spark, sf):
+    """A source read by format name and options (S3): the nation table as
+    ';'-separated text with a header, read back with a declared schema."""
+    from crowdscope.session import scratch_path
+    from crowdscope.sources.tables import read_table
+    path = scratch_path(spark, "nation-csv")
+    _t(spark, sf).nation.write.options(header="true", sep=";").csv(path)
+    return read_table(spark, path, "", "csv", {"header": "true", "sep": ";"},
+                      schema="n_nationkey INT, n_name STRING, n_regionkey INT")
+
+
 def _run_job_stream(spark, sf):
     from crowdscope.plans import profile as P  # noqa: F401
     from crowdscope.session import scratch_path

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
-               options: dict | None = None) -> DataFrame:
-    """Any DataFrame source by format name (S2, S3). Parquet keeps column
-    pruning and predicate pushdown; the reader never infers a schema for
-    parquet, so the file footer schema is used."""
+               options: dict | None = None, schema: str | None = None) -> DataFrame:
+    """Any DataFrame source by format name and options (S2, S3). Parquet
+    keeps column pruning and predicate pushdown and takes its schema from the
+    file footers; text formats should be given ``schema`` (no inference pass
+    over the data)."""
     reader = spark.read.format(fmt)
+    if schema:
+        reader = reader.schema(schema)
     if options:
         reader = reader.options(**options)
     path = base if not name else f"{base.rstrip('/')}/{name}.{fmt}"

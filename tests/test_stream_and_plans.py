@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -91,3 +92,22 @@ def test_top_features_uses_group_limit(spark):
     df = P.top_features(P.feature_shares(I.members(t), base))
     df.collect()
     assert "WindowGroupLimit" in _plan(df)
+
+
+def test_price_lookup_broadcast_is_a_runtime_size_decision(spark):
+    """No broadcast hint is written; AQE measures the lookup and broadcasts
+    it because it is small, and keeps a sort-merge join when it is not."""
+    t = I.Tables(spark, SF001)
+    base = P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
+    base.collect()
+    final = _plan(base).split("Initial Plan")[0]
+    assert re.search(r"BroadcastHashJoin \[dtype2#\d+\]", final)
+    try:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        again = P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
+        again.collect()
+        assert re.search(r"SortMergeJoin \[dtype2#\d+\]", _plan(again).split("Initial Plan")[0])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
