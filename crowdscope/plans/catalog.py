@@ -191,7 +191,7 @@ def q_rename_columns(spark, sf):
 
 
 @register("literal_column",
-          "SELECT event_id, 'newspoint' AS appid, DATE '2024-01-31' AS as_of_date FROM events")
+          "SELECT event_id, 'news_app' AS appid, DATE '2024-01-31' AS as_of_date FROM events")
 def q_literal_column(spark, sf):
     e = _t(spark, sf).events.select("event_id")
     return e.withColumn("appid", F.lit(I.APP)).withColumn("as_of_date", F.lit("2024-01-31").cast("date"))

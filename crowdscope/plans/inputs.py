@@ -18,7 +18,7 @@ RET_START = "1995-01-01"
 RET_AS_OF = "1998-01-01"
 PREFS_SINCE = "2001-01-01"          # preferences are recent order priorities
 PRICE_LOW_BELOW = 950.0
-APP = "newspoint"
+APP = "news_app"
 TAG_AS_OF = "2001-08-01"
 EVENTS_TS_START = "2024-01-10 00:00:00"
 EVENTS_TS_END = "2024-01-20 00:00:00"

@@ -48,14 +48,14 @@ def test_segment_payloads(spark):
 
 
 def test_job_requests(spark):
-    payload = ('{"response":[{"jobId":12.0,"jobStatus":"SUBMITTED","inputData":{"segmentid":"a","app":"newspoint",'
+    payload = ('{"response":[{"jobId":12.0,"jobStatus":"SUBMITTED","inputData":{"segmentid":"a","app":"news_app",'
                '"segmentid_compare":"b"}},{"jobId":13,"jobStatus":"EXECUTING","inputData":{"segmentid":"c",'
-               '"app":"newspoint","segmentid_compare":"d"}},{"jobId":14,"jobStatus":"SUBMITTED","inputData":'
+               '"app":"news_app","segmentid_compare":"d"}},{"jobId":14,"jobStatus":"SUBMITTED","inputData":'
                '{"segmentid":"e","app":"other","segmentid_compare":"f"}}]}')
     df = spark.createDataFrame([(payload,)], "payload string")
     jobs = job_requests(df)
     assert jobs.count() == 3
-    sub = submitted_jobs(jobs, "newspoint").collect()
+    sub = submitted_jobs(jobs, "news_app").collect()
     assert [(r.job_id, r.segment_id, r.segment_compare) for r in sub] == [(12, "a", "b")]
 
 
