@@ -1,9 +1,12 @@
 """Scheduled jobs from the command line (``spark-submit`` or ``python -m crowdscope``).
 
-  retention  events + segment members -> one retention row per segment, appended
-  tags       read events -> interest tags with row ids, appended
+  retention  events + segment members -> one retention row per segment
+  tags       read events -> interest tags with row ids
   profiles   profile-request stream (job files in, reports and status rows out)
 
+Retention and tags write their run's date partition; rerunning a day replaces
+it (so an orchestrator may retry a failed run), ``--append`` appends instead.
+
 Inputs are any Spark source (``--format``, default parquet). Event columns are
 named by options, so the app's own names (``timestamp``, ``mevent``, ``aurl``)
 work without renaming the table.
@@ -45,7 +48,7 @@ def run_retention(spark, a) -> None:
     from crowdscope.sinks.writers import write_table
     as_of = a.as_of or (dt.date.today() - dt.timedelta(days=1)).isoformat()
     out = daily_retention(_events(spark, a), _members(spark, a), as_of, a.days_back)
-    write_table(out, a.out, "append", ["installtodate"])
+    write_table(out, a.out, "append" if a.append else "replace_partitions", ["installtodate"])
 
 
 def run_tags(spark, a) -> None:
@@ -53,7 +56,7 @@ def run_tags(spark, a) -> None:
     from crowdscope.sinks.writers import write_table
     as_of = a.as_of or dt.date.today().isoformat()
     out = with_row_ids(daily_tags(_events(spark, a), as_of, a.days_back or 31))
-    write_table(out, a.out, "append", ["year", "month"])
+    write_table(out, a.out, "append" if a.append else "replace_partitions", ["year", "month"])
 
 
 def run_profiles(spark, a) -> None:
@@ -76,6 +79,8 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         s.add_argument("--out", required=True)
         s.add_argument("--format", default="parquet")
+        s.add_argument("--append", action="store_true",
+                       help="append the run's rows; by default a rerun replaces its own date partition")
         s.add_argument("--app", default=None)
         s.add_argument("--as-of", dest="as_of", default=None)
         s.add_argument("--days-back", dest="days_back", type=int, default=91 if name == "retention" else 31)

@@ -103,12 +103,13 @@ SQL_MEMBERS = """members AS (
   UNION ALL SELECT 'urgent_buyers', o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
 
-def member_payloads(t: Tables, page_ids: int = 1000) -> DataFrame:
-    """Members as JSON list pages ``{"users": [...]}``, one page per segment
-    and block of ``page_ids`` consecutive ids (a bounded page, like a paged
-    membership API)."""
+def member_payloads(t: Tables, page_size: int = 1000) -> DataFrame:
+    """Members as JSON list pages ``{"users": [...]}`` of at most
+    ``page_size`` rows, like a paged membership API. A page is a run of
+    consecutive rows of one scan partition, so no page grows with the data,
+    even when one id is listed millions of times."""
     m = members(t)
-    page = F.floor(F.col("uid") / page_ids)
+    page = F.floor(F.monotonically_increasing_id() / page_size)
     return (m.groupBy("segment_id", page.alias("page"))
             .agg(F.to_json(F.struct(F.collect_list(F.col("uid").cast("string")).alias("users")))
                  .alias("payload")))

@@ -20,19 +20,29 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
                 bucket_keys: list[str] | None = None, buckets: int = 64, fmt: str = "parquet",
                 columns: list[str] | None = None) -> None:
     """Append (K1), fail-if-exists (K2, ``mode='errorifexists'``),
-    partitioned create (K3), chosen columns (K5), parquet (K6)."""
+    partitioned create (K3), chosen columns (K5), parquet (K6).
+
+    ``mode='replace_partitions'`` overwrites only the partitions present in
+    ``df`` (dynamic partition overwrite): a rerun of the same day replaces
+    that day instead of appending it twice."""
     if columns:
         df = df.select(*columns)
     parts = list(partition_by or [])
     if bucket_keys:
         df = df.withColumn("key_bucket", key_bucket(bucket_keys, buckets))
         parts.append("key_bucket")
-    w = df.write.mode(mode).format(fmt)
+    dynamic = mode == "replace_partitions"
+    if dynamic and not parts:
+        raise ValueError("replace_partitions needs partition columns")
     if parts:
         # one writer per output directory per task: cluster rows by the
         # partition columns first so each task writes few files
         df = df.repartition(*[F.col(p) for p in parts])
-        w = df.write.mode(mode).format(fmt).partitionBy(*parts)
+    w = df.write.mode("overwrite" if dynamic else mode).format(fmt)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    if parts:
+        w = w.partitionBy(*parts)
     w.save(path)
 
 

@@ -27,10 +27,13 @@ def test_retention_and_tags_jobs_append(spark):
     out = scratch_path(spark, "cli-retention")
     args = ["retention", "--events", events, "--members", members, "--out", out, "--as-of", I.EVENTS_AS_OF,
             "--app", I.APP]
+    n_segments = I.members(t).select("segment_id").distinct().count()
     main(args, spark)
-    main(args, spark)                       # a rerun appends, like the original job
+    main(args, spark)                       # a rerun of the same day replaces its partition
     got = spark.read.parquet(out)
-    assert got.count() == 2 * I.members(t).select("segment_id").distinct().count()
+    assert got.count() == n_segments
+    main(args + ["--append"], spark)        # the original job's append behaviour
+    assert spark.read.parquet(out).count() == 2 * n_segments
     assert str(got.select("installtodate").distinct().first()[0]) == I.EVENTS_AS_OF
 
     tags_out = scratch_path(spark, "cli-tags")

@@ -22,7 +22,7 @@ SKEWED = {
 TABLES = ("customer", "nation", "part", "lineitem", "orders", "events", "pages")
 CHECK = ("retention", "cohort_users", "reinstall_within", "feature_shares", "top_features", "segment_compare",
          "category_shares", "interest_tags", "daily_user_activity", "upsert_latest_by_key", "column_quality",
-         "conditional_sum", "last_activity")
+         "conditional_sum", "last_activity", "segment_members")
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +66,14 @@ def test_hot_user_is_pre_aggregated_before_the_shuffle(spark, skewed):
     assert "partial_max" in plan and "partial_collect_set" in plan
 
 
+def test_member_pages_stay_bounded_under_a_hot_id(spark, skewed):
+    from crowdscope.plans import inputs as I
+    base, _ = skewed
+    pages = I.member_payloads(I.Tables(spark, base))
+    sizes = pages.select(F.size(F.from_json("payload", "users array<string>").getField("users")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 1000
+
+
 def test_latest_by_key_limits_before_shuffle(spark, skewed):
     from crowdscope.sinks.writers import latest_by_key
     base, _ = skewed
