@@ -13,7 +13,9 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="crowdscope-tests", shuffle_partitions=8)
+    import tempfile
+    s = build_session("local[*]", app="crowdscope-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="crowdscope-wh-")})
     shared_dir(s)
     yield s
     s.stop()

@@ -111,3 +111,19 @@ def test_price_lookup_broadcast_is_a_runtime_size_decision(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_uid_bucketed_events_need_no_shuffle(spark):
+    from crowdscope.plans import retention as R
+    from crowdscope.sinks.writers import save_bucketed
+    ev = I.app_events(I.Tables(spark, SF001))
+    save_bucketed(ev, "events_by_uid", ["uid"], 8, mode="overwrite")
+    table = spark.table("events_by_uid")
+    activity = daily_user_activity(table)
+    summary = R.user_summary(table.select("uid", F.to_date("timestamp").alias("d"), "mevent"))
+    for df in (activity, summary):
+        df.collect()
+        final = _plan(df).split("Initial Plan")[0]
+        assert "Exchange" not in final, final
+    expected = daily_user_activity(ev)
+    assert activity.exceptAll(expected).count() == 0 and expected.exceptAll(activity).count() == 0
