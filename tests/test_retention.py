@@ -109,3 +109,31 @@ def test_per_cohort_monotone(spark):
     for r in rows:
         flags = [r[n] for n in names]
         assert flags == sorted(flags)
+
+
+def test_retention_matches_brute_force_on_random_histories(spark):
+    """Random event histories (several users, installs and re-installs
+    around the window edges) against the row-by-row model."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    start, as_of = D(2021, 1, 10), D(2021, 3, 20)
+    day = st.integers(min_value=0, max_value=110).map(lambda n: D(2021, 1, 1) + dt.timedelta(days=n))
+    event = st.tuples(st.sampled_from(["u0", "u1", "u2", "u3", "u4"]), day, st.sampled_from(["install", "read"]))
+    member = st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["u0", "u1", "u2", "u3", "u4", "zz"]))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(event, min_size=1, max_size=40), st.lists(member, min_size=1, max_size=12))
+    def check(events, members):
+        ev, mem = _frames(spark, events, members)
+        got = {r.segment: r for r in R.retention(ev, mem, start, as_of, with_timestamp=False).collect()}
+        exp = brute_force(events, members, start, as_of)
+        assert set(got) == set(exp)
+        for seg, row in exp.items():
+            for name, _ in R.DEFAULT_WINDOWS:
+                if row[name] is None:
+                    assert got[seg][name] is None
+                else:
+                    assert got[seg][name] == pytest.approx(row[name])
+
+    check()

@@ -22,7 +22,7 @@ SKEWED = {
 TABLES = ("customer", "nation", "part", "lineitem", "orders", "events", "pages")
 CHECK = ("retention", "cohort_users", "reinstall_within", "feature_shares", "top_features", "segment_compare",
          "category_shares", "interest_tags", "daily_user_activity", "upsert_latest_by_key", "column_quality",
-         "conditional_sum", "last_activity", "segment_members")
+         "conditional_sum", "last_activity", "segment_members", "segment_left_join")
 
 
 @pytest.fixture(scope="module")
