@@ -82,14 +82,28 @@ def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame],
 def start_job_stream(spark: SparkSession, jobs_dir: str, out_dir: str, checkpoint: str,
                      members: Callable[[], DataFrame], base: Callable[[], DataFrame], app: str,
                      available_now: bool = False, files_per_batch: int | None = None,
-                     watermark: str = "1 day", poll: str = "30 seconds") -> StreamingQuery:
+                     watermark: str = "1 day", poll: str = "30 seconds",
+                     state_partitions: int = 4) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and
-    stops (tests, scheduled runs); otherwise it polls every ``poll``."""
+    stops (tests, scheduled runs); otherwise it polls every ``poll``.
+
+    ``state_partitions`` sizes the de-duplication state to the request
+    volume (a job queue, not the data): streaming plans run without AQE
+    coalescing, and the count is fixed in the checkpoint at the first start,
+    so taking the cluster's shuffle-partition count would commit hundreds of
+    near-empty state-store tasks in every micro-batch. The profile work in
+    each batch runs in the main session with its own settings."""
     stream = job_request_stream(spark, jobs_dir, app, watermark, files_per_batch)
     writer = (stream.writeStream.foreachBatch(profile_batch_writer(spark, members, base, out_dir))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
-    return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def read_reports(spark: SparkSession, out_dir: str) -> DataFrame:
