@@ -17,6 +17,16 @@ def conditional_count(df: DataFrame, keys: list, name: str, pred: Column) -> Dat
     return df.groupBy(*keys).agg(F.sum(F.when(pred, 1).otherwise(0)).alias(name))
 
 
+def distinct_count(df: DataFrame, column: str, approx: bool = False, rsd: float = 0.01,
+                   alias: str = "n_distinct") -> DataFrame:
+    """Global distinct count (A4): exact (a partial distinct on the column,
+    one shuffle on it, then a one-row merge) or, with ``approx``, a
+    HyperLogLog++ sketch merged map-side (no shuffle of the values; relative
+    standard deviation ``rsd``)."""
+    agg = F.approx_count_distinct(column, rsd) if approx else F.count_distinct(F.col(column))
+    return df.agg(agg.alias(alias))
+
+
 def null_group_count(df: DataFrame, column: str) -> DataFrame:
     """``where(c is null).groupBy(c).count()``."""
     return df.filter(F.col(column).isNull()).groupBy(column).count()

@@ -160,7 +160,8 @@ def q_min_max_time(spark, sf):
 
 @register("distinct_users", "SELECT count(DISTINCT user_id) AS n_users FROM events")
 def q_distinct_users(spark, sf):
-    return _t(spark, sf).events.agg(F.count_distinct("user_id").alias("n_users"))
+    from crowdscope.operators.aggregates import distinct_count
+    return distinct_count(_t(spark, sf).events, "user_id", alias="n_users")
 
 
 @register("events_time_range",

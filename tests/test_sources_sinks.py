@@ -106,3 +106,11 @@ def test_status_rows(spark):
     import json
     done = json.loads(rows[-1].payload)
     assert done["response"]["result"] == "[]" and done["completionPercentage"] == 100
+
+
+def test_distinct_count_exact_and_approximate(spark):
+    from crowdscope.operators.aggregates import distinct_count
+    e = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    exact = distinct_count(e, "user_id").first()[0]
+    approx = distinct_count(e, "user_id", approx=True, rsd=0.02).first()[0]
+    assert exact == 150 and abs(approx - exact) <= 0.1 * exact
