@@ -122,11 +122,13 @@ def _t(spark, sf) -> Tables:
     return Tables(spark, sf)
 
 
+@I.derived
 def _base(t: Tables):
     from crowdscope.plans import profile as P
     return P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
 
 
+@I.derived
 def _jobs(t: Tables):
     from crowdscope.sources import payloads as S
     return S.submitted_jobs(S.job_requests(I.job_payloads(t)), I.APP)

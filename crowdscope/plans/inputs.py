@@ -68,7 +68,23 @@ class Tables:
         return self._frames[name]
 
 
+def derived(fn):
+    """Memoize a derived input on its :class:`Tables`: DataFrames are
+    immutable, so queries of one session reuse the same lazy plan instead of
+    rebuilding (and re-analysing) it. Fresh ``Tables`` get fresh inputs."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(t: Tables, *args):
+        key = ("derived", fn.__name__) + args
+        if key not in t._frames:
+            t._frames[key] = fn(t, *args)
+        return t._frames[key]
+    return wrapper
+
+
 # ---------------------------------------------------------------- retention --
+@derived
 def retention_events(t: Tables) -> DataFrame:
     """Orders as app events: urgent orders are installs, the rest reads."""
     o = t.orders
@@ -85,6 +101,7 @@ SQL_EV = f"""ev AS (
 
 
 # ------------------------------------------------------------------ members --
+@derived
 def members(t: Tables) -> DataFrame:
     """``(segment_id, uid)``: one segment per market segment, ``all`` with
     every customer, and ``urgent_buyers`` listing the buyer of every urgent
@@ -103,6 +120,7 @@ SQL_MEMBERS = """members AS (
   UNION ALL SELECT 'urgent_buyers', o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
 
+@derived
 def member_payloads(t: Tables, page_size: int = 1000) -> DataFrame:
     """Members as JSON list pages ``{"users": [...]}`` of at most
     ``page_size`` rows, like a paged membership API. A page is a run of
@@ -128,6 +146,7 @@ SQL_DEVICE_TEXT = ("CASE WHEN p_size > 25 THEN p_brand || '/' || p_brand || ' '
                    "ELSE p_brand || '/' || p_name END")
 
 
+@derived
 def profiles(t: Tables) -> DataFrame:
     c, n, o = t.customer, t.nation, t.orders
     first_order = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("first_ts"))
@@ -159,6 +178,7 @@ SQL_PROFILES = f"""profiles AS (
          ON fo.o_custkey = c.c_custkey)"""
 
 
+@derived
 def preferences(t: Tables) -> DataFrame:
     """Recent order priorities as a sorted comma list; customers without a
     recent order have no preferences row."""
@@ -177,6 +197,7 @@ SQL_PREFS = f"""prefs AS (
   JOIN customer c ON c.c_custkey = r.uid)"""
 
 
+@derived
 def device_prices(t: Tables) -> DataFrame:
     """Device price lookup keyed by device key; one brand is missing so some
     lookups miss."""
@@ -207,6 +228,7 @@ SQL_DEVICEPRICE = f"""deviceprice AS (
 
 
 # -------------------------------------------------------------------- jobs --
+@derived
 def job_payloads(t: Tables) -> DataFrame:
     """One queue response per market segment: profile the segment against
     ``all``. ``household`` is already executing and ``machinery`` belongs to
@@ -234,6 +256,7 @@ SQL_JOBS = f"""jobs AS (
 
 
 # -------------------------------------------------------------------- reads --
+@derived
 def reads(t: Tables) -> DataFrame:
     """Line items as article reads: the reader is the ordering customer and
     the URL is built from the part's type and name."""
@@ -257,6 +280,7 @@ EVENT_NAMES = {"signup": "install", "view": "read", "click": "notification_open"
                "purchase": "share_purchase", "error": "settings_changed"}
 
 
+@derived
 def app_events(t: Tables) -> DataFrame:
     """The events table in the app's vocabulary: ``eventid, uid, timestamp,
     mevent, dataused``."""
@@ -275,6 +299,7 @@ SQL_APP_EVENTS = "app_events AS (SELECT event_id AS eventid, user_id AS uid, ts
     " ELSE event_type END AS mevent, value AS dataused FROM events)"
 
 
+@derived
 def app_signups(t: Tables) -> DataFrame:
     """The events table for retention: ``uid, ts, mevent`` with sign-ups as
     installs."""
@@ -286,6 +311,7 @@ def app_signups(t: Tables) -> DataFrame:
 EVENTS_AS_OF = "2024-01-31"
 
 
+@derived
 def events_with_gaps(t: Tables) -> DataFrame:
     """Events with nulls, blanks and NaN made from the data: error events lose
     their type, their value becomes NaN, and clicks get a blank ``props``."""
