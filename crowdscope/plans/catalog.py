@@ -607,6 +607,21 @@ def q_upsert_latest_by_key(spark, sf):
                   ["user_id"], "written_at", [F.desc("event_id")])
 
 
+@register("upsert_table_roundtrip", ORACLE["upsert_latest_by_key"])
+def q_upsert_table_roundtrip(spark, sf):
+    """The keyed table is created from the events before the cut, then the
+    later events are upserted in bucket-sized increments; the table read
+    back holds the latest event per user (K4 at scale)."""
+    from crowdscope.session import scratch_path
+    from crowdscope.sinks.writers import upsert_table
+    e = _t(spark, sf).events.select("user_id", "event_id", "event_type", "value", F.col("ts").alias("written_at"))
+    path = scratch_path(spark, "keyed-events")
+    cut = F.lit(I.EVENTS_TS_END).cast("timestamp_ntz")
+    upsert_table(e.filter(F.col("written_at") < cut), path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=16)
+    upsert_table(e.filter(F.col("written_at") >= cut), path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=16)
+    return spark.read.parquet(path).drop("key_bucket")
+
+
 @register("sink_append_roundtrip", (
     'SELECT CAST(ts AS DATE) AS "date", count(*) AS n, count(DISTINCT user_id) AS users '
     "FROM events GROUP BY CAST(ts AS DATE)"))

@@ -114,3 +114,27 @@ def test_distinct_count_exact_and_approximate(spark):
     exact = distinct_count(e, "user_id").first()[0]
     approx = distinct_count(e, "user_id", approx=True, rsd=0.02).first()[0]
     assert exact == 150 and abs(approx - exact) <= 0.1 * exact
+
+
+def test_upsert_table_rewrites_only_touched_buckets(spark):
+    from crowdscope.sinks.writers import upsert_table
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        "user_id", "event_id", "value", F.col("ts").alias("written_at"))
+    path = scratch_path(spark, "keyed")
+    upsert_table(e, path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=8)
+    root = local_path(path)
+
+    def files():
+        return {d: sorted(os.listdir(os.path.join(root, d))) for d in os.listdir(root) if d.startswith("key_bucket=")}
+
+    before = files()
+    assert len(before) == 8
+    newer = spark.createDataFrame([(3, 10**9, 42.0, dt.datetime(2030, 1, 1))],
+                                  "user_id bigint, event_id bigint, value double, written_at timestamp_ntz")
+    upsert_table(newer, path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=8)
+    after = files()
+    changed = [d for d in before if before[d] != after[d]]
+    assert len(changed) == 1                        # only user 3's bucket was rewritten
+    table = spark.read.parquet(path)
+    assert table.count() == e.select("user_id").distinct().count()
+    assert table.filter("user_id = 3").first().value == 42.0
