@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
 from crowdscope.functions.taxonomy import NEWS_TAXONOMY

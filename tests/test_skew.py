@@ -3,7 +3,6 @@ events (so the urgent-buyers segment also repeats that id thousands of
 times). The registered queries run on the skewed copy and are compared with
 their unchanged oracle SQL over the same files."""
 
-import os
 
 import duckdb
 import pytest
