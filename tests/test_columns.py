@@ -1,4 +1,3 @@
-
 from crowdscope.functions import columns as C
 from crowdscope.functions.taxonomy import NEWS_TAXONOMY
 from crowdscope.operators.reshape import list_columns, list_explode
