@@ -45,6 +45,16 @@ FACT_TABLES = ("lineitem",)
 _SHARED: dict[tuple[int, str, bool], dict[str, DataFrame]] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    """Identity of a live session: application id plus the session's UUID
+    (a new context or session never reuses cached readers of an old one)."""
+    try:
+        uuid = spark._jsparkSession.sessionUUID()
+    except Exception:  # noqa: BLE001 - older JVM API
+        uuid = str(id(spark._jsparkSession))
+    return f"{spark.sparkContext.applicationId}/{uuid}"
+
+
 class Tables:
     """Lazy reader of the driver's parquet tables under one directory.
 
@@ -53,7 +63,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, base: str, spread: bool = True, fresh: bool = False):
         self.spark, self.base, self.spread = spark, base.rstrip("/"), spread
-        key = (id(spark._jsparkSession), self.base, spread)
+        key = (_session_key(spark), self.base, spread)
         self._frames: dict[str, DataFrame] = {} if fresh else _SHARED.setdefault(key, {})
 
     def __getattr__(self, name: str) -> DataFrame:
