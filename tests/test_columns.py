@@ -134,3 +134,37 @@ def test_null_uid_kept_in_shares_dropped_from_tags(spark):
     assert shares == {None: 1.0, "u": 1.0}
     tags = interest_tags(ev, "2024-05-01").collect()
     assert [(t.uid, t.pref_catg, t.month, t.year, t.tot_readevent) for t in tags] == [("u", "sports", 5, 2024, 5)]
+
+
+def device_key_model(d):
+    if d is None:
+        return None
+    u = d.strip(" ").upper()
+    if "/" not in u:
+        return u
+    brand, model = u.split("/", 1)
+    return model if brand in model else f"{brand} {model}"
+
+
+def test_device_key_matches_model_on_random_text(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    key = C.device_key("d")
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.one_of(st.none(), st.text(alphabet="ab/ A", max_size=12)), min_size=40, max_size=40))
+    def check(texts):
+        df = spark.createDataFrame([(t,) for t in texts], "d string")
+        for r in df.select("d", key.alias("k")).collect():
+            assert r.k == device_key_model(r.d), r.d
+
+    check()
+
+
+def test_ensure_parallel_only_spreads_under_split_inputs(spark):
+    from crowdscope.sources.tables import ensure_parallel
+    one = spark.range(100).coalesce(1)
+    assert ensure_parallel(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert ensure_parallel(many, 4) is many
