@@ -697,9 +697,15 @@ def _run_job_stream(spark, sf):
     payloads = I.job_payloads(t)
     payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=1")
     payloads.coalesce(1).write.text(f"{jobs_dir}/delivery=2")      # the same requests delivered again
-    # fresh readers per batch: each micro-batch lists the tables again and sees current data
-    fresh = lambda: Tables(spark, sf, fresh=True)
-    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(fresh()), lambda: _base(fresh()), I.APP,
+    # fresh readers per micro-batch (it sees current data), shared by both
+    # inputs of that batch: members() is called first, then base()
+    batch = {}
+
+    def members_fn():
+        batch["t"] = Tables(spark, sf, fresh=True)
+        return I.members(batch["t"])
+
+    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, members_fn, lambda: _base(batch["t"]), I.APP,
                          available_now=True, files_per_batch=1)
     q.awaitTermination()
     return out_dir

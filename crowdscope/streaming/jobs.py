@@ -64,7 +64,8 @@ def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame],
         status_path = f"{out_dir}/status/batch={batch_id}"
         reports = None
         try:
-            reports = P.jobs_profiles(jobs, members(), base(), k).persist()
+            m = members()          # members first, then the profile base
+            reports = P.jobs_profiles(jobs, m, base(), k).persist()
             (reports.withColumn("batch_id", stamp)
              .write.mode("overwrite").parquet(f"{out_dir}/reports/batch={batch_id}"))
             (job_status_rows(jobs, reports).withColumn("batch_id", stamp)
