@@ -711,16 +711,30 @@ def _run_job_stream(spark, sf):
     return out_dir
 
 
-@register("stream_job_profiles")
+@register("stream_job_profiles", ORACLE["profile_report_entries"])
 def q_stream_job_profiles(spark, sf):
+    """The stream's reports (latest per job, after a re-delivery of every
+    request) parsed back into rows: they must equal the batch report."""
+    from crowdscope.plans import profile as P
     from crowdscope.streaming.jobs import read_reports
-    return read_reports(spark, _run_job_stream(spark, sf))
+    return P.report_entries(read_reports(spark, _run_job_stream(spark, sf)))
+
+
+def _sql_status_log() -> str:
+    from crowdscope.sinks.writers import PROGRESS_POINTS
+    steps = ", ".join(f"('EXECUTING', {p})" for p in (0,) + PROGRESS_POINTS) + ", ('SUCCESS', 100)"
+    return with_ctes(I.SQL_MEMBERS, I.SQL_JOBS, SQL_SUBMITTED,
+                     f"steps AS (SELECT * FROM (VALUES {steps}) s(status, completion_pct))",
+                     body="SELECT j.job_id, s.status, s.completion_pct FROM sjobs j CROSS JOIN steps s")
 
 
-@register("job_status_log")
+@register("job_status_log", _sql_status_log())
 def q_job_status_log(spark, sf):
+    """Status events of every submitted job (the JSON payloads carry
+    wall-clock times and are checked in unit tests)."""
     from crowdscope.plans import profile as P
     from crowdscope.sinks.writers import job_status_rows
     t = _t(spark, sf)
     jobs = _jobs(t)
-    return job_status_rows(jobs, P.jobs_profiles(jobs, I.members(t), _base(t)))
+    return job_status_rows(jobs, P.jobs_profiles(jobs, I.members(t), _base(t))).select(
+        "job_id", "status", "completion_pct")
