@@ -225,8 +225,7 @@ def q_last_activity(spark, sf):
     return R.last_activity(e)
 
 
-_SQL_COND = ("SELECT uid, CAST(sum(CASE WHEN mevent = 'read' THEN 1 ELSE 0 END) AS BIGINT) AS read "
-             "FROM app_events GROUP BY uid")
+_SQL_COND = "SELECT uid, count(*) FILTER (WHERE mevent = 'read') AS read FROM app_events GROUP BY uid"
 
 
 @register("conditional_sum", with_ctes(I.SQL_APP_EVENTS, body=_SQL_COND))
@@ -270,8 +269,8 @@ def q_nan_filter(spark, sf):
 
 @register("column_quality", with_ctes(I.SQL_GAPS, body=(
     'SELECT count(*) AS "rows", count(DISTINCT uid) AS users, '
-    "CAST(sum(CASE WHEN mevent = '' OR mevent IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS mevent, "
-    "CAST(sum(CASE WHEN props = '' OR props IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS props FROM gaps")))
+    "count(*) FILTER (WHERE coalesce(mevent, '') = '') AS mevent, "
+    "count(*) FILTER (WHERE coalesce(props, '') = '') AS props FROM gaps")))
 def q_column_quality(spark, sf):
     from crowdscope.operators.aggregates import column_quality
     return column_quality(I.events_with_gaps(_t(spark, sf)), ["mevent", "props"])
@@ -282,10 +281,10 @@ def _sql_daily_activity() -> str:
              ("notf_open", "mevent = 'notification_open'"), ("pub_change", "mevent = 'publication_changed'"),
              ("videp_pause", "mevent = 'video/pause'"), ("video_play", "mevent = 'video/play'"),
              ("shared", "substr(mevent, 1, 5) = 'share'"), ("setting_chg", "mevent = 'settings_changed'")]
-    cols = ", ".join(f"count(DISTINCT CASE WHEN {t} THEN eventid END) AS {n}" for n, t in tests)
+    cols = ", ".join(f"count(DISTINCT eventid) FILTER (WHERE {t}) AS {n}" for n, t in tests)
     return with_ctes(I.SQL_APP_EVENTS, body=(
         'SELECT uid, CAST("timestamp" AS DATE) AS "date", '
-        f"max(CASE WHEN mevent = 'install' THEN 1 ELSE 0 END) AS install, {cols} "
+        f"CAST(bool_or(mevent = 'install') AS INTEGER) AS install, {cols} "
         'FROM app_events GROUP BY uid, CAST("timestamp" AS DATE)'))
 
 
@@ -299,7 +298,7 @@ _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 @register("crosstab", "SELECT o_orderstatus AS o_orderstatus_o_orderpriority, " + ", ".join(
-    f"CAST(sum(CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{p}\"" for p in _PRIORITIES)
+    f"count(*) FILTER (WHERE o_orderpriority = '{p}') AS \"{p}\"" for p in _PRIORITIES)
     + " FROM orders GROUP BY o_orderstatus")
 def q_crosstab(spark, sf):
     from crowdscope.operators.aggregates import crosstab
@@ -547,7 +546,7 @@ def _sql_category_shares() -> str:
             terms.append("col1 IN (" + ", ".join(f"'{x}'" for x in c.section1) + ")")
         if c.section2:
             terms.append("col2 IN (" + ", ".join(f"'{x}'" for x in c.section2) + ")")
-        cats.append(f"sum(CASE WHEN {' OR '.join(terms)} THEN 1 ELSE 0 END) / count(*) AS {c.name}")
+        cats.append(f"count(*) FILTER (WHERE {' OR '.join(terms)}) / count(*) AS {c.name}")
     return with_ctes(I.SQL_READS,
                      f"sec AS (SELECT uid, {s1} AS col1, {s2} AS col2 FROM reads WHERE mevent = 'read')",
                      f"cs AS (SELECT uid, {', '.join(cats)}, count(*) AS tot_readevent FROM sec GROUP BY uid)",
