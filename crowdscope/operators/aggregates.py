@@ -13,8 +13,8 @@ def _c(c) -> Column:
 
 
 def conditional_count(df: DataFrame, keys: list, name: str, pred: Column) -> DataFrame:
-    """``sum(case when pred then 1 else 0 end)`` per group."""
-    return df.groupBy(*keys).agg(F.sum(F.when(pred, 1).otherwise(0)).alias(name))
+    """Rows matching ``pred`` per group (A8); a null test counts as no match."""
+    return df.groupBy(*keys).agg(F.count_if(pred).alias(name))
 
 
 def distinct_count(df: DataFrame, column: str, approx: bool = False, rsd: float = 0.01,
@@ -37,7 +37,7 @@ def column_quality(df: DataFrame, columns: list[str], uid: str = "uid") -> DataF
     column (A20, P17). A single global aggregate; the distinct-user count is
     a partial distinct on ``uid`` followed by a one-row merge."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(uid)).alias("users"),
-                  *[F.sum(F.when(blank_or_null(c), 1).otherwise(0)).alias(c) for c in columns])
+                  *[F.count_if(blank_or_null(c)).alias(c) for c in columns])
 
 
 # --- Fixed values: daily activity counters (name, event test) ---------------

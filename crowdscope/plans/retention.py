@@ -101,8 +101,8 @@ def retention(events: DataFrame, members: DataFrame, start, as_of,
     aggs = []
     for name, n in windows:
         due = F.date_add(F.col("idate"), n) <= as_of_d
-        kept = F.sum(F.when(due & ~_lost(n), 1).otherwise(0))
-        users = F.sum(F.when(due, 1).otherwise(0))
+        kept = F.count_if(due & ~_lost(n))
+        users = F.count_if(due)
         aggs.append(F.try_divide(kept, users).alias(name))
     per_segment = rows.groupBy("segment_id").agg(*aggs)
     head = [F.lit(str(start)).alias("installfromdate"), F.lit(str(as_of)).alias("installtodate")]

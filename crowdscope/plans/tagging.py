@@ -26,8 +26,7 @@ def category_shares(events: DataFrame, taxonomy: tuple[Category, ...] = NEWS_TAX
     reads = C.with_url_sections(events.filter(F.col("mevent") == "read").select("uid", url_col), url_col,
                                 fixed=fixed_sections).select("uid", "col1", "col2")
     total = F.count(F.lit(1))
-    aggs = [(F.sum(F.when(cat.matches(F.col("col1"), F.col("col2")), 1).otherwise(0)) / total).alias(cat.name)
-            for cat in taxonomy]
+    aggs = [(F.count_if(cat.matches(F.col("col1"), F.col("col2"))) / total).alias(cat.name) for cat in taxonomy]
     return reads.groupBy("uid").agg(*aggs, total.alias("tot_readevent"))
 
 
