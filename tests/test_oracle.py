@@ -30,7 +30,7 @@ def _norm(v):
     if v is None:
         return ("~null",)
     if isinstance(v, float):
-        return ("nan",) if math.isnan(v) else round(v, 9)
+        return ("nan",) if math.isnan(v) else v      # bit-for-bit: both engines compute the same doubles
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
