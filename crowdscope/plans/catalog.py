@@ -723,10 +723,9 @@ def _run_job_stream(spark, sf):
         batch["t"] = Tables(spark, sf, fresh=True)
         return I.members(batch["t"])
 
-    # both deliveries in one micro-batch: the duplicate requests are dropped
-    # inside it (cross-batch re-delivery is covered by the stream tests)
+    # one delivery per micro-batch: the second batch re-delivers every request
     q = start_job_stream(spark, jobs_dir, out_dir, ckpt, members_fn, lambda: _base(batch["t"]), I.APP,
-                         available_now=True)
+                         available_now=True, files_per_batch=1)
     q.awaitTermination()
     return out_dir
 
