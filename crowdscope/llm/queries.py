@@ -91,3 +91,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size(f"{name}.items").cast("long").alias("n_items"),
                        F.sha2(F.array_join(f"{name}.items", ","), 256).alias("items_sha256"),
                        (F.col(f"{name}.n_hit") > 0).alias("contaminated"))
+
+
+def held_out(parts: int, remainder: int):
+    """Whether a document is outside the rows that may be learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts)) == remainder, F.lit(False))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.toxicity import fit, score
+    docs = table(spark, sf_dir, "documents")
+    out, name = score(docs, fit(docs, table(spark, sf_dir, "labels"), ~held_out(3, 1)), ["doc_id"])
+    return out.select("doc_id", held_out(3, 1).alias("held_out"), f"{name}.score", f"{name}.predicted")
+
+
+@register("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.kneser import judge
+    out, name = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id", "lang"])
+    return out.select("doc_id", "lang", F.exp(f"{name}.log_perplexity").alias("perplexity"),
+                      F.exp(f"{name}.limit").alias("max_perplexity"), F.col(f"{name}.good").alias("keep"))
