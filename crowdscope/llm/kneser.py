@@ -18,7 +18,9 @@ SHARD_GRAMS = 4_000_000
 #: Trusted documents of one in so many only set thresholds, so that these are not met by text the model has seen.
 THRESHOLD_FOLD = 4
 #: A language's limit on log perplexity: the quantile, and the spread above the median once more by this factor.
-QUANTILE, SLACK = 0.99, 1.0
+QUANTILE, SLACK = 0.995, 1.0
+#: A text counts as if it had so many more bytes of its language's median, as the mean of a few bytes says little.
+SHRINK = 100
 
 RESULT = T.StructType([T.StructField("log_perplexity", T.DoubleType()), T.StructField("n_grams", T.LongType())])
 
@@ -203,18 +205,23 @@ def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, shard_grams: int = SHARD_GRAMS) -> tuple[QualityModel, DataFrame]:
     """Train on the trusted documents and return the model, which can score
-    ``docs``, and the limits: (lang, limit) on log perplexity."""
+    ``docs``, and the limits: (lang, median, limit) on log perplexity."""
     trusted = trusted_rows(docs.select("doc_id", "text", "lang"), labels)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("threshold")), F.lit(THRESHOLD_FOLD))
     counts = count_grams(trusted.where(fold != 0)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     asked = count_grams(docs).select("lang", "gram").distinct()
     model = QualityModel(land(probabilities(asked, levels(counts)), "gram-probabilities"), shard_grams)
     held, name = model.annotate(trusted.where(fold == 0), ["lang"])
-    x = F.col(f"{name}.log_perplexity")
-    limits = (held.groupBy(language(held).alias("lang")).agg(
-        F.percentile_approx(x, [0.5, QUANTILE], F.lit(10_000)).alias("_q"))
-        .select("lang", (F.col("_q")[1] + SLACK * (F.col("_q")[1] - F.col("_q")[0])).alias("limit")))
-    return model, land(limits.where(F.col("limit").isNotNull()), "quality-limits")
+    held = land(held.select(language(held).alias("lang"), f"{name}.*").where("n_grams > 0"), "held-perplexity")
+    middle = held.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, F.lit(10_000)).alias("median"))
+    limits = (held.join(middle, "lang").groupBy("lang", "median").agg(
+        F.percentile_approx(shrunk(F.col("log_perplexity"), F.col("n_grams"), F.col("median")), QUANTILE, F.lit(10_000)).alias("_q"))
+        .select("lang", "median", (F.col("_q") + SLACK * (F.col("_q") - F.col("median"))).alias("limit")))
+    return model, land(limits, "quality-limits")
+
+
+def shrunk(log_perplexity: Column, n: Column, median: Column) -> Column:
+    return (log_perplexity * n + SHRINK * median) / (n + SHRINK)
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
@@ -231,9 +238,10 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     """
     model, limits = fit(docs, labels, shard_grams)
     out, name = model.annotate(docs, keep if keep is None else [*keep, *({"lang"} - set(keep))])
-    flat = limits.select(F.col("lang").alias("_lang"), F.col("limit").alias("_limit"))
+    flat = limits.select(F.col("lang").alias("_lang"), F.col("median").alias("_median"), F.col("limit").alias("_limit"))
     joined = out.join(F.broadcast(flat) if flat.count() <= 10_000 else flat, language(out) == F.col("_lang"), "left")
-    verdict = F.struct(F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_grams"), F.col("_limit").alias("limit"),
-                       F.coalesce(F.col(f"{name}.log_perplexity") <= F.col("_limit"), F.lit(True)).alias("good"))
+    value, n = F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_grams")
+    good = F.coalesce(shrunk(value, n, F.col("_median")) <= F.col("_limit"), F.lit(True))
+    verdict = F.struct(value, n, F.col("_limit").alias("limit"), good.alias("good"))
     columns = docs.columns if keep is None else keep
     return joined.select(*columns, verdict.alias(name)), name

@@ -112,3 +112,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, name = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id", "lang"])
     return out.select("doc_id", "lang", F.exp(f"{name}.log_perplexity").alias("perplexity"),
                       F.exp(f"{name}.limit").alias("max_perplexity"), F.col(f"{name}.good").alias("keep"))
+
+
+@register("op8_near_duplicates")
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
