@@ -15,6 +15,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Texts of similarity 0.8 share a band with probability 0.99997.
 BANDS, ROWS = 20, 4
+#: Text pairs compared by one task.
+PAIRS_A_TASK = 2000
 #: Darts made for one region at a time.
 THROW = 8
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -214,7 +216,9 @@ def link_texts(rows: DataFrame, texts: DataFrame, size: int, least: float, count
         if tested is not None:
             pairs = pairs.join(tested, ["x", "y"], "left_anti")
         pairs = land(pairs, "pairs")
-        found = land(similar(pairs.select("a", "b"), texts, size, least, counted), "links")
+        tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
+        spread = pairs.repartition(tasks, "a", "b").sortWithinPartitions("b")  # few bytes, but much work
+        found = land(similar(spread.select("a", "b"), texts, size, least, counted), "links")
         links = found if links is None else links.union(found)
         tested = pairs.select("x", "y") if tested is None else tested.union(pairs.select("x", "y"))
         known = components(links)
