@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 #: Text pairs compared by one task.
 PAIRS_A_TASK = 2000
+#: Coordinates of a sketch, and members of a block, in the comparison inside buckets.
+SKETCH, BLOCK = 512, 1024
 #: Darts made for one region at a time.
 THROW = 8
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -131,39 +133,98 @@ def band_hashes(docs: DataFrame, bands: int, rows: int, size: int, counted: bool
     return docs.select("doc_id", node(docs), text_column(docs)).mapInArrow(run, fields)
 
 
-def similar(pairs: DataFrame, texts: DataFrame, size: int, least: float, counted: bool) -> DataFrame:
-    """Those of the pairs (a, b) whose exact similarity reaches ``least``."""
+def text_sets(texts: DataFrame, size: int, counted: bool) -> DataFrame:
+    """(node, n, shingles, counts, sketch): each text's sorted distinct shingles,
+    their counts if they weigh, its total weight, and a sketch of one byte for
+    each of ``SKETCH`` dart coordinates."""
 
     def run(batches):
         hasher = WordHasher()
+        for batch in batches:
+            raw, offsets = utf8_buffers(batch.column(1))
+            cols = ([], [], [], [])
+            for i, j in row_slices(offsets):
+                words, word_rows, _, _ = hasher(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                s, off, n = distinct_shingles(*shingle_hashes(words, word_rows, size))
+                n = n if counted else np.ones(len(s), np.int64)
+                sketch = (dart_signatures(s, n.astype(float), off, SKETCH) >> np.uint64(7)).astype(np.uint8)
+                for k in range(j - i):
+                    part = slice(off[k], off[k + 1])
+                    for c, v in zip(cols, (int(n[part].sum()), s[part].tobytes(),
+                                           n[part].astype(np.uint32).tobytes() if counted else b"", sketch[k].tobytes())):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()),
+                                              *(pa.array(c, pa.binary()) for c in cols[1:])],
+                                             names=["node", "n", "shingles", "counts", "sketch"])
+
+    return texts.mapInArrow(run, "node long, n long, shingles binary, counts binary, sketch binary")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (a, b) whose exact similarity reaches ``least``."""
 
-        def shingles(text: str):
-            raw = np.frombuffer(text.encode(), np.uint8)
-            words, word_rows, _, _ = hasher(raw, np.array([0, len(raw)]))
-            s, _, n = distinct_shingles(*shingle_hashes(words, word_rows, size))
-            return s, n if counted else np.ones(len(s), np.int64)
+    def weight(shared: np.ndarray, own: np.ndarray, counts: bytes) -> np.ndarray:
+        return np.frombuffer(counts, np.uint32)[np.searchsorted(own, shared)].astype(np.int64)
 
-        last = None, None
+    def run(batches):
         for batch in batches:
+            a, b, n_a, n_b, set_a, set_b, many_a, many_b = (c.to_pylist() for c in batch.columns)
             out = []
-            left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for k in range(batch.num_rows):
-                if last[0] != right[k]:
-                    last = right[k], shingles(batch.column(3)[k].as_py())
-                s, n = shingles(batch.column(2)[k].as_py())
-                t, m = last[1]
-                _, x, y = np.intersect1d(s, t, assume_unique=True, return_indices=True)
-                both = int(np.minimum(n[x], m[y]).sum())
-                every = int(n.sum() + m.sum()) - both
-                if both >= least * every:
-                    out.append((left[k], right[k], both / every))
+                x, y = np.frombuffer(set_a[k], np.uint64), np.frombuffer(set_b[k], np.uint64)
+                both = np.concatenate([x, y])
+                both.sort()
+                shared = both[1:][both[1:] == both[:-1]]
+                common = len(shared)
+                if many_a[k]:
+                    common = int(np.minimum(weight(shared, x, many_a[k]), weight(shared, y, many_b[k])).sum())
+                whole = n_a[k] + n_b[k] - common
+                if common >= least * whole:
+                    out.append((a[k], b[k], common / whole))
             cols = list(zip(*out)) if out else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                                               pa.array(cols[2], pa.float64())], names=["a", "b", "similarity"])
 
-    one = pairs.join(texts.withColumnRenamed("node", "a").withColumnRenamed("text", "text_a"), "a")
-    both = one.join(texts.withColumnRenamed("node", "b").withColumnRenamed("text", "text_b"), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
+    spread = pairs.repartition(tasks, "a", "b")  # few bytes, but much work
+    left, right = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"set_{x}"),
+                               F.col("counts").alias(f"many_{x}")) for x in "ab")
+    both = spread.join(left, "a").join(right, "b")
+    return both.select("a", "b", "n_a", "n_b", "set_a", "set_b", "many_a", "many_b").mapInArrow(
+        run, "a long, b long, similarity double")
+
+
+def alike_in_blocks(active: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of one bucket, but two components, whose sketches agree
+    enough: a pair of similarity ``least`` falls below with probability 3e-6.
+
+    All pairs of a bucket are looked at inside tasks, never written: members
+    are dealt to blocks of about ``BLOCK`` and each pair of blocks is a group.
+    """
+    cut = SKETCH * least - 4.5 * np.sqrt(SKETCH * least * (1 - least))
+
+    def compare(key, found):
+        low, high = key[1].as_py(), key[2].as_py()
+        node, component, n, block = (found.column(c).to_numpy() for c in ("node", "component", "n", "block"))
+        sketch = np.frombuffer(b"".join(found.column("sketch").to_pylist()), np.uint8).reshape(len(node), SKETCH)
+        rows, cols = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        out = []
+        for i in rows:
+            with_ = cols[(component[cols] != component[i]) & (np.minimum(n[cols], n[i]) >= least * np.maximum(n[cols], n[i]))]
+            if low == high:
+                with_ = with_[node[with_] > node[i]]
+            near = with_[np.count_nonzero(sketch[with_] == sketch[i], axis=1) >= cut]
+            out += [(min(node[i], x), max(node[i], x)) for x in node[near]]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    blocks = active.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = (active.join(blocks, "bucket").join(sets.select("node", "n", "sketch"), "node")
+             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
+    return (dealt.select("bucket", "low", "high", "node", "component", "n", "block", "sketch")
+            .groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -185,45 +246,30 @@ def components(links: DataFrame) -> DataFrame:
         state = tuple(r)
 
 
-def link_texts(rows: DataFrame, texts: DataFrame, size: int, least: float, counted: bool) -> DataFrame | None:
+def link_texts(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame | None:
     """Links (a, b) between texts that share a band, enough to connect all that
     are alike. ``rows`` are (bucket, node) of buckets with several texts.
 
-    In each round every bucket that still holds unconnected texts promotes its
-    most popular ones (those that share most buckets) and compares them with
-    its other texts of other components, so a group of like texts costs one
-    comparison a text. Promoted texts are compared with all and leave; the
-    number promoted grows eightfold a round, until no bucket holds two
-    components: no pair that shares a band is passed over.
+    First every bucket compares its texts with its most popular one (that which
+    shares most buckets), so a group of like texts costs one comparison a text.
+    Buckets that then still hold several components compare the texts of
+    different components, so no pair that shares a band is passed over.
     """
-    popular = rows.join(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket").groupBy("node").agg(
-        F.sum("size").alias("popular"))
-    rest = land(rows.join(popular, "node"), "bucket-members")
-    links, known, tested, width = None, None, None, 1
-    while True:
-        now = rest if known is None else rest.join(known, "node", "left")
-        now = now.withColumn("component", F.coalesce(F.col("component"), F.col("node")) if known is not None else F.col("node"))
-        several = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-        active = land(now.join(several, "bucket", "left_semi").select("bucket", "node", "popular", "component"), "active")
-        if not active.head(1):
-            return links
-        order = Window.partitionBy("bucket").orderBy(F.desc("popular"), "node")
-        top = active.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= width).drop("_n")
-        hubs = top.select("bucket", F.col("node").alias("hub"), F.col("component").alias("_hub"))
-        met = active.join(hubs, "bucket").where("component <> _hub")
-        pairs = met.select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y"), "hub").groupBy("x", "y").agg(
-            F.max("hub").alias("b")).select(F.when(F.col("b") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("a"), "b", "x", "y")
-        if tested is not None:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
-        pairs = land(pairs, "pairs")
-        tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
-        spread = pairs.repartition(tasks, "a", "b").sortWithinPartitions("b")  # few bytes, but much work
-        found = land(similar(spread.select("a", "b"), texts, size, least, counted), "links")
-        links = found if links is None else links.union(found)
-        tested = pairs.select("x", "y") if tested is None else tested.union(pairs.select("x", "y"))
-        known = components(links)
-        rest = land(active.join(top.select("bucket", "node"), ["bucket", "node"], "left_anti").drop("component"), "rest")
-        width *= 8
+    if not rows.head(1):
+        return None
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    popular = rows.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("popular"))
+    hubs = (rows.join(popular, "node").groupBy("bucket")
+            .agg(F.max(F.struct("popular", F.negative("node").alias("node"), F.col("node").alias("hub")))["hub"].alias("b")))
+    star = land(rows.join(hubs, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "pairs")
+    links = land(similar(star, sets, least), "links")
+    known = components(links)
+    now = rows.join(known, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    several = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")
+                                        ).where("x < y and n > 2").select("bucket")
+    active = land(now.join(several, "bucket", "left_semi"), "active")
+    pairs = land(alike_in_blocks(active, sets, least), "pairs")
+    return links.union(land(similar(pairs, sets, least), "links"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS,
@@ -258,7 +304,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, least: float = SIMILAR
     if repeated.head(1):  # rows that repeat both text and doc_id
         twice = texts.join(repeated, "node", "left_semi").dropDuplicates(["node"])
         texts = land(texts.join(repeated, "node", "left_anti").unionByName(twice), "texts")
-    links = link_texts(members, texts, size, least, counted)
+    links = link_texts(members, land(text_sets(texts, size, counted), "text-sets"), least)
     if links is not None:
         hashed = hashed.join(components(links), "node", "left")
     else:
