@@ -118,3 +118,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crowdscope.llm.minhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@register("op3_hnsw_neighbours")
+def op3_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.hnsw import nearest_neighbours
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
