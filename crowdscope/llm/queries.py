@@ -124,3 +124,26 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crowdscope.llm.hnsw import nearest_neighbours
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@register("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.langid import fit, identify
+    docs = table(spark, sf_dir, "documents")
+    out, name = identify(docs, fit(docs, ~held_out(4, 2) & F.col("doc_id").isNotNull()), ["doc_id"])
+    return out.select("doc_id", held_out(4, 2).alias("held_out"), f"{name}.lang_pred", f"{name}.score")
+
+
+@register("op5_licences")
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.licences import fit, scan
+    docs = table(spark, sf_dir, "documents")
+    out, name = scan(docs, fit(docs), ["doc_id"])
+    return out.select("doc_id", f"{name}.n_paragraphs", F.size(f"{name}.notices").cast("long").alias("n_notices"),
+                      F.array_join(f"{name}.families", ",").alias("families"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
