@@ -14,93 +14,46 @@ from pyspark.sql import types as T
 
 from crowdscope.llm.common import gapless_rank, land, text_column
 
-#: Entries of a worker's word cache, about 100 MB.
-CACHE_ENTRIES = 600_000
+#: Split pattern of byte-level BPE tokenizers (a fixed value).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Text on which both libraries must agree before a task starts.
+PROBE = "It's 12.5 % of  naïve\n\n text,\twith <|endoftext|> and \u6587\u5b57!!"
 
 
-class WordTokenizer:
-    """Token ids (little-endian unsigned 32-bit) of whole texts.
+class ByteTokenizer:
+    """Token ids (little-endian unsigned 32-bit) of whole texts, by a byte-level
+    BPE file of the tokenizers library.
 
-    The tokenizer splits a text before every single blank that stands between
-    non-blank characters, so a text's ids are those of its blank-led words.
-    Words come from a cache that a Python worker keeps between tasks; new ones
-    are encoded many at a time, divided by line feeds. A text with white space
-    beside a blank is encoded whole.
+    The file's vocabulary is run by tiktoken, whose ids are the same at three
+    to four times the speed; each task first compares the two on a probe. A
+    special token's string in a text is ordinary text. The loaded tokenizer
+    stays in the Python worker for later tasks.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        kept = sys.modules.setdefault("_word_tokens", types.ModuleType("_word_tokens"))
-        self.cache = kept.__dict__.setdefault(path, {})
-        self.feed = self.encode(["\n"])[0].tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def fill(self, words: list[str]) -> dict[str, bytes]:
-        plain = [w for w in words if "\n" not in w]
-        made = {}
-        feed = np.frombuffer(self.feed, "<u4")[0] if len(self.feed) == 4 else None
-        if feed is None:
-            return {w: i.tobytes() for w, i in zip(words, self.encode(words))}
-        groups = [plain[i:i + 400] for i in range(0, len(plain), 400)]
-        for group, ids in zip(groups, self.encode(["\n".join(g) for g in groups])):
-            cuts = np.flatnonzero(ids == feed)
-            if len(cuts) == len(group) - 1:
-                made.update(zip(group, (p.tobytes() for p in self.parts(ids, cuts))))
-            else:
-                made.update((w, i.tobytes()) for w, i in zip(group, self.encode(group)))
-        rest = [w for w in words if "\n" in w]
-        made.update((w, i.tobytes()) for w, i in zip(rest, self.encode(rest)))
-        return made
-
-    @staticmethod
-    def parts(ids: np.ndarray, cuts: np.ndarray):
-        at = 0
-        for c in cuts:
-            yield ids[at:c]
-            at = c + 1
-        yield ids[at:]
+        kept = sys.modules.setdefault("_byte_tokenizers", types.ModuleType("_byte_tokenizers")).__dict__
+        if path not in kept:
+            kept[path] = self.load(path)
+        self.model = kept[path]
 
     @staticmethod
-    def simple(text: str) -> bool:
-        """Each blank stands between two characters that are no white space."""
-        if not text.isascii():
-            parts = text.split(" ")
-            return not any(p == "" or p[0].isspace() or p[-1].isspace() for p in parts)
-        return not (text[0] == " " or text[-1] == " " or any(p in text for p in BESIDE_BLANK))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if t and not self.simple(t)]
-        for i, ids in zip(whole, self.encode([texts[i] for i in whole])):
-            out[i] = ids.tobytes()
-        skip = set(whole)
-        split = {}
-        for i, t in enumerate(texts):
-            if t and i not in skip:
-                first, *rest = t.split(" ")
-                split[i] = first, rest
-        known, extra = self.cache, {}
-        new = {f for f, _ in split.values() if f not in known}
-        lead = {r for _, rest in split.values() for r in rest} if split else set()
-        new |= {w for w in (" " + r for r in lead) if w not in known}
-        if new:
-            made = self.fill(list(new))
-            if len(known) + len(made) <= CACHE_ENTRIES:
-                known.update(made)
-            else:
-                extra = made
-        led = {r: known.get(" " + r) or extra.get(" " + r, b"") for r in lead}
-        for i, (first, rest) in split.items():
-            out[i] = (known.get(first) or extra.get(first, b"")) + b"".join([led[r] for r in rest])
-        return out
-
-
-#: White space beside a blank, in ASCII texts.
-BESIDE_BLANK = ["  ", *(p for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f" for p in (c + " ", " " + c))]
+    def load(path: str):
+        import tiktoken
+        from tokenizers import Tokenizer
+        whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = True
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that a vocabulary writes as themselves
+        rest = [b for b in range(256) if b not in plain]
+        byte_of = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
+        special = {t.content for t in whole.get_added_tokens_decoder().values()}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in whole.get_vocab().items() if token not in special}
+        model = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        if model.encode_ordinary(PROBE) != whole.encode(PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{path} is no byte-level BPE file with the usual split pattern")
+        return model
+
+    def __call__(self, text: str) -> bytes:
+        return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
 
 
 def cut_points(n: int, capacity: int) -> list[int]:
@@ -122,14 +75,14 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0,
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        tokens = WordTokenizer(path)
+        tokens = ByteTokenizer(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 rows, cols = [], ([], [], [], [], [])
-                for i, data in enumerate(tokens(texts)):
-                    data += end
+                for i, text in enumerate(texts):
+                    data = tokens(text) + end
                     n = len(data) // 4
                     starts = cut_points(n, capacity)
                     for k, a in enumerate(starts):
