@@ -15,6 +15,8 @@ from crowdscope.llm.common import annotate, land, row_slices, text_column, utf8_
 ORDER = 5
 #: N-grams of one scoring table: 48 MB as sorted codes and logarithms.
 SHARD_GRAMS = 4_000_000
+#: Most trusted ids that are broadcast (8 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Trusted documents of one in so many only set thresholds, so that these are not met by text the model has seen.
 THRESHOLD_FOLD = 4
 #: A language's limit on log perplexity: the quantile, and the spread above the median once more by this factor.
@@ -99,16 +101,26 @@ def levels(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 def probabilities(asked: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(lang, gram, log probability of the gram's last byte) of each n-gram
-    asked for, by joins with the count tables from order 1 up."""
-    out = asked.withColumn("p", F.lit(1.0 / 256))
-    for order, (known, contexts) in enumerate(tables, 1):
-        mask = F.lit((1 << (8 * order)) - 1)
-        out = out.withColumn("_gram", F.col("gram").bitwiseAND(mask)).withColumn("_context", F.shiftright("_gram", 8))
+    asked for, by joins with the count tables from order 1 up. Each order
+    answers only for the distinct endings that the order above asks for."""
+    wanted = [asked]
+    for order in range(ORDER - 1, 0, -1):
+        ending = F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1)).alias("gram")
+        wanted.append(land(wanted[-1].select("lang", ending).distinct(), f"asked-{order}"))
+    below = None
+    for order, ((known, contexts), grams) in enumerate(zip(tables, wanted[::-1]), 1):
+        out = grams.join(known, ["lang", "gram"], "left").withColumn("_context", F.shiftright("gram", 8))
         out = out.join(contexts.withColumnRenamed("context", "_context"), ["lang", "_context"], "left")
-        out = out.join(known.withColumnRenamed("gram", "_gram"), ["lang", "_gram"], "left")
+        if below is None:
+            out = out.withColumn("p", F.lit(1.0 / 256))
+        else:
+            ending = F.col("gram").bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1))
+            out = out.withColumn("_ending", ending).join(below.select("lang", F.col("gram").alias("_ending"), "p"), ["lang", "_ending"])
         mixed = (F.coalesce("kept", F.lit(0.0)) + F.col("left") * F.col("p")) / F.col("total")
-        out = out.select("lang", "gram", F.when(F.col("total").isNull(), F.col("p")).otherwise(mixed).alias("p"))
-    return out.select("lang", "gram", F.log("p").cast("float").alias("logp"))
+        below = out.select("lang", "gram", F.when(F.col("total").isNull(), F.col("p")).otherwise(mixed).alias("p"))
+        if order < ORDER:
+            below = land(below, f"chances-{order}")
+    return below.select("lang", "gram", F.log("p").cast("float").alias("logp"))
 
 
 class GramTable:
@@ -200,6 +212,8 @@ class QualityModel:
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents labelled as good quality (of conflicting labels the higher holds)."""
     good = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("_q")).where("_q = 1").drop("_q")
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     return docs.join(good, "doc_id", "left_semi")
 
 
@@ -209,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, shard_grams: int = SHARD_GRAMS) -> t
     trusted = trusted_rows(docs.select("doc_id", "text", "lang"), labels)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("threshold")), F.lit(THRESHOLD_FOLD))
     counts = count_grams(trusted.where(fold != 0)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    asked = count_grams(docs).select("lang", "gram").distinct()
+    asked = land(count_grams(docs).select("lang", "gram").distinct(), "asked")
     model = QualityModel(land(probabilities(asked, levels(counts)), "gram-probabilities"), shard_grams)
     held, name = model.annotate(trusted.where(fold == 0), ["lang"])
     held = land(held.select(language(held).alias("lang"), f"{name}.*").where("n_grams > 0"), "held-perplexity")
