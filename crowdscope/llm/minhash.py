@@ -160,28 +160,28 @@ def text_sets(texts: DataFrame, size: int, counted: bool) -> DataFrame:
     return texts.mapInArrow(run, "node long, n long, shingles binary, counts binary, sketch binary")
 
 
+def similarity(n_x: int, n_y: int, set_x: bytes, set_y: bytes, many_x: bytes, many_y: bytes) -> float:
+    """Weighted Jaccard similarity of two texts of :func:`text_sets`."""
+    x, y = np.frombuffer(set_x, np.uint64), np.frombuffer(set_y, np.uint64)
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = both[1:][both[1:] == both[:-1]]
+    common = len(shared)
+    if many_x:
+        common = int(np.minimum(np.frombuffer(many_x, np.uint32)[np.searchsorted(x, shared)],
+                                np.frombuffer(many_y, np.uint32)[np.searchsorted(y, shared)]).sum())
+    whole = n_x + n_y - common
+    return common / whole if whole else 0.0
+
+
 def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Those of the pairs (a, b) whose exact similarity reaches ``least``."""
 
-    def weight(shared: np.ndarray, own: np.ndarray, counts: bytes) -> np.ndarray:
-        return np.frombuffer(counts, np.uint32)[np.searchsorted(own, shared)].astype(np.int64)
-
     def run(batches):
         for batch in batches:
-            a, b, n_a, n_b, set_a, set_b, many_a, many_b = (c.to_pylist() for c in batch.columns)
-            out = []
-            for k in range(batch.num_rows):
-                x, y = np.frombuffer(set_a[k], np.uint64), np.frombuffer(set_b[k], np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = both[1:][both[1:] == both[:-1]]
-                common = len(shared)
-                if many_a[k]:
-                    common = int(np.minimum(weight(shared, x, many_a[k]), weight(shared, y, many_b[k])).sum())
-                whole = n_a[k] + n_b[k] - common
-                if common >= least * whole:
-                    out.append((a[k], b[k], common / whole))
-            cols = list(zip(*out)) if out else ([], [], [])
+            a, b, *rest = (c.to_pylist() for c in batch.columns)
+            found = [(x, y, similarity(*own)) for x, y, *own in zip(a, b, *rest)]
+            cols = list(zip(*((x, y, s) for x, y, s in found if s >= least))) or ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                                               pa.array(cols[2], pa.float64())], names=["a", "b", "similarity"])
 
@@ -195,11 +195,12 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def alike_in_blocks(active: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one bucket, but two components, whose sketches agree
-    enough: a pair of similarity ``least`` falls below with probability 3e-6.
+    """Links (a, b) between texts of one bucket, but two components.
 
     All pairs of a bucket are looked at inside tasks, never written: members
     are dealt to blocks of about ``BLOCK`` and each pair of blocks is a group.
+    Sketches choose the pairs for the exact check; a pair of similarity
+    ``least`` fails that choice with probability 3e-6.
     """
     cut = SKETCH * least - 4.5 * np.sqrt(SKETCH * least * (1 - least))
 
@@ -207,6 +208,7 @@ def alike_in_blocks(active: DataFrame, sets: DataFrame, least: float) -> DataFra
         low, high = key[1].as_py(), key[2].as_py()
         node, component, n, block = (found.column(c).to_numpy() for c in ("node", "component", "n", "block"))
         sketch = np.frombuffer(b"".join(found.column("sketch").to_pylist()), np.uint8).reshape(len(node), SKETCH)
+        sets_of, counts = found.column("shingles").to_pylist(), found.column("counts").to_pylist()
         rows, cols = np.flatnonzero(block == low), np.flatnonzero(block == high)
         out = []
         for i in rows:
@@ -214,16 +216,17 @@ def alike_in_blocks(active: DataFrame, sets: DataFrame, least: float) -> DataFra
             if low == high:
                 with_ = with_[node[with_] > node[i]]
             near = with_[np.count_nonzero(sketch[with_] == sketch[i], axis=1) >= cut]
-            out += [(min(node[i], x), max(node[i], x)) for x in node[near]]
+            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in near
+                    if similarity(n[i], n[j], sets_of[i], sets_of[j], counts[i], counts[j]) >= least]
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     blocks = active.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = (active.join(blocks, "bucket").join(sets.select("node", "n", "sketch"), "node")
+    dealt = (active.join(blocks, "bucket").join(sets, "node")
              .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
-    return (dealt.select("bucket", "low", "high", "node", "component", "n", "block", "sketch")
+    return (dealt.select("bucket", "low", "high", "node", "component", "n", "block", "sketch", "shingles", "counts")
             .groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long").distinct())
 
 
@@ -268,8 +271,7 @@ def link_texts(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame | No
     several = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")
                                         ).where("x < y and n > 2").select("bucket")
     active = land(now.join(several, "bucket", "left_semi"), "active")
-    pairs = land(alike_in_blocks(active, sets, least), "pairs")
-    return links.union(land(similar(pairs, sets, least), "links"))
+    return links.select("a", "b").union(land(alike_in_blocks(active, sets, least), "links"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS,
