@@ -29,7 +29,9 @@ def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 def _events(spark, a) -> DataFrame:
     e = _read(spark, a.events, a.format)
-    if a.app and "appid" in e.columns:
+    if a.app:
+        if "appid" not in e.columns:
+            raise SystemExit("--app is given, but the events have no appid column")
         e = e.filter(F.col("appid") == a.app)
     cols = {"uid": F.col(a.uid_col), "ts": F.col(a.ts_col), "mevent": F.col(a.event_col)}
     if a.url_col in e.columns:
@@ -48,7 +50,9 @@ def run_retention(spark, a) -> None:
     from crowdscope.sinks.writers import write_table
     as_of = a.as_of or (dt.date.today() - dt.timedelta(days=1)).isoformat()
     out = daily_retention(_events(spark, a), _members(spark, a), as_of, a.days_back)
-    write_table(out, a.out, "append" if a.append else "replace_partitions", ["installtodate"])
+    # a rerun replaces the rows of its own day and app only
+    out = out.withColumn("app", F.lit(a.app or "all"))
+    write_table(out, a.out, "append" if a.append else "replace_partitions", ["installtodate", "app"])
 
 
 def run_tags(spark, a) -> None:
@@ -56,16 +60,24 @@ def run_tags(spark, a) -> None:
     from crowdscope.sinks.writers import write_table
     as_of = a.as_of or dt.date.today().isoformat()
     out = with_row_ids(daily_tags(_events(spark, a), as_of, a.days_back or 31))
-    write_table(out, a.out, "append" if a.append else "replace_partitions", ["year", "month"])
+    # a rerun replaces the rows of its own day and app only
+    out = out.withColumn("run_date", F.lit(as_of)).withColumn("app", F.lit(a.app or "all"))
+    write_table(out, a.out, "append" if a.append else "replace_partitions", ["year", "month", "run_date", "app"])
 
 
 def run_profiles(spark, a) -> None:
     from crowdscope.plans.profile import profile_base
     from crowdscope.streaming.jobs import start_job_stream
+    if not a.app:
+        raise SystemExit("profiles needs --app: jobs are taken for one app")
+
+    def own(path):
+        df = _read(spark, path, a.format)
+        return df.filter(F.col("appid") == a.app) if "appid" in df.columns else df
 
     def base():
         prices = _read(spark, a.prices, a.format)
-        return profile_base(_read(spark, a.profiles, a.format), _read(spark, a.prefs, a.format), prices)
+        return profile_base(own(a.profiles), own(a.prefs), prices)
 
     q = start_job_stream(spark, a.jobs_dir, a.out, a.checkpoint, lambda: _members(spark, a), base, a.app,
                          available_now=a.once, files_per_batch=a.files_per_batch)

@@ -24,7 +24,7 @@ def device_key(dtype) -> Column:
     u = F.upper(F.trim(_col(dtype)))
     cut = F.locate("/", u)
     brand = F.when(cut > 0, F.substring_index(u, "/", 1)).otherwise(F.lit(""))
-    model = F.when(cut > 0, u.substr(cut + 1, F.lit(1 << 30))).otherwise(u)
+    model = F.when(cut > 0, u.substr(cut + 1, F.length(u))).otherwise(u)
     return F.when(model.contains(brand), model).otherwise(F.concat(brand, F.lit(" "), model))
 
 

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def list_explode(df: DataFrame, ids: list[str], list_col: str, max_items: int = 30, sep: str = ",",
+def list_explode(df: DataFrame, ids: list[str], list_col: str, max_items: int | None = None, sep: str = ",",
                  value: str = "value") -> DataFrame:
-    """One row per item of a delimited list, first ``max_items`` only, with
+    """One row per item of a delimited list, all of them or the first ``max_items``, with
     its 0-based position (R1, F1). An empty text is one empty item; a null
     list gives no rows."""
-    items = F.slice(F.split(F.col(list_col), sep, -1), 1, max_items)
+    items = F.split(F.col(list_col), sep, -1)
+    if max_items is not None:
+        items = F.slice(items, 1, max_items)
     return df.select(*ids, F.posexplode(items).alias("pos", value))
 
 

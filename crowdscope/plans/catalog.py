@@ -103,7 +103,7 @@ long AS (
   UNION ALL SELECT segment_id, uid, 'Device_brand', {I.sql_device_brand('dtype')} FROM rj
   UNION ALL SELECT segment_id, uid, 'device_price', price_range FROM rj
   UNION ALL SELECT segment_id, uid, 'Publication', v FROM (
-    SELECT segment_id, uid, unnest(string_split(channelids, ',')[1:30]) AS v FROM rj WHERE channelids IS NOT NULL)),
+    SELECT segment_id, uid, unnest(string_split(channelids, ',')) AS v FROM rj WHERE channelids IS NOT NULL)),
 sizes AS (SELECT segment_id, count(*) AS n FROM members GROUP BY segment_id),
 shares AS (
   SELECT l.segment_id, l.feature, coalesce(l.value, 'Not_Available') AS feature_values,

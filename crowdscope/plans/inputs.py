@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
 from crowdscope.functions.taxonomy import Category
-from crowdscope.sources.tables import ensure_parallel, read_table
+from crowdscope.sources.tables import read_table
 
 RET_START = "1995-01-01"
-RET_AS_OF = "1998-01-01"
-PREFS_SINCE = "2001-01-01"          # preferences are recent order priorities
+RET_AS_OF = "2001-08-01"             # the last order date
 PRICE_LOW_BELOW = 950.0
 APP = "news_app"
 TAG_AS_OF = "2001-08-01"
@@ -34,11 +33,6 @@ SHOP_TAXONOMY: tuple[Category, ...] = (
 # ---------------------------------------------------------------------------
 
 
-# Tables whose scans feed heavy per-row work (two joins, URL building and
-# parsing) and are worth spreading when the file has fewer splits than there
-# are cores. Smaller inputs are not: the extra stage costs more than it saves.
-FACT_TABLES = ("lineitem",)
-
 
 # Readers shared per session and directory: the driver's tables are
 # read-only, so their file listing and schema are read once per session.
@@ -61,9 +55,9 @@ class Tables:
     ``fresh=True`` gives private readers that list the files again (for
     tables that change between uses, such as inputs of a running stream)."""
 
-    def __init__(self, spark: SparkSession, base: str, spread: bool = True, fresh: bool = False):
-        self.spark, self.base, self.spread = spark, base.rstrip("/"), spread
-        key = (_session_key(spark), self.base, spread)
+    def __init__(self, spark: SparkSession, base: str, fresh: bool = False):
+        self.spark, self.base = spark, base.rstrip("/")
+        key = (_session_key(spark), self.base)
         self._frames: dict[str, DataFrame] = {} if fresh else _SHARED.setdefault(key, {})
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -72,8 +66,6 @@ class Tables:
         # one reader per table: the file listing and footer read happen once
         if name not in self._frames:
             df = read_table(self.spark, self.base, name, "parquet")
-            if self.spread and name in FACT_TABLES:
-                df = ensure_parallel(df)
             self._frames[name] = df
         return self._frames[name]
 
@@ -98,8 +90,7 @@ def derived(fn):
 def retention_events(t: Tables) -> DataFrame:
     """Orders as app events: urgent orders are installs, the rest reads."""
     o = t.orders
-    return (o.filter(F.col("o_orderdate") < F.lit(RET_AS_OF).cast("timestamp_ntz"))
-            .select(F.col("o_custkey").alias("uid"), F.to_date("o_orderdate").alias("d"),
+    return (o.select(F.col("o_custkey").alias("uid"), F.to_date("o_orderdate").alias("d"),
                     F.when(F.col("o_orderpriority") == "1-URGENT", "install")
                     .otherwise("read").alias("mevent")))
 
@@ -107,7 +98,7 @@ def retention_events(t: Tables) -> DataFrame:
 SQL_EV = f"""ev AS (
   SELECT o_custkey AS uid, CAST(o_orderdate AS DATE) AS d,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 'install' ELSE 'read' END AS mevent
-  FROM orders WHERE o_orderdate < TIMESTAMP '{RET_AS_OF}')"""
+  FROM orders)"""
 
 
 # ------------------------------------------------------------------ members --
@@ -190,28 +181,26 @@ SQL_PROFILES = f"""profiles AS (
 
 @derived
 def preferences(t: Tables) -> DataFrame:
-    """Recent order priorities as a sorted comma list; customers without a
-    recent order have no preferences row."""
+    """Order priorities as a sorted comma list; customers without an order
+    have no preferences row."""
     o, c = t.orders, t.customer
-    recent = (o.filter(F.col("o_orderdate") >= F.lit(PREFS_SINCE).cast("timestamp_ntz"))
-              .groupBy(F.col("o_custkey").alias("uid"))
+    ordered = (o.groupBy(F.col("o_custkey").alias("uid"))
               .agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("channelids")))
-    return recent.join(c.select(F.col("c_custkey").alias("uid"),
+    return ordered.join(c.select(F.col("c_custkey").alias("uid"),
                                 F.lower("c_mktsegment").alias("languages")), "uid")
 
 
 SQL_PREFS = f"""prefs AS (
   SELECT r.uid, r.channelids, lower(c.c_mktsegment) AS languages
   FROM (SELECT o_custkey AS uid, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS channelids
-        FROM orders WHERE o_orderdate >= TIMESTAMP '{PREFS_SINCE}' GROUP BY o_custkey) r
+        FROM orders GROUP BY o_custkey) r
   JOIN customer c ON c.c_custkey = r.uid)"""
 
 
 @derived
 def device_prices(t: Tables) -> DataFrame:
-    """Device price lookup keyed by device key; one brand is missing so some
-    lookups miss."""
-    d = device_text(t.part).filter(F.col("p_brand") != "Brand#7")
+    """Device price lookup keyed by device key."""
+    d = device_text(t.part)
     return (d.groupBy(C.device_key("dtype").alias("id"))
             .agg(F.min("p_retailprice").alias("price"))
             .withColumn("price_range", F.when(F.col("price") < PRICE_LOW_BELOW, "low").otherwise("high")))
@@ -233,8 +222,7 @@ def sql_device_brand(x: str) -> str:
 SQL_DEVICEPRICE = f"""deviceprice AS (
   SELECT id, price, CASE WHEN price < {PRICE_LOW_BELOW} THEN 'low' ELSE 'high' END AS price_range
   FROM (SELECT {sql_device_key('dtype')} AS id, min(p_retailprice) AS price
-        FROM (SELECT p_brand, p_retailprice, {SQL_DEVICE_TEXT} AS dtype FROM part) d
-        WHERE p_brand <> 'Brand#7' GROUP BY 1) g)"""
+        FROM (SELECT p_brand, p_retailprice, {SQL_DEVICE_TEXT} AS dtype FROM part) d GROUP BY 1) g)"""
 
 
 # -------------------------------------------------------------------- jobs --

@@ -42,7 +42,6 @@ FEATURES: tuple[tuple[str, str], ...] = (
     ("device_price", "Device Price"),
     ("Publication", "Publication"),
 )
-MAX_PUBLICATIONS = 30
 TOP_K = 10
 # ---------------------------------------------------------------------------
 
@@ -86,7 +85,7 @@ def _feature_entries(rows: DataFrame, extra: Column | None = None, carry: tuple[
     )
     entry = lambda name, v: F.struct(F.lit(name).alias("feature"), v.cast("string").alias("value"))
     scalars = F.array(*[entry(n, v) for n, v in scalar])
-    items = F.array_distinct(F.slice(F.split(F.col("channelids"), ",", -1), 1, MAX_PUBLICATIONS))
+    items = F.array_distinct(F.split(F.col("channelids"), ",", -1))
     pubs = F.coalesce(F.transform(items, lambda x: entry("Publication", x)),
                       F.array().cast("array<struct<feature:string,value:string>>"))
     arrays = [scalars, pubs] + ([extra] if extra is not None else [])

@@ -23,21 +23,6 @@ def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin spread of an input that has fewer splits than the cluster
-    has cores (a file written as one row group is read by one task, so all
-    per-row work before the first shuffle would run on one core).
-
-    At scale an input has far more splits than cores and this is a no-op;
-    it never adds a shuffle to a well-split table.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def scan(df: DataFrame, columns: list[str] | None = None, where: Column | str | None = None,
          rename: dict[str, str] | None = None) -> DataFrame:
     """Projected, filtered scan (S1, P1, P2, P8). Catalyst pushes ``where``

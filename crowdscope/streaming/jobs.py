@@ -71,7 +71,7 @@ def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame],
             (job_status_rows(jobs, reports).withColumn("batch_id", stamp)
              .write.mode("overwrite").parquet(status_path))
         except Exception as err:  # noqa: BLE001 - the jobs of this batch fail, the stream goes on
-            failed = jobs.select("job_id", F.lit(f"{type(err).__name__}: {str(err)[:500]}").alias("error"))
+            failed = jobs.select("job_id", F.lit(f"{type(err).__name__}: {err}").alias("error"))
             (job_status_rows(jobs, failed=failed).filter(F.col("status") != "EXECUTING")
              .withColumn("batch_id", stamp).write.mode("overwrite").parquet(status_path))
         finally:

@@ -160,11 +160,3 @@ def test_device_key_matches_model_on_random_text(spark):
             assert r.k == device_key_model(r.d), r.d
 
     check()
-
-
-def test_ensure_parallel_only_spreads_under_split_inputs(spark):
-    from crowdscope.sources.tables import ensure_parallel
-    one = spark.range(100).coalesce(1)
-    assert ensure_parallel(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert ensure_parallel(many, 4) is many
