@@ -324,3 +324,17 @@ def test_pipeline_stages_on_small_tables(spark):
     out = corpus_pipeline.run(spark, sf)
     left = out.select("doc_id").distinct().count()
     assert 0 < left < spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("name", ["op1_warc_history", "op10_decontaminate"])
+def test_query_matches_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+    con = duckdb.connect()
+    for t in ("pages", "documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    got = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    want = con.sql(entry.oracle_sql()[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(repr, map(tuple, got.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
