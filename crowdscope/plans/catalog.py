@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from crowdscope.plans import inputs as I
 from crowdscope.plans import retention as R
 from crowdscope.plans.inputs import Tables, with_ctes
+from crowdscope.plans.profile import FEATURES
 from crowdscope.registry import ORACLE, register
 
 # ------------------------------------------------------------------ retention
@@ -89,19 +90,20 @@ SQL_PBASE = f"""pbase AS (
 
 _BASE_CTES = (I.SQL_PROFILES, I.SQL_PREFS, I.SQL_DEVICEPRICE, SQL_PBASE)
 
-SQL_LONG = f"""rj AS (
+#: SQL of the computed features; the others are columns of the same name.
+_FEATURE_SQL = {"install_day": "dayname(try_strptime(idate, '%d-%m-%Y'))",
+                "Device_brand": I.sql_device_brand("dtype"), "device_price": "price_range"}
+
+
+def _sql_long(base: str = "pbase") -> str:
+    scalars = " UNION ALL ".join(
+        f"SELECT segment_id, uid, '{fid}' AS feature, {_FEATURE_SQL.get(fid, fid)} AS value FROM rj"
+        for fid, _ in FEATURES if fid != "Publication")
+    return f"""rj AS (
   SELECT r.segment_id, pb.* FROM (SELECT DISTINCT segment_id, uid AS member_uid FROM members) r
-  LEFT JOIN pbase pb ON r.member_uid = pb.uid),
+  LEFT JOIN {base} pb ON r.member_uid = pb.uid),
 long AS (
-  SELECT segment_id, uid, 'asource' AS feature, asource AS value FROM rj
-  UNION ALL SELECT segment_id, uid, 'aversion', aversion FROM rj
-  UNION ALL SELECT segment_id, uid, 'localecity', localecity FROM rj
-  UNION ALL SELECT segment_id, uid, 'osversion', osversion FROM rj
-  UNION ALL SELECT segment_id, uid, 'scresolution', scresolution FROM rj
-  UNION ALL SELECT segment_id, uid, 'install_day', dayname(try_strptime(idate, '%d-%m-%Y')) FROM rj
-  UNION ALL SELECT segment_id, uid, 'languages', languages FROM rj
-  UNION ALL SELECT segment_id, uid, 'Device_brand', {I.sql_device_brand('dtype')} FROM rj
-  UNION ALL SELECT segment_id, uid, 'device_price', price_range FROM rj
+  {scalars}
   UNION ALL SELECT segment_id, uid, 'Publication', v FROM (
     SELECT segment_id, uid, unnest(string_split(channelids, ',')) AS v FROM rj WHERE channelids IS NOT NULL)),
 sizes AS (SELECT segment_id, count(*) AS n FROM members GROUP BY segment_id),
@@ -115,6 +117,9 @@ top AS (
                                     ORDER BY perc_users DESC, feature_values) AS INTEGER) AS rank
   FROM shares)"""
 
+
+SQL_LONG = _sql_long()
+
 SQL_SUBMITTED = f"sjobs AS (SELECT * FROM jobs WHERE job_status = 'SUBMITTED' AND app = '{I.APP}')"
 
 
@@ -238,8 +243,7 @@ def q_conditional_sum(spark, sf):
 @register("sql_conditional_sum", with_ctes(I.SQL_APP_EVENTS, body=_SQL_COND))
 def q_sql_conditional_sum(spark, sf):
     I.app_events(_t(spark, sf)).createOrReplaceTempView("app_events")
-    return spark.sql("select uid, sum(case when mevent = 'read' then 1 else 0 end) as read "
-                     "from app_events group by uid")
+    return spark.sql("SELECT uid, count_if(mevent = 'read') AS read FROM app_events GROUP BY uid")
 
 
 @register("distinct_rows", "SELECT DISTINCT user_id, event_type FROM events")
@@ -394,11 +398,11 @@ def q_list_item_at(spark, sf):
 
 @register("list_explode", with_ctes(I.SQL_PREFS, body=(
     "SELECT uid, CAST(i - 1 AS INTEGER) AS pos, l[i] AS value FROM ("
-    "  SELECT uid, l, unnest(generate_series(1, least(len(l), 30))) AS i FROM ("
+    "  SELECT uid, l, unnest(generate_series(1, len(l))) AS i FROM ("
     "    SELECT uid, string_split(channelids, ',') AS l FROM prefs WHERE channelids IS NOT NULL))")))
 def q_list_explode(spark, sf):
     from crowdscope.operators.reshape import list_explode
-    return list_explode(I.preferences(_t(spark, sf)), ["uid"], "channelids", 30)
+    return list_explode(I.preferences(_t(spark, sf)), ["uid"], "channelids")
 
 
 # ----------------------------------------------------------------- segments --
@@ -436,11 +440,26 @@ def q_feature_shares(spark, sf):
     return P.feature_shares(I.members(t), _base(t))
 
 
+_SQL_TWICE = """pbase2 AS (SELECT * FROM pbase
+  UNION ALL SELECT * REPLACE (upper(languages) AS languages) FROM pbase)"""
+
+
+@register("feature_shares_repeated_uid", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, _SQL_TWICE, _sql_long("pbase2"),
+                                                   body="SELECT * FROM shares"))
+def q_feature_shares_repeated_uid(spark, sf):
+    """A base in which every uid has two rows (a second language): shares
+    still count distinct users."""
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    base = _base(t)
+    return P.feature_shares(I.members(t), base.unionByName(base.withColumn("languages", F.upper("languages"))))
+
+
 @register("top_features", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, body="SELECT * FROM top WHERE rank <= 10"))
 def q_top_features(spark, sf):
     from crowdscope.plans import profile as P
     t = _t(spark, sf)
-    return P.top_features(P.feature_shares(I.members(t), _base(t)))
+    return P.top_features(*P.counted(I.members(t), _base(t)))
 
 
 @register("segment_compare", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, I.SQL_JOBS, SQL_SUBMITTED, body=(
@@ -452,14 +471,14 @@ def q_top_features(spark, sf):
 def q_segment_compare(spark, sf):
     from crowdscope.plans import profile as P
     t = _t(spark, sf)
-    return P.segment_compare(_jobs(t), P.feature_shares(I.members(t), _base(t)))
+    return P.segment_compare(_jobs(t), *P.counted(I.members(t), _base(t)))
 
 
 @register("profile_json")
 def q_profile_json(spark, sf):
     from crowdscope.plans import profile as P
     t = _t(spark, sf)
-    return P.profile_json(P.feature_shares(I.members(t), _base(t)))
+    return P.profile_json(*P.counted(I.members(t), _base(t)))
 
 
 @register("profile_json_entries", with_ctes(I.SQL_MEMBERS, *_BASE_CTES, SQL_LONG, body=(
@@ -468,7 +487,7 @@ def q_profile_json_entries(spark, sf):
     """The per-feature JSON objects parsed back into rows (K7 checked)."""
     from crowdscope.plans import profile as P
     t = _t(spark, sf)
-    js = P.profile_json(P.feature_shares(I.members(t), _base(t)))
+    js = P.profile_json(*P.counted(I.members(t), _base(t)))
     return js.select("segment_id", "feature", F.explode(F.from_json("data", "map<string, double>"))
                      .alias("feature_values", "share"))
 
@@ -707,7 +726,6 @@ def q_csv_source_options(spark, sf):
 
 
 def _run_job_stream(spark, sf):
-    from crowdscope.plans import profile as P  # noqa: F401
     from crowdscope.session import scratch_path
     from crowdscope.streaming.jobs import start_job_stream
     t = _t(spark, sf)
@@ -740,8 +758,8 @@ def q_stream_job_profiles(spark, sf):
 
 
 def _sql_status_log() -> str:
-    from crowdscope.sinks.writers import PROGRESS_POINTS
-    steps = ", ".join(f"('EXECUTING', {p})" for p in (0,) + PROGRESS_POINTS) + ", ('SUCCESS', 100)"
+    from crowdscope.streaming.jobs import REPORTED
+    steps = f"('EXECUTING', 0), ('EXECUTING', {REPORTED}), ('SUCCESS', 100)"
     return with_ctes(I.SQL_MEMBERS, I.SQL_JOBS, SQL_SUBMITTED,
                      f"steps AS (SELECT * FROM (VALUES {steps}) s(status, completion_pct))",
                      body="SELECT j.job_id, s.status, s.completion_pct FROM sjobs j CROSS JOIN steps s")
@@ -749,11 +767,8 @@ def _sql_status_log() -> str:
 
 @register("job_status_log", _sql_status_log())
 def q_job_status_log(spark, sf):
-    """Status events of every submitted job (the JSON payloads carry
-    wall-clock times and are checked in unit tests)."""
-    from crowdscope.plans import profile as P
-    from crowdscope.sinks.writers import job_status_rows
-    t = _t(spark, sf)
-    jobs = _jobs(t)
-    return job_status_rows(jobs, P.jobs_profiles(jobs, I.members(t), _base(t))).select(
-        "job_id", "status", "completion_pct")
+    """Status events that the job stream wrote for every submitted job, each
+    when its step was done (the JSON payloads carry wall-clock times and are
+    checked in unit tests)."""
+    from crowdscope.streaming.jobs import read_status
+    return read_status(spark, _run_job_stream(spark, sf)).select("job_id", "status", "completion_pct")

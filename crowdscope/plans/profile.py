@@ -4,22 +4,17 @@ JSON report (C2-C5).
 All segments and all jobs are rows, so one plan profiles any number of them.
 
 Plan shape for the shares (one pass over the members x profile join):
-  * members are de-duplicated per ``(segment_id, uid)`` with their copy
-    count (partial aggregate first, so repeated ids collapse before the
-    shuffle); the member table is read once;
-  * one ``inline`` generator emits ``(feature, value)`` for the nine scalar
-    features and the first 30 publications, instead of a ten-way union that
-    would re-read the joined table per branch;
+  * each profile row becomes its ``(uid, feature, value)`` entries through one
+    ``inline`` generator, and repeated entries collapse (partial aggregate
+    first), so a uid that repeats in the base counts once per value;
+  * members are distinct per segment (partial aggregate first, so a repeated
+    id collapses before the shuffle) and join the entries on ``uid``;
   * one ``groupBy(segment_id, feature, value)`` with a map-side partial
     count; a value holding a third of all users is just a bigger partial
     count, never a bigger task;
-  * the per-segment totals come out of the same aggregate (a pseudo-feature
-    weighted by copies) and reach the other rows through a window over the
-    small aggregated result; the top-k window then needs no new shuffle.
-
-The profile base is keyed by ``uid`` (one row per user), so after member
-de-duplication ``count(uid)`` equals the distinct-user count; publication
-items are de-duplicated per user for the same reason.
+  * the top values are ranked on the user counts, before the segment sizes
+    are joined, so the per-group limit runs on both sides of its exchange;
+    segment sizes are a small aggregate of the members alone.
 """
 
 from __future__ import annotations
@@ -71,33 +66,21 @@ def segment_left_join(members: DataFrame, base: DataFrame) -> DataFrame:
     return m.join(base, m.member_uid == base.uid, "left").drop("member_uid")
 
 
-def _feature_entries(rows: DataFrame, extra: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
-    scalar = (
-        ("asource", F.col("asource")),
-        ("aversion", F.col("aversion")),
-        ("localecity", F.col("localecity")),
-        ("osversion", F.col("osversion")),
-        ("scresolution", F.col("scresolution")),
-        ("install_day", C.install_weekday("idate")),
-        ("languages", F.col("languages")),
-        ("Device_brand", C.device_brand("dtype")),
-        ("device_price", F.col("price_range")),
-    )
-    entry = lambda name, v: F.struct(F.lit(name).alias("feature"), v.cast("string").alias("value"))
-    scalars = F.array(*[entry(n, v) for n, v in scalar])
-    items = F.array_distinct(F.split(F.col("channelids"), ",", -1))
-    pubs = F.coalesce(F.transform(items, lambda x: entry("Publication", x)),
-                      F.array().cast("array<struct<feature:string,value:string>>"))
-    arrays = [scalars, pubs] + ([extra] if extra is not None else [])
-    return rows.select("segment_id", "uid", *carry, F.inline(F.concat(*arrays)))
+#: Features computed from the base; the others are columns of the same name.
+_COMPUTED = {"install_day": lambda: C.install_weekday("idate"), "Device_brand": lambda: C.device_brand("dtype"),
+             "device_price": lambda: F.col("price_range")}
+_SCALARS = tuple(fid for fid, _ in FEATURES if fid != "Publication")
 
 
-def member_copies(members: DataFrame) -> DataFrame:
-    """Distinct ``(segment_id, uid)`` with the number of times each was
-    listed. Partial aggregate first, so a hot repeated id collapses
-    map-side; the raw member table is read once for both the distinct users
-    and the segment sizes."""
-    return members.groupBy("segment_id", "uid").agg(F.count(F.lit(1)).alias("copies"))
+def feature_entries(base: DataFrame) -> DataFrame:
+    """Distinct ``(uid, feature, value)`` of the base: the nine scalar
+    features, null as ``Not_Available``, and every listed publication (R3)."""
+    entry = lambda name, v: F.struct(F.lit(name).alias("feature"),
+                                     F.coalesce(v.cast("string"), F.lit(C.NOT_AVAILABLE)).alias("value"))
+    scalars = F.array(*[entry(n, _COMPUTED[n]() if n in _COMPUTED else F.col(n)) for n in _SCALARS])
+    pubs = F.coalesce(F.transform(F.split(F.col("channelids"), ",", -1), lambda x: entry("Publication", x)),
+                      F.array().cast("array<struct<feature:string,value:string>>"))
+    return base.filter(F.col("uid").isNotNull()).select("uid", F.inline(F.concat(scalars, pubs))).distinct()
 
 
 def segment_sizes(members: DataFrame) -> DataFrame:
@@ -105,53 +88,56 @@ def segment_sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("segment_id").agg(F.count(F.lit(1)).alias("members"))
 
 
-_SIZE_KEY = "\u0000segment_size"     # pseudo-feature carrying member copies; never a real feature name
+def feature_counts(members: DataFrame, base: DataFrame) -> DataFrame:
+    """``(segment_id, feature, feature_values, users)``: distinct matched
+    users per value (A5, P15). Members without a profile have null features,
+    so their segment gets a ``Not_Available`` row for each scalar feature,
+    with 0 users when nobody else is in that group."""
+    ids = members.select("segment_id", F.col("uid").alias("member_uid")).distinct()
+    entries = feature_entries(base)
+    found = (ids.join(entries, ids.member_uid == entries.uid, "left")
+             .groupBy("segment_id", "feature", "value").agg(F.count("uid").alias("users")))
+    names = F.when(F.col("feature").isNull(), F.array(*[F.lit(n) for n in _SCALARS])).otherwise(F.array("feature"))
+    return (found.select("segment_id", F.explode(names).alias("feature"),
+                         F.coalesce("value", F.lit(C.NOT_AVAILABLE)).alias("feature_values"), "users")
+            .groupBy("segment_id", "feature", "feature_values").agg(F.sum("users").alias("users")))
+
+
+def counted(members: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """User counts per value and segment sizes: the input of the reports."""
+    return feature_counts(members, base), segment_sizes(members)
+
+
+def with_shares(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Counts over their segment's member rows (A16). The sizes are one row
+    per segment; no broadcast is forced."""
+    extra = [c for c in counts.columns if c not in ("segment_id", "feature", "feature_values", "users")]
+    return (counts.join(sizes, "segment_id")
+            .select("segment_id", "feature", "feature_values",
+                    (F.col("users") / F.col("members")).alias("perc_users"), *extra))
 
 
 def feature_shares(members: DataFrame, base: DataFrame) -> DataFrame:
     """``(segment_id, feature, feature_values, perc_users)`` for every value
-    of the ten features (C3, R3, A5, A16, P15).
-
-    The share is distinct matched users over the segment's member rows.
-    Null values are filled with ``Not_Available`` before counting, so a null
-    and a literal ``Not_Available`` form one group.
-
-    One pass over the member table: each distinct member row also emits a
-    pseudo-feature entry weighted by how often it was listed, so the same
-    aggregate yields both the per-value user counts and the segment sizes.
-    The size reaches the other rows of its segment through a window over the
-    aggregated rows (a segment's rows are its distinct feature values, not
-    its users, so even the largest segment is a small window partition).
-    Two branches joined back would not share work: Catalyst prunes each
-    branch's aggregate differently, so the member join would run twice.
-    """
-    copies = member_copies(members).withColumnRenamed("uid", "member_uid")
-    rows = copies.join(base, copies.member_uid == base.uid, "left")
-    size_entry = F.array(F.struct(F.lit(_SIZE_KEY).alias("feature"), F.lit(None).cast("string").alias("value")))
-    entries = _feature_entries(rows, extra=size_entry, carry=("copies",))
-    agg = (entries.withColumn("value", F.coalesce("value", F.lit(C.NOT_AVAILABLE)))
-           .groupBy("segment_id", "feature", "value")
-           .agg(F.count("uid").alias("users"), F.sum("copies").alias("listed")))
-    size = F.max(F.when(F.col("feature") == _SIZE_KEY, F.col("listed"))).over(Window.partitionBy("segment_id"))
-    return (agg.withColumn("members", size)
-            .filter(F.col("feature") != _SIZE_KEY)
-            .select("segment_id", "feature", F.col("value").alias("feature_values"),
-                    (F.col("users") / F.col("members")).alias("perc_users")))
-
-
-def top_features(shares: DataFrame, k: int = TOP_K) -> DataFrame:
+    of the ten features (C3): distinct matched users over the segment's
+    member rows."""
+    return with_shares(*counted(members, base))
+
+
+def top_features(counts: DataFrame, sizes: DataFrame, k: int = TOP_K) -> DataFrame:
     """Top ``k`` values per segment and feature by share, ties broken by
-    value (W1, L1). Written as ``row_number() <= k`` so Spark inserts a
-    partial per-group limit before the shuffle."""
-    w = Window.partitionBy("segment_id", "feature").orderBy(F.desc("perc_users"), F.asc("feature_values"))
-    return (shares.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k))
+    value (W1, L1). Within a segment the share orders as the user count does,
+    so the rank needs the counts only and Spark puts a partial per-group
+    limit before the shuffle."""
+    w = Window.partitionBy("segment_id", "feature").orderBy(F.desc("users"), F.asc("feature_values"))
+    best = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return with_shares(best, sizes)
 
 
-def segment_compare(jobs: DataFrame, shares: DataFrame, k: int = TOP_K) -> DataFrame:
+def segment_compare(jobs: DataFrame, counts: DataFrame, sizes: DataFrame, k: int = TOP_K) -> DataFrame:
     """For each job, the base segment's top values with the comparison
     segment's share of the same value, 0 when it has none (C4, J7, P16)."""
-    return _compare(jobs, top_features(shares, k), shares)
+    return _compare(jobs, top_features(counts, sizes, k), with_shares(counts, sizes))
 
 
 def _compare(jobs: DataFrame, top: DataFrame, shares: DataFrame) -> DataFrame:
@@ -170,11 +156,11 @@ def _value_map(value: str, share: str) -> Column:
     return F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(value), F.col(share)))))
 
 
-def profile_json(shares: DataFrame, k: int = TOP_K) -> DataFrame:
+def profile_json(counts: DataFrame, sizes: DataFrame, k: int = TOP_K) -> DataFrame:
     """``(segment_id, feature, data)``: the top values of a feature as one
     JSON object with sorted keys (K7, F19). Each group holds at most ``k``
     entries."""
-    top = top_features(shares, k)
+    top = top_features(counts, sizes, k)
     return (top.groupBy("segment_id", "feature")
             .agg(F.to_json(_value_map("feature_values", "perc_users")).alias("data")))
 
@@ -184,15 +170,15 @@ def _feature_list() -> Column:
                      for i, (fid, name) in enumerate(FEATURES)])
 
 
-def profile_report(jobs: DataFrame, shares: DataFrame, k: int = TOP_K) -> DataFrame:
+def profile_report(jobs: DataFrame, counts: DataFrame, sizes: DataFrame, k: int = TOP_K) -> DataFrame:
     """One row per job: ``job_id, segment_id, segment_compare, result,
     result_compare``; each result is a JSON array of ten
     ``{id, name, display: "bar", data: {value: share}}`` objects, ``data``
     being ``{}`` for a feature without rows (C5, F20)."""
-    top = top_features(shares, k)
+    top = top_features(counts, sizes, k)
     base_maps = (top.groupBy("segment_id", "feature")
                  .agg(_value_map("feature_values", "perc_users").alias("data")))
-    cmp = _compare(jobs, top, shares)
+    cmp = _compare(jobs, top, with_shares(counts, sizes))
     cmp_maps = (cmp.groupBy("job_id", "feature")
                 .agg(_value_map("feature_values", "perc_users_compare").alias("data_compare")))
     slots = (jobs.select("job_id", "segment_id", "segment_compare", F.inline(_feature_list()))
@@ -234,4 +220,4 @@ def jobs_profiles(jobs: DataFrame, members: DataFrame, base: DataFrame, k: int =
     wanted = (jobs.select(F.col("segment_id")).unionByName(jobs.select(F.col("segment_compare").alias("segment_id")))
               .distinct())
     m = members.join(wanted, "segment_id", "left_semi")
-    return profile_report(jobs, feature_shares(m, base), k)
+    return profile_report(jobs, *counted(m, base), k)

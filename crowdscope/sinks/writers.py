@@ -16,6 +16,13 @@ def key_bucket(cols: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int")
 
 
+def clustered(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows grouped by ``cols`` for the writer, so that each task writes few
+    directories. AQE splits a partition above the advisory size over several
+    tasks and merges small ones, so a hot directory is written in parallel."""
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None,
                 bucket_keys: list[str] | None = None, buckets: int = 64, fmt: str = "parquet",
                 columns: list[str] | None = None) -> None:
@@ -35,9 +42,7 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
     if dynamic and not parts:
         raise ValueError("replace_partitions needs partition columns")
     if parts:
-        # one writer per output directory per task: cluster rows by the
-        # partition columns first so each task writes few files
-        df = df.repartition(*[F.col(p) for p in parts])
+        df = clustered(df, parts)
     w = df.write.mode("overwrite" if dynamic else mode).format(fmt)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -83,32 +88,35 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], version_col: st
     """Incremental keyed upsert into a table stored at ``path``, partitioned
     by a hash bucket of ``keys`` (K4 at scale).
 
-    Only the buckets the updates touch are read and rewritten: the stored
-    rows are semi-joined with the touched bucket ids (dynamic partition
-    pruning skips the other bucket directories), merged with the updates by
-    :func:`latest_by_key`, written to ``staging`` in the shared folder, then
-    swapped in with dynamic partition overwrite. Work is proportional to the
-    touched buckets, not to the table. The first call creates the table.
+    The updates are landed first; the bucket ids they touch (at most
+    ``buckets`` numbers) then prune the stored table by a plain partition
+    filter, whatever the updates were read from. The merged buckets are
+    written to ``staging`` in the shared folder, swapped in with dynamic
+    partition overwrite, and the staged copy is removed. The first call
+    creates the table.
+
+    One writer at a time. A reader that lists the table during the swap can
+    see some buckets before and some after the update.
     """
-    from crowdscope.session import scratch_path
+    from crowdscope.session import path_exists, remove_path, scratch_path
     spark = updates.sparkSession
     new = updates.withColumn("key_bucket", key_bucket(keys, buckets))
     order = [F.desc(version_col)] + list(tiebreak or [])
-    try:
-        stored = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        stored = None
-    if stored is None:
+    if not path_exists(spark, path):
         merged = latest_by_key(new, keys, order)
-        merged.repartition("key_bucket").write.mode("errorifexists").partitionBy("key_bucket").parquet(path)
+        clustered(merged, ["key_bucket"]).write.mode("errorifexists").partitionBy("key_bucket").parquet(path)
         return
-    touched = new.select("key_bucket").distinct()
-    current = stored.join(touched, "key_bucket", "left_semi")
-    merged = latest_by_key(current.unionByName(new, allowMissingColumns=True), keys, order)
     stage = staging or scratch_path(spark, "upsert-stage")
-    merged.repartition("key_bucket").write.mode("errorifexists").partitionBy("key_bucket").parquet(stage)
-    (spark.read.parquet(stage).repartition("key_bucket").write.mode("overwrite")
+    landed, swapped = f"{stage}/updates", f"{stage}/merged"
+    latest_by_key(new, keys, order).write.mode("errorifexists").parquet(landed)
+    new = spark.read.parquet(landed)
+    touched = [r.key_bucket for r in new.select("key_bucket").distinct().collect()]
+    current = spark.read.parquet(path).filter(F.col("key_bucket").isin(touched))
+    merged = latest_by_key(current.unionByName(new, allowMissingColumns=True), keys, order)
+    merged.write.mode("errorifexists").parquet(swapped)
+    (clustered(spark.read.parquet(swapped), ["key_bucket"]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path))
+    remove_path(spark, stage)
 
 
 # --- Fixed values: job progress points (percent) ---------------------------
@@ -116,14 +124,14 @@ PROGRESS_POINTS = (20, 40, 60, 80)
 # ---------------------------------------------------------------------------
 
 
-def job_status_rows(jobs: DataFrame, reports: DataFrame | None = None, failed: DataFrame | None = None) -> DataFrame:
-    """Status events per job (K8): ``EXECUTING`` at 0 and at each progress
-    point, then ``SUCCESS`` at 100 with the report as ``payload`` (a JSON
+def job_status_rows(jobs: DataFrame, reports: DataFrame | None = None, failed: DataFrame | None = None,
+                    points: tuple[int, ...] = (0,) + PROGRESS_POINTS) -> DataFrame:
+    """Status events per job (K8): ``EXECUTING`` at each of ``points`` (percent), then ``SUCCESS`` at 100 with the report as ``payload`` (a JSON
     document whose ``response.result`` fields hold the report arrays as JSON
     strings). ``failed`` jobs (``job_id``, ``error``) get a ``FAILED`` row.
     """
     now_ms = F.unix_millis(F.current_timestamp())
-    steps = F.array(*[F.lit(p) for p in (0,) + PROGRESS_POINTS])
+    steps = F.array(*[F.lit(p) for p in points])
     running = jobs.select("job_id", F.explode(steps).alias("completion_pct")).select(
         "job_id", F.lit("EXECUTING").alias("status"), "completion_pct", now_ms.alias("event_ms"),
         F.to_json(F.struct(F.col("job_id").alias("id"), F.lit("EXECUTING").alias("status"),

@@ -2,17 +2,19 @@
 
 Job requests arrive as JSON text files in a directory. Each micro-batch:
   * parses and keeps submitted jobs for the app (S8, S9);
-  * drops a job id already seen within the watermark
-    (``dropDuplicatesWithinWatermark``), so a re-delivered request does no
-    work twice; the state lives in the checkpoint;
+  * leaves out jobs that already have a ``SUCCESS`` status, so a re-delivered
+    request does no work twice, while a late, undated or formerly failed one
+    is served whenever it comes (nothing is dropped by event time);
+  * writes the ``EXECUTING`` rows of its jobs before their work begins;
   * profiles **all** jobs of the batch in one plan (only the segments the
-    jobs name are read), then writes the reports and the status events.
+    jobs name are read), then writes the reports and the final status rows.
 
-A batch whose profile run fails records a ``FAILED`` status row for each of
-its jobs (with the error text) and the stream continues with later batches.
+A request without a segment gets a ``FAILED`` row; its neighbours go on. Any
+other error (an unreadable table, a lost store) fails the micro-batch, and the
+checkpoint repeats it when the stream starts again: no request is lost to it.
 
 Writes are idempotent per micro-batch: each batch writes its own
-``batch=<id>`` folder with ``overwrite``, so a batch re-run after a failure
+``batch=<id>`` folders with ``overwrite``, so a batch re-run after a failure
 replaces its own output instead of duplicating it. Readers take the latest
 row per ``job_id`` (:func:`crowdscope.sinks.writers.latest_by_key`).
 
@@ -29,82 +31,71 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdscope.plans import profile as P
-from crowdscope.sinks.writers import job_status_rows, latest_by_key
+from crowdscope.session import path_exists
+from crowdscope.sinks.writers import PROGRESS_POINTS, job_status_rows, latest_by_key
 from crowdscope.sources.payloads import job_requests, submitted_jobs
 
+#: Progress of a job whose report is written.
+REPORTED = PROGRESS_POINTS[-1]
 
-def job_request_stream(spark: SparkSession, jobs_dir: str, app: str, watermark: str = "1 day",
-                       files_per_batch: int | None = None) -> DataFrame:
+
+def job_request_stream(spark: SparkSession, jobs_dir: str, app: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.load(jobs_dir).withColumnRenamed("value", "payload")
-    jobs = submitted_jobs(job_requests(raw), app)
-    return jobs.withWatermark("requested_at", watermark).dropDuplicatesWithinWatermark(["job_id"])
+    return submitted_jobs(job_requests(raw), app)
 
 
 def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame], base: Callable[[], DataFrame],
                          out_dir: str, k: int = P.TOP_K):
-    """``foreachBatch`` function: profile every job of the batch at once.
+    """``foreachBatch`` function: profile every open job of the batch at once.
 
-    The batch's job requests are first written as a small table under
+    The batch's open requests are first written as a small table under
     ``out_dir`` and read back through the main session. That cuts the
-    streaming lineage (the profile plan never re-runs the stateful
-    de-duplication), gets the profile plan AQE (micro-batch plans run with it
-    off), and makes a retried batch rewrite the same folder.
+    streaming lineage, gets the profile plan AQE (micro-batch plans run with
+    it off), and makes a retried batch rewrite the same folder.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         req_path = f"{out_dir}/requests/batch={batch_id}"
-        (batch.select("job_id", "segment_id", "segment_compare", "requested_at")
-         .write.mode("overwrite").parquet(req_path))
+        asked = batch.select("job_id", "segment_id", "segment_compare", "requested_at").dropDuplicates(["job_id"])
+        if path_exists(spark, f"{out_dir}/status"):
+            earlier = batch.sparkSession.read.parquet(f"{out_dir}/status")
+            done = earlier.filter((F.col("status") == "SUCCESS") & (F.col("batch_id") != batch_id)).select("job_id")
+            asked = asked.join(done, "job_id", "left_anti")
+        asked.write.mode("overwrite").parquet(req_path)
         jobs = spark.read.parquet(req_path)
-        if jobs.isEmpty():        # watermark-only or fully de-duplicated batch
+        if jobs.isEmpty():        # all of them finished before
             return
-        stamp = F.lit(batch_id).cast("long")
-        status_path = f"{out_dir}/status/batch={batch_id}"
-        reports = None
-        try:
-            m = members()          # members first, then the profile base
-            reports = P.jobs_profiles(jobs, m, base(), k).persist()
-            (reports.withColumn("batch_id", stamp)
-             .write.mode("overwrite").parquet(f"{out_dir}/reports/batch={batch_id}"))
-            (job_status_rows(jobs, reports).withColumn("batch_id", stamp)
-             .write.mode("overwrite").parquet(status_path))
-        except Exception as err:  # noqa: BLE001 - the jobs of this batch fail, the stream goes on
-            failed = jobs.select("job_id", F.lit(f"{type(err).__name__}: {err}").alias("error"))
-            (job_status_rows(jobs, failed=failed).filter(F.col("status") != "EXECUTING")
-             .withColumn("batch_id", stamp).write.mode("overwrite").parquet(status_path))
-        finally:
-            if reports is not None:
-                reports.unpersist()
+
+        def status(rows: DataFrame, step: str) -> None:
+            (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").parquet(f"{out_dir}/status/batch={batch_id}/step={step}"))
+
+        status(job_status_rows(jobs, points=(0,)), "accepted")
+        whole = F.col("segment_id").isNotNull() & F.col("segment_compare").isNotNull()
+        good, bad = jobs.filter(whole), jobs.filter(~whole)
+        m = members()             # members first, then the profile base
+        report_path = f"{out_dir}/reports/batch={batch_id}"
+        (P.jobs_profiles(good, m, base(), k).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").parquet(report_path))
+        failed = bad.select("job_id", F.lit("the request names no segment").alias("error"))
+        status(job_status_rows(good, spark.read.parquet(report_path), failed, points=(REPORTED,)), "finished")
     return run
 
 
 def start_job_stream(spark: SparkSession, jobs_dir: str, out_dir: str, checkpoint: str,
                      members: Callable[[], DataFrame], base: Callable[[], DataFrame], app: str,
                      available_now: bool = False, files_per_batch: int | None = None,
-                     watermark: str = "1 day", poll: str = "30 seconds",
-                     state_partitions: int = 4) -> StreamingQuery:
+                     poll: str = "30 seconds") -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and
-    stops (tests, scheduled runs); otherwise it polls every ``poll``.
-
-    ``state_partitions`` sizes the de-duplication state to the request
-    volume (a job queue, not the data): streaming plans run without AQE
-    coalescing, and the count is fixed in the checkpoint at the first start,
-    so taking the cluster's shuffle-partition count would commit hundreds of
-    near-empty state-store tasks in every micro-batch. The profile work in
-    each batch runs in the main session with its own settings."""
-    stream = job_request_stream(spark, jobs_dir, app, watermark, files_per_batch)
+    stops (tests, scheduled runs); otherwise it polls every ``poll``. The
+    stream itself is stateless: what is finished stands in the status table."""
+    stream = job_request_stream(spark, jobs_dir, app, files_per_batch)
     writer = (stream.writeStream.foreachBatch(profile_batch_writer(spark, members, base, out_dir))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, previous)
+    return writer.start()
 
 
 def read_reports(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -114,4 +105,4 @@ def read_reports(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def read_status(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/status").drop("batch")
+    return spark.read.parquet(f"{out_dir}/status").drop("batch", "step")

@@ -51,7 +51,7 @@ def test_shares_denominator_duplicates_unmatched_nulls(spark):
 def test_top_k_ties_broken_by_value(spark):
     base = _base(spark, [dict(uid=f"u{i}", localecity=f"c{i:02d}") for i in range(12)])
     members = _members(spark, [("s", f"u{i}") for i in range(12)])
-    top = P.top_features(P.feature_shares(members, base)).filter("feature = 'localecity'")
+    top = P.top_features(*P.counted(members, base)).filter("feature = 'localecity'")
     vals = [r.feature_values for r in top.orderBy("rank").collect()]
     assert vals == [f"c{i:02d}" for i in range(10)]
 
@@ -60,7 +60,7 @@ def test_compare_fills_zero_and_keeps_base_top(spark):
     base = _base(spark, [dict(uid="a", asource="x"), dict(uid="b", asource="y"), dict(uid="c", asource="x")])
     members = _members(spark, [("s", "a"), ("s", "b"), ("t", "c")])
     jobs = spark.createDataFrame([(1, "s", "t")], "job_id int, segment_id string, segment_compare string")
-    cmp = P.segment_compare(jobs, P.feature_shares(members, base)).filter("feature = 'asource'")
+    cmp = P.segment_compare(jobs, *P.counted(members, base)).filter("feature = 'asource'")
     got = {r.feature_values: (r.perc_users, r.perc_users_compare) for r in cmp.collect()}
     assert got == {"x": (0.5, 1.0), "y": (0.5, 0.0)}
 
@@ -82,10 +82,10 @@ def test_report_empty_feature_and_value_named_feature(spark):
 def test_profile_json_reparses_to_top_features(spark):
     t = I.Tables(spark, SF01)
     base = P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
-    shares = P.feature_shares(I.members(t), base)
-    top = {(r.segment_id, r.feature, r.feature_values): r.perc_users for r in P.top_features(shares).collect()}
+    shares = P.counted(I.members(t), base)
+    top = {(r.segment_id, r.feature, r.feature_values): r.perc_users for r in P.top_features(*shares).collect()}
     again = {}
-    for r in P.profile_json(shares).collect():
+    for r in P.profile_json(*shares).collect():
         for k, v in json.loads(r.data).items():
             again[(r.segment_id, r.feature, k)] = v
     assert again.keys() == top.keys()
@@ -104,5 +104,15 @@ def test_single_valued_feature_shares_sum_to_at_most_one(spark):
 def test_duplicated_map_key_clash_is_merged(spark):
     base = _base(spark, [dict(uid="a", osversion=None), dict(uid="b", osversion="Not_Available")])
     members = _members(spark, [("s", "a"), ("s", "b")])
-    rows = P.profile_json(P.feature_shares(members, base)).filter("feature = 'osversion'").collect()
+    rows = P.profile_json(*P.counted(members, base)).filter("feature = 'osversion'").collect()
     assert json.loads(rows[0].data) == {"Not_Available": 1.0}
+
+
+def test_repeated_uid_counts_once_and_member_without_profile_counts_in_the_size(spark):
+    base = _base(spark, [dict(uid="u1", asource="x", languages="en"), dict(uid="u1", asource="x", languages="de"),
+                         dict(uid="u2", asource="y", languages="en")])
+    members = _members(spark, [("s", "u1"), ("s", "u2"), ("s", "nobody"), ("s", "nobody")])
+    sh = {(r.feature, r.feature_values): r.perc_users for r in P.feature_shares(members, base).collect()}
+    assert sh[("asource", "x")] == 0.25 and sh[("asource", "y")] == 0.25
+    assert sh[("languages", "en")] == 0.5 and sh[("languages", "de")] == 0.25
+    assert sh[("asource", "Not_Available")] == 0.0

@@ -138,3 +138,17 @@ def test_upsert_table_rewrites_only_touched_buckets(spark):
     table = spark.read.parquet(path)
     assert table.count() == e.select("user_id").distinct().count()
     assert table.filter("user_id = 3").first().value == 42.0
+
+
+def test_large_directory_is_written_by_several_tasks(spark):
+    path = scratch_path(spark, "hot-day")
+    df = spark.range(400_000, numPartitions=8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"),
+                                                     F.lit("2024-01-01").alias("day"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1m")
+    try:
+        write_table(df, path, "errorifexists", ["day"])
+    finally:
+        spark.conf.unset(key)
+    names = [f for f in os.listdir(os.path.join(local_path(path), "day=2024-01-01")) if f.startswith("part-")]
+    assert len(names) > 1 and spark.read.parquet(path).count() == 400_000

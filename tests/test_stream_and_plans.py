@@ -1,6 +1,8 @@
 import json
 import re
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from crowdscope.operators.aggregates import daily_user_activity
@@ -46,20 +48,41 @@ def test_stream_runs_twice_on_one_checkpoint(spark):
     assert status.filter("status = 'SUCCESS'").count() == 3
 
 
-def test_failed_batch_records_failed_status(spark):
-    t = I.Tables(spark, SF001)
-    jobs_dir, out_dir, ckpt = (scratch_path(spark, n) for n in ("f-jobs", "f-out", "f-ckpt"))
-    I.job_payloads(t).coalesce(1).write.text(f"{jobs_dir}/d=1")
+def _payload(job, segment, requested_at):
+    return json.dumps({"response": [{"jobId": float(job), "jobStatus": "SUBMITTED", "requested_at": requested_at,
+                                     "inputData": {"segmentid": segment, "app": I.APP, "segmentid_compare": "all"}}]})
 
-    def broken_base():
-        return spark.read.parquet(f"{SF001}/no_such_table.parquet")
 
-    q = start_job_stream(spark, jobs_dir, out_dir, ckpt, lambda: I.members(I.Tables(spark, SF001)), broken_base,
-                         I.APP, available_now=True)
-    q.awaitTermination()
-    status = read_status(spark, out_dir).collect()
-    assert len(status) == 3 and {r.status for r in status} == {"FAILED"}
-    assert "no_such_table" in json.loads(status[0].payload)["response"]["result"]
+def test_stream_loses_no_job(spark):
+    """Late and undated requests, a request without a segment, and a batch
+    that failed for a broken table and is repeated."""
+    jobs_dir, out_dir, ckpt = (scratch_path(spark, n) for n in ("l-jobs", "l-out", "l-ckpt"))
+    members = lambda: I.members(I.Tables(spark, SF001, fresh=True))
+    broken = {"on": False}
+
+    def base():
+        if broken["on"]:
+            return spark.read.parquet(f"{SF001}/no_such_table.parquet")
+        f = I.Tables(spark, SF001, fresh=True)
+        return P.profile_base(I.profiles(f), I.preferences(f), I.device_prices(f))
+
+    def run(n, *payloads):
+        spark.createDataFrame([(x,) for x in payloads], "value string").coalesce(1).write.text(f"{jobs_dir}/d={n}")
+        start_job_stream(spark, jobs_dir, out_dir, ckpt, members, base, I.APP, available_now=True).awaitTermination()
+
+    def final():
+        return {(r.job_id, r.status) for r in read_status(spark, out_dir).filter("status <> 'EXECUTING'").collect()}
+
+    run(1, _payload(1, "building", "2024-05-10T00:00:00.000Z"))
+    broken["on"] = True
+    with pytest.raises(StreamingQueryException):
+        run(2, _payload(2, "furniture", "2024-05-01T00:00:00.000Z"), _payload(3, "all", None))
+    assert final() == {(1, "SUCCESS")}
+    broken["on"] = False
+    run(3, _payload(4, None, "2024-05-10T00:00:00.000Z"), _payload(5, "building", "2024-05-10T00:00:00.000Z"))
+    assert final() == {(1, "SUCCESS"), (2, "SUCCESS"), (3, "SUCCESS"), (4, "FAILED"), (5, "SUCCESS")}
+    run(4, _payload(4, "building", "2024-05-10T00:00:00.000Z"))
+    assert (4, "SUCCESS") in final()
 
 
 def test_time_filter_reaches_parquet_scan(spark):
@@ -89,9 +112,12 @@ def test_feature_shares_scans_each_input_once(spark):
 def test_top_features_uses_group_limit(spark):
     t = I.Tables(spark, SF001)
     base = P.profile_base(I.profiles(t), I.preferences(t), I.device_prices(t))
-    df = P.top_features(P.feature_shares(I.members(t), base))
-    df.collect()
-    assert "WindowGroupLimit" in _plan(df)
+    df = P.top_features(*P.counted(I.members(t), base))
+    plan = _plan(df)
+    assert re.search(r"WindowGroupLimit .*Final.*Exchange hashpartitioning\(segment_id#\d+, feature#\d+,"
+                     r".*WindowGroupLimit .*Partial", plan, re.S), plan
+    windows = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"windowspecdefinition\(segment_id#\d+, specified", windows)
 
 
 def test_price_lookup_broadcast_is_a_runtime_size_decision(spark):
