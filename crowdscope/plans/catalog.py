@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from crowdscope.functions.taxonomy import TAG_RULES, TAGGABLE
 from crowdscope.plans import inputs as I
 from crowdscope.plans import retention as R
 from crowdscope.plans.inputs import Tables, with_ctes
@@ -573,6 +574,9 @@ def _sql_category_shares() -> str:
 
 
 _SQL_CS = _sql_category_shares()
+_SQL_RULES = " OR ".join(f"value > {share} AND tot_readevent {'>=' if inclusive else '>'} {n}"
+                         for share, n, inclusive in TAG_RULES)
+_SQL_TAGGABLE = ", ".join(f"'{x}'" for x in TAGGABLE)
 _SQL_UNPIVOT = " UNION ALL ".join(
     f"SELECT uid, tot_readevent, '{c.name}' AS pref_catg, {c.name} AS value FROM cs" for c in I.SHOP_TAXONOMY)
 
@@ -592,8 +596,7 @@ def q_unpivot_shares(spark, sf):
 @register("interest_tags", _SQL_CS.replace("SELECT * FROM cs", (
     f"SELECT CAST(month(DATE '{I.TAG_AS_OF}') AS INTEGER) AS month, CAST(year(DATE '{I.TAG_AS_OF}') AS INTEGER) AS year, "
     "uid, pref_catg, value, tot_readevent FROM (" + _SQL_UNPIVOT.replace("FROM cs", "FROM cs WHERE uid IS NOT NULL")
-    + ") WHERE ((value > 0.5 AND tot_readevent > 4) OR (value > 0.75 AND tot_readevent >= 3)) "
-    "AND pref_catg IN ('entertainment', 'lifestyle', 'sports', 'business', 'health', 'tech')")))
+    + f") WHERE ({_SQL_RULES}) AND pref_catg IN ({_SQL_TAGGABLE})")))
 def q_interest_tags(spark, sf):
     from crowdscope.plans import tagging as G
     return G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY)
