@@ -76,10 +76,19 @@ def daily_user_activity(events: DataFrame, counters=ACTIVITY_COUNTERS, install:
                  *[F.sum(F.when(has_id, F.col(name)).otherwise(0)).alias(name) for name, _ in counters]))
 
 
-def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Contingency table (A13). Spark plans it as a grouped pivot count; the
-    distinct values of ``b`` become columns."""
-    return df.stat.crosstab(a, b)
+def crosstab_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Contingency table in long form (A13): one row per pair of values that
+    occurs, nulls being a value, for any number of values."""
+    return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+
+
+def crosstab(df: DataFrame, a: str, b: str, values: list) -> DataFrame:
+    """Contingency table in wide form (A13): a column per value of ``b`` in
+    ``values`` and a row per value of ``a`` (a null one reads ``null``). The
+    caller names the values, so no job runs to find them and their number has
+    no limit; :func:`crosstab_counts` needs none."""
+    name = F.coalesce(F.col(a).cast("string"), F.lit("null")).alias(f"{a}_{b}")
+    return df.groupBy(name).agg(*[F.count_if(F.col(b) == v).alias(str(v)) for v in values])
 
 
 def pivot_sum(df: DataFrame, keys: list[str], pivot: str, measure: str, values: list | None = None,

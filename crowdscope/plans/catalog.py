@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crowdscope.functions.taxonomy import TAG_RULES, TAGGABLE
+from crowdscope.functions.taxonomy import NEWS_TAXONOMY, TAG_RULES, TAGGABLE
 from crowdscope.plans import inputs as I
 from crowdscope.plans import retention as R
 from crowdscope.plans.inputs import Tables, with_ctes
@@ -281,6 +281,15 @@ def q_column_quality(spark, sf):
     return column_quality(I.events_with_gaps(_t(spark, sf)), ["mevent", "props"])
 
 
+@register("column_quality_all", with_ctes(I.SQL_GAPS, I.SQL_RECORDS, body=(
+    'SELECT count(*) AS "rows", count(DISTINCT uid) AS users, '
+    + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR {c} = '') AS {c}" for c in I.QUALITY_COLUMNS)
+    + " FROM records")))
+def q_column_quality_all(spark, sf):
+    from crowdscope.operators.aggregates import column_quality
+    return column_quality(I.event_records(_t(spark, sf)), list(I.QUALITY_COLUMNS))
+
+
 def _sql_daily_activity() -> str:
     tests = [("read", "mevent = 'read'"), ("notf_del", "mevent = 'notification_delivered'"),
              ("notf_open", "mevent = 'notification_open'"), ("pub_change", "mevent = 'publication_changed'"),
@@ -307,7 +316,13 @@ _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
     + " FROM orders GROUP BY o_orderstatus")
 def q_crosstab(spark, sf):
     from crowdscope.operators.aggregates import crosstab
-    return crosstab(_t(spark, sf).orders, "o_orderstatus", "o_orderpriority")
+    return crosstab(_t(spark, sf).orders, "o_orderstatus", "o_orderpriority", list(_PRIORITIES))
+
+
+@register("crosstab_counts", "SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY ALL")
+def q_crosstab_counts(spark, sf):
+    from crowdscope.operators.aggregates import crosstab_counts
+    return crosstab_counts(_t(spark, sf).customer, "c_nationkey", "c_mktsegment")
 
 
 @register("pivot_sum", "SELECT o_orderstatus, " + ", ".join(
@@ -557,28 +572,40 @@ def q_reinstall_within(spark, sf):
 
 # ----------------------------------------------------------------- tagging ---
 
-def _sql_category_shares() -> str:
+def _sql_category_shares(taxonomy, reads: str) -> str:
     s1, s2 = sql_url_sections("aurl")
     cats = []
-    for c in I.SHOP_TAXONOMY:
+    for c in taxonomy:
         terms = []
         if c.section1:
             terms.append("col1 IN (" + ", ".join(f"'{x}'" for x in c.section1) + ")")
         if c.section2:
             terms.append("col2 IN (" + ", ".join(f"'{x}'" for x in c.section2) + ")")
         cats.append(f"count(*) FILTER (WHERE {' OR '.join(terms)}) / count(*) AS {c.name}")
-    return with_ctes(I.SQL_READS,
+    return with_ctes(reads,
                      f"sec AS (SELECT uid, {s1} AS col1, {s2} AS col2 FROM reads WHERE mevent = 'read')",
                      f"cs AS (SELECT uid, {', '.join(cats)}, count(*) AS tot_readevent FROM sec GROUP BY uid)",
                      body="SELECT * FROM cs")
 
 
-_SQL_CS = _sql_category_shares()
+def _sql_unpivot(taxonomy) -> str:
+    return " UNION ALL ".join(
+        f"SELECT uid, tot_readevent, '{c.name}' AS pref_catg, {c.name} AS value FROM cs" for c in taxonomy)
+
+
+_SQL_CS = _sql_category_shares(I.SHOP_TAXONOMY, I.SQL_READS)
+_SQL_NEWS_CS = _sql_category_shares(NEWS_TAXONOMY, I.SQL_NEWS_READS)
 _SQL_RULES = " OR ".join(f"value > {share} AND tot_readevent {'>=' if inclusive else '>'} {n}"
                          for share, n, inclusive in TAG_RULES)
 _SQL_TAGGABLE = ", ".join(f"'{x}'" for x in TAGGABLE)
-_SQL_UNPIVOT = " UNION ALL ".join(
-    f"SELECT uid, tot_readevent, '{c.name}' AS pref_catg, {c.name} AS value FROM cs" for c in I.SHOP_TAXONOMY)
+_SQL_UNPIVOT = _sql_unpivot(I.SHOP_TAXONOMY)
+
+
+def _sql_tags(shares: str, unpivot: str) -> str:
+    head = (f"SELECT CAST(month(DATE '{I.TAG_AS_OF}') AS INTEGER) AS month, "
+            f"CAST(year(DATE '{I.TAG_AS_OF}') AS INTEGER) AS year, uid, pref_catg, value, tot_readevent FROM (")
+    return shares.replace("SELECT * FROM cs", head + unpivot.replace("FROM cs", "FROM cs WHERE uid IS NOT NULL")
+                          + f") WHERE ({_SQL_RULES}) AND pref_catg IN ({_SQL_TAGGABLE})")
 
 
 @register("category_shares", _SQL_CS)
@@ -593,10 +620,19 @@ def q_unpivot_shares(spark, sf):
     return G.unpivot_shares(G.category_shares(I.reads(_t(spark, sf)), I.SHOP_TAXONOMY), I.SHOP_TAXONOMY)
 
 
-@register("interest_tags", _SQL_CS.replace("SELECT * FROM cs", (
-    f"SELECT CAST(month(DATE '{I.TAG_AS_OF}') AS INTEGER) AS month, CAST(year(DATE '{I.TAG_AS_OF}') AS INTEGER) AS year, "
-    "uid, pref_catg, value, tot_readevent FROM (" + _SQL_UNPIVOT.replace("FROM cs", "FROM cs WHERE uid IS NOT NULL")
-    + f") WHERE ({_SQL_RULES}) AND pref_catg IN ({_SQL_TAGGABLE})")))
+@register("category_shares_news", _SQL_NEWS_CS)
+def q_category_shares_news(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.category_shares(I.news_reads(_t(spark, sf)))
+
+
+@register("interest_tags_news", _sql_tags(_SQL_NEWS_CS, _sql_unpivot(NEWS_TAXONOMY)))
+def q_interest_tags_news(spark, sf):
+    from crowdscope.plans import tagging as G
+    return G.interest_tags(I.news_reads(_t(spark, sf)), I.TAG_AS_OF)
+
+
+@register("interest_tags", _sql_tags(_SQL_CS, _SQL_UNPIVOT))
 def q_interest_tags(spark, sf):
     from crowdscope.plans import tagging as G
     return G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY)
@@ -619,17 +655,18 @@ def q_interest_tags_window(spark, sf):
     return G.daily_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, taxonomy=I.SHOP_TAXONOMY)
 
 
-_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
 
 @register("tag_row_ids", ORACLE["interest_tags"].replace(
     "SELECT CAST(month(", "SELECT true AS has_row_id, CAST(month(", 1))
 def q_tag_row_ids(spark, sf):
-    """Tags with a generated row id (D1): the random id itself is replaced
-    by a check that every row carries a well-formed UUID."""
+    """Tags with a generated row id (D1): the id itself is replaced by a check
+    that every row carries a well-formed UUID of its creation time."""
     from crowdscope.plans import tagging as G
     tags = G.with_row_ids(G.interest_tags(I.reads(_t(spark, sf)), I.TAG_AS_OF, I.SHOP_TAXONOMY))
-    return tags.select(F.col("createdtime").rlike(_UUID).alias("has_row_id"), "month", "year", "uid", "pref_catg",
+    timed = G.row_id_millis(F.col("createdtime")) == F.unix_millis("created_at")
+    return tags.select((F.col("createdtime").rlike(_UUID) & timed).alias("has_row_id"), "month", "year", "uid", "pref_catg",
                        "value", "tot_readevent")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
-from crowdscope.functions.taxonomy import Category
+from crowdscope.functions.taxonomy import NEWS_TAXONOMY, Category
 from crowdscope.sources.tables import read_table
 
 RET_START = "1995-01-01"
@@ -273,6 +273,34 @@ SQL_READS = """reads AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 
+#: Every section of the news taxonomy, and one that no category knows.
+NEWS_SECTIONS = tuple(sorted({s for c in NEWS_TAXONOMY for s in (*c.section1, *c.section2)})) + ("weather",)
+
+
+@derived
+def news_reads(t: Tables) -> DataFrame:
+    """Line items as reads of news pages: larger ones lie in a section that the
+    reader keeps returning to, the others in one set by the part; the
+    supplier sets the second section."""
+    li, o, n = t.lineitem, t.orders, len(NEWS_SECTIONS)
+    section = F.array(*[F.lit(s) for s in NEWS_SECTIONS])
+    first = F.when(F.col("l_quantity") > 20, F.col("o_custkey")).otherwise(F.col("l_partkey"))
+    url = F.concat(F.lit("http://news.example.com/"), F.get(section, (first % n).cast("int")), F.lit("/"),
+                   F.get(section, (F.col("l_suppkey") % n).cast("int")), F.lit("/"), F.col("l_partkey").cast("string"))
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .select(F.col("o_custkey").alias("uid"), F.lit("read").alias("mevent"),
+                    F.col("l_shipdate").alias("ts"), url.alias("aurl")))
+
+
+_SQL_SECTIONS = "[" + ", ".join(f"'{s}'" for s in NEWS_SECTIONS) + "]"
+SQL_NEWS_READS = f"""reads AS (
+  SELECT o.o_custkey AS uid, 'read' AS mevent, l.l_shipdate AS ts,
+         concat_ws('/', 'http://news.example.com',
+                   {_SQL_SECTIONS}[1 + (CASE WHEN l_quantity > 20 THEN o_custkey ELSE l_partkey END) % {len(NEWS_SECTIONS)}],
+                   {_SQL_SECTIONS}[1 + l_suppkey % {len(NEWS_SECTIONS)}], l_partkey) AS aurl
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
 # ------------------------------------------------------------------- events --
 EVENT_NAMES = {"signup": "install", "view": "read", "click": "notification_open",
                "purchase": "share_purchase", "error": "settings_changed"}
@@ -330,3 +358,30 @@ SQL_GAPS = """gaps AS (
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+#: The columns whose blanks a quality profile counts.
+QUALITY_COLUMNS = ("acategory", "mevent", "aurl", "screen", "network", "luser", "location")
+
+
+@derived
+def event_records(t: Tables) -> DataFrame:
+    """Events with all columns of a quality profile. Users that are no customer
+    have no network, name or place; purchases have a blank screen, sign-ups no
+    category and only views a URL."""
+    g, c = events_with_gaps(t), t.customer
+    kind = F.col("mevent")
+    place = c.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return (g.join(place, g.uid == F.col("c_custkey"), "left")
+            .select("uid", "mevent", F.when(kind != "signup", F.col("props")).alias("acategory"),
+                    F.when(kind == "view", F.concat(F.lit("http://shop.example.com/"), F.col("event_id").cast("string"))).alias("aurl"),
+                    F.when(kind == "purchase", F.lit("")).otherwise(kind).alias("screen"),
+                    F.lower("c_mktsegment").alias("network"), F.col("c_name").alias("luser"), F.col("n_name").alias("location")))
+
+
+SQL_RECORDS = """records AS (
+  SELECT g.uid, g.mevent, CASE WHEN g.mevent <> 'signup' THEN g.props END AS acategory,
+         CASE WHEN g.mevent = 'view' THEN 'http://shop.example.com/' || g.event_id END AS aurl,
+         CASE g.mevent WHEN 'purchase' THEN '' ELSE g.mevent END AS screen,
+         lower(c.c_mktsegment) AS network, c.c_name AS luser, n.n_name AS location
+  FROM gaps g LEFT JOIN customer c ON g.uid = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""

@@ -10,13 +10,13 @@ over all users, counted only over cohorts whose window has fully elapsed
 (``idate + n <= as_of``), in numerator and denominator alike.
 
 Plan shape (no per-segment loop, no fan-out join, one pass over events):
-  * one ``groupBy(uid)`` over the events gives the last active date and the
-    sorted set of install days. Both aggregates are partial (map-side), and
-    the install set is bounded by the number of days scanned, so a user with
-    a third of all events costs one short array per map task. The events
-    table, the largest input, is scanned and shuffled once;
-  * each install day becomes a cohort row whose next install is the next
-    element of the same array (no window, no second shuffle);
+  * one hash aggregate over the events, keyed by user and install day (null
+    for other events), keeps the last date of each. Its partial side leaves a
+    task at most one row per user and install day, so a user with a third of
+    all events costs a few rows per map task, and no task sorts raw events.
+    The events table, the largest input, is scanned once;
+  * one window per user over those few rows (at most the days scanned, plus
+    one) gives each install day the next one and the user's last date;
   * members are de-duplicated (partial aggregate first, so a member repeated
     millions of times is collapsed before the shuffle) and joined on ``uid``;
     the per-user side is already hash-partitioned on ``uid``;
@@ -26,7 +26,7 @@ Plan shape (no per-segment loop, no fan-out join, one pass over events):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Window names and lengths in days.
@@ -38,21 +38,22 @@ def _date(v) -> Column:
 
 
 def user_summary(events: DataFrame, install: str = "install") -> DataFrame:
-    """Per user: ``maxtime`` (last active date, A7) and ``installs`` (sorted
-    distinct install dates)."""
-    return events.groupBy("uid").agg(
-        F.max("d").alias("maxtime"),
-        F.array_sort(F.collect_set(F.when(F.col("mevent") == install, F.col("d")))).alias("installs"))
+    """Per user and distinct install date: ``(uid, idate, next_install,
+    maxtime)``, ``maxtime`` being the user's last active date (A7). Users with
+    other events have a further row whose ``idate`` is null."""
+    days = (events.groupBy("uid", F.when(F.col("mevent") == install, F.col("d")).alias("idate"))
+            .agg(F.max("d").alias("last")))
+    user = Window.partitionBy("uid").orderBy("idate")
+    whole = user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return days.select("uid", "idate", F.lead("idate").over(user).alias("next_install"),
+                       F.max("last").over(whole).alias("maxtime"))
 
 
 def _cohorts(summary: DataFrame, start, as_of) -> DataFrame:
     """``(uid, idate, next_install, maxtime)`` for installs dated in
     ``[start, as_of]``; ``next_install`` is the next install over *all*
     scanned installs, so a re-install after ``as_of`` still counts."""
-    rows = summary.select("uid", "maxtime", "installs", F.posexplode("installs").alias("pos", "idate"))
-    return (rows.withColumn("next_install", F.get(F.col("installs"), F.col("pos") + 1))
-            .filter(F.col("idate").between(_date(start), _date(as_of)))
-            .select("uid", "idate", "next_install", "maxtime"))
+    return summary.filter(F.col("idate").between(_date(start), _date(as_of)))
 
 
 def install_cohorts(events: DataFrame, start, as_of, install: str = "install") -> DataFrame:
