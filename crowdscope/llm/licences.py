@@ -116,7 +116,7 @@ def train(ordinary: list[str], seed: int = 11) -> Classifier:
     """Fit to varied templates, made-up licences and ordinary lines; a tenth is
     held out to calibrate the probabilities by one temperature."""
     rng = np.random.default_rng(seed)
-    pool = [w for line in ordinary for w in line.split()] or ["text"]
+    pool = np.array([w for line in ordinary for w in line.split()] or ["text"], object)
     names = ["none", "unknown", *TEMPLATES]
     lines, label = list(ordinary), [0] * len(ordinary)
 
@@ -134,8 +134,17 @@ def train(ordinary: list[str], seed: int = 11) -> Classifier:
         for _ in range(4 * COPIES):
             lines.append(vary(line.format(" ".join(rng.choice(pool, rng.integers(1, 3))), rng.integers(1, 9)), 0.0))
             label.append(1)
-    lines, y = np.array(lines, object), np.array(label)
-    order = rng.permutation(len(lines))
+    y, order = np.array(label), rng.permutation(len(lines))
+    feature, row = features(*hash_lines(lines))
+    by_line = np.argsort(row, kind="stable")
+    feature, bounds = feature[by_line], np.searchsorted(row[by_line], np.arange(len(lines) + 1))
+
+    def taken(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of some of the lines, and the place of each one's line among them."""
+        sizes = bounds[which + 1] - bounds[which]
+        at = np.arange(sizes.sum()) + np.repeat(bounds[which] - np.cumsum(sizes) + sizes, sizes)
+        return feature[at], np.repeat(np.arange(len(which)), sizes)
+
     held, learn = order[:len(order) // 10], order[len(order) // 10:]
     model = Classifier(names, np.zeros((FEATURES, len(names)), np.float32), np.zeros(len(names)))
     squares = np.full((FEATURES, len(names)), 1e-6, np.float32)
@@ -143,22 +152,23 @@ def train(ordinary: list[str], seed: int = 11) -> Classifier:
         rng.shuffle(learn)
         for lo in range(0, len(learn), 64):
             part = learn[lo:lo + 64]
-            feature, row = features(*hash_lines(list(lines[part])))
-            error = model.probabilities(feature, row, len(part))
+            own_feature, own_row = taken(part)
+            error = model.probabilities(own_feature, own_row, len(part))
             error[np.arange(len(part)), y[part]] -= 1
-            scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(part)), 1))
-            own, back = np.unique(feature, return_inverse=True)
-            grad = np.zeros((len(own), len(names)))
-            np.add.at(grad, back, error[row] * scale[row, None])
-            grad += 1e-3 * model.weights[own]
-            squares[own] += grad ** 2
-            model.weights[own] -= (0.3 * grad / np.sqrt(squares[own])).astype(np.float32)
+            scale = 1 / np.sqrt(np.maximum(np.bincount(own_row, minlength=len(part)), 1))
+            if len(own_feature):
+                by_feature = np.argsort(own_feature, kind="stable")
+                own, starts = np.unique(own_feature[by_feature], return_index=True)
+                grad = np.add.reduceat((error * scale[:, None])[own_row[by_feature]], starts, axis=0)
+                grad += 1e-3 * model.weights[own]
+                squares[own] += grad ** 2
+                model.weights[own] -= (0.3 * grad / np.sqrt(squares[own])).astype(np.float32)
             model.bias -= 0.01 * error.mean(axis=0)
-    feature, row = features(*hash_lines(list(lines[held])))
+    held_feature, held_row = taken(held)
     best = (np.inf, 1.0)
     for heat in np.geomspace(0.25, 4, 17):
         model.heat = float(heat)
-        p = model.probabilities(feature, row, len(held))[np.arange(len(held)), y[held]]
+        p = model.probabilities(held_feature, held_row, len(held))[np.arange(len(held)), y[held]]
         best = min(best, (float(-np.log(np.maximum(p, 1e-12)).mean()), float(heat)))
     model.heat = best[1]
     return model
