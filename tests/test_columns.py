@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from crowdscope.functions import columns as C
 from crowdscope.functions.taxonomy import NEWS_TAXONOMY
 from crowdscope.operators.reshape import list_columns, list_explode
@@ -160,3 +162,19 @@ def test_device_key_matches_model_on_random_text(spark):
             assert r.k == device_key_model(r.d), r.d
 
     check()
+
+
+def test_crosstab_counts_named_values_and_nulls(spark):
+    from crowdscope.operators.aggregates import crosstab, crosstab_counts
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, "y"), ("b", "z")], "k string, v string")
+    wide = {tuple(r) for r in crosstab(df, "k", "v", ["x", "y"]).collect()}
+    assert wide == {("a", 2, 0), ("b", 0, 0), ("null", 0, 1)}
+    long = {tuple(r) for r in crosstab_counts(df, "k", "v").collect()}
+    assert long == {("a", "x", 2), ("a", None, 1), (None, "y", 1), ("b", "z", 1)}
+
+
+def test_row_ids_hold_their_time(spark):
+    from crowdscope.plans.tagging import row_id_millis, with_row_ids
+    rows = with_row_ids(spark.range(500)).select(
+        "createdtime", (row_id_millis(F.col("createdtime")) == F.unix_millis("created_at")).alias("same")).collect()
+    assert all(r.same for r in rows) and len({r.createdtime for r in rows}) == 500
