@@ -19,8 +19,13 @@ SHARD_GRAMS = 4_000_000
 BROADCAST_IDS = 1_000_000
 #: Trusted documents of one in so many only set thresholds, so that these are not met by text the model has seen.
 THRESHOLD_FOLD = 4
-#: A language's limit on log perplexity: the quantile, and the spread above the median once more by this factor.
-QUANTILE, SLACK = 0.995, 1.0
+#: A limit on log perplexity is this quantile of held-back trusted texts.
+QUANTILE = 0.995
+#: Bytes from which a text is in the next length band. Short clean texts spread
+#: widely, so long ones have a limit of their own.
+BANDS = (256, 1024)
+#: A band of a language with fewer held-back texts takes the language's limit.
+BAND_ROWS = 50
 #: A text counts as if it had so many more bytes of its language's median, as the mean of a few bytes says little.
 SHRINK = 100
 
@@ -219,7 +224,7 @@ def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, shard_grams: int = SHARD_GRAMS) -> tuple[QualityModel, DataFrame]:
     """Train on the trusted documents and return the model, which can score
-    ``docs``, and the limits: (lang, median, limit) on log perplexity."""
+    ``docs``, and the limits: (lang, band, median, limit) on log perplexity."""
     trusted = trusted_rows(docs.select("doc_id", "text", "lang"), labels)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("threshold")), F.lit(THRESHOLD_FOLD))
     counts = count_grams(trusted.where(fold != 0)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -228,9 +233,14 @@ def fit(docs: DataFrame, labels: DataFrame, shard_grams: int = SHARD_GRAMS) -> t
     held, name = model.annotate(trusted.where(fold == 0), ["lang"])
     held = land(held.select(language(held).alias("lang"), f"{name}.*").where("n_grams > 0"), "held-perplexity")
     middle = held.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, F.lit(10_000)).alias("median"))
-    limits = (held.join(middle, "lang").groupBy("lang", "median").agg(
-        F.percentile_approx(shrunk(F.col("log_perplexity"), F.col("n_grams"), F.col("median")), QUANTILE, F.lit(10_000)).alias("_q"))
-        .select("lang", "median", (F.col("_q") + SLACK * (F.col("_q") - F.col("median"))).alias("limit")))
+    value = shrunk(F.col("log_perplexity"), F.col("n_grams"), F.col("median"))
+    scored = land(held.join(middle, "lang").select("lang", "median", band(F.col("n_grams")).alias("band"), value.alias("value")), "held-values")
+    top = F.percentile_approx("value", QUANTILE, F.lit(10_000))
+    own = scored.groupBy("lang", "band").agg(top.alias("_own"), F.count(F.lit(1)).alias("_n"))
+    whole = scored.groupBy("lang", "median").agg(top.alias("_whole"))
+    every = whole.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(len(BANDS)))))
+    limits = every.join(own, ["lang", "band"], "left").select(
+        "lang", "band", "median", F.when(F.col("_n") >= BAND_ROWS, F.col("_own")).otherwise(F.col("_whole")).alias("limit"))
     return model, land(limits, "quality-limits")
 
 
@@ -238,11 +248,16 @@ def shrunk(log_perplexity: Column, n: Column, median: Column) -> Column:
     return (log_perplexity * n + SHRINK * median) / (n + SHRINK)
 
 
+def band(n: Column) -> Column:
+    """The length band of a text of ``n`` bytes, from 0."""
+    return sum((n >= edge).cast("int") for edge in BANDS)
+
+
 def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
           shard_grams: int = SHARD_GRAMS) -> tuple[DataFrame, str]:
     """Perplexity of every whole text under its language's model, and whether
-    it stays within the language's limit: a struct of log_perplexity, n_grams,
-    limit and good.
+    it stays within the limit of its language and length: a struct of
+    log_perplexity, n_grams, limit and good.
 
     Defined cases: a null or empty text has no perplexity and is good (nothing
     speaks against it); a null lang is the language ``und``; a language without
@@ -252,9 +267,10 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     """
     model, limits = fit(docs, labels, shard_grams)
     out, name = model.annotate(docs, keep if keep is None else [*keep, *({"lang"} - set(keep))])
-    flat = limits.select(F.col("lang").alias("_lang"), F.col("median").alias("_median"), F.col("limit").alias("_limit"))
-    joined = out.join(F.broadcast(flat) if flat.count() <= 10_000 else flat, language(out) == F.col("_lang"), "left")
+    flat = limits.select(*[F.col(c).alias(f"_{c}") for c in ("lang", "band", "median", "limit")])
     value, n = F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_grams")
+    joined = out.join(F.broadcast(flat) if flat.count() <= 10_000 else flat,
+                      (language(out) == F.col("_lang")) & (band(n) == F.col("_band")), "left")
     good = F.coalesce(shrunk(value, n, F.col("_median")) <= F.col("_limit"), F.lit(True))
     verdict = F.struct(value, n, F.col("_limit").alias("limit"), good.alias("good"))
     columns = docs.columns if keep is None else keep

@@ -279,6 +279,17 @@ def test_kneser_probabilities_sum_to_one(spark, docs, labels):
     assert kneser.judge(empty(docs), labels)[0].count() == 0
 
 
+def test_quality_limit_is_the_quantile(spark, docs, labels):
+    model, limits = kneser.fit(docs, labels)
+    out, name = model.annotate(kneser.trusted_rows(docs, labels), ["lang"])
+    highest = {}
+    for r in out.collect():
+        highest[r.lang] = max(r[name].log_perplexity or 0, highest.get(r.lang, 0))
+    limits = limits.collect()
+    assert {(r.lang, r.band) for r in limits} == {(x, b) for x in ("en", "fr") for b in range(3)}
+    assert all(r.median <= r.limit <= highest[r.lang] for r in limits)  # nothing is added to what trusted text reaches
+
+
 def test_language_gradient_and_accuracy(spark, docs):
     net = langid.fit(docs, F.col("doc_id") % 4 != 2)
     out, name = langid.identify(docs, net)
