@@ -12,13 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, text_column, utf8_buffers
+from crowdscope.llm.common import annotate, land, text_column, utf8_buffers
 from crowdscope.llm.decontam import FOLD
 
-#: Labelled rows that the examples, terms and calibration are learned from (expected; dealt by a hash).
+#: Labelled rows that are examples and set the calibration (expected; dealt by a hash).
 LEARN_ROWS = 20_000
-#: Terms kept, those most strongly tied to the label first.
-MAX_TERMS = 8192
+#: A term's label share counts as if it had so many more rows of the base rate.
+TERM_PRIOR = 1.0
+#: Postings that a search reads first, and the most examples it then scores one by one.
+FIRST_POSTINGS, CANDIDATES = 20_000, 512
+#: Most learnable ids that are broadcast (12 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Bytes of a word's start that count as a term of their own.
 START = 4
 NEIGHBOURS = 15
@@ -45,63 +49,102 @@ def starts(words) -> set[bytes]:
     return {b"^" + w[:START] for w in words if len(w) > START}
 
 
+def count_of(text: bytes) -> Counter:
+    """All terms of a whole text and their counts."""
+    words = Counter(terms_of(text))
+    first: Counter = Counter()
+    for w, n in words.items():
+        if len(w) > START:
+            first[b"^" + w[:START]] += n
+    words.update(first)
+    return words
+
+
 def sparse(text: bytes, vocabulary: dict[bytes, int]) -> dict[int, int]:
     """Term numbers and counts of the vocabulary's terms in a whole text."""
-    words = terms_of(text)
-    own = set(words)
-    hit = own & vocabulary.keys()
-    first = starts(own) & vocabulary.keys()
-    if not hit and not first:
-        return {}
-    counts = Counter(w for w in words if w in hit)
-    if first:
-        counts.update(s for w in words if len(w) > START and (s := b"^" + w[:START]) in first)
-    return {vocabulary[w]: n for w, n in counts.items()}
+    return {vocabulary[w]: n for w, n in count_of(text).items() if w in vocabulary}
 
 
-def wilson_low(hits: np.ndarray, n: np.ndarray, z: float = 2.58) -> np.ndarray:
-    """Lower end of the 99 % interval of a share."""
-    p = hits / n
-    return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all runs of ``size`` entries from ``start`` on."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
 class BlockMaxIndex:
-    """Postings by term over example vectors of length 1, in blocks of
-    consecutive examples with each block's highest weight of every term."""
+    """Postings by term over example vectors of length 1, with the highest
+    weight of every term in each block of consecutive examples."""
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        n = len(vectors)
-        self.n = n
-        self.blocks = -(-n // BLOCK)
-        rows = [(t, e, w) for e, v in enumerate(vectors) for t, w in v.items()]
-        rows.sort()
-        term = np.array([r[0] for r in rows], np.int64)
-        self.example = np.array([r[1] for r in rows], np.int64)
-        self.weight = np.array([r[2] for r in rows], float)
-        cell = term * self.blocks + self.example // BLOCK if n else term
-        self.cell = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1))
-        self.highest = np.zeros(n_terms * self.blocks)
-        np.maximum.at(self.highest, cell, self.weight)
-        self.highest = self.highest.reshape(n_terms, self.blocks)
+        sizes = np.array([len(v) for v in vectors], np.int64)
+        self.build(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.array([t for v in vectors for t in v], np.int32),
+                   np.array([w for v in vectors for w in v.values()], float), n_terms)
+
+    @classmethod
+    def of(cls, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> BlockMaxIndex:
+        index = cls.__new__(cls)
+        index.build(first, term, weight, n_terms)
+        return index
+
+    def build(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> None:
+        self.n, self.n_terms = len(first) - 1, n_terms
+        self.first, self.term, self.weight = first, term.astype(np.int32), weight
+        row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))
+        order = np.argsort(term, kind="stable")
+        self.example, self.posted = row[order], weight[order]
+        by_term = term[order]
+        self.start = np.searchsorted(by_term, np.arange(n_terms + 1))
+        block = self.example // BLOCK
+        cut = np.flatnonzero(np.r_[True, (by_term[1:] != by_term[:-1]) | (block[1:] != block[:-1])]) if len(order) else np.zeros(0, np.int64)
+        self.block, self.highest = block[cut], np.maximum.reduceat(self.posted, cut) if len(cut) else np.zeros(0)
+        self.block_start = np.searchsorted(by_term[cut], np.arange(n_terms + 1))
+        self.top = np.zeros(n_terms)
+        np.maximum.at(self.top, by_term[cut], self.highest)
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of highest cosine, ties to the lower example. A
-        block is read only while its bound reaches the k-th best so far."""
-        terms = sorted(query)
-        bound = sum(query[t] * self.highest[t] for t in terms)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-9):
+        """The ``k`` examples of highest cosine, ties to the lower example."""
+        return self.search(np.fromiter(query, np.int64, len(query)), np.fromiter(query.values(), float, len(query)), k, without)
+
+    def search(self, terms: np.ndarray, q: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
+        """As ``nearest``. Terms are read by falling bound; when the others'
+        block maxima leave few examples that can reach the k-th best so far,
+        these are scored in full. More postings are read until that is so."""
+        if not len(terms):
+            return []
+        order = np.lexsort((terms, -q * self.top[terms]))
+        terms, q = terms[order], q[order]
+        size = self.start[terms + 1] - self.start[terms]
+        read, budget, done, sums = np.cumsum(size), FIRST_POSTINGS, 0, np.zeros(self.n)
+        while True:
+            upto = max(done + 1, int(np.searchsorted(read, budget, side="right")))
+            now = slice(done, upto)
+            at = spans(self.start[terms[now]], size[now])
+            sums += np.bincount(self.example[at], self.posted[at] * np.repeat(q[now], size[now]), self.n)
+            done, budget = upto, budget * 4
+            if 0 <= without < self.n:
+                sums[without] = 0
+            if done >= len(terms):
+                found = np.flatnonzero(sums > 0)
+                exact = sums[found]
                 break
-            sums = np.zeros(BLOCK)
-            for t in terms:
-                at = t * self.blocks + b
-                s, e = self.cell[at], self.cell[at + 1]
-                sums[self.example[s:e] - b * BLOCK] += query[t] * self.weight[s:e]
-            best += [(-round(float(sums[i]), 12), int(b * BLOCK + i)) for i in np.flatnonzero(sums)
-                     if b * BLOCK + i != without]
-            best = sorted(best)[:k]
-        return [(-s, e) for s, e in best]
+            rest = terms[done:]
+            n_blocks = self.block_start[rest + 1] - self.block_start[rest]
+            at = spans(self.block_start[rest], n_blocks)
+            bound = np.bincount(self.block[at], self.highest[at] * np.repeat(q[done:], n_blocks), -(-self.n // BLOCK))
+            least = np.partition(sums, self.n - k)[self.n - k] if self.n > k else 0.0
+            if least > 0:
+                most = sums + np.repeat(bound, BLOCK)[:self.n]
+                found = np.flatnonzero(most >= least - 1e-9)
+                found = found[found != without]
+                if len(found) <= CANDIDATES:
+                    dense = np.zeros(self.n_terms)
+                    dense[terms] = q
+                    own = self.first[found + 1] - self.first[found]
+                    at = spans(self.first[found], own)
+                    exact = np.bincount(np.repeat(np.arange(len(found)), own), dense[self.term[at]] * self.weight[at], len(found))
+                    break
+        exact = np.round(exact, 12)
+        best = np.lexsort((found, -exact))[:k]
+        return [(float(exact[i]), int(found[i])) for i in best if exact[i] > 0]
 
 
 def weigh(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
@@ -137,121 +180,131 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     vocabulary: dict[bytes, int]
     idf: np.ndarray
+    toxic_share: np.ndarray
     index: BlockMaxIndex | None
     labels: np.ndarray
     ids: list[int]
     base: float
-    without_terms: float
     at: np.ndarray
     rate: np.ndarray
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        query = weigh(counts, self.idf) if counts else {}
-        found = self.index.nearest(query, NEIGHBOURS) if query and self.index else []
+        terms = np.fromiter(counts, np.int64, len(counts))
+        w = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[terms]
+        norm = np.sqrt(w @ w)
+        found = self.index.search(terms, w / norm, NEIGHBOURS) if norm > 0 and self.index else []
         if not found:
-            return self.without_terms, []
+            return self.base, []
         raw = vote(found, self.labels, self.base)
         return float(np.clip(0.999 * np.interp(raw, self.at, self.rate) + 0.001 * raw, 0, 1)), found
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = LEARN_ROWS) -> Model:
-    """Learn from about ``rows`` labelled documents for which ``learn`` holds.
+    """Learn from the labelled documents for which ``learn`` holds; about
+    ``rows`` of them, toxic and clean, are the examples that are searched.
 
-    Terms are words and word starts whose share of toxic rows is surely above
-    a half; document frequencies for TF-IDF are counted over all documents.
+    Vectors hold all words and word starts of the examples. A term's weight is
+    its IDF over all documents times the divergence of its toxic share from
+    the base rate, both counted in Spark over all learnable rows.
     """
     marked = (labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     n = marked.count()
     part = min(1.0, rows / max(1, n))
-    chosen = marked.where(F.pmod(F.xxhash64("doc_id", F.lit("examples")), F.lit(1_000_000)) < int(part * 1_000_000))
-    wide = docs.select("doc_id", text_column(docs).alias("text")).join(F.broadcast(chosen), "doc_id")
+    if n <= BROADCAST_IDS:
+        marked = F.broadcast(marked)
+    chosen = F.broadcast(marked.where(F.pmod(F.xxhash64("doc_id", F.lit("examples")), F.lit(1_000_000)) < int(part * 1_000_000)))
+    text = docs.select("doc_id", text_column(docs).alias("text"))
 
     def count_terms(batches):
-        every, toxic, seen = Counter(), Counter(), [0, 0]
         for batch in batches:
-            raw, offsets = utf8_buffers(batch.column(1))
-            data, y = raw.tobytes(), batch.column(2).to_pylist()
+            every, marked_, toxic, seen = Counter(), Counter(), Counter(), [0, 0]
+            raw, offsets = utf8_buffers(batch.column(0))
+            data, y = raw.tobytes(), batch.column(1).to_pylist()
             for i, label in enumerate(y):
                 words = set(terms_of(data[offsets[i]:offsets[i + 1]]))
                 words |= starts(words)
                 every.update(words)
-                seen[label] += 1
-                if label:
-                    toxic.update(words)
-        terms = list(every)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*terms, b""], pa.binary()), pa.array([*(every[t] for t in terms), sum(seen)], pa.int64()),
-             pa.array([*(toxic[t] for t in terms), seen[1]], pa.int64())], names=["term", "n", "hits"])
-
-    counted = wide.select("doc_id", "text", "toxic").mapInArrow(count_terms, "term binary, n long, hits long")
-    totals = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).where("n >= 3").cache()
+                if label is not None:
+                    seen[label] += 1
+                    marked_.update(words)
+                    if label:
+                        toxic.update(words)
+            terms = list(every)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*terms, b""], pa.binary()), pa.array([*every.values(), len(y)], pa.int64()),
+                 pa.array([*(marked_[t] for t in terms), sum(seen)], pa.int64()),
+                 pa.array([*(toxic[t] for t in terms), seen[1]], pa.int64())], names=["term", "df", "n", "hits"])
+
+    counted = text.join(marked, "doc_id", "left").select("text", "toxic").mapInArrow(count_terms, "term binary, df long, n long, hits long")
+    totals = land(counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "n", "hits")]), "term-counts")
     whole = totals.where(F.length("term") == 0).first()
-    n_rows, n_toxic = (whole.n, whole.hits) if whole else (0, 0)
+    n_docs, n_rows, n_toxic = (whole.df, whole.n, whole.hits) if whole else (0, 0, 0)
     base = n_toxic / n_rows if n_rows else 0.0
-    # a Wilson bound over a half needs a share over a half, so few rows come to the driver
-    kept = totals.where((F.length("term") > 0) & (F.col("hits") * 2 > F.col("n"))).orderBy(F.desc("hits"), "term").limit(8 * MAX_TERMS)
-    rows_ = [(bytes(r.term), r.n, r.hits) for r in kept.collect()]
-    totals.unpersist()
-    low = wilson_low(np.array([r[2] for r in rows_], float), np.array([r[1] for r in rows_], float)) if rows_ else []
-    good = sorted(((h, t) for (t, m, h), w in zip(rows_, low) if w > max(0.5, base)), key=lambda x: (-x[0], x[1]))[:MAX_TERMS]
-    vocabulary = {t: i for i, t in enumerate(sorted(t for _, t in good))}
-
-    def frequencies(batches):
-        df, n = Counter(), 0
-        for batch in batches:
-            raw, offsets = utf8_buffers(batch.column(0))
-            data = raw.tobytes()
-            for i in range(batch.num_rows):
-                df.update(sparse(data[offsets[i]:offsets[i + 1]], vocabulary).keys())
-            n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([*df, -1], pa.int64()), pa.array([*df.values(), n], pa.int64())],
-                                         names=["term", "n"])
-
-    df = {r.term: r.n for r in docs.select(text_column(docs)).mapInArrow(frequencies, "term long, n long")
-          .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    n_docs = df.pop(-1, 0)
-    idf = np.array([np.log((1 + n_docs) / (1 + df.get(t, 0))) + 1e-3 for t in range(len(vocabulary))])
 
     def vectors(batches):
         for batch in batches:
             raw, offsets = utf8_buffers(batch.column(1))
             data = raw.tobytes()
-            found = [sparse(data[offsets[i]:offsets[i + 1]], vocabulary) for i in range(batch.num_rows)]
+            found = [count_of(data[offsets[i]:offsets[i + 1]]) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array([list(v) for v in found], pa.list_(pa.int64())),
-                 pa.array([list(v.values()) for v in found], pa.list_(pa.int64()))], names=["doc_id", "toxic", "terms", "counts"])
-
-    out = "doc_id long, toxic int, terms array<long>, counts array<long>"
-    found = wide.select("doc_id", "text", "toxic").mapInArrow(vectors, out) if vocabulary else None
-    empty, examples = Counter(), []
-    if found is not None:  # at most about `rows` short vectors
-        empty.update({r.toxic: r["count"] for r in found.where(F.size("terms") == 0).groupBy("toxic").count().collect()})
-        examples = [(r.doc_id, r.toxic, dict(zip(r.terms, r.counts))) for r in found.where(F.size("terms") > 0).collect()]
-    weighed = [(weigh(c, idf), d, y) for d, y, c in examples]
-    weighed.sort(key=lambda x: (max(x[0].items(), key=lambda i: (i[1], -i[0])), x[1]))  # alike examples share blocks
-    y = np.array([x[2] for x in weighed], float)
-    index = BlockMaxIndex([x[0] for x in weighed], len(vocabulary)) if weighed else None
+                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array([list(v) for v in found], pa.list_(pa.binary())),
+                 pa.array([list(v.values()) for v in found], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "counts"])
+
+    out = "doc_id long, toxic int, terms array<binary>, counts array<int>"
+    examples = land(text.join(chosen, "doc_id").select("doc_id", "text", "toxic").mapInArrow(vectors, out), "examples")
+    own = examples.select(F.explode("terms").alias("term")).distinct()
+    stats = totals.join(own, "term").toArrow()  # of the examples' terms only
+    stats = stats.sort_by("term")
+    vocabulary = {t: i for i, t in enumerate(stats["term"].to_pylist())}
+    df, n_, hits = (stats[c].to_numpy().astype(float) for c in ("df", "n", "hits"))
+    low = np.clip(base, 1e-6, 1 - 1e-6)
+    share = np.clip((hits + TERM_PRIOR * low) / (n_ + TERM_PRIOR), 1e-6, 1 - 1e-6)
+    told = share * np.log(share / low) + (1 - share) * np.log((1 - share) / (1 - low))
+    idf = (np.log((1 + n_docs) / (1 + df)) + 1e-3) * np.maximum(told, 0)
+
+    ids, labels_, sizes, terms, counts = [], [], [], [], []
+    for batch in examples.where(F.size("terms") > 0).toArrow().to_batches(1000):  # at most about `rows` examples
+        lists = batch.column(2)
+        ids += batch.column(0).to_pylist()
+        labels_ += batch.column(1).to_pylist()
+        sizes.append(np.diff(lists.offsets.to_numpy()))
+        terms.append(np.array([vocabulary[t] for t in lists.flatten().to_pylist()], np.int32))
+        counts.append(batch.column(3).flatten().to_numpy())
+    at, rate = np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    if not ids:
+        return Model({}, idf, share, None, np.zeros(0), [], base, at, rate)
+    size, term, weight = np.concatenate(sizes).astype(np.int64), np.concatenate(terms), np.concatenate(counts)
+    row = np.repeat(np.arange(len(size)), size)
+    weight = (1 + np.log(weight)) * idf[term]
+    norm = np.sqrt(np.bincount(row, weight * weight, len(size)))
+    weight = weight / np.maximum(norm, 1e-300)[row]
+    first = np.cumsum(size) - size
+    strongest = np.lexsort((term, -weight, row))[first]
+    order = np.lexsort((np.array(ids), term[strongest]))  # alike examples share blocks
+    place = spans(first[order], size[order])
+    first = np.concatenate([[0], np.cumsum(size[order])])
+    index = BlockMaxIndex.of(first, term[place], weight[place], len(vocabulary))
+    y = np.array(labels_, float)[order]
     raw, truth = [], []
-    for e, (v, _, label) in enumerate(weighed):
-        near = index.nearest(v, NEIGHBOURS, without=e)
+    for e in range(index.n):
+        own_ = slice(first[e], first[e + 1])
+        near = index.search(index.term[own_].astype(np.int64), index.weight[own_], NEIGHBOURS, without=e)
         if near:
             raw.append(vote(near, y, base))
-            truth.append(label)
-    at, rate = isotonic(np.array(raw), np.array(truth, float)) if raw else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    rest = sum(empty.values())
-    return Model(vocabulary, idf, index, y, [x[1] for x in weighed], base,
-                 (empty[1] + 0.5 * base) / (rest + 0.5) if rest else base, at, rate)
+            truth.append(y[e])
+    if raw:
+        at, rate = isotonic(np.array(raw), np.array(truth))
+    return Model(vocabulary, idf, share, index, y, [ids[i] for i in order], base, at, rate)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """Score every whole text: a struct of ``score`` (0 to 1), ``predicted``
-    (1 from 0.7 on), the ``terms`` found and the three nearest examples as
-    ``evidence``.
+    (1 from 0.7 on), the ``terms`` found that mostly toxic rows hold, and the
+    three nearest examples as ``evidence``.
 
-    Defined cases: a null or empty text, or one without any learned term,
-    scores the rate of toxic rows among examples without terms; without labels
-    every score is 0; equal similarities go to the earlier example; of
+    Defined cases: a null or empty text, or one without any example's term,
+    scores the rate of toxic rows; without labels every score is 0; equal similarities go to the earlier example; of
     conflicting labels the higher holds; repeated rows score alike; other
     columns, also of clashing names, are carried as they are. Returns the
     frame and the struct's name.
@@ -266,15 +319,15 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> tuple
         def step(raw, offsets, nulls, batch):
             data, scores, terms, evidence = raw.tobytes(), [], [], []
             for i in range(len(offsets) - 1):
-                counts = sparse(data[offsets[i]:offsets[i + 1]], m.vocabulary)
-                key = tuple(sorted(counts.items()))
+                key = data[offsets[i]:offsets[i + 1]]
                 if key not in known:
-                    if len(known) > 100_000:
+                    if len(known) >= 1000:
                         known.clear()
-                    known[key] = m.score(counts)
-                s, found = known[key]
+                    counts = sparse(key, m.vocabulary)
+                    known[key] = *m.score(counts), [names[t].decode("utf-8", "replace") for t in sorted(counts) if m.toxic_share[t] > 0.5]
+                s, found, marks = known[key]
                 scores.append(s)
-                terms.append([names[t].decode("utf-8", "replace") for t, _ in key])
+                terms.append(marks)
                 evidence.append([{"doc_id": m.ids[e], "similarity": x, "toxic": int(m.labels[e])} for x, e in found[:3]])
             kind = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])
             return [pa.array(scores, pa.float64()), pa.array([int(s >= REJECT) for s in scores], pa.int32()),

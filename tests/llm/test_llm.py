@@ -260,6 +260,17 @@ def test_toxicity_votes_and_index(spark, docs, labels):
         assert [e for _, e in got] == [e for _, e in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
 
 
+def test_toxicity_rare_marker(spark, docs, labels):
+    rare = (F.col("doc_id") % 40 == 0)  # three toxic examples hold the word, no clean one
+    marked = docs.where("doc_id < 120").withColumn("text", F.when(rare, F.concat("text", F.lit(" vile"))).otherwise(F.col("text")))
+    truth = labels.where("toxic is not null").withColumn("toxic", rare.cast("int"))
+    new = spark.createDataFrame([(901, "water stone and river vile", "en", "s", "x", 0.0), (902, "water stone and river", "en", "s", "x", 0.0)], SCHEMA)
+    out, name = toxicity.score(new, toxicity.fit(marked, truth, F.lit(True)))
+    found = {r.doc_id: r[name] for r in out.collect()}
+    assert "vile" in found[901].terms and found[901].evidence[0].toxic == 1 and found[901].score > found[902].score
+    assert found[902].evidence  # every text that is not empty is searched
+
+
 def test_kneser_probabilities_sum_to_one(spark, docs, labels):
     trusted = kneser.trusted_rows(docs, labels)
     counts = kneser.count_grams(trusted).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
