@@ -53,12 +53,17 @@ NONE_ROWS = 3000
 COPIES, EPOCHS = 30, 6
 #: A family needs this calibrated probability, and this share of the words of a template in common.
 SURE, LIKE = 0.6, 0.6
+# Words of which a notice of no known family holds one.
+TALK = "license licence licenses licences licensed licensing copyright copyrighted copyrights reserved".split()
+#: Most neighbouring lines that are read as one; a longer run of lines is also read as a whole.
+JOINED = 8
 
 RESULT = T.StructType([
     T.StructField("n_paragraphs", T.LongType()), T.StructField("families", T.ArrayType(T.StringType())),
     T.StructField("notices", T.ArrayType(T.StructType([
         T.StructField("paragraph", T.LongType()), T.StructField("family", T.StringType()),
-        T.StructField("probability", T.DoubleType()), T.StructField("template_share", T.DoubleType())])))])
+        T.StructField("probability", T.DoubleType()), T.StructField("template_share", T.DoubleType()),
+        T.StructField("n_lines", T.LongType())])))])
 
 
 def paragraph_offsets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,21 +95,61 @@ class Classifier:
     bias: np.ndarray
     heat: float = 1.0
 
-    def scores(self, feature: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    def totals(self, feature: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+        """Sums of the weights of each row's features."""
         total = np.zeros((n, len(self.names)))
         if len(feature):
             order = np.argsort(row, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(row[order]) > 0])
             total[row[order][starts]] = np.add.reduceat(self.weights[feature[order]], starts, axis=0)
-        count = np.maximum(np.bincount(row, minlength=n), 1)[:, None]
-        return total / np.sqrt(count) + self.bias
+        return total
 
     def probabilities(self, feature: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-        s = self.scores(feature, row, n) / self.heat
+        return self.shares(self.totals(feature, row, n), np.bincount(row, minlength=n))
+
+    def shares(self, total: np.ndarray, count: np.ndarray) -> np.ndarray:
+        s = (total / np.sqrt(np.maximum(count, 1))[:, None] + self.bias) / self.heat
         e = np.exp(s - s.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
 
+def joined_lines(words: np.ndarray, rows: np.ndarray, first: np.ndarray, model: Classifier
+                 ) -> tuple[np.ndarray, list[tuple[np.ndarray, int, np.ndarray]]]:
+    """The run of every line (neighbouring lines of a row, none wordless), and
+    the probabilities of lines read together: (first lines, number of lines,
+    probabilities) of all stretches of 2 to JOINED lines and of longer runs.
+
+    A stretch's weights are the sums of its lines' and of the pairs over their ends."""
+    n, count = len(rows) - 1, np.diff(rows)
+    met = (count[:-1] > 0) & (count[1:] > 0)
+    met[first[(first > 0) & (first < n)] - 1] = False
+    run = np.concatenate([[0], np.cumsum(~met)])
+    at = np.flatnonzero(met)
+    feature, row = features(words, rows)
+    last = rows[at + 1] - 1
+    pair = mix64(words[last] * np.uint64(0xD6E8FEB86659FD93) + words[last + 1]) & np.uint64(FEATURES - 1)
+    total, ends = model.totals(feature, row, n), np.zeros((n, len(model.names)))
+    ends[at] = model.weights[pair.astype(np.int64)]
+    summed = lambda x: np.concatenate([np.zeros((1, *x.shape[1:])), np.cumsum(x, axis=0, dtype=float)])
+    total, ends = summed(total), summed(ends)
+    number, pairs = summed(np.bincount(row, minlength=n)), summed(np.bincount(at, minlength=n))
+
+    def read(start: np.ndarray, size) -> np.ndarray:
+        return model.shares(total[start + size] - total[start] + ends[start + size - 1] - ends[start],
+                            number[start + size] - number[start] + pairs[start + size - 1] - pairs[start])
+
+    out = []
+    for size in range(2, min(JOINED, n) + 1):
+        start = np.flatnonzero(run[size - 1:] == run[:n - size + 1])
+        if len(start):
+            out.append((start, size, read(start, size)))
+    begin = np.flatnonzero(np.r_[True, ~met])
+    size = np.diff(np.r_[begin, n])
+    for k in np.flatnonzero(size > JOINED):
+        out.append((begin[k:k + 1], int(size[k]), read(begin[k:k + 1], int(size[k]))))
+    return run, out
+
+
 def hash_lines(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     data = [x.encode() for x in lines]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64)
@@ -134,6 +179,11 @@ def train(ordinary: list[str], seed: int = 11) -> Classifier:
         for _ in range(4 * COPIES):
             lines.append(vary(line.format(" ".join(rng.choice(pool, rng.integers(1, 3))), rng.integers(1, 9)), 0.0))
             label.append(1)
+    for line in ordinary:  # few ordinary lines are as short as a notice
+        words = line.split()
+        at = int(rng.integers(0, max(1, len(words))))
+        lines.append(" ".join(words[at:at + int(rng.integers(1, 13))]))
+        label.append(0)
     y, order = np.array(label), rng.permutation(len(lines))
     feature, row = features(*hash_lines(lines))
     by_line = np.argsort(row, kind="stable")
@@ -189,14 +239,18 @@ def fit(docs: DataFrame, rows: int = NONE_ROWS) -> Classifier:
 
 
 def scan(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> tuple[DataFrame, str]:
-    """Classify every paragraph (line) of every whole text: a struct of
-    ``n_paragraphs`` (lines with a word), ``families`` (sorted, distinct) and
-    ``notices`` (paragraph number from 0, family, probability, share of the
-    best template's words found).
-
-    A paragraph that the classifier takes for a licence, but not surely of one
-    family, or that does not hold enough of one of its templates, is
-    ``unknown`` if it holds enough of any licence talk, else no notice.
+    """Classify every paragraph (line) of every whole text, and neighbouring
+    lines read as one: a struct of ``n_paragraphs`` (lines with a word),
+    ``families`` (sorted, distinct) and ``notices`` (number of the first line
+    from 0, family, probability, share of the best template's words found,
+    number of lines).
+
+    A line, or else a stretch of lines without a wordless one between, is a
+    notice of a family if the classifier is sure and a template confirms it;
+    of overlapping stretches the one that holds most of a template counts.
+    Outside such notices, what is surely a licence by the classifier, holds a
+    word of TALK and is not the rest of a family found in the text, or is taken
+    for a licence and holds enough of any licence talk, is ``unknown``.
 
     Defined cases: a null, empty or wordless text has no paragraph and no
     notice; equal paragraphs are notices of their own; repeated rows are
@@ -215,6 +269,7 @@ def scan(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> t
             templates[family] = [set(words[rows[k]:rows[k + 1]].tolist()) for k in range(len(lines))]
         words, rows = hash_lines([x.replace("{}", " ") for x in UNKNOWN])
         talk = [set(words[rows[k]:rows[k + 1]].tolist()) for k in range(len(UNKNOWN))]
+        spoken = set(hash_lines(TALK)[0].tolist())
         talk += [t for sets in templates.values() for t in sets]
 
         def step(raw, offsets, nulls, batch):
@@ -227,21 +282,56 @@ def scan(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> t
                 count = np.diff(rows)
                 n_lines[i:j] = np.diff(np.concatenate([[0], np.cumsum(count > 0)])[first])
                 p = m.probabilities(*features(words, rows), len(rows) - 1)
+                run, joined = joined_lines(words, rows, first, m)
+
+                def like(line, size, sets):
+                    have = set(words[rows[line]:rows[line + size]].tolist())
+                    return max(len(have & t) / len(t) for t in sets)
+
+                taken, whole, found = np.zeros(len(count), bool), set(), []
+                loose = []  # lines that no template confirms
                 for line in np.flatnonzero((p.argmax(axis=1) > 0) & (count > 0)):
                     best = int(p[line].argmax())
-                    family, share = m.names[best], 0.0
-                    have = set(words[rows[line]:rows[line + 1]].tolist())
-                    if best > 1:
-                        share = max(len(have & t) / len(t) for t in templates[family])
-                    if best == 1 or p[line, best] < SURE or share < LIKE:
-                        family, share = "unknown", max(len(have & t) / len(t) for t in talk)
-                        if share < LIKE:
-                            continue  # no licence talk at all
-                    row = int(np.searchsorted(first, line, side="right")) - 1
-                    notices[i + row].append({"paragraph": int(line - first[row]), "family": family,
-                                             "probability": float(p[line, best]), "template_share": float(share)})
+                    share = like(line, 1, templates[m.names[best]]) if best > 1 and p[line, best] >= SURE else 0.0
+                    if share >= LIKE:
+                        found.append((line, 1, m.names[best], p[line, best], share))
+                        taken[line] = True
+                    else:
+                        loose.append((line, 1, best, p[line, best], 1 - p[line, 0]))
+                sure = []
+                for start, size, q in joined:
+                    best = q.argmax(axis=1)
+                    high = q[np.arange(len(best)), best]
+                    for k in np.flatnonzero((best > 0) & (high >= SURE)):
+                        line = int(start[k])
+                        if taken[line:line + size].any():
+                            continue
+                        share = like(line, size, templates[m.names[best[k]]]) if best[k] > 1 else 0.0
+                        if share >= LIKE:
+                            sure.append((-share, size, line, m.names[best[k]], high[k]))
+                        elif best[k] == 1:
+                            loose.append((line, size, 1, high[k], high[k]))
+                for share, size, line, family, high in sorted(sure):
+                    if not taken[line:line + size].any():
+                        found.append((line, size, family, high, -share))
+                        taken[line:line + size] = True
+                        whole.add(int(run[line]))
+                in_row = lambda line: int(np.searchsorted(first, line, side="right")) - 1
+                known = {(in_row(x[0]), x[2]) for x in found}
+                for line, size, best, high, licence in loose:
+                    if taken[line:line + size].any() or int(run[line]) in whole:
+                        continue  # the rest of a notice's paragraph
+                    share = like(line, size, talk)
+                    speaks = licence >= SURE and not spoken.isdisjoint(words[rows[line]:rows[line + size]].tolist())
+                    if share >= LIKE or (speaks and (in_row(line), m.names[best]) not in known):
+                        found.append((line, size, "unknown", high, share))
+                        taken[line:line + size] = True
+                for line, size, family, high, share in sorted(found):
+                    row = in_row(line)
+                    notices[i + row].append({"paragraph": int(line - first[row]), "family": family, "probability": float(high),
+                                             "template_share": float(share), "n_lines": int(size)})
             kind = pa.struct([("paragraph", pa.int64()), ("family", pa.string()), ("probability", pa.float64()),
-                              ("template_share", pa.float64())])
+                              ("template_share", pa.float64()), ("n_lines", pa.int64())])
             families = [sorted({x["family"] for x in row}) for row in notices]
             return [pa.array(n_lines), pa.array(families, pa.list_(pa.string())), pa.array(notices, pa.list_(kind))]
 

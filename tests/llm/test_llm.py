@@ -260,6 +260,21 @@ def test_toxicity_votes_and_index(spark, docs, labels):
         assert [e for _, e in got] == [e for _, e in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
 
 
+def test_licences_wrapped_and_unknown(spark, docs):
+    wrapped = {"MIT": ["# Permission is hereby granted, free of charge, to any person obtaining a copy", "# of this software and associated documentation files (the Software), to deal",
+                       "# in the Software without restriction, including without limitation the rights"],
+               "BSD": ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met:"],
+               "GPL": ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+                       "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."],
+               "unknown": ["This software is distributed under the ISC licence."]}
+    rows = [(i, "\n".join(["the water and stone", "", *lines, "", "river under light"]), "en", "s", "x", 0.0) for i, lines in enumerate(wrapped.values())]
+    out, name = licences.scan(spark.createDataFrame(rows, SCHEMA), licences.fit(docs))
+    got = {r.doc_id: r[name] for r in out.collect()}
+    assert [list(got[i].families) for i in range(4)] == [[x] for x in wrapped]
+    assert [len(got[i].notices) for i in range(4)] == [1] * 4
+    assert [got[i].notices[0].n_lines for i in (0, 1, 3)] == [3, 2, 1]
+
+
 def test_toxicity_rare_marker(spark, docs, labels):
     rare = (F.col("doc_id") % 40 == 0)  # three toxic examples hold the word, no clean one
     marked = docs.where("doc_id < 120").withColumn("text", F.when(rare, F.concat("text", F.lit(" vile"))).otherwise(F.col("text")))
