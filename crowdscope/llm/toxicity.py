@@ -21,6 +21,8 @@ LEARN_ROWS = 20_000
 TERM_PRIOR = 1.0
 #: Postings that a search reads first, and the most examples it then scores one by one.
 FIRST_POSTINGS, CANDIDATES = 20_000, 512
+#: Parts in which the examples come to the driver.
+PARTS = 8
 #: Most learnable ids that are broadcast (12 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Bytes of a word's start that count as a term of their own.
@@ -264,27 +266,31 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = LEARN_ROW
     idf = (np.log((1 + n_docs) / (1 + df)) + 1e-3) * np.maximum(told, 0)
 
     ids, labels_, sizes, terms, counts = [], [], [], [], []
-    for batch in examples.where(F.size("terms") > 0).toArrow().to_batches(1000):  # at most about `rows` examples
-        lists = batch.column(2)
-        ids += batch.column(0).to_pylist()
-        labels_ += batch.column(1).to_pylist()
-        sizes.append(np.diff(lists.offsets.to_numpy()))
-        terms.append(np.array([vocabulary[t] for t in lists.flatten().to_pylist()], np.int32))
-        counts.append(batch.column(3).flatten().to_numpy())
+    for k in range(PARTS):  # at most about `rows` examples, a part at a time
+        part = examples.where((F.size("terms") > 0) & (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)) == k)).toArrow()
+        for batch in part.to_batches(500):
+            lists = batch.column(2)
+            ids += batch.column(0).to_pylist()
+            labels_ += batch.column(1).to_pylist()
+            sizes.append(np.diff(lists.offsets.to_numpy()))
+            terms.append(np.array([vocabulary[t] for t in lists.flatten().to_pylist()], np.int32))
+            counts.append(batch.column(3).flatten().to_numpy().copy())
+        del part
     at, rate = np.array([0.0, 1.0]), np.array([0.0, 1.0])
     if not ids:
         return Model({}, idf, share, None, np.zeros(0), [], base, at, rate)
     size, term, weight = np.concatenate(sizes).astype(np.int64), np.concatenate(terms), np.concatenate(counts)
-    row = np.repeat(np.arange(len(size)), size)
-    weight = (1 + np.log(weight)) * idf[term]
-    norm = np.sqrt(np.bincount(row, weight * weight, len(size)))
-    weight = weight / np.maximum(norm, 1e-300)[row]
+    del sizes, terms, counts, stats
     first = np.cumsum(size) - size
-    strongest = np.lexsort((term, -weight, row))[first]
+    weight = (1 + np.log(weight)) * idf[term]
+    weight /= np.repeat(np.maximum(np.sqrt(np.add.reduceat(weight * weight, first)), 1e-300), size)
+    at_top = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, first), size))
+    strongest = at_top[np.searchsorted(at_top, first)]
     order = np.lexsort((np.array(ids), term[strongest]))  # alike examples share blocks
     place = spans(first[order], size[order])
-    first = np.concatenate([[0], np.cumsum(size[order])])
-    index = BlockMaxIndex.of(first, term[place], weight[place], len(vocabulary))
+    first, term, weight = np.concatenate([[0], np.cumsum(size[order])]), term[place], weight[place]
+    del place, at_top
+    index = BlockMaxIndex.of(first, term, weight, len(vocabulary))
     y = np.array(labels_, float)[order]
     raw, truth = [], []
     for e in range(index.n):
