@@ -143,6 +143,123 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(f"{name}.families", ",").alias("families"))
 
 
+def crc32_sql(value: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII text, bit by bit."""
+    bit = "xor(c >> 1, 3988292384 * (c & 1))"
+    codes = f"list_transform(string_split({value}, ''), lambda ch: ascii(ch)::BIGINT)"
+    byte = f"list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {bit})"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda crc, b: {byte}), 4294967295)"
+
+
+SQL_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+l AS (
+  SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role,
+         sha256(strlen(role) || ':' || role || text)) AS turns,
+         conv_id - (conv_id % 5 + 5) % 5 AS base, {crc32_sql("conv_id::VARCHAR")} % 9 AS h
+  FROM t GROUP BY conv_id),
+c AS (
+  SELECT l.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, l.h), list_slice(l.turns, l.h + 1, len(l.turns))) AS path
+  FROM l LEFT JOIN l AS b ON l.base = b.conv_id),
+m AS (SELECT conv_id, len(path) AS size, d AS depth, list_slice(path, 1, d) AS node FROM c, unnest(range(0, len(path) + 1)) AS x(d)),
+n AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256
+  FROM m GROUP BY node, depth),
+k AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.node[-1].t) END AS own
+  FROM n LEFT JOIN n AS p ON p.depth = n.depth - 1 AND p.node = list_slice(n.node, 1, n.depth - 1)),
+f AS (SELECT k.*, EXISTS (FROM n AS q WHERE q.depth = k.depth + 1 AND list_slice(q.node, 1, k.depth) = k.node) AS inner_ FROM k)
+SELECT a.conv_id, a.depth::BIGINT AS depth, a.parent_conv_id, a.n_convs,
+       count(*) FILTER (WHERE s.depth = a.depth + 1) AS n_children,
+       count(*) FILTER (WHERE NOT s.inner_) AS n_leaves,
+       sum(s.own)::BIGINT AS saved_tokens, a.ends_sha256
+FROM f AS a JOIN f AS s ON s.depth >= a.depth AND list_slice(s.node, 1, a.depth) = a.node
+GROUP BY a.node, a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.ends_sha256"""
+
+
+def crc32_of(column: str):
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+@register("op11_prefix_trie", SQL_TRIE)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.prefix_trie import build_trie
+    conv = F.col("conv_id")
+    return build_trie(table(spark, sf_dir, "conversations"), conv - F.pmod(conv, F.lit(5)), crc32_of("conv_id") % 9, 8)
+
+
+def merkle_sql(levels: int) -> str:
+    """DuckDB SQL for manifests of at most ``8 ** levels`` rows a language."""
+    def field(c):
+        return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(name, rows):
+        """Levels ``name0`` up (key, r, total, h), with the hashes beside each node."""
+        out = [f"{name}0 AS ({rows})"]
+        for k in range(levels):
+            out.append(f"""{name}{k}b AS (SELECT *, coalesce(string_agg(h, '') OVER (PARTITION BY key, r // 8 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(h, '') OVER (PARTITION BY key, r // 8 ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS z FROM {name}{k})""")
+            out.append(f"""{name}{k + 1} AS (SELECT key, r // 8 AS r, (any_value(total) + 7) // 8 AS total,
+  CASE WHEN any_value(total) > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE any_value(h) END AS h FROM {name}{k} GROUP BY key, r // 8)""")
+        return ",\n".join(out)
+
+    def walk(name, of, parts, fold):
+        """Joins of the rows of ``of`` to their nodes; texts beside them and the folded hash."""
+        joins, beside, acc = [], [], fold
+        for k in range(levels):
+            t = f"{name}{k}b"
+            joins.append(f"JOIN {t} ON {t}.key IS NOT DISTINCT FROM {of}.key AND {t}.r = {of}.r // {8 ** k}")
+            beside.append(f"{t}.a || {t}.z")
+            acc = f"CASE WHEN {t}.total > 1 THEN sha256({t}.a || ({acc}) || {t}.z) ELSE ({acc}) END"
+        return " ".join(joins), " || ".join(beside), acc
+
+    leaf_joins, leaf_beside, leaf_fold = walk("n", "d", None, "d.first_")
+    top_joins, top_beside, top_fold = walk("t", "s", None, "w.folded")
+    return f"""
+WITH d AS (
+  SELECT doc_id, lang AS key, {leaf("text")} AS leaf,
+         CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS first_,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {leaf("text")}) - 1 AS r, count(*) OVER (PARTITION BY lang) AS total
+  FROM documents),
+{tree("n", "SELECT key, r, total, leaf AS h FROM d")},
+s AS (
+  SELECT key AS part, 0 AS key, h AS subroot, row_number() OVER (ORDER BY key IS NOT NULL, encode(key)) - 1 AS r, count(*) OVER () AS total
+  FROM n{levels}),
+{tree("t", "SELECT key, r, total, subroot AS h FROM s")},
+w AS (SELECT d.doc_id, d.leaf, d.key AS part, {leaf_beside} AS beside, {leaf_fold} AS folded FROM d {leaf_joins}),
+v AS (
+  SELECT w.doc_id, w.leaf, s.subroot, t{levels}.h AS root, sha256(w.beside || {top_beside}) AS proof_sha256, {top_fold} AS folded_root
+  FROM w JOIN s ON s.part IS NOT DISTINCT FROM w.part {top_joins} JOIN t{levels} ON t{levels}.key = s.key)
+SELECT *, folded_root = root AS verified FROM v"""
+
+
+@register("op12_merkle_manifest", merkle_sql(5))
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from crowdscope.llm.manifest import build_manifest, proof_digest
+    out = build_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                         tampered=crc32_of("doc_id") % 3 == 0)
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                      "folded_root", "verified")
+
+
+@register("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from crowdscope.llm.bytebpe import decode, encode
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids, name = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])
+    out, text = decode(ids, path, f"{name}.ids")
+    return out.select("doc_id", f"{name}.n_tokens", F.sha2(f"{name}.ids", 256).alias("ids_sha256"), F.sha2(text, 256).alias("decoded_sha256"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
