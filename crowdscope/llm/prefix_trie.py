@@ -4,6 +4,8 @@ last turn of every path is stripped and equal paths merge."""
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from itertools import groupby, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -11,12 +13,14 @@ from pyspark.sql import functions as F
 
 from crowdscope.llm.common import land
 
-#: Depths that one job peels.
-BAND = 8
-#: States below one ancestor up to which a band is dealt by ancestor.
-TOGETHER = 20_000
+#: Depths that one job peels: by one grouping for each depth, or inside tasks.
+BAND, DEEP_BAND = 8, 64
+#: Prefix keys below one ancestor up to which a task peels them (some 50 MB); beyond, every depth is a grouping.
+TOGETHER = 400_000
 #: Ids rendered into one piece of text.
 IDS = 1 << 16
+#: Rows that a task hands over at once.
+STEP = 4096
 ROOT = hashlib.sha256(b"").digest()
 
 
@@ -69,74 +73,113 @@ def paths(convs: DataFrame) -> DataFrame:
 SUMS = ("n_convs", "n_children", "n_leaves", "saved_tokens")
 
 
-def merge(states: DataFrame, by: list[str]) -> DataFrame:
+def merge(states: DataFrame) -> DataFrame:
     """Equal paths become one state."""
-    return states.groupBy(*by).agg(F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in SUMS],
-                                   *[F.first(c).alias(c) for c in ("path", "sizes", "parent")])
+    return states.groupBy("at", "key", "done").agg(
+        F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in SUMS], *[F.first(c).alias(c) for c in ("path", "sizes", "parent")])
 
 
-def peel(states: DataFrame, depth: int, near: list[str]) -> DataFrame:
+STATE = ("at int, key binary, done boolean, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, "
+         "path array<binary>, sizes array<long>, parent binary")
+NAMES = [c.split()[0] for c in STATE.split(", ")]
+
+
+def peel(states: DataFrame, depth: int) -> DataFrame:
     """Merge the states at ``depth``; each gives a finished node and, one turn
     shorter, a state at the next depth. All other rows stay as they are."""
-    one = merge(states, [*near, "at", "key", "done"])
-    now = (F.col("at") == depth) & ~F.col("done")
-    own = F.element_at("sizes", depth + 1)
-    leaves = F.when(F.col("n_children") == 0, F.lit(1).cast("long")).otherwise(F.col("n_leaves"))
-    saved = F.col("saved_tokens") + (F.col("n_convs") - 1) * own
-    above = F.element_at("path", depth) if depth else F.lit(None).cast("binary")
-    rest = [*near, "conv_id", "n_convs"]
-
-    def row(at, key, done, children, n_leaves, n_saved, path, sizes, parent):
-        return F.struct(*rest, at.cast("int").alias("at"), key.alias("key"), F.lit(done).alias("done") if isinstance(done, bool) else done.alias("done"),
-                        children.cast("long").alias("n_children"), n_leaves.alias("n_leaves"), n_saved.alias("saved_tokens"),
-                        path.alias("path"), sizes.alias("sizes"), parent.alias("parent"))
-
-    no_path, no_sizes, no_parent = F.lit(None).cast("array<binary>"), F.lit(None).cast("array<long>"), F.lit(None).cast("binary")
-    node = row(F.lit(depth), F.col("key"), True, F.col("n_children"), leaves, saved, no_path, no_sizes, above)
-    out = [node]
-    if depth:
-        out.append(row(F.lit(depth - 1), above, False, F.lit(1), leaves, saved,
-                       F.slice("path", 1, F.lit(depth)), F.slice("sizes", 1, F.lit(depth)), no_parent))
-    same = row(F.col("at"), F.col("key"), F.col("done"), F.col("n_children"), F.col("n_leaves"), F.col("saved_tokens"),
-               F.col("path"), F.col("sizes"), F.col("parent"))
-    return one.select(F.inline(F.when(now, F.array(*out)).otherwise(F.array(same))))
+    parent = f"path[{depth - 1}]" if depth else "cast(null AS binary)"
+    leaves, saved = "if(n_children = 0, 1L, n_leaves)", f"saved_tokens + (n_convs - 1) * sizes[{depth}]"
+
+    def row(*values):
+        return "named_struct(" + ", ".join(f"'{c}', {v}" for c, v in zip(NAMES, values, strict=True)) + ")"
+
+    node = row("at", "key", "true", "conv_id", "n_convs", "n_children", leaves, saved,
+               "cast(null AS array<binary>)", "cast(null AS array<bigint>)", parent)
+    shorter = row("at - 1", parent, "false", "conv_id", "n_convs", "1L", leaves, saved,
+                  f"slice(path, 1, {depth})", f"slice(sizes, 1, {depth})", "cast(null AS binary)")
+    made = f"array({node}, {shorter})" if depth else f"array({node})"
+    return merge(states).selectExpr(f"inline(if(at = {depth} AND NOT done, {made}, array({row(*NAMES)})))")
+
+
+def peel_inside(states: DataFrame, top: int, foot: int) -> DataFrame:
+    """All depths from ``top`` down to ``foot`` + 1 in one exchange: the states
+    below one ancestor at ``foot`` meet in a task, which peels them."""
+    def peeled(rows):
+        ended: dict[int, list] = {}
+        for r in rows:
+            ended.setdefault(r["at"], []).append(r)
+        live: dict[bytes, dict] = {}
+        for depth in range(top, foot, -1):
+            for r in ended.pop(depth, ()):
+                own = live.get(r["key"])
+                if own is None:
+                    live[r["key"]] = r
+                else:
+                    own["conv_id"] = min(own["conv_id"], r["conv_id"])
+                    for c in SUMS:
+                        own[c] += r[c]
+            shorter: dict[bytes, dict] = {}
+            for r in live.values():
+                path, parent = r["path"], r["path"][depth - 1]
+                if not r["n_children"]:
+                    r["n_leaves"] = 1
+                r["saved_tokens"] += (r["n_convs"] - 1) * r["sizes"][depth]
+                yield r | {"at": depth, "done": True, "path": None, "sizes": None, "parent": parent}
+                own = shorter.get(parent)
+                if own is None:
+                    shorter[parent] = r | {"at": depth - 1, "key": parent, "n_children": 1, "path": path}
+                else:
+                    own["conv_id"] = min(own["conv_id"], r["conv_id"])
+                    own["n_children"] += 1
+                    for c in ("n_convs", "n_leaves", "saved_tokens"):
+                        own[c] += r[c]
+            live = shorter
+        for r in live.values():
+            yield r | {"path": r["path"][:foot + 1], "sizes": r["sizes"][:foot + 1]}
+
+    def run(batches):
+        rows = (r for b in batches for r in b.to_pylist())
+        kind = None
+        for _, group in groupby(rows, key=lambda r: r.pop("near")):
+            found = peeled(group)
+            while some := list(islice(found, STEP)):
+                kind = kind or pa.schema([("at", pa.int32()), ("key", pa.binary()), ("done", pa.bool_()), *[(c, pa.int64()) for c in NAMES[3:8]],
+                                          ("path", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int64())), ("parent", pa.binary())])
+                yield pa.RecordBatch.from_pylist(some, schema=kind)
+
+    return states.repartition("near").sortWithinPartitions("near").mapInArrow(run, STATE)
 
 
 def grow_trie(ended: DataFrame) -> DataFrame:
     """All nodes of the trie over ``ended``: landed states, one for each
     distinct whole path, sorted by their depth ``at``.
 
-    A job peels a band of depths. If no ancestor at the band's foot has many
-    states, they are dealt by it once and the band needs no other exchange;
-    else (near the root, or below a hot first turn) each depth has its own,
-    with partial sums before it, so one hot path is a row a task.
+    A job peels a band of depths. Below depth 8, where no ancestor at the
+    band's foot has many states, they are dealt by it once and peeled inside
+    tasks; else (near the root, or below a hot long prefix) every depth is a
+    grouping of its own, with partial sums before its exchange, so a hot path
+    is one row a task.
     """
     deepest = ended.agg(F.max("at")).first()[0]
-    if deepest is None:
-        return ended.where("false")
-    live, finished, top = None, [], deepest
+    live, finished, top = None, [], -1 if deepest is None else deepest
     while top >= 0:
-        foot = max(top - BAND, -1)  # depths foot + 1 to top are peeled
-        states = ended.where(F.col("at").between(foot + 1, top))
-        states = states if live is None else states.unionByName(live)
-        near = []
-        if foot > 0:
-            states = states.withColumn("near", F.element_at("path", foot + 1))
-            most = states.groupBy("near").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        made, foot = None, max(top - DEEP_BAND, BAND)
+        if foot < top:
+            states = ended.where(F.col("at").between(foot + 1, top))
+            states = (states if live is None else states.unionByName(live)).withColumn("near", F.element_at("path", foot + 1))
+            most = states.groupBy("near").agg(F.sum(F.size("path")).alias("n")).agg(F.max("n")).first()[0] or 0
             if most <= TOGETHER:
-                near = ["near"]
-                states = states.repartition("near")
-            else:
-                states = states.drop("near")
-        for depth in range(top, foot, -1):
-            states = peel(states, depth, near)
-        made = land(states.drop("near"), "trie-band")
+                made = peel_inside(states, top, foot)
+        if made is None:
+            foot = max(top - BAND, BAND) if top > BAND else -1
+            made = ended.where(F.col("at").between(foot + 1, top))
+            made = made if live is None else made.unionByName(live)
+            for depth in range(top, foot, -1):
+                made = peel(made, depth)
+        made = land(made.select(*NAMES), "trie-band")
         finished.append(made.where("done"))
         live, top = made.where("not done"), foot
-    nodes = finished[0]
-    for more in finished[1:]:
-        nodes = nodes.unionByName(more)
-    return nodes
+    return reduce(DataFrame.unionByName, finished, ended.where("done"))
 
 
 def ends_digests(ends: DataFrame) -> DataFrame:
@@ -200,13 +243,12 @@ def build_trie(turns: DataFrame, base: Column, head: Column, most: int) -> DataF
     convs = land(order_turns(turns), "trie-conversations")
     whole = land(paths(regroup(convs, base, head, most)), "trie-paths")
     at = F.size("path") - 1
-    states = (whole.select("conv_id", "path", "sizes", at.alias("at"), F.element_at("path", -1).alias("key"), F.lit(False).alias("done"),
-                           F.lit(1).cast("long").alias("n_convs"), *[F.lit(0).cast("long").alias(c) for c in SUMS[1:]],
-                           F.lit(None).cast("binary").alias("parent")))
-    merged = merge(states, ["at", "key", "done"])
-    ended = land(merged.repartitionByRange("at").sortWithinPartitions("at"), "trie-states")
+    key, zero, none = F.element_at("path", -1).alias("key"), F.lit(0).cast("long"), F.lit(None).cast("binary")
+    states = whole.select((F.size("path") - 1).alias("at"), key, F.lit(False).alias("done"), "conv_id", F.lit(1).cast("long").alias("n_convs"),
+                          *[zero.alias(c) for c in SUMS[1:]], "path", "sizes", none.alias("parent"))
+    ended = land(merge(states).select(*NAMES).repartitionByRange("at").sortWithinPartitions("at"), "trie-states")
     nodes = grow_trie(ended)
-    ends = ends_digests(whole.select(F.element_at("path", -1).alias("key"), "conv_id"))
+    ends = ends_digests(whole.select(key, "conv_id"))
     above = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     return (nodes.join(above, "parent", "left").join(ends, "key", "left")
             .select("conv_id", F.col("at").cast("long").alias("depth"), "parent_conv_id", *SUMS,
