@@ -67,6 +67,30 @@ def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[
         i = j
 
 
+def text_parts(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, bytes and row offsets of parts of about ``limit`` bytes. A
+    longer row comes in several parts, cut after a byte that ``inside`` (256
+    flags) calls no part of a word; only a longer word makes a longer part."""
+    for lo, hi in row_slices(offsets, limit):
+        at, end = int(offsets[lo]), int(offsets[hi])
+        if end - at <= limit or hi - lo > 1:
+            yield lo, raw[at:end], offsets[lo:hi + 1] - at
+            continue
+        while at < end:
+            cut = min(end, at + limit)
+            while cut < end and inside[raw[cut - 1]]:
+                ahead = np.flatnonzero(~inside[raw[cut:min(end, cut + 65536)]])
+                cut = cut + int(ahead[0]) + 1 if len(ahead) else min(end, cut + 65536)
+            yield lo, raw[at:cut], np.array([0, cut - at], np.int64)
+            at = cut
+
+
+def hash_below(key: Column, salt: str, rows: int, n: int) -> Column:
+    """Whether a key is one of about ``rows`` of ``n``, by 63 bits of its hash."""
+    bound = (1 << 63) - 1 if n <= rows else rows * (1 << 63) // n
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(salt)), 1) < F.lit(bound).cast("long")
+
+
 def annotate(df: DataFrame, name: str, fields: T.StructType, make: Callable, keep: list[str] | None = None,
              text: str = "text") -> tuple[DataFrame, str]:
     """Append one struct column computed from the whole text of every row.

@@ -3,8 +3,9 @@ block-max inverted index, distance-weighted votes, calibrated scores."""
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
+import sys
+import types
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -12,24 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, land, text_column, utf8_buffers
-from crowdscope.llm.decontam import FOLD
+from crowdscope.llm.common import WordHasher, annotate, hash_below, land, text_column, text_parts, utf8_buffers
 
-#: Labelled rows that are examples and set the calibration (expected; dealt by a hash).
-LEARN_ROWS = 20_000
+#: Labelled documents that are examples, of either label (expected number; dealt by a hash of the id).
+TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
+#: Labelled documents at most (expected) that tell how reliable a term's vote is; their ids are broadcast (16 MB).
+LABEL_ROWS = 1_000_000
+#: Parts of the labelled documents; an example is calibrated by what the other parts tell.
+FOLDS = 4
 #: A term's label share counts as if it had so many more rows of the base rate.
 TERM_PRIOR = 1.0
-#: Postings that a search reads first, and the most examples it then scores one by one.
-FIRST_POSTINGS, CANDIDATES = 20_000, 512
-#: Parts in which the examples come to the driver.
-PARTS = 8
-#: Most learnable ids that are broadcast (12 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-#: Bytes of a word's start that count as a term of their own.
-START = 4
-NEIGHBOURS = 15
-#: Weight of the base rate in a vote.
-PRIOR = 0.5
+#: Nearest examples of each label that vote.
+NEIGHBOURS = 20
+#: Postings that a search reads before it first asks what else can be reached.
+FIRST_POSTINGS = 100_000
 #: Examples in one block of the index.
 BLOCK = 64
 REJECT = 0.7
@@ -42,302 +39,336 @@ RESULT = T.StructType([
         T.StructField("toxic", T.IntegerType())])))])
 
 
-def terms_of(text: bytes) -> list[bytes]:
-    """Words of a text, case-folded."""
-    return text.translate(FOLD).split()
-
-
-def starts(words) -> set[bytes]:
-    return {b"^" + w[:START] for w in words if len(w) > START}
-
-
-def count_of(text: bytes) -> Counter:
-    """All terms of a whole text and their counts."""
-    words = Counter(terms_of(text))
-    first: Counter = Counter()
-    for w, n in words.items():
-        if len(w) > START:
-            first[b"^" + w[:START]] += n
-    words.update(first)
-    return words
-
-
-def sparse(text: bytes, vocabulary: dict[bytes, int]) -> dict[int, int]:
-    """Term numbers and counts of the vocabulary's terms in a whole text."""
-    return {vocabulary[w]: n for w, n in count_of(text).items() if w in vocabulary}
-
-
 def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places of all runs of ``size`` entries from ``start`` on."""
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
 class BlockMaxIndex:
-    """Postings by term over example vectors of length 1, with the highest
-    weight of every term in each block of consecutive examples."""
-
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        sizes = np.array([len(v) for v in vectors], np.int64)
-        self.build(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.array([t for v in vectors for t in v], np.int32),
-                   np.array([w for v in vectors for w in v.values()], float), n_terms)
-
-    @classmethod
-    def of(cls, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> BlockMaxIndex:
-        index = cls.__new__(cls)
-        index.build(first, term, weight, n_terms)
-        return index
-
-    def build(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> None:
-        self.n, self.n_terms = len(first) - 1, n_terms
-        self.first, self.term, self.weight = first, term.astype(np.int32), weight
-        row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))
+    """Postings by term over example vectors of length 1 (rows of ``first``,
+    ``term``, ``weight``), with the highest weight of every term in each block
+    of consecutive examples. Examples from ``split`` on are of the other label."""
+
+    def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, split: int):
+        self.n, self.n_terms, self.split = len(first) - 1, n_terms, split
+        self.first, self.term, self.weight = first, term, weight
         order = np.argsort(term, kind="stable")
-        self.example, self.posted = row[order], weight[order]
+        self.example, self.posted = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))[order], weight[order]
         by_term = term[order]
         self.start = np.searchsorted(by_term, np.arange(n_terms + 1))
         block = self.example // BLOCK
         cut = np.flatnonzero(np.r_[True, (by_term[1:] != by_term[:-1]) | (block[1:] != block[:-1])]) if len(order) else np.zeros(0, np.int64)
-        self.block, self.highest = block[cut], np.maximum.reduceat(self.posted, cut) if len(cut) else np.zeros(0)
+        self.block, self.highest = block[cut], np.maximum.reduceat(self.posted, cut) if len(cut) else np.zeros(0, np.float32)
         self.block_start = np.searchsorted(by_term[cut], np.arange(n_terms + 1))
-        self.top = np.zeros(n_terms)
+        self.top = np.zeros(n_terms, np.float32)
         np.maximum.at(self.top, by_term[cut], self.highest)
-
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of highest cosine, ties to the lower example."""
-        return self.search(np.fromiter(query, np.int64, len(query)), np.fromiter(query.values(), float, len(query)), k, without)
-
-    def search(self, terms: np.ndarray, q: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """As ``nearest``. Terms are read by falling bound; when the others'
-        block maxima leave few examples that can reach the k-th best so far,
-        these are scored in full. More postings are read until that is so."""
-        if not len(terms):
-            return []
+        self.dense = np.zeros(n_terms)  # zero between calls
+
+    def search(self, terms: np.ndarray, q: np.ndarray, told: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ``k`` examples of highest cosine of either label, ties to the
+        lower example: their places, their cosines, and the sums that the
+        cosines' parts times ``told`` give. Those from ``split`` on come last.
+
+        Terms are read by falling bound. Once the block maxima of the others
+        leave so few examples that can reach the k-th best of their label that
+        scoring these in full takes less than reading on, this is done.
+        """
+        if not len(terms) or not self.n:
+            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         order = np.lexsort((terms, -q * self.top[terms]))
-        terms, q = terms[order], q[order]
+        terms, q = terms[order], q[order].astype(np.float32)
+        told = told[order]
         size = self.start[terms + 1] - self.start[terms]
-        read, budget, done, sums = np.cumsum(size), FIRST_POSTINGS, 0, np.zeros(self.n)
+        read, budget, done, sums, votes = np.cumsum(size), FIRST_POSTINGS, 0, np.zeros(self.n), np.zeros(self.n)
         while True:
             upto = max(done + 1, int(np.searchsorted(read, budget, side="right")))
             now = slice(done, upto)
             at = spans(self.start[terms[now]], size[now])
-            sums += np.bincount(self.example[at], self.posted[at] * np.repeat(q[now], size[now]), self.n)
-            done, budget = upto, budget * 4
-            if 0 <= without < self.n:
+            example, part = self.example[at], self.posted[at] * np.repeat(q[now], size[now])
+            sums += np.bincount(example, part, self.n)
+            votes += np.bincount(example, part * np.repeat(told[now], size[now]), self.n)
+            done, budget = upto, budget * 2
+            if without >= 0:
                 sums[without] = 0
             if done >= len(terms):
                 found = np.flatnonzero(sums > 0)
-                exact = sums[found]
+                exact, votes = sums[found], votes[found]
                 break
             rest = terms[done:]
             n_blocks = self.block_start[rest + 1] - self.block_start[rest]
             at = spans(self.block_start[rest], n_blocks)
             bound = np.bincount(self.block[at], self.highest[at] * np.repeat(q[done:], n_blocks), -(-self.n // BLOCK))
-            least = np.partition(sums, self.n - k)[self.n - k] if self.n > k else 0.0
-            if least > 0:
-                most = sums + np.repeat(bound, BLOCK)[:self.n]
-                found = np.flatnonzero(most >= least - 1e-9)
-                found = found[found != without]
-                if len(found) <= CANDIDATES:
-                    dense = np.zeros(self.n_terms)
-                    dense[terms] = q
-                    own = self.first[found + 1] - self.first[found]
-                    at = spans(self.first[found], own)
-                    exact = np.bincount(np.repeat(np.arange(len(found)), own), dense[self.term[at]] * self.weight[at], len(found))
-                    break
-        exact = np.round(exact, 12)
-        best = np.lexsort((found, -exact))[:k]
-        return [(float(exact[i]), int(found[i])) for i in best if exact[i] > 0]
-
-
-def weigh(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    """TF-IDF vector of length 1."""
-    w = {t: (1 + np.log(n)) * idf[t] for t, n in counts.items()}
-    norm = np.sqrt(sum(x * x for x in w.values()))
-    return {t: float(x / norm) for t, x in w.items()} if norm > 0 else {}
-
-
-def vote(found: list[tuple[float, int]], labels: np.ndarray, base: float) -> float:
-    """Similarity-squared weighted share of label 1, with a little base rate."""
-    w = np.array([s * s for s, _ in found])
-    y = labels[[e for _, e in found]]
-    return float((w @ y + PRIOR * base) / (w.sum() + PRIOR))
-
-
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            most = sums + np.repeat(bound, BLOCK)[:self.n]
+            if without >= 0:
+                most[without] = -1
+            reach = []
+            for lo, hi in ((0, self.split), (self.split, self.n)):
+                least = np.partition(sums[lo:hi], hi - lo - k)[hi - lo - k] if hi - lo > k else 0.0
+                reach.append(lo + np.flatnonzero(most[lo:hi] >= least - 1e-6) if least > 0 else np.arange(lo, hi))
+            found = np.concatenate(reach)
+            if (self.first[found + 1] - self.first[found]).sum() < read[-1] - read[done - 1]:
+                exact, votes = self.whole(found, terms, q, told)
+                break
+        exact = np.round(exact, 7)
+        best = np.lexsort((found, -exact, found >= self.split))
+        best = best[exact[best] > 0]
+        cut = int(np.count_nonzero(found[best] < self.split))
+        best = np.r_[best[:min(cut, k)], best[cut:cut + k]]
+        return found[best], exact[best], votes[best]
+
+    def whole(self, found: np.ndarray, terms: np.ndarray, q: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines, and the sums of their parts times ``told``, of some examples."""
+        own = self.first[found + 1] - self.first[found]
+        at, row = spans(self.first[found], own), np.repeat(np.arange(len(found)), own)
+        out = []
+        for weights in (q, q * told):
+            self.dense[terms] = weights
+            out.append(np.bincount(row, self.dense[self.term[at]] * self.weight[at], len(found)))
+        self.dense[terms] = 0
+        return out[0], out[1]
+
+
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rising step means of ``y`` over ``x`` (pool adjacent violators), smoothed by half a case each way."""
     blocks: list[list[float]] = []
     for v in np.unique(x):
-        here = y[x == v]
-        blocks.append([v, here.sum(), len(here), v])
+        here = x == v
+        blocks.append([v, (y[here] * weight[here]).sum(), weight[here].sum(), v])
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
             _, s, n, top = blocks.pop()
             blocks[-1][1] += s
             blocks[-1][2] += n
             blocks[-1][3] = top
-    at = np.array([(b[0] + b[3]) / 2 for b in blocks])
-    return at, np.array([(b[1] + 0.5) / (b[2] + 1) for b in blocks])
-
-
-@dataclass
-class Model:
-    vocabulary: dict[bytes, int]
-    idf: np.ndarray
-    toxic_share: np.ndarray
-    index: BlockMaxIndex | None
-    labels: np.ndarray
-    ids: list[int]
-    base: float
-    at: np.ndarray
-    rate: np.ndarray
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        terms = np.fromiter(counts, np.int64, len(counts))
-        w = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[terms]
-        norm = np.sqrt(w @ w)
-        found = self.index.search(terms, w / norm, NEIGHBOURS) if norm > 0 and self.index else []
-        if not found:
-            return self.base, []
-        raw = vote(found, self.labels, self.base)
-        return float(np.clip(0.999 * np.interp(raw, self.at, self.rate) + 0.001 * raw, 0, 1)), found
-
-
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = LEARN_ROWS) -> Model:
-    """Learn from the labelled documents for which ``learn`` holds; about
-    ``rows`` of them, toxic and clean, are the examples that are searched.
-
-    Vectors hold all words and word starts of the examples. A term's weight is
-    its IDF over all documents times the divergence of its toxic share from
-    the base rate, both counted in Spark over all learnable rows.
+    return np.array([(b[0] + b[3]) / 2 for b in blocks]), np.array([(b[1] + 0.5) / (b[2] + 1) for b in blocks])
+
+
+def reliability(hits: np.ndarray, rows: np.ndarray, base: float) -> np.ndarray:
+    """How much a term tells of the label: the divergence of its toxic share from the base rate."""
+    low = np.clip(base, 1e-6, 1 - 1e-6)
+    share = np.clip((hits + TERM_PRIOR * low) / (rows + TERM_PRIOR), 1e-6, 1 - 1e-6)
+    return np.maximum(share * np.log(share / low) + (1 - share) * np.log((1 - share) / (1 - low)), 0).astype(np.float32)
+
+
+class Words:
+    """Terms of a vocabulary (sorted word hashes) in whole texts."""
+
+    def __init__(self, vocabulary: np.ndarray):
+        self.vocabulary, self.hasher = vocabulary, WordHasher()
+        self.inside = self.hasher.fold != 0
+
+    def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row offsets, numbers and counts of the terms."""
+        v, keys, counts = len(self.vocabulary), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lo, part, own in text_parts(raw, offsets, self.inside) if v else ():
+            words, rows, _, _ = self.hasher(part, own)
+            at = np.minimum(np.searchsorted(self.vocabulary, words), v - 1)
+            known = self.vocabulary[at] == words
+            row = np.repeat(np.arange(lo, lo + len(own) - 1), np.diff(rows))
+            k, n = np.unique(row[known] * v + at[known], return_counts=True)
+            keys.append(k)
+            counts.append(n)
+        k, back = np.unique(np.concatenate(keys), return_inverse=True)  # parts of one row are summed
+        n = np.bincount(back, np.concatenate(counts), len(k))
+        return np.searchsorted(k, np.arange(len(offsets)) * v), k % max(v, 1), n
+
+    def named(self, raw: np.ndarray, terms: np.ndarray) -> list[str]:
+        """The words of one text that are these terms, sorted."""
+        found, wanted = set(), self.vocabulary[terms]
+        for _, part, own in text_parts(raw, np.array([0, len(raw)]), self.inside) if len(terms) else ():
+            words, _, start, stop = self.hasher(part, own)
+            at = np.flatnonzero(np.isin(words, wanted))
+            _, once = np.unique(words[at], return_index=True)
+            found |= {self.hasher.fold[part[start[i]:stop[i]]].tobytes().decode("utf-8", "replace") for i in at[once]}
+        return sorted(found)
+
+
+class Voter:
+    """Votes of the nearest examples, rebuilt in a task from a model's arrays."""
+
+    def __init__(self, arrays: dict):
+        self.words, self.idf, self.labels = Words(arrays["vocabulary"]), arrays["idf"], arrays["labels"]
+        self.index = BlockMaxIndex(arrays["first"], arrays["term"], arrays["weight"], len(self.idf), int(self.labels.sum()))
+        self.memo: dict = {}
+
+    def vote(self, terms: np.ndarray, weights: np.ndarray, told: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
+        """Votes for label 1 less those for 0, as a part of all similarity:
+        each example found votes with the part of its cosine that comes from
+        terms that tell of the label. Also the examples and their cosines."""
+        norm = np.sqrt(weights @ weights)
+        q = weights / norm if norm > 0 else weights
+        found, near, votes = self.index.search(terms, q, told[terms], NEIGHBOURS, without)
+        if not len(found):
+            return 0.0, found, near
+        return float(np.round((votes * (2.0 * self.labels[found] - 1)).sum() / near.sum(), 9)), found, near
+
+
+def voter(arrays: dict) -> Voter:
+    """The voter of a model, kept by the Python worker for later tasks."""
+    kept = sys.modules.setdefault("_toxicity_voters", types.ModuleType("_toxicity_voters")).__dict__
+    if kept.get("key") != arrays["key"]:
+        kept["key"], kept["voter"] = arrays["key"], Voter(arrays)
+    return kept["voter"]
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> dict:
+    """Learn from the labelled documents for which ``learn`` holds. The model
+    is a dict of arrays, a few MB.
+
+    About ``toxic_rows`` and ``clean_rows`` of them are the examples; their
+    words are the vocabulary. A term weighs its IDF over all documents,
+    whatever its labels. Labels enter the votes only: how much a term tells is
+    counted over all labelled documents (about a million of them at most) in
+    four parts, and each example is calibrated, without itself, by what the
+    other three parts tell.
     """
     marked = (labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
-    n = marked.count()
-    part = min(1.0, rows / max(1, n))
-    if n <= BROADCAST_IDS:
-        marked = F.broadcast(marked)
-    chosen = F.broadcast(marked.where(F.pmod(F.xxhash64("doc_id", F.lit("examples")), F.lit(1_000_000)) < int(part * 1_000_000)))
+    sizes = marked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
+    n_clean = sizes.n - sizes.toxic
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
+    sample = F.broadcast(marked.where(hash_below(F.col("doc_id"), "labels", LABEL_ROWS, sizes.n)).select("doc_id", "toxic", fold))
+    chosen = F.broadcast(marked.where(hash_below(F.col("doc_id"), "examples", toxic_rows, sizes.toxic) & (F.col("toxic") == 1)
+                                      | hash_below(F.col("doc_id"), "examples", clean_rows, n_clean) & (F.col("toxic") == 0))
+                         .select("doc_id", "toxic", fold))
     text = docs.select("doc_id", text_column(docs).alias("text"))
 
+    def vectors(batches):
+        hasher = WordHasher()
+        for batch in batches:
+            raw, offsets = utf8_buffers(batch.column(3))
+            terms, counts = [], []
+            for i in range(batch.num_rows):
+                words = [hasher(part, own)[0] for _, part, own in text_parts(raw[offsets[i]:offsets[i + 1]], offsets[i:i + 2] - offsets[i], hasher.fold != 0)]
+                t, n = np.unique(np.concatenate(words) if words else np.zeros(0, np.uint64), return_counts=True)
+                terms.append(t.view(np.int64))
+                counts.append(n)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(terms, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
+                                             names=["doc_id", "toxic", "fold", "terms", "counts"])
+
+    # of rows that repeat an id, one text is the example
+    one = text.join(chosen, "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id"), "toxic", "fold").agg(F.min("text").alias("text"))
+    found = land(one.mapInArrow(vectors, "doc_id long, toxic int, fold int, terms array<long>, counts array<int>"), "examples")
+    examples = found.where(F.size("terms") > 0).toArrow()  # at most about toxic_rows + clean_rows
+    ids, toxic, folds = (examples[c].to_numpy().copy() for c in ("doc_id", "toxic", "fold"))
+    lists, counts = examples["terms"].combine_chunks(), examples["counts"].combine_chunks().flatten().to_numpy()
+    hashes, size = lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    vocabulary, term = np.unique(hashes, return_inverse=True)
+    del examples, lists, hashes
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
     def count_terms(batches):
+        words = Words(known.value)
+        n_terms = len(known.value)
+        # documents, then labelled rows and toxic rows of each part; the last term counts texts
+        table = np.zeros((1 + 2 * FOLDS, n_terms + 1), np.int64)
         for batch in batches:
-            every, marked_, toxic, seen = Counter(), Counter(), Counter(), [0, 0]
             raw, offsets = utf8_buffers(batch.column(0))
-            data, y = raw.tobytes(), batch.column(1).to_pylist()
-            for i, label in enumerate(y):
-                words = set(terms_of(data[offsets[i]:offsets[i + 1]]))
-                words |= starts(words)
-                every.update(words)
-                if label is not None:
-                    seen[label] += 1
-                    marked_.update(words)
-                    if label:
-                        toxic.update(words)
-            terms = list(every)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*terms, b""], pa.binary()), pa.array([*every.values(), len(y)], pa.int64()),
-                 pa.array([*(marked_[t] for t in terms), sum(seen)], pa.int64()),
-                 pa.array([*(toxic[t] for t in terms), seen[1]], pa.int64())], names=["term", "df", "n", "hits"])
-
-    counted = text.join(marked, "doc_id", "left").select("text", "toxic").mapInArrow(count_terms, "term binary, df long, n long, hits long")
-    totals = land(counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", "n", "hits")]), "term-counts")
-    whole = totals.where(F.length("term") == 0).first()
-    n_docs, n_rows, n_toxic = (whole.df, whole.n, whole.hits) if whole else (0, 0, 0)
-    base = n_toxic / n_rows if n_rows else 0.0
+            rows, terms_, _ = words(raw, offsets)
+            own = np.diff(rows)
+            y, part = (np.asarray(batch.column(i).fill_null(-1)) for i in (1, 2))
+            groups = [(0, np.ones(len(y), bool)), *[(1 + f, part == f) for f in range(FOLDS)], *[(1 + FOLDS + f, (part == f) & (y == 1)) for f in range(FOLDS)]]
+            for g, some in groups:
+                table[g, :n_terms] += np.bincount(terms_[np.repeat(some, own)], minlength=n_terms)
+                table[g, n_terms] += some.sum()
+        used = np.flatnonzero(table[0])
+        for lo in range(0, len(used), 100_000):
+            at = used[lo:lo + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *[pa.array(row[at]) for row in table]], names=columns)
+
+    columns = ["term", "df", *[f"n{f}" for f in range(FOLDS)], *[f"hits{f}" for f in range(FOLDS)]]
+    counted = text.join(sample, "doc_id", "left").select("text", "toxic", "fold").mapInArrow(count_terms, ", ".join(f"{c} long" for c in columns))
+    totals = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in columns[1:]]).toArrow()  # a row for each word of the vocabulary
+    table = np.zeros((len(columns) - 1, len(vocabulary) + 1))
+    table[:, totals["term"].to_numpy()] = np.array([totals[c].to_numpy() for c in columns[1:]], float)
+    df, rows, hits = table[0], table[1:1 + FOLDS], table[1 + FOLDS:]
+    base = hits[:, -1].sum() / max(1, rows[:, -1].sum())
+    idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1e-3).astype(np.float32)
+    told = reliability(hits.sum(0)[:-1], rows.sum(0)[:-1], base)
 
-    def vectors(batches):
-        for batch in batches:
-            raw, offsets = utf8_buffers(batch.column(1))
-            data = raw.tobytes()
-            found = [count_of(data[offsets[i]:offsets[i + 1]]) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array([list(v) for v in found], pa.list_(pa.binary())),
-                 pa.array([list(v.values()) for v in found], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "counts"])
-
-    out = "doc_id long, toxic int, terms array<binary>, counts array<int>"
-    examples = land(text.join(chosen, "doc_id").select("doc_id", "text", "toxic").mapInArrow(vectors, out), "examples")
-    own = examples.select(F.explode("terms").alias("term")).distinct()
-    stats = totals.join(own, "term").toArrow()  # of the examples' terms only
-    stats = stats.sort_by("term")
-    vocabulary = {t: i for i, t in enumerate(stats["term"].to_pylist())}
-    df, n_, hits = (stats[c].to_numpy().astype(float) for c in ("df", "n", "hits"))
-    low = np.clip(base, 1e-6, 1 - 1e-6)
-    share = np.clip((hits + TERM_PRIOR * low) / (n_ + TERM_PRIOR), 1e-6, 1 - 1e-6)
-    told = share * np.log(share / low) + (1 - share) * np.log((1 - share) / (1 - low))
-    idf = (np.log((1 + n_docs) / (1 + df)) + 1e-3) * np.maximum(told, 0)
-
-    ids, labels_, sizes, terms, counts = [], [], [], [], []
-    for k in range(PARTS):  # at most about `rows` examples, a part at a time
-        part = examples.where((F.size("terms") > 0) & (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)) == k)).toArrow()
-        for batch in part.to_batches(500):
-            lists = batch.column(2)
-            ids += batch.column(0).to_pylist()
-            labels_ += batch.column(1).to_pylist()
-            sizes.append(np.diff(lists.offsets.to_numpy()))
-            terms.append(np.array([vocabulary[t] for t in lists.flatten().to_pylist()], np.int32))
-            counts.append(batch.column(3).flatten().to_numpy().copy())
-        del part
-    at, rate = np.array([0.0, 1.0]), np.array([0.0, 1.0])
-    if not ids:
-        return Model({}, idf, share, None, np.zeros(0), [], base, at, rate)
-    size, term, weight = np.concatenate(sizes).astype(np.int64), np.concatenate(terms), np.concatenate(counts)
-    del sizes, terms, counts, stats
     first = np.cumsum(size) - size
-    weight = (1 + np.log(weight)) * idf[term]
-    weight /= np.repeat(np.maximum(np.sqrt(np.add.reduceat(weight * weight, first)), 1e-300), size)
-    at_top = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, first), size))
-    strongest = at_top[np.searchsorted(at_top, first)]
-    order = np.lexsort((np.array(ids), term[strongest]))  # alike examples share blocks
-    place = spans(first[order], size[order])
-    first, term, weight = np.concatenate([[0], np.cumsum(size[order])]), term[place], weight[place]
-    del place, at_top
-    index = BlockMaxIndex.of(first, term, weight, len(vocabulary))
-    y = np.array(labels_, float)[order]
-    raw, truth = [], []
-    for e in range(index.n):
-        own_ = slice(first[e], first[e + 1])
-        near = index.search(index.term[own_].astype(np.int64), index.weight[own_], NEIGHBOURS, without=e)
-        if near:
-            raw.append(vote(near, y, base))
-            truth.append(y[e])
-    if raw:
-        at, rate = isotonic(np.array(raw), np.array(truth))
-    return Model(vocabulary, idf, share, index, y, [ids[i] for i in order], base, at, rate)
-
-
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    weight = (1 + np.log(counts)) * idf[term]
+    if len(ids):
+        weight /= np.repeat(np.maximum(np.sqrt(np.add.reduceat(weight * weight, first)), 1e-300), size)
+        at_top = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, first), size))
+        strongest = term[at_top[np.searchsorted(at_top, first)]]
+        order = np.lexsort((ids, strongest, -toxic))  # toxic ones first; alike examples share blocks
+        place = spans(first[order], size[order])
+        first, term, weight = np.concatenate([[0], np.cumsum(size[order])]), term[place], weight[place]
+        ids, toxic, folds = ids[order], toxic[order], folds[order]
+    else:
+        first = np.zeros(1, np.int64)
+    model = {"key": uuid.uuid4().hex, "vocabulary": vocabulary, "idf": idf, "told": told, "base": float(base),
+             "share": ((hits.sum(0)[:-1] + TERM_PRIOR * base) / (rows.sum(0)[:-1] + TERM_PRIOR)).astype(np.float32),
+             "first": first, "term": term.astype(np.int32), "weight": weight.astype(np.float32), "labels": toxic.astype(np.int8), "ids": ids}
+    others = [reliability(hits.sum(0)[:-1] - hits[f, :-1], rows.sum(0)[:-1] - rows[f, :-1], base) for f in range(FOLDS)]
+    shared = docs.sparkSession.sparkContext.broadcast((model, others, folds))
+
+    def calibrate(batches):
+        arrays, told_by_others, fold_of = shared.value
+        v, first_ = voter(arrays), arrays["first"]
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            raw = [v.vote(v.index.term[first_[e]:first_[e + 1]], v.index.weight[first_[e]:first_[e + 1]].astype(float), told_by_others[fold_of[e]], e)[0]
+                   for e in at]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw, pa.float64())], names=["example", "raw"])
+
+    at, rate = np.array([-1.0, 1.0]), np.array([base, base])
+    if len(ids):
+        tasks = max(1, min(len(ids) // 100, docs.sparkSession.sparkContext.defaultParallelism))
+        tried = docs.sparkSession.range(len(ids), numPartitions=tasks).mapInArrow(calibrate, "example long, raw double").toArrow()
+        weights = np.where(toxic == 1, max(1.0, sizes.toxic / max(1, toxic.sum())), max(1.0, n_clean / max(1, (1 - toxic).sum())))
+        e = tried["example"].to_numpy()
+        at, rate = isotonic(tried["raw"].to_numpy(), toxic[e].astype(float), weights[e])
+    shared.unpersist()
+    known.unpersist()
+    return model | {"at": at, "rate": rate}
+
+
+def score(docs: DataFrame, model: dict, keep: list[str] | None = None) -> tuple[DataFrame, str]:
     """Score every whole text: a struct of ``score`` (0 to 1), ``predicted``
     (1 from 0.7 on), the ``terms`` found that mostly toxic rows hold, and the
-    three nearest examples as ``evidence``.
-
-    Defined cases: a null or empty text, or one without any example's term,
-    scores the rate of toxic rows; without labels every score is 0; equal similarities go to the earlier example; of
-    conflicting labels the higher holds; repeated rows score alike; other
-    columns, also of clashing names, are carried as they are. Returns the
-    frame and the struct's name.
+    nearest examples (up to two of each label) as ``evidence``.
+
+    Defined cases: a null or empty text, or one without any example's word,
+    scores the rate of toxic rows; without labels every score is 0; equal
+    similarities go to the earlier example; of conflicting labels the higher
+    holds; repeated rows score alike; a very long text is read in parts of 2
+    MB, cut between words; other columns, also of clashing names, are carried
+    as they are. Returns the frame and the struct's name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        m: Model = shared.value
-        names = sorted(m.vocabulary, key=m.vocabulary.get)
-        known: dict = {}
+        arrays = shared.value
+        v, told, share, at, rate, base = voter(arrays), *(arrays[c] for c in ("told", "share", "at", "rate", "base"))
+
+        def one(terms, counts):
+            raw, found, near = v.vote(terms, (1 + np.log(counts)) * v.idf[terms], told)
+            if not len(found):
+                return base, []
+            best = np.lexsort((found, -near))
+            split = [[i for i in best if arrays["labels"][found[i]] == y][:2] for y in (1, 0)]
+            evidence = [{"doc_id": int(arrays["ids"][found[i]]), "similarity": float(near[i]), "toxic": int(arrays["labels"][found[i]])}
+                        for i in sorted(split[0] + split[1], key=lambda i: (-near[i], found[i]))]
+            return float(np.clip(0.999 * np.interp(raw, at, rate) + 0.0005 * (raw + 1), 0, 1)), evidence
 
         def step(raw, offsets, nulls, batch):
-            data, scores, terms, evidence = raw.tobytes(), [], [], []
+            scores, marks, evidence = [], [], []
+            rows, terms, counts = v.words(raw, offsets)
             for i in range(len(offsets) - 1):
-                key = data[offsets[i]:offsets[i + 1]]
-                if key not in known:
-                    if len(known) >= 1000:
-                        known.clear()
-                    counts = sparse(key, m.vocabulary)
-                    known[key] = *m.score(counts), [names[t].decode("utf-8", "replace") for t in sorted(counts) if m.toxic_share[t] > 0.5]
-                s, found, marks = known[key]
+                t, n = terms[rows[i]:rows[i + 1]], counts[rows[i]:rows[i + 1]]
+                key = (t.tobytes(), n.tobytes())
+                if key not in v.memo:
+                    if len(v.memo) >= 1000:
+                        v.memo.clear()
+                    v.memo[key] = one(t, n)
+                s, near = v.memo[key]
                 scores.append(s)
-                terms.append(marks)
-                evidence.append([{"doc_id": m.ids[e], "similarity": x, "toxic": int(m.labels[e])} for x, e in found[:3]])
+                evidence.append(near)
+                marks.append(v.words.named(raw[offsets[i]:offsets[i + 1]], t[share[t] > 0.5]))
             kind = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])
             return [pa.array(scores, pa.float64()), pa.array([int(s >= REJECT) for s in scores], pa.int32()),
-                    pa.array(terms, pa.list_(pa.string())), pa.array(evidence, pa.list_(kind))]
+                    pa.array(marks, pa.list_(pa.string())), pa.array(evidence, pa.list_(kind))]
 
         return step
 

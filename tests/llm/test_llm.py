@@ -251,13 +251,71 @@ def test_toxicity_votes_and_index(spark, docs, labels):
     none, name = toxicity.score(docs, toxicity.fit(docs, empty(labels), F.lit(True)))
     assert {r[name].predicted for r in none.collect()} == {0}
     rng = np.random.default_rng(1)
-    vectors = [toxicity.weigh({int(t): 1 for t in rng.integers(0, 30, 4)}, np.ones(30)) for _ in range(500)]
-    index = toxicity.BlockMaxIndex(vectors, 30)
-    for q in vectors[:40]:
-        every = sorted((-round(sum(w * v.get(t, 0) for t, w in q.items()), 12), e) for e, v in enumerate(vectors))
-        want = [(-s, e) for s, e in every if s < 0][:10]
-        got = index.nearest(q, 10)
-        assert [e for _, e in got] == [e for _, e in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
+    sizes = rng.integers(1, 9, 500)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    term = np.concatenate([rng.choice(30, n, replace=False) for n in sizes]).astype(np.int32)
+    weight = np.round(rng.random(len(term)), 1).astype(np.float32) + np.float32(0.1)
+    whole, told = np.zeros((500, 30)), rng.random(30)
+    whole[np.repeat(np.arange(500), sizes), term] = weight
+    for toxicity.FIRST_POSTINGS in (1, 200, 100_000):
+        index = toxicity.BlockMaxIndex(first, term, weight, 30, 120)
+        for _ in range(40):
+            terms = rng.choice(30, 6, replace=False)
+            q = rng.random(6)
+            found, near, votes = index.search(terms, q, told[terms], 10, without=3)
+            every = np.round((whole[:, terms] * q.astype(np.float32)).sum(1), 5)
+            every[3] = 0
+            want = [e for lo, hi in ((0, 120), (120, 500)) for e in sorted(range(lo, hi), key=lambda e: (-every[e], e))[:10] if every[e] > 0]
+            assert np.allclose(every[found], every[want], atol=1e-5) and np.allclose(near, every[found], atol=1e-4)
+            assert np.allclose(votes, (whole[found][:, terms] * q * told[terms]).sum(1), atol=1e-4)
+
+
+def test_toxicity_against_brute_force(spark, docs, labels):
+    """Evidence and scores, recomputed with plain Python cosines."""
+    marked = docs.where("doc_id < 120").withColumn("text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" vile awful"))).otherwise(F.col("text")))
+    model = toxicity.fit(marked, labels, F.lit(True))
+    texts = {r.doc_id: r.text for r in marked.collect()}
+    toxic = {i: int(i % 10 == 0) for i in texts}
+    bags = {i: {} for i in texts}
+    for i, t in texts.items():
+        for w in re.findall("[0-9a-z\x80-\U0010ffff]+", t.lower()):
+            bags[i][w] = bags[i].get(w, 0) + 1
+    df = {}
+    for b in bags.values():
+        for w in b:
+            df[w] = df.get(w, 0) + 1
+    idf = {w: np.log((1 + len(texts)) / (1 + n)) + 1e-3 for w, n in df.items()}
+    unit = {}
+    for i, b in bags.items():
+        v = {w: (1 + np.log(n)) * idf[w] for w, n in b.items()}
+        unit[i] = {w: x / np.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
+    base = sum(toxic.values()) / len(toxic)
+    told = {}
+    for w in df:
+        rows, hits = df[w], sum(toxic[i] for i in bags if w in bags[i])
+        share = (hits + base) / (rows + 1)
+        told[w] = max(share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)), 0)
+    out, name = toxicity.score(marked, model)
+    for r in out.collect():
+        q, sums = unit[r.doc_id], {}
+        for i, v in unit.items():
+            sums[i] = sum(x * v.get(w, 0) for w, x in q.items())
+        near = [i for y in (1, 0) for i in sorted((i for i in sums if toxic[i] == y and sums[i] > 0), key=lambda i: -sums[i])[:toxicity.NEIGHBOURS]]
+        votes = sum((2 * toxic[i] - 1) * sum(x * unit[i].get(w, 0) * told[w] for w, x in q.items()) for i in near)
+        raw = votes / sum(sums[i] for i in near)
+        want = 0.999 * np.interp(raw, model["at"], model["rate"]) + 0.0005 * (raw + 1)
+        assert abs(r[name].score - want) < 1e-3, r.doc_id
+        assert all(abs(e.similarity - sums[e.doc_id]) < 1e-4 and e.toxic == toxic[e.doc_id] for e in r[name].evidence)
+
+
+def test_sampling_bound_at_any_size(spark):
+    from crowdscope.llm.common import hash_below
+    ids = spark.range(20_000)
+    for n in (10 ** 5, 10 ** 11, 10 ** 15):
+        share = 5 * n // 10  # a half, whatever the size
+        assert abs(ids.where(hash_below(F.col("id"), "x", share, n)).count() - 10_000) < 500
+    assert ids.where(hash_below(F.col("id"), "x", 10, 5)).count() == 20_000
+    assert ids.select(hash_below(F.col("id"), "x", 20_000, 10 ** 11).alias("b")).where("b").count() <= 5
 
 
 def test_licences_wrapped_and_unknown(spark, docs):
