@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from crowdscope.llm.common import annotate, free_name
 
 #: Entries of the memos of a Python worker (chunks of text, neighbour pairs); a full memo starts anew.
-MEMO = 400_000
+MEMO = 100_000
 #: Longest chunk of text, in characters, that is remembered.
 SHORT = 48
 #: Pieces of a long chunk that are held at once.
