@@ -687,16 +687,17 @@ def q_upsert_latest_by_key(spark, sf):
 @register("upsert_table_roundtrip", ORACLE["upsert_latest_by_key"])
 def q_upsert_table_roundtrip(spark, sf):
     """The keyed table is created from the events before the cut, then the
-    later events are upserted in bucket-sized increments; the table read
-    back holds the latest event per user (K4 at scale)."""
+    later events are upserted; its current version holds the latest event per
+    user (K4), the version before it still reads as it was."""
     from crowdscope.session import scratch_path
-    from crowdscope.sinks.writers import upsert_table
+    from crowdscope.sinks.keyed import KeyedTable
     e = _t(spark, sf).events.select("user_id", "event_id", "event_type", "value", F.col("ts").alias("written_at"))
     path = scratch_path(spark, "keyed-events")
     cut = F.lit(I.EVENTS_TS_END).cast("timestamp_ntz")
-    upsert_table(e.filter(F.col("written_at") < cut), path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=16)
-    upsert_table(e.filter(F.col("written_at") >= cut), path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=16)
-    return spark.read.parquet(path).drop("key_bucket")
+    table = KeyedTable(spark, path, ["user_id"], tiebreak=[F.desc("event_id")], buckets=16)
+    table.upsert(e.filter(F.col("written_at") < cut))
+    table.upsert(e.filter(F.col("written_at") >= cut))
+    return table.read()
 
 
 @register("sink_append_roundtrip", (
@@ -798,17 +799,95 @@ def q_stream_job_profiles(spark, sf):
 
 
 def _sql_status_log() -> str:
-    from crowdscope.streaming.jobs import REPORTED
-    steps = f"('EXECUTING', 0), ('EXECUTING', {REPORTED}), ('SUCCESS', 100)"
+    from crowdscope.sinks.writers import PROGRESS_POINTS
+    steps = ", ".join(f"('EXECUTING', {p})" for p in (0, *PROGRESS_POINTS)) + ", ('SUCCESS', 100)"
     return with_ctes(I.SQL_MEMBERS, I.SQL_JOBS, SQL_SUBMITTED,
                      f"steps AS (SELECT * FROM (VALUES {steps}) s(status, completion_pct))",
-                     body="SELECT j.job_id, s.status, s.completion_pct FROM sjobs j CROSS JOIN steps s")
+                     body="SELECT j.job_id, s.status, s.completion_pct, true AS in_order FROM sjobs j CROSS JOIN steps s")
 
 
 @register("job_status_log", _sql_status_log())
 def q_job_status_log(spark, sf):
     """Status events that the job stream wrote for every submitted job, each
-    when its step was done (the JSON payloads carry wall-clock times and are
-    checked in unit tests)."""
+    when its step was done: ``in_order`` says that its time is not before that
+    of the step before (the JSON payloads are checked in unit tests)."""
+    from pyspark.sql import Window
     from crowdscope.streaming.jobs import read_status
-    return read_status(spark, _run_job_stream(spark, sf)).select("job_id", "status", "completion_pct")
+    job = Window.partitionBy("job_id").orderBy("completion_pct")
+    return read_status(spark, _run_job_stream(spark, sf)).select(
+        "job_id", "status", "completion_pct",
+        (F.col("event_ms") >= F.coalesce(F.lag("event_ms").over(job), F.lit(0))).alias("in_order"))
+
+
+SQL_JOB_RUNS = """
+WITH RECURSIVE ev AS (
+  SELECT user_id AS job_id, CASE WHEN event_type = 'view' THEN 'request' ELSE 'done' END AS kind, ts AS t
+  FROM events WHERE event_type IN ('view', 'purchase') AND user_id IS NOT NULL AND ts IS NOT NULL),
+runs AS (
+  SELECT job_id, min(t) AS started FROM ev WHERE kind = 'request' GROUP BY job_id
+  UNION ALL
+  SELECT r.job_id, min(e.t) FROM runs r JOIN ev e ON e.job_id = r.job_id AND e.kind = 'request'
+    AND e.t >= r.started + INTERVAL 72000 SECOND GROUP BY r.job_id, r.started),
+f AS (
+  SELECT r.job_id, r.started, min(e.t) FILTER (WHERE e.kind = 'done') AS finished,
+         count(*) FILTER (WHERE e.kind = 'request') - 1 AS again
+  FROM runs r JOIN ev e ON e.job_id = r.job_id AND e.t >= r.started AND e.t < r.started + INTERVAL 72000 SECOND
+  GROUP BY r.job_id, r.started)
+SELECT job_id, 'EXECUTING' AS status, started AS started_at, NULL::TIMESTAMP AS finished_at, 0 AS redelivered FROM runs
+UNION ALL
+SELECT job_id, CASE WHEN finished IS NULL THEN 'EXPIRED' ELSE 'SUCCESS' END, started,
+       coalesce(finished, started + INTERVAL 72000 SECOND), again::INTEGER
+FROM f WHERE started + INTERVAL 72000 SECOND < (SELECT max(t) FROM ev)"""
+
+
+@register("job_deadline_states", SQL_JOB_RUNS)
+def q_job_deadline_states(spark, sf):
+    """Runs of jobs with their 72,000 s deadline (T1): every user's views ask
+    for a job, purchases end it. The events arrive in two deliveries by time;
+    the first is delivered once more at the end, when all of it is late."""
+    from crowdscope.session import scratch_path
+    from crowdscope.streaming.deadlines import job_runs
+    e = _t(spark, sf).events.filter(F.col("event_type").isin("view", "purchase")).select(
+        F.col("user_id").alias("job_id"), F.when(F.col("event_type") == "view", "request").otherwise("done").alias("kind"),
+        F.col("ts").cast("timestamp").alias("at"))
+    into, out, ckpt = (scratch_path(spark, n) for n in ("runs-in", "runs-out", "runs-ckpt"))
+    early = F.col("at") < F.lit(I.EVENTS_TS_END).cast("timestamp")
+    for i, part in enumerate([e.filter(early), e.filter(~early), e.filter(early)]):
+        part.write.parquet(f"{into}/delivery={i}")
+        stream = spark.readStream.schema(e.schema).parquet(f"{into}/delivery=*")
+        query = (job_runs(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    return spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "finished_at")})
+
+
+@register("append_repeated_run", ORACLE["sink_append_roundtrip"])
+def q_append_repeated_run(spark, sf):
+    """Two runs are appended, each sent twice; a repeated run id adds nothing (K1)."""
+    from crowdscope.session import scratch_path
+    from crowdscope.sinks.keyed import append_once, read_appended
+    ev = I.app_events(_t(spark, sf)).withColumn("date", F.to_date("timestamp")).select("eventid", "uid", "timestamp", "mevent", "date")
+    path, cut = scratch_path(spark, "events-runs"), F.lit(I.EVENTS_TS_END).cast("timestamp_ntz")
+    runs = {"first": ev.filter(F.col("timestamp") < cut), "second": ev.filter(F.col("timestamp") >= cut)}
+    for run in ("first", "second", "second", "first"):
+        append_once(runs[run], path, run, ["date"])
+    return (read_appended(spark, path).groupBy(F.col("date").cast("date").alias("date"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("uid").alias("users")))
+
+
+@register("retention_incremental", ORACLE["retention_daily_window"])
+def q_retention_incremental(spark, sf):
+    """Retention from a kept state (C1, A7): the state of three days before is
+    landed, then each day's events are merged into it without reading older ones."""
+    import datetime as dt
+    from crowdscope.plans.incremental import merge_state, retention_of_state, scanned_days
+    from crowdscope.session import scratch_path
+    t = Tables(spark, sf)
+    members = t.customer.select(F.lower("c_mktsegment").alias("segment_id"), F.col("c_custkey").alias("uid"))
+    end, events, path = dt.date.fromisoformat(I.EVENTS_AS_OF), I.app_signups(t), scratch_path(spark, "retention-state")
+    days = [end - dt.timedelta(days=i) for i in (3, 2, 1, 0)]
+    scanned_days(events, days[0] - dt.timedelta(days=94), days[0]).write.parquet(f"{path}/{days[0]}")
+    for before, day in zip(days, days[1:]):
+        state = spark.read.parquet(f"{path}/{before}")
+        merge_state(state, scanned_days(events, before, day), day).write.parquet(f"{path}/{day}")
+    return retention_of_state(spark.read.parquet(f"{path}/{end}"), members, end, with_timestamp=False)

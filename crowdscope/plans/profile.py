@@ -170,15 +170,17 @@ def _feature_list() -> Column:
                      for i, (fid, name) in enumerate(FEATURES)])
 
 
-def profile_report(jobs: DataFrame, counts: DataFrame, sizes: DataFrame, k: int = TOP_K) -> DataFrame:
+def profile_report(jobs: DataFrame, counts: DataFrame, sizes: DataFrame, k: int = TOP_K,
+                   compared: DataFrame | None = None) -> DataFrame:
     """One row per job: ``job_id, segment_id, segment_compare, result,
     result_compare``; each result is a JSON array of ten
     ``{id, name, display: "bar", data: {value: share}}`` objects, ``data``
-    being ``{}`` for a feature without rows (C5, F20)."""
+    being ``{}`` for a feature without rows (C5, F20). ``compared`` is the
+    jobs' :func:`segment_compare`, if it is there already."""
     top = top_features(counts, sizes, k)
     base_maps = (top.groupBy("segment_id", "feature")
                  .agg(_value_map("feature_values", "perc_users").alias("data")))
-    cmp = _compare(jobs, top, with_shares(counts, sizes))
+    cmp = _compare(jobs, top, with_shares(counts, sizes)) if compared is None else compared
     cmp_maps = (cmp.groupBy("job_id", "feature")
                 .agg(_value_map("feature_values", "perc_users_compare").alias("data_compare")))
     slots = (jobs.select("job_id", "segment_id", "segment_compare", F.inline(_feature_list()))
@@ -214,10 +216,14 @@ def report_entries(reports: DataFrame) -> DataFrame:
                        F.explode_outer("it.data").alias("feature_values", "share"))
 
 
-def jobs_profiles(jobs: DataFrame, members: DataFrame, base: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Profile reports for a batch of jobs: only segments named by the jobs
-    are profiled (a semi join of the member table)."""
+def jobs_members(jobs: DataFrame, members: DataFrame) -> DataFrame:
+    """Members of the segments that the jobs name (a semi join)."""
     wanted = (jobs.select(F.col("segment_id")).unionByName(jobs.select(F.col("segment_compare").alias("segment_id")))
               .distinct())
-    m = members.join(wanted, "segment_id", "left_semi")
-    return profile_report(jobs, *counted(m, base), k)
+    return members.join(wanted, "segment_id", "left_semi")
+
+
+def jobs_profiles(jobs: DataFrame, members: DataFrame, base: DataFrame, k: int = TOP_K) -> DataFrame:
+    """Profile reports for a batch of jobs: only segments named by the jobs
+    are profiled."""
+    return profile_report(jobs, *counted(jobs_members(jobs, members), base), k)

@@ -41,8 +41,13 @@ def user_summary(events: DataFrame, install: str = "install") -> DataFrame:
     """Per user and distinct install date: ``(uid, idate, next_install,
     maxtime)``, ``maxtime`` being the user's last active date (A7). Users with
     other events have a further row whose ``idate`` is null."""
-    days = (events.groupBy("uid", F.when(F.col("mevent") == install, F.col("d")).alias("idate"))
-            .agg(F.max("d").alias("last")))
+    return next_installs(events.groupBy("uid", F.when(F.col("mevent") == install, F.col("d")).alias("idate"))
+                         .agg(F.max("d").alias("last")))
+
+
+def next_installs(days: DataFrame) -> DataFrame:
+    """The next install and the user's last date beside each of the ``(uid,
+    idate, last)`` rows."""
     user = Window.partitionBy("uid").orderBy("idate")
     whole = user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return days.select("uid", "idate", F.lead("idate").over(user).alias("next_install"),
@@ -95,8 +100,14 @@ def retention(events: DataFrame, members: DataFrame, start, as_of,
               windows=DEFAULT_WINDOWS, with_timestamp: bool = True) -> DataFrame:
     """One row per segment: ``installfromdate, installtodate,
     [lastupdatedtime,] <window ratios>..., segment`` (C1, A14, A19)."""
+    return retention_of(user_summary(events), members, start, as_of, windows, with_timestamp)
+
+
+def retention_of(summary: DataFrame, members: DataFrame, start, as_of, windows=DEFAULT_WINDOWS,
+                 with_timestamp: bool = True) -> DataFrame:
+    """:func:`retention` from the rows of :func:`user_summary`."""
     as_of_d = _date(as_of)
-    cohorts = _cohorts(user_summary(events), start, as_of)
+    cohorts = _cohorts(summary, start, as_of)
     # members without installs keep their segment (a row with null idate)
     rows = segment_users(members).join(cohorts, "uid", "left")
     aggs = []

@@ -131,14 +131,14 @@ def job_status_rows(jobs: DataFrame, reports: DataFrame | None = None, failed: D
     strings). ``failed`` jobs (``job_id``, ``error``) get a ``FAILED`` row.
     """
     now_ms = F.unix_millis(F.current_timestamp())
-    steps = F.array(*[F.lit(p) for p in points])
+    steps = F.array(*[F.lit(p) for p in points]).cast("array<int>")
     running = jobs.select("job_id", F.explode(steps).alias("completion_pct")).select(
         "job_id", F.lit("EXECUTING").alias("status"), "completion_pct", now_ms.alias("event_ms"),
         F.to_json(F.struct(F.col("job_id").alias("id"), F.lit("EXECUTING").alias("status"),
                            F.when(F.col("completion_pct") == 0, now_ms).alias("startTime"),
                            F.when(F.col("completion_pct") > 0, F.col("completion_pct")).alias("completionPercentage"),
                            F.struct(F.lit("null").alias("result")).alias("response"))).alias("payload"))
-    out = running
+    out = running if points else running.limit(0)
     if reports is not None:
         done = reports.select(
             "job_id", F.lit("SUCCESS").alias("status"), F.lit(100).alias("completion_pct"), now_ms.alias("event_ms"),

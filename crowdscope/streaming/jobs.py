@@ -6,8 +6,10 @@ Job requests arrive as JSON text files in a directory. Each micro-batch:
     request does no work twice, while a late, undated or formerly failed one
     is served whenever it comes (nothing is dropped by event time);
   * writes the ``EXECUTING`` rows of its jobs before their work begins;
-  * profiles **all** jobs of the batch in one plan (only the segments the
-    jobs name are read), then writes the reports and the final status rows.
+  * works on **all** jobs of the batch at once, in four steps, each landed
+    before its status row says so: the members of the segments that the jobs
+    name (20 %), the feature counts (40), the comparison (60), the reports
+    (80); then the final status rows follow.
 
 A request without a segment gets a ``FAILED`` row; its neighbours go on. Any
 other error (an unreadable table, a lost store) fails the micro-batch, and the
@@ -31,13 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdscope.plans import profile as P
-from crowdscope.session import path_exists
+from crowdscope.session import path_exists, remove_path
 from crowdscope.sinks.writers import PROGRESS_POINTS, job_status_rows, latest_by_key
 from crowdscope.sources.payloads import job_requests, submitted_jobs
 
-#: Progress of a job whose report is written.
-REPORTED = PROGRESS_POINTS[-1]
-
 
 def job_request_stream(spark: SparkSession, jobs_dir: str, app: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.format("text")
@@ -75,12 +74,30 @@ def profile_batch_writer(spark: SparkSession, members: Callable[[], DataFrame],
         status(job_status_rows(jobs, points=(0,)), "accepted")
         whole = F.col("segment_id").isNotNull() & F.col("segment_compare").isNotNull()
         good, bad = jobs.filter(whole), jobs.filter(~whole)
+        work = f"{out_dir}/work/batch={batch_id}"
+
+        def landed(rows: DataFrame, step: str) -> DataFrame:
+            rows.write.mode("overwrite").parquet(f"{work}/{step}")
+            return spark.read.parquet(f"{work}/{step}")
+
+        def reached(point: int) -> None:
+            status(job_status_rows(good, points=(point,)), f"reached-{point}")
+
         m = members()             # members first, then the profile base
+        m = landed(P.jobs_members(good, m), "members")
+        reached(PROGRESS_POINTS[0])
+        counts, sizes = P.counted(m, base())
+        counts = landed(counts, "counts")
+        reached(PROGRESS_POINTS[1])
+        compared = landed(P.segment_compare(good, counts, sizes, k), "compared")
+        reached(PROGRESS_POINTS[2])
         report_path = f"{out_dir}/reports/batch={batch_id}"
-        (P.jobs_profiles(good, m, base(), k).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (P.profile_report(good, counts, sizes, k, compared).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").parquet(report_path))
+        reached(PROGRESS_POINTS[3])
         failed = bad.select("job_id", F.lit("the request names no segment").alias("error"))
-        status(job_status_rows(good, spark.read.parquet(report_path), failed, points=(REPORTED,)), "finished")
+        status(job_status_rows(good, spark.read.parquet(report_path), failed, points=()), "finished")
+        remove_path(spark, work)
     return run
 
 
@@ -88,7 +105,8 @@ def start_job_stream(spark: SparkSession, jobs_dir: str, out_dir: str, checkpoin
                      members: Callable[[], DataFrame], base: Callable[[], DataFrame], app: str,
                      available_now: bool = False, files_per_batch: int | None = None,
                      poll: str = "30 seconds") -> StreamingQuery:
-    """Start the stream. ``available_now`` processes what is there and
+    """Start the stream (:func:`crowdscope.streaming.deadlines.run_until` ends a
+    polling one at its deadline). ``available_now`` processes what is there and
     stops (tests, scheduled runs); otherwise it polls every ``poll``. The
     stream itself is stateless: what is finished stands in the status table."""
     stream = job_request_stream(spark, jobs_dir, app, files_per_batch)
