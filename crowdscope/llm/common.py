@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,6 +122,12 @@ def annotate(df: DataFrame, name: str, fields: T.StructType, make: Callable, kee
     return src.mapInArrow(run, out), name
 
 
+def ship(spark: SparkSession, model) -> Broadcast:
+    """Broadcast a model of bounded size as bytes, its class included, so that
+    executors need no copy of this package; ``pickle.loads`` gives it back."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit moves every output bit."""
     x = x ^ (x >> np.uint64(31))

@@ -21,7 +21,7 @@ LEVEL_RATIO = 16
 #: Queries that walk the graph together.
 TOGETHER = 512
 
-INDEX = "shard int, pos int, key long, vector array<float>, level int, links array<int>"
+INDEX = "shard int, pos int, key long, vector array<float>, least long, level int, links array<int>"
 
 
 def lift(vectors: np.ndarray) -> np.ndarray:
@@ -195,7 +195,7 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def build_index(distinct: DataFrame, shard_vectors: int) -> tuple[DataFrame, int]:
-    """The landed index of distinct (key, vector) rows, and its number of shards.
+    """The landed index of distinct (key, vector, least id) rows, and its number of shards.
     A shard holds vectors of one dimension."""
     n = max(1, -(-distinct.count() // shard_vectors))
 
@@ -212,11 +212,12 @@ def build_index(distinct: DataFrame, shard_vectors: int) -> tuple[DataFrame, int
         links = [np.concatenate([graph.links[at][p] for at in range(level[p] + 1)]) for p in range(len(key))]
         return pa.table({"shard": pa.array(np.repeat(found.column("shard")[0].as_py(), len(key)), pa.int32()),
                          "pos": pa.array(np.arange(len(key)), pa.int32()), "key": pa.array(key),
-                         "vector": pa.array(list(raw), pa.list_(pa.float32())), "level": pa.array(level),
+                         "vector": pa.array(list(raw), pa.list_(pa.float32())), "least": pa.array(found.column("least").to_numpy()[order]),
+                         "level": pa.array(level),
                          "links": pa.array(links, pa.list_(pa.int32()))})
 
     shard = (F.size("vector") * n + F.pmod(F.xxhash64("key", F.lit(11)), F.lit(n))).cast("int")
-    index = distinct.select("key", "vector", shard.alias("shard")).groupBy("shard").applyInArrow(build, INDEX)
+    index = distinct.select("key", "vector", "least", shard.alias("shard")).groupBy("shard").applyInArrow(build, INDEX)
     return land(index, "hnsw-index"), n
 
 
@@ -237,34 +238,39 @@ def search_index(index: DataFrame, queries: DataFrame, shards: int, most: int, b
                     if of[i] != shard:
                         graph, shard, held = None, of[i], []
                     held.append((part["key"].to_numpy(), np.array(part["vector"].to_pylist(), np.float32),
-                                 part["level"].to_numpy(), part["links"].to_pylist()))
+                                 part["level"].to_numpy(), part["least"].to_numpy(), part["links"].to_pylist()))
                     continue
                 if of[i] != shard:
                     continue  # no vector of this dimension
                 if graph is None:
-                    key, raw, level = (np.concatenate([h[k] for h in held]) for k in range(3))
-                    flat = [x for h in held for x in h[3]]
+                    key, raw, level, least = (np.concatenate([h[k] for h in held]) for k in range(4))
+                    flat = [x for h in held for x in h[4]]
                     width = PICK + BACK
                     links = [np.array([f[width * at:width * (at + 1)] for f in flat[:int((level >= at).sum())]], np.int32)
                              for at in range(int(level.max()) + 1)]
                     graph, exact = Graph(lift(raw), links), raw.astype(float)
-                asked = np.array(part["vector"].to_pylist(), np.float32)
-                ids = graph.nearest(np.hstack([asked, np.zeros((len(asked), 1), np.float32)]), beam)
-                score = np.where(ids >= 0, np.einsum("qd,qkd->qk", asked.astype(float), exact[np.maximum(ids, 0)]), -np.inf)
-                order = np.lexsort((key[np.maximum(ids, 0)], -score), axis=1)[:, :most]
-                ids, score = np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
-                row, col = np.nonzero(ids >= 0)
-                yield pa.RecordBatch.from_arrays([pa.array(part["key"].to_numpy()[row]), pa.array(key[ids[row, col]]),
-                                                  pa.array(score[row, col])], names=["query", "key", "score"])
-
-    names = ["shard", "kind", "pos", "key", "vector", "level", "links"]
+                asked, of_query, width = np.array(part["vector"].to_pylist(), np.float32), part["key"].to_numpy(), beam
+                while len(asked):
+                    ids = graph.nearest(np.hstack([asked, np.zeros((len(asked), 1), np.float32)]), width)
+                    score = np.where(ids >= 0, np.einsum("qd,qkd->qk", asked.astype(float), exact[np.maximum(ids, 0)]), -np.inf)
+                    best = np.lexsort((least[np.maximum(ids, 0)], -score), axis=1)
+                    ids, score = np.take_along_axis(ids, best, 1), np.take_along_axis(score, best, 1)
+                    # while the last place ties with all that follow, more may tie: these queries look further
+                    tied = (score[:, -1] == score[:, min(most, score.shape[1]) - 1]) & (ids[:, -1] >= 0) & (width < len(key))
+                    ids, score = ids[:, :most], score[:, :most]
+                    row, col = np.nonzero((ids >= 0) & ~tied[:, None])
+                    yield pa.RecordBatch.from_arrays([pa.array(of_query[row]), pa.array(key[ids[row, col]]), pa.array(score[row, col]),
+                                                      pa.array(least[ids[row, col]])], names=["query", "key", "score", "least"])
+                    asked, of_query, width = asked[tied], of_query[tied], min(2 * width, len(key))
+
+    names = ["shard", "kind", "pos", "key", "vector", "least", "level", "links"]
     none = F.lit(None)
-    rows = index.select("shard", F.lit(0).alias("kind"), "pos", "key", "vector", "level", "links")
+    rows = index.select("shard", F.lit(0).alias("kind"), "pos", "key", "vector", "least", "level", "links")
     first = (F.size("vector") * shards).cast("int")
     asked = queries.select(F.explode(F.sequence(first, first + shards - 1)).alias("shard"), F.lit(1).alias("kind"), F.lit(0).alias("pos"), "key", "vector",
-                           none.cast("int").alias("level"), none.cast("array<int>").alias("links"))
+                           none.cast("long").alias("least"), none.cast("int").alias("level"), none.cast("array<int>").alias("links"))
     met = rows.unionByName(asked).select(*names).repartition(shards, "shard").sortWithinPartitions("shard", "kind", "pos")
-    return met.mapInArrow(run, "query long, key long, score double")
+    return met.mapInArrow(run, "query long, key long, score double, least long")
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, shard_vectors: int = SHARD_VECTORS,
@@ -287,11 +293,11 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, shard_vectors:
     smallest = rows.withColumn("_n", F.row_number().over(by_key)).where(F.col("_n") <= k + 1)
     points = land(smallest.groupBy("key").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids")),
                   "points")
-    index, shards = build_index(points.select("key", "vector"), shard_vectors)
+    index, shards = build_index(points.select("key", "vector", F.element_at("ids", 1).alias("least")), shard_vectors)
     asked = rows.where(is_query)
     found = search_index(index, asked.dropDuplicates(["key"]).select("key", "vector"), shards, k + 1, beam)
     by_query = Window.partitionBy("query")
-    best = found.withColumn("_n", F.row_number().over(by_query.orderBy(F.desc("score"), "key"))).where(F.col("_n") <= k + 1)
+    best = found.withColumn("_n", F.row_number().over(by_query.orderBy(F.desc("score"), "least", "key"))).where(F.col("_n") <= k + 1)
     wide = best.join(points.select("key", "ids"), "key").select("query", "score", F.explode("ids").alias("vec_id"))
     ranked = wide.withColumn("_n", F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id"))).where(F.col("_n") <= k + 1)
     per_row = asked.select(F.col("vec_id").alias("query_id"), F.col("key").alias("query")).join(ranked.drop("_n"), "query")

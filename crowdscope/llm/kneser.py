@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, land, row_slices, text_column, utf8_buffers
+from crowdscope.llm.common import annotate, free_name, land, row_slices, text_column, utf8_buffers
 
 #: Bytes of an n-gram.
 ORDER = 5
@@ -24,7 +24,7 @@ QUANTILE = 0.995
 #: Bytes from which a text is in the next length band. Short clean texts spread
 #: widely, so long ones have a limit of their own.
 BANDS = (256, 1024)
-#: A band of a language with fewer held-back texts takes the language's limit.
+#: A band's quantile counts by its held-back texts, its language's as so many more.
 BAND_ROWS = 50
 #: A text counts as if it had so many more bytes of its language's median, as the mean of a few bytes says little.
 SHRINK = 100
@@ -239,8 +239,8 @@ def fit(docs: DataFrame, labels: DataFrame, shard_grams: int = SHARD_GRAMS) -> t
     own = scored.groupBy("lang", "band").agg(top.alias("_own"), F.count(F.lit(1)).alias("_n"))
     whole = scored.groupBy("lang", "median").agg(top.alias("_whole"))
     every = whole.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(len(BANDS)))))
-    limits = every.join(own, ["lang", "band"], "left").select(
-        "lang", "band", "median", F.when(F.col("_n") >= BAND_ROWS, F.col("_own")).otherwise(F.col("_whole")).alias("limit"))
+    mixed = (F.col("_own") * F.col("_n") + F.col("_whole") * BAND_ROWS) / (F.col("_n") + BAND_ROWS)
+    limits = every.join(own, ["lang", "band"], "left").select("lang", "band", "median", F.coalesce(mixed, "_whole").alias("limit"))
     return model, land(limits, "quality-limits")
 
 
@@ -267,11 +267,12 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     """
     model, limits = fit(docs, labels, shard_grams)
     out, name = model.annotate(docs, keep if keep is None else [*keep, *({"lang"} - set(keep))])
-    flat = limits.select(*[F.col(c).alias(f"_{c}") for c in ("lang", "band", "median", "limit")])
+    own = {c: free_name(out, f"_{c}") for c in ("lang", "band", "median", "limit")}
+    flat = limits.select(*[F.col(c).alias(own[c]) for c in own])
     value, n = F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_grams")
     joined = out.join(F.broadcast(flat) if flat.count() <= 10_000 else flat,
-                      (language(out) == F.col("_lang")) & (band(n) == F.col("_band")), "left")
-    good = F.coalesce(shrunk(value, n, F.col("_median")) <= F.col("_limit"), F.lit(True))
-    verdict = F.struct(value, n, F.col("_limit").alias("limit"), good.alias("good"))
+                      (language(out) == F.col(own["lang"])) & (band(n) == F.col(own["band"])), "left")
+    good = F.coalesce(shrunk(value, n, F.col(own["median"])) <= F.col(own["limit"]), F.lit(True))
+    verdict = F.struct(value, n, F.col(own["limit"]).alias("limit"), good.alias("good"))
     columns = docs.columns if keep is None else keep
     return joined.select(*columns, verdict.alias(name)), name

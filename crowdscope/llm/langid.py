@@ -3,6 +3,7 @@ trained in numpy by backpropagation through time."""
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, row_slices, text_column
+from crowdscope.llm.common import annotate, row_slices, ship, text_column
 
 #: Training rows of each language, and characters taken from each at a hashed place.
 LEARN_ROWS, LEARN_CHARS = 500, 512
@@ -205,10 +206,10 @@ def identify(docs: DataFrame, net: Network | None, keep: list[str] | None = None
     alphabetical order; other columns, also of clashing names, are carried as
     they are. Returns the frame and the struct's name.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = ship(docs.sparkSession, net)
 
     def make():
-        model: Network | None = shared.value
+        model: Network | None = pickle.loads(shared.value)
         letter = np.zeros(256, bool)
         letter[65:91] = letter[97:123] = True
 

@@ -3,6 +3,7 @@ a calibrated unknown class and a comparison with templates."""
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import WordHasher, annotate, mix64, row_slices, text_column
+from crowdscope.llm.common import WordHasher, annotate, hash_below, mix64, row_slices, ship, text_column
 
 # Usual notices of each licence family.
 TEMPLATES = {
@@ -50,12 +51,15 @@ UNKNOWN = ["Licensed under the terms of the {} License, version {}.", "Released
 FEATURES = 1 << 16
 #: Ordinary paragraphs of the corpus that training sees, chosen by a hash.
 NONE_ROWS = 3000
+#: Characters at most, from a hashed place, of an ordinary line that the training sample takes.
+NONE_CHARS = 2000
 COPIES, EPOCHS = 30, 6
 #: A family needs this calibrated probability, and this share of the words of a template in common.
 SURE, LIKE = 0.6, 0.6
 # Words of which a notice of no known family holds one.
 TALK = "license licence licenses licences licensed licensing copyright copyrighted copyrights reserved".split()
-#: Most neighbouring lines that are read as one; a longer run of lines is also read as a whole.
+#: Most neighbouring lines that are read as one at first; a longer run is also read as a whole, and a
+#: notice found goes on over further lines of its run as long as they hold more of its template.
 JOINED = 8
 
 RESULT = T.StructType([
@@ -229,11 +233,11 @@ def fit(docs: DataFrame, rows: int = NONE_ROWS) -> Classifier:
     hashed place of each hashed document, leaving out any that speaks of licences."""
     text = text_column(docs)
     n = docs.count()
-    part = int(min(1.0, rows / max(1, n)) * 1_000_000)
     lines = F.split(text, "\n")
     line = F.element_at(lines, (F.pmod(F.xxhash64("doc_id", F.lit("line")), F.size(lines)) + 1).cast("int"))
-    chosen = docs.where(text.isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("none")), F.lit(1_000_000)) < part)).select(
-        F.substring(line, 1, 2000).alias("line"))
+    chosen = docs.where(text.isNotNull() & hash_below(F.col("doc_id"), "none", rows, n)).select(line.alias("line"))
+    place = F.pmod(F.xxhash64("line"), F.greatest(F.length("line") - NONE_CHARS + 1, F.lit(1)))
+    chosen = chosen.select(F.substring("line", (place + 1).cast("int"), F.lit(NONE_CHARS)).alias("line"))
     talk = F.lower("line").rlike("licen[sc]e|copyright|rights reserved|public domain|creative commons")
     return train(sorted(r.line for r in chosen.where((F.length("line") > 0) & ~talk).collect()))
 
@@ -258,10 +262,10 @@ def scan(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> t
     clashing names, are carried as they are. Returns the frame and the
     struct's name.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession, model)
 
     def make():
-        m: Classifier = shared.value
+        m: Classifier = pickle.loads(shared.value)
         hasher = WordHasher()
         templates = {}
         for family, lines in TEMPLATES.items():
@@ -313,7 +317,19 @@ def scan(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> t
                             loose.append((line, size, 1, high[k], high[k]))
                 for share, size, line, family, high in sorted(sure):
                     if not taken[line:line + size].any():
-                        found.append((line, size, family, high, -share))
+                        # a notice may go on beyond the lines read together
+                        share, grown = -share, True
+                        while grown:
+                            grown = False
+                            for before, after in [(b, a) for n_more in (1, 2, 3) for b, a in ((0, n_more), (n_more, 0))]:
+                                lo, hi = line - before, line + size + after
+                                if lo < 0 or hi > len(run) or (run[lo:hi] != run[line]).any() or taken[lo:hi].any():
+                                    continue
+                                more = like(lo, hi - lo, templates[family])
+                                if more > share:
+                                    line, size, share, grown = lo, hi - lo, more, True
+                                    break
+                        found.append((line, size, family, high, share))
                         taken[line:line + size] = True
                         whole.add(int(run[line]))
                 in_row = lambda line: int(np.searchsorted(first, line, side="right")) - 1

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import WordHasher, land, mix64, row_slices, shingle_hashes, text_column, utf8_buffers
+from crowdscope.llm.common import WordHasher, free_name, land, mix64, row_slices, shingle_hashes, text_column, utf8_buffers
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -327,10 +327,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, least: float = SIMILAR
 def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The input rows of one document of each class, all columns as they were."""
     found = near_duplicates(docs, **options)
-    keepers = land(found.where("kept and node is not null").groupBy(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
-                   .agg(F.count(F.lit(1)).alias("_rows")), "keepers")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (node(docs) == F.col("_node"))
+    own, of, rows = (free_name(docs, c) for c in ("_id", "_node", "_rows"))
+    keepers = land(found.where("kept and node is not null").groupBy(F.col("doc_id").alias(own), F.col("node").alias(of))
+                   .agg(F.count(F.lit(1)).alias(rows)), "keepers")
+    same = docs["doc_id"].eqNullSafe(F.col(own)) & (node(docs) == F.col(of))
     kept = docs.join(keepers, same)
-    once = kept.where("_rows = 1").select(*docs.columns)
-    again = kept.where("_rows > 1").dropDuplicates(["_id", "_node"]).select(*docs.columns)
+    columns = [docs[c] for c in docs.columns]
+    once = kept.where(F.col(rows) == 1).select(*columns)
+    again = kept.where(F.col(rows) > 1).dropDuplicates([own, of]).select(*docs.columns)
     return once.unionByName(again).unionByName(docs.where(text_column(docs).isNull()))

@@ -25,9 +25,9 @@ class ByteTokenizer:
     BPE file of the tokenizers library.
 
     The file's vocabulary is run by tiktoken, whose ids are the same at three
-    to four times the speed; each task first compares the two on a probe. A
-    special token's string in a text is ordinary text. The loaded tokenizer
-    stays in the Python worker for later tasks.
+    to four times the speed; each task first compares the two on a probe. As
+    the library reads it, a special token's string in a text is that token.
+    The loaded tokenizer stays in the Python worker for later tasks.
     """
 
     def __init__(self, path: str):
@@ -41,19 +41,18 @@ class ByteTokenizer:
         import tiktoken
         from tokenizers import Tokenizer
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that a vocabulary writes as themselves
         rest = [b for b in range(256) if b not in plain]
         byte_of = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
-        special = {t.content for t in whole.get_added_tokens_decoder().values()}
+        special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in whole.get_vocab().items() if token not in special}
-        model = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        if model.encode_ordinary(PROBE) != whole.encode(PROBE, add_special_tokens=False).ids:
+        model = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        if model.encode(PROBE, allowed_special="all") != whole.encode(PROBE, add_special_tokens=False).ids:
             raise ValueError(f"{path} is no byte-level BPE file with the usual split pattern")
         return model
 
     def __call__(self, text: str) -> bytes:
-        return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
+        return np.array(self.model.encode(text, allowed_special="all"), "<u4").tobytes()
 
 
 def cut_points(n: int, capacity: int) -> list[int]:

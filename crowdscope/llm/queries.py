@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdscope.llm.common import table
 from crowdscope.registry import register
 
-#: Folder of the public tokenizers, present on every executor.
-BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+#: A public tokenizer's file, present on every executor.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 SQL_CAPTURES = r"""
 WITH p AS (
@@ -252,7 +253,6 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op13_byte_bpe")
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
     from crowdscope.llm.bytebpe import decode, encode
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids, name = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["doc_id"])

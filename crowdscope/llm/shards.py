@@ -38,21 +38,22 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     Returns one row per input row: doc_id, size (UTF-8 bytes of the text plus
     8), text_crc32, tokens (blank-separated words), shard and slot (place in
     the shard, gapless from 0). Documents with equal texts are one group and
-    stay together, unless the group exceeds half a shard: then it is split by
-    doc_id into even pieces. Groups above 1/64 of a shard are placed one by
+    stay together, unless the group exceeds half a shard: then it is split
+    into pieces of equally many rows. Groups above 1/64 of a shard are placed one by
     one, the many small ones in bundles of a text hash, so the placement sees
     a bounded number of units at any input size.
 
     Defined cases: a null text has no bytes or tokens and forms one group with
     crc 0, as does the empty text; null ids and repeated rows are dealt as any
-    row; an empty table gives no rows; other columns are not looked at.
+    row, each by its place in the input; groups of equal share are placed in
+    order of their hash; an empty table gives no rows; other columns are not looked at.
     """
     text = text_column(docs)
     rows = land(docs.select(
         F.col("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(text.cast("binary"), F.lit(b""))).alias("text_crc32"),
         F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long").alias("tokens"),
-        F.xxhash64(text).alias("group")), "shard-rows")
+        F.xxhash64(text).alias("group"), F.monotonically_increasing_id().alias("place")), "shard-rows")
     groups = rows.groupBy("group").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"))
     whole = rows.agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).first()
     share = F.greatest(*[F.col(c) * (shards / max(1, whole[i] or 0)) for i, c in enumerate("btn")])
@@ -63,13 +64,16 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
              .agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.sum("n").alias("n")).collect()]
     spark = docs.sparkSession
     split = spark.createDataFrame([(g, p) for g, p, _ in big] or [(0, 0)], "group long, pieces int")
-    piece = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("pieces")).cast("int")
-    keyed = rows.join(F.broadcast(split.where("pieces > 0")), "group", "left").select(
-        "doc_id", "size", "text_crc32", "tokens",
-        F.when(F.col("pieces").isNull(), F.pmod("group", F.lit(BUNDLES))).otherwise(F.col("group")).alias("unit"),
-        F.when(F.col("pieces").isNull(), F.lit(-1)).otherwise(piece).alias("piece"))
+    split = F.broadcast(split.where("pieces > 0"))
+    slim = ["doc_id", "size", "text_crc32", "tokens", "place"]
+    keyed = rows.join(split, "group", "left_anti").select(*slim, F.pmod("group", F.lit(BUNDLES)).alias("unit"), F.lit(-1).alias("piece"))
+    if big:  # rows of a large group are numbered, so that its pieces differ by one row at most
+        own = land(rows.join(split, "group"), "shard-groups")
+        dealt = gapless_rank(own, "group", F.xxhash64("place"), [F.col("place")], "rank")
+        keyed = keyed.unionByName(dealt.select(*slim, F.col("group").alias("unit"), F.pmod("rank", "pieces").cast("int").alias("piece")))
+        keyed = land(keyed, "shard-keyed")
     units = [(int(k), -1, *v) for k, v in small]
-    if big:  # a piece's true size, as its rows are dealt by a hash
+    if big:
         pieces = keyed.where("piece >= 0").groupBy("unit", "piece").agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1)))
         units += [tuple(r) for r in pieces.collect()]
     units.sort()
@@ -77,4 +81,4 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     placed = spark.createDataFrame([(u[0], u[1], int(s)) for u, s in zip(units, plan)] or [(0, -2, 0)],
                                    "unit long, piece int, shard int")
     dealt = land(keyed.join(F.broadcast(placed), ["unit", "piece"]).drop("unit", "piece"), "shard-dealt")
-    return gapless_rank(dealt, "shard", F.xxhash64("doc_id", "text_crc32"), [F.col("doc_id"), F.col("text_crc32")], "slot")
+    return gapless_rank(dealt, "shard", F.xxhash64("place"), [F.col("doc_id"), F.col("text_crc32"), F.col("place")], "slot").drop("place")
