@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from crowdscope.llm.common import annotate, free_name
 
-#: Entries of the memos of a Python worker (chunks of text, neighbour pairs); a full memo starts anew.
-MEMO = 100_000
+#: Entries of a generation of a Python worker's memos: words, words with punctuation, neighbour pairs.
+MEMO = 160_000
 #: Longest chunk of text, in characters, that is remembered.
 SHORT = 48
 #: Pieces of a long chunk that are held at once.
@@ -85,8 +85,10 @@ class Encoder:
                 self.machine.add_word(t.decode("latin-1"), (i, len(t) - 1))
         self.machine.make_automaton()
         self.pairs: dict[int, bool] = {}
+        # pieces without a blank before them; words after a blank, and those met lately only
         self.pieces_seen: dict[str, tuple[int, ...]] = {}
         self.after_blank: dict[str, tuple[int, ...] | None] = {}
+        self.before: dict[str, tuple[int, ...] | None] = {}
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging keeps the border between neighbours ``a`` and ``b``.
@@ -152,18 +154,29 @@ class Encoder:
                     token = shorter[token]
         return out
 
+    def keep(self, word: str, ids: tuple[int, ...] | None) -> None:
+        """Remember a word's ids. A full memo becomes the one before, which
+        gives back what is met again; what isn't is forgotten with it."""
+        if len(self.after_blank) >= MEMO:
+            self.before, self.after_blank = self.after_blank, {}
+        self.after_blank[word] = ids
+
     def chunk(self, text: str) -> tuple[int, ...]:
         """Ids of a short text."""
         out: list[int] = []
-        seen = self.pieces_seen
-        for p in self.pieces.findall(text):
-            ids = seen.get(p)
+        pieces = self.pieces.findall(text)
+        for p in pieces:
+            word = p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else None
+            seen = self.pieces_seen if word is None else self.after_blank
+            ids = seen.get(word or p) or (self.before.get(word) if word else None)
             if ids is None:
                 ids = tuple(self.piece(p.encode()))
-                if len(p) <= SHORT:
-                    if len(seen) >= MEMO:
+                if word is None:
+                    if len(seen) >= MEMO // 4:
                         seen.clear()
                     seen[p] = ids
+            if word and len(pieces) > 1:
+                self.keep(word, ids)
             out += ids
         return tuple(out)
 
@@ -180,7 +193,7 @@ class Encoder:
         space, so the text is cut there and the ids of short chunks are
         remembered. A chunk that ends in white space is read with the next.
         """
-        done, out, known = array("I"), [], self.after_blank
+        done, out = array("I"), []
         first, *words = text.split(" ")
         open_ = [first]  # what can't be cut off yet
         if first and not first[-1].isspace():
@@ -188,9 +201,12 @@ class Encoder:
             open_ = []
         for word in words:
             if not open_:
-                ids = known.get(word, MISSING)
+                ids = self.after_blank.get(word, MISSING)
                 if ids is MISSING:
-                    if not word or word[-1].isspace():
+                    ids = self.before.get(word, MISSING)
+                    if ids is not MISSING:
+                        self.keep(word, ids)
+                    elif not word or word[-1].isspace():
                         ids = None
                     elif len(word) > SHORT:
                         for ids in self.long(" " + word):
@@ -199,10 +215,7 @@ class Encoder:
                         continue
                     else:
                         ids = self.chunk(" " + word)
-                    if len(word) <= SHORT:
-                        if len(known) >= MEMO:
-                            known.clear()
-                        known[word] = ids
+                        self.keep(word, ids)
                 if ids is not None:
                     out += ids
                     continue
