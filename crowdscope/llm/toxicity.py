@@ -6,6 +6,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import WordHasher, annotate, hash_below, land, text_column, text_parts, utf8_buffers
+from crowdscope.llm.common import WordHasher, annotate, hash_below, land, row_slices, text_column, text_parts, utf8_buffers
 
 #: Labelled documents that are examples, of either label (expected number; dealt by a hash of the id).
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
@@ -27,6 +28,8 @@ TERM_PRIOR = 1.0
 NEIGHBOURS = 20
 #: Postings that a search reads before it first asks what else can be reached.
 FIRST_POSTINGS = 100_000
+#: Text bytes whose terms are held at once.
+CHUNK_BYTES = 1 << 19
 #: Examples in one block of the index.
 BLOCK = 64
 REJECT = 0.7
@@ -159,7 +162,7 @@ class Words:
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row offsets, numbers and counts of the terms."""
         v, keys, counts = len(self.vocabulary), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for lo, part, own in text_parts(raw, offsets, self.inside) if v else ():
+        for lo, part, own in text_parts(raw, offsets, self.inside, CHUNK_BYTES) if v else ():
             words, rows, _, _ = self.hasher(part, own)
             at = np.minimum(np.searchsorted(self.vocabulary, words), v - 1)
             known = self.vocabulary[at] == words
@@ -174,7 +177,7 @@ class Words:
     def named(self, raw: np.ndarray, terms: np.ndarray) -> list[str]:
         """The words of one text that are these terms, sorted."""
         found, wanted = set(), self.vocabulary[terms]
-        for _, part, own in text_parts(raw, np.array([0, len(raw)]), self.inside) if len(terms) else ():
+        for _, part, own in text_parts(raw, np.array([0, len(raw)]), self.inside, CHUNK_BYTES) if len(terms) else ():
             words, _, start, stop = self.hasher(part, own)
             at = np.flatnonzero(np.isin(words, wanted))
             _, once = np.unique(words[at], return_index=True)
@@ -182,6 +185,14 @@ class Words:
         return sorted(found)
 
 
+def in_chunks(words: Words, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
+    """Every row's number with the first row, row offsets, terms and counts of its chunk."""
+    for lo, hi in row_slices(offsets, CHUNK_BYTES):
+        found = words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+        for i in range(lo, hi):
+            yield i, lo, *found
+
+
 class Voter:
     """Votes of the nearest examples, rebuilt in a task from a model's arrays."""
 
@@ -238,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOX
             raw, offsets = utf8_buffers(batch.column(3))
             terms, counts = [], []
             for i in range(batch.num_rows):
-                words = [hasher(part, own)[0] for _, part, own in text_parts(raw[offsets[i]:offsets[i + 1]], offsets[i:i + 2] - offsets[i], hasher.fold != 0)]
+                words = [hasher(part, own)[0] for _, part, own in text_parts(raw[offsets[i]:offsets[i + 1]], offsets[i:i + 2] - offsets[i], hasher.fold != 0, CHUNK_BYTES)]
                 t, n = np.unique(np.concatenate(words) if words else np.zeros(0, np.uint64), return_counts=True)
                 terms.append(t.view(np.int64))
                 counts.append(n)
@@ -263,13 +274,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOX
         table = np.zeros((1 + 2 * FOLDS, n_terms + 1), np.int64)
         for batch in batches:
             raw, offsets = utf8_buffers(batch.column(0))
-            rows, terms_, _ = words(raw, offsets)
-            own = np.diff(rows)
-            y, part = (np.asarray(batch.column(i).fill_null(-1)) for i in (1, 2))
-            groups = [(0, np.ones(len(y), bool)), *[(1 + f, part == f) for f in range(FOLDS)], *[(1 + FOLDS + f, (part == f) & (y == 1)) for f in range(FOLDS)]]
-            for g, some in groups:
-                table[g, :n_terms] += np.bincount(terms_[np.repeat(some, own)], minlength=n_terms)
-                table[g, n_terms] += some.sum()
+            toxic_of, fold_of = (np.asarray(batch.column(i).fill_null(-1)) for i in (1, 2))
+            for lo, hi in row_slices(offsets, CHUNK_BYTES):
+                rows, found, _ = words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                own, part, y = np.diff(rows), fold_of[lo:hi], toxic_of[lo:hi]
+                groups = [(0, part > -2), *[(1 + f, part == f) for f in range(FOLDS)], *[(1 + FOLDS + f, (part == f) & (y == 1)) for f in range(FOLDS)]]
+                for g, some in groups:
+                    if some.any():
+                        np.add.at(table[g], found[np.repeat(some, own)], 1)
+                        table[g, n_terms] += some.sum()
         used = np.flatnonzero(table[0])
         for lo in range(0, len(used), 100_000):
             at = used[lo:lo + 100_000]
@@ -354,9 +367,8 @@ def score(docs: DataFrame, model: dict, keep: list[str] | None = None) -> tuple[
 
         def step(raw, offsets, nulls, batch):
             scores, marks, evidence = [], [], []
-            rows, terms, counts = v.words(raw, offsets)
-            for i in range(len(offsets) - 1):
-                t, n = terms[rows[i]:rows[i + 1]], counts[rows[i]:rows[i + 1]]
+            for i, lo, rows, terms, counts in in_chunks(v.words, raw, offsets):
+                t, n = terms[rows[i - lo]:rows[i - lo + 1]], counts[rows[i - lo]:rows[i - lo + 1]]
                 key = (t.tobytes(), n.tobytes())
                 if key not in v.memo:
                     if len(v.memo) >= 1000:
