@@ -3,6 +3,8 @@ passes, vectorised word hashing and a distributed gapless rank."""
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -128,6 +130,17 @@ def ship(spark: SparkSession, model) -> Broadcast:
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
 
+def held(key: str, build: Callable):
+    """What ``build`` makes, kept by the Python worker for its next tasks. Only
+    one object is kept: a stage that holds its own frees that of the stage before."""
+    kept = sys.modules.setdefault("_llm_held", types.ModuleType("_llm_held")).__dict__
+    if kept.get("key") != key:
+        kept["key"] = kept["made"] = None
+        kept["made"] = build()
+        kept["key"] = key
+    return kept["made"]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit moves every output bit."""
     x = x ^ (x >> np.uint64(31))

@@ -3,13 +3,15 @@ trusted text, and language-specific perplexity thresholds."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, free_name, land, row_slices, text_column, utf8_buffers
+from crowdscope.llm.common import annotate, free_name, held, land, row_slices, text_column, utf8_buffers
 
 #: Bytes of an n-gram.
 ORDER = 5
@@ -24,6 +26,8 @@ QUANTILE = 0.995
 #: Bytes from which a text is in the next length band. Short clean texts spread
 #: widely, so long ones have a limit of their own.
 BANDS = (256, 1024)
+#: Text bytes scored at once.
+SCORE_BYTES = 1 << 18
 #: A band's quantile counts by its held-back texts, its language's as so many more.
 BAND_ROWS = 50
 #: A text counts as if it had so many more bytes of its language's median, as the mean of a few bytes says little.
@@ -173,7 +177,7 @@ class QualityModel:
     def __init__(self, scored: DataFrame, shard_grams: int = SHARD_GRAMS):
         spark = scored.sparkSession
         self.langs = {r.lang: i for i, r in enumerate(scored.select("lang").distinct().orderBy("lang").collect())}
-        self.shards = []
+        self.shards, self.key = [], uuid.uuid4().hex
         n = max(1, -(-scored.count() // shard_grams))
         for k in range(n):  # each shard's size is bounded; one at a time passes the driver
             part = scored.where(F.pmod(F.xxhash64("lang", "gram"), F.lit(n)) == k).toArrow()
@@ -182,7 +186,7 @@ class QualityModel:
             self.shards.append(spark.sparkContext.broadcast((codes, part["logp"].to_numpy().astype(np.float32))))
 
     def annotate(self, docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, str]:
-        langs, shards = self.langs, self.shards
+        langs, shards, key = self.langs, self.shards, self.key
         hidden = "lang__"
         while hidden in docs.columns:
             hidden += "_"
@@ -190,13 +194,13 @@ class QualityModel:
         docs = docs.withColumn(hidden, language(docs))
 
         def make():
-            tables = [GramTable(*s.value) for s in shards]
+            tables = held(key, lambda: [GramTable(*s.value) for s in shards])
 
             def step(raw, offsets, nulls, batch):
                 at = batch.schema.get_field_index(hidden)
                 ids = np.array([langs.get(x, len(langs)) for x in batch.column(at).to_pylist()], np.uint64)
                 sums = np.zeros(len(ids))
-                for i, j in row_slices(offsets):
+                for i, j in row_slices(offsets, SCORE_BYTES):
                     own = offsets[i:j + 1] - offsets[i]
                     codes = gram_codes(raw[offsets[i]:offsets[j]], own)
                     codes |= np.repeat(ids[i:j] << np.uint64(8 * ORDER), np.diff(own))

@@ -3,8 +3,6 @@ block-max inverted index, distance-weighted votes, calibrated scores."""
 
 from __future__ import annotations
 
-import sys
-import types
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import WordHasher, annotate, hash_below, land, row_slices, text_column, text_parts, utf8_buffers
+from crowdscope.llm.common import WordHasher, annotate, hash_below, held, land, row_slices, text_column, text_parts, utf8_buffers
 
 #: Labelled documents that are examples, of either label (expected number; dealt by a hash of the id).
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
@@ -215,10 +213,7 @@ class Voter:
 
 def voter(arrays: dict) -> Voter:
     """The voter of a model, kept by the Python worker for later tasks."""
-    kept = sys.modules.setdefault("_toxicity_voters", types.ModuleType("_toxicity_voters")).__dict__
-    if kept.get("key") != arrays["key"]:
-        kept["key"], kept["voter"] = arrays["key"], Voter(arrays)
-    return kept["voter"]
+    return held(arrays["key"], lambda: Voter(arrays))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> dict:
