@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from crowdscope.session import scratch_path
 
 #: Text bytes handled by one vectorised step inside a task.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -121,7 +121,7 @@ class Network:
         and the share of bytes that each language labels."""
         rows = len(offsets) - 1
         pooled, labelled = np.zeros((rows, len(self.langs))), np.zeros((rows, len(self.langs)))
-        for i, j in row_slices(offsets):
+        for i, j in row_slices(offsets, 1 << 21):
             steps, length, row = cut_windows(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             for lo in range(0, len(row), TOGETHER):
                 part = slice(lo, lo + TOGETHER)

@@ -340,8 +340,8 @@ def score(docs: DataFrame, model: dict, keep: list[str] | None = None) -> tuple[
     Defined cases: a null or empty text, or one without any example's word,
     scores the rate of toxic rows; without labels every score is 0; equal
     similarities go to the earlier example; of conflicting labels the higher
-    holds; repeated rows score alike; a very long text is read in parts of 2
-    MB, cut between words; other columns, also of clashing names, are carried
+    holds; repeated rows score alike; a very long text is read in parts of half a
+    megabyte, cut between words; other columns, also of clashing names, are carried
     as they are. Returns the frame and the struct's name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
