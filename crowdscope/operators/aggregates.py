@@ -82,13 +82,26 @@ def crosstab_counts(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: list) -> DataFrame:
-    """Contingency table in wide form (A13): a column per value of ``b`` in
-    ``values`` and a row per value of ``a`` (a null one reads ``null``). The
-    caller names the values, so no job runs to find them and their number has
-    no limit; :func:`crosstab_counts` needs none."""
+#: Most columns that a contingency table finds by itself.
+MAX_CROSSTAB_COLUMNS = 1000
+
+
+def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
+    """Contingency table in wide form (A13): a column per value of ``b`` and a
+    row per value of ``a`` (a null one reads ``null``, on either side).
+
+    With ``values`` no job runs to find the columns and their number has no
+    limit. Without, the values that occur are looked up first, in order; more
+    than ``MAX_CROSSTAB_COLUMNS`` are an error, as such a table is one for
+    :func:`crosstab_counts`."""
+    if values is None:
+        found = df.select(b).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
+        if len(found) > MAX_CROSSTAB_COLUMNS:
+            raise ValueError(f"more than {MAX_CROSSTAB_COLUMNS} values of {b}: use crosstab_counts")
+        values = sorted((r[0] for r in found), key=lambda v: (v is None, v if v is not None else 0))
     name = F.coalesce(F.col(a).cast("string"), F.lit("null")).alias(f"{a}_{b}")
-    return df.groupBy(name).agg(*[F.count_if(F.col(b) == v).alias(str(v)) for v in values])
+    return df.groupBy(name).agg(*[F.count_if(F.col(b).isNull() if v is None else F.col(b) == v)
+                                  .alias("null" if v is None else str(v)) for v in values])
 
 
 def pivot_sum(df: DataFrame, keys: list[str], pivot: str, measure: str, values: list | None = None,

@@ -319,6 +319,13 @@ def q_crosstab(spark, sf):
     return crosstab(_t(spark, sf).orders, "o_orderstatus", "o_orderpriority", list(_PRIORITIES))
 
 
+@register("crosstab_found", ORACLE["crosstab"])
+def q_crosstab_found(spark, sf):
+    """The same table with its columns found in the data."""
+    from crowdscope.operators.aggregates import crosstab
+    return crosstab(_t(spark, sf).orders, "o_orderstatus", "o_orderpriority")
+
+
 @register("crosstab_counts", "SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY ALL")
 def q_crosstab_counts(spark, sf):
     from crowdscope.operators.aggregates import crosstab_counts
@@ -891,3 +898,64 @@ def q_retention_incremental(spark, sf):
         state = spark.read.parquet(f"{path}/{before}")
         merge_state(state, scanned_days(events, before, day), day).write.parquet(f"{path}/{day}")
     return retention_of_state(spark.read.parquet(f"{path}/{end}"), members, end, with_timestamp=False)
+
+
+# ------------------------------------------- hot keys, bitmaps, observed writes
+
+@register("segment_left_join_hot", with_ctes(I.SQL_HOT_MEMBERS, *_BASE_CTES, body=(
+    "SELECT m.segment_id, pb.* FROM members m LEFT JOIN pbase pb ON m.uid = pb.uid")))
+def q_segment_left_join_hot(spark, sf):
+    """One id has most member rows, others have no profile (J3). A task takes
+    about 200 rows of one id here, so that the id is dealt at any test size."""
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.segment_left_join_hot(I.hot_members(t), _base(t), hot_rows=200)
+
+
+@register("feature_shares_unmatched", with_ctes(I.SQL_HOT_MEMBERS, *_BASE_CTES, SQL_LONG, body="SELECT * FROM shares"))
+def q_feature_shares_unmatched(spark, sf):
+    """Shares of segments with ids that have no profile."""
+    from crowdscope.plans import profile as P
+    t = _t(spark, sf)
+    return P.feature_shares(I.hot_members(t), _base(t))
+
+
+def _sql_active_within() -> str:
+    flags = ", ".join(f"EXISTS (SELECT 1 FROM ev e WHERE e.uid = c.uid AND e.d > c.idate AND e.d < c.idate + {n}) AS active_{name}"
+                      for name, n in _RET_WINDOWS)
+    return with_ctes(I.SQL_EV, _SQL_INSTALLS, _SQL_COHORTS, body=f"SELECT c.uid, c.idate, {flags} FROM coh c")
+
+
+@register("active_within", _sql_active_within())
+def q_active_within(spark, sf):
+    return R.active_within(I.retention_events(_t(spark, sf)), I.RET_START, I.RET_AS_OF)
+
+
+@register("feature_shares_bitmap", ORACLE["feature_shares_unmatched"])
+def q_feature_shares_bitmap(spark, sf):
+    """Shares from daily bitmaps (A5, A10, A16): a profile is seen on the day
+    of the month of its install and the day after. The users of the first
+    half are numbered first, the others appended; the days' states are landed
+    and merged without reading a profile again."""
+    from crowdscope.operators.bitmaps import extend_dictionary, number_users
+    from crowdscope.plans import profile as P
+    from crowdscope.session import scratch_path
+    t = _t(spark, sf)
+    first = F.coalesce(F.dayofmonth(F.try_to_date("idate", "dd-MM-yyyy")), F.lit(1))
+    base = _base(t).withColumn("day", F.explode(F.array(first, first + 1)))
+    users, states = scratch_path(spark, "users"), scratch_path(spark, "feature-bitmaps")
+    number_users(base.filter(F.col("day") <= 15)).write.parquet(users)
+    more = extend_dictionary(spark.read.parquet(users), base)
+    more.write.parquet(f"{users}-more")
+    dictionary = spark.read.parquet(users, f"{users}-more")
+    members = I.hot_members(t)
+    P.feature_bitmaps(members, base, dictionary).write.partitionBy("day").parquet(states)
+    return P.with_shares(P.bitmap_feature_counts(spark.read.parquet(states), members), P.segment_sizes(members))
+
+
+@register("quality_on_write", ORACLE["column_quality_all"])
+def q_quality_on_write(spark, sf):
+    """The quality of a table, measured while it is written."""
+    from crowdscope.session import scratch_path
+    from crowdscope.sinks.observed import write_with_quality
+    return write_with_quality(I.event_records(_t(spark, sf)), scratch_path(spark, "records"), list(I.QUALITY_COLUMNS))

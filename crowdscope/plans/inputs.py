@@ -18,6 +18,7 @@ RET_START = "1995-01-01"
 RET_AS_OF = "2001-08-01"             # the last order date
 PRICE_LOW_BELOW = 950.0
 APP = "news_app"
+HOT_UID = 7                          # the id that one segment repeats
 TAG_AS_OF = "2001-08-01"
 EVENTS_TS_START = "2024-01-10 00:00:00"
 EVENTS_TS_END = "2024-01-20 00:00:00"
@@ -121,6 +122,23 @@ SQL_MEMBERS = """members AS (
   UNION ALL SELECT 'urgent_buyers', o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
 
+@derived
+def hot_members(t: Tables) -> DataFrame:
+    """Members of which one id has most rows (one for every order) and some
+    ids have no profile (``lapsed``: customers in debt under an old id)."""
+    c = t.customer
+    by_market = c.select(F.lower("c_mktsegment").alias("segment_id"), F.col("c_custkey").alias("uid"))
+    lapsed = c.filter(F.col("c_acctbal") < 0).select(F.lit("lapsed").alias("segment_id"), (-F.col("c_custkey") - 1).alias("uid"))
+    hot = t.orders.select(F.lit("kiosk").alias("segment_id"), F.lit(HOT_UID).cast("long").alias("uid"))
+    return by_market.unionByName(lapsed).unionByName(hot)
+
+
+SQL_HOT_MEMBERS = f"""members AS (
+  SELECT lower(c_mktsegment) AS segment_id, c_custkey AS uid FROM customer
+  UNION ALL SELECT 'lapsed', -c_custkey - 1 FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT 'kiosk', {HOT_UID} FROM orders)"""
+
+
 @derived
 def member_payloads(t: Tables, page_size: int = 1000) -> DataFrame:
     """Members as JSON list pages ``{"users": [...]}`` of at most

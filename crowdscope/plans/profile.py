@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
+from crowdscope.operators.bitmaps import bitmap_state, bitmap_users, merge_bitmaps
+from crowdscope.operators.hotkeys import HOT_ROWS, left_join_hot
 
 # --- Fixed values: report feature ids and display names, in report order ---
 FEATURES: tuple[tuple[str, str], ...] = (
@@ -66,21 +68,30 @@ def segment_left_join(members: DataFrame, base: DataFrame) -> DataFrame:
     return m.join(base, m.member_uid == base.uid, "left").drop("member_uid")
 
 
+def segment_left_join_hot(members: DataFrame, base: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """:func:`segment_left_join` where one id may hold a third of all member
+    rows and ids may have no profile."""
+    profiles = base.withColumn("_key", F.col("uid"))
+    m = members.select("segment_id", F.col("uid").alias("_key"))
+    return left_join_hot(m, profiles, "_key", hot_rows).drop("_key").select("segment_id", *base.columns)
+
+
 #: Features computed from the base; the others are columns of the same name.
 _COMPUTED = {"install_day": lambda: C.install_weekday("idate"), "Device_brand": lambda: C.device_brand("dtype"),
              "device_price": lambda: F.col("price_range")}
 _SCALARS = tuple(fid for fid, _ in FEATURES if fid != "Publication")
 
 
-def feature_entries(base: DataFrame) -> DataFrame:
+def feature_entries(base: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Distinct ``(uid, feature, value)`` of the base: the nine scalar
-    features, null as ``Not_Available``, and every listed publication (R3)."""
+    features, null as ``Not_Available``, and every listed publication (R3).
+    Columns of the base named in ``keep`` stand between uid and feature."""
     entry = lambda name, v: F.struct(F.lit(name).alias("feature"),
                                      F.coalesce(v.cast("string"), F.lit(C.NOT_AVAILABLE)).alias("value"))
     scalars = F.array(*[entry(n, _COMPUTED[n]() if n in _COMPUTED else F.col(n)) for n in _SCALARS])
     pubs = F.coalesce(F.transform(F.split(F.col("channelids"), ",", -1), lambda x: entry("Publication", x)),
                       F.array().cast("array<struct<feature:string,value:string>>"))
-    return base.filter(F.col("uid").isNotNull()).select("uid", F.inline(F.concat(scalars, pubs))).distinct()
+    return base.filter(F.col("uid").isNotNull()).select("uid", *keep, F.inline(F.concat(scalars, pubs))).distinct()
 
 
 def segment_sizes(members: DataFrame) -> DataFrame:
@@ -103,6 +114,30 @@ def feature_counts(members: DataFrame, base: DataFrame) -> DataFrame:
             .groupBy("segment_id", "feature", "feature_values").agg(F.sum("users").alias("users")))
 
 
+def feature_bitmaps(members: DataFrame, base: DataFrame, dictionary: DataFrame, day: str = "day") -> DataFrame:
+    """State of distinct users per segment, feature, value and day (A5, A16):
+    bitmaps over the numbers of ``dictionary``. ``base`` has a row per user and
+    day on which the profile was seen."""
+    ids = members.select("segment_id", "uid").distinct()
+    return bitmap_state(ids.join(feature_entries(base, (day,)), "uid"), ["segment_id", "feature", "value", day], dictionary)
+
+
+def bitmap_feature_counts(state: DataFrame, members: DataFrame) -> DataFrame:
+    """:func:`feature_counts` of the days in ``state``, from bitmaps alone.
+    Every profile has one value or more of each scalar feature, so the users
+    of one such feature are all matched members; a segment with others gets
+    the ``Not_Available`` rows of members without a profile."""
+    keys = ["segment_id", "feature", "value"]
+    users = bitmap_users(merge_bitmaps(state, keys), keys)
+    matched = bitmap_users(merge_bitmaps(state.filter(F.col("feature") == _SCALARS[0]), ["segment_id"]), ["segment_id"], "matched")
+    ids = members.select("segment_id", "uid").distinct().groupBy("segment_id").agg(F.count(F.lit(1)).alias("ids"))
+    lacking = ids.join(matched, "segment_id", "left").filter(F.col("ids") > F.coalesce("matched", F.lit(0)))
+    blank = lacking.select("segment_id", F.explode(F.array(*[F.lit(n) for n in _SCALARS])).alias("feature"),
+                           F.lit(C.NOT_AVAILABLE).alias("value"), F.lit(0).cast("long").alias("users"))
+    return (users.unionByName(blank).groupBy("segment_id", "feature", F.col("value").alias("feature_values"))
+            .agg(F.sum("users").alias("users")))
+
+
 def counted(members: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """User counts per value and segment sizes: the input of the reports."""
     return feature_counts(members, base), segment_sizes(members)

@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crowdscope.operators.hotkeys import HOT_ROWS, interval_join
+
 # Window names and lengths in days.
 DEFAULT_WINDOWS = (("w2", 7), ("w3", 14), ("w4", 21), ("m2", 30), ("m3", 60), ("m4", 90))
 
@@ -96,6 +98,22 @@ def reinstall_within(events: DataFrame, start, as_of, windows=DEFAULT_WINDOWS) -
                        *[_lost(n).alias(f"lost_{name}") for name, n in windows])
 
 
+def active_within(events: DataFrame, start, as_of, windows=DEFAULT_WINDOWS, width: int = 32,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Per install cohort, whether the user had any event after the install
+    day and inside each window: ``(uid, idate, active_<name>...)`` (J6). Events
+    count once a user and day, combined before the shuffle; days and cohorts
+    meet in an interval join over bins of ``width`` days."""
+    cohorts = install_cohorts(events, start, as_of).select("uid", "idate").distinct()
+    last = max(n for _, n in windows)
+    spans = cohorts.select("uid", "idate", (F.unix_date("idate") + 1).alias("_from"), (F.unix_date("idate") + last).alias("_to"))
+    days = events.select("uid", F.unix_date("d").alias("_day")).distinct()
+    pairs = interval_join(days, spans, ["uid"], "_day", "_from", "_to", width, hot_rows).select("uid", "idate", "_day")
+    every = pairs.unionByName(cohorts, allowMissingColumns=True)
+    return every.groupBy("uid", "idate").agg(*[
+        F.coalesce(F.max(F.col("_day") < F.unix_date("idate") + n), F.lit(False)).alias(f"active_{name}") for name, n in windows])
+
+
 def retention(events: DataFrame, members: DataFrame, start, as_of,
               windows=DEFAULT_WINDOWS, with_timestamp: bool = True) -> DataFrame:
     """One row per segment: ``installfromdate, installtodate,

@@ -21,7 +21,8 @@ SKEWED = {
 TABLES = ("customer", "nation", "part", "lineitem", "orders", "events", "pages")
 CHECK = ("retention", "cohort_users", "reinstall_within", "feature_shares", "top_features", "segment_compare",
          "category_shares", "interest_tags", "daily_user_activity", "upsert_latest_by_key", "column_quality",
-         "conditional_sum", "last_activity", "segment_members", "segment_left_join")
+         "conditional_sum", "last_activity", "segment_members", "segment_left_join",
+         "active_within", "segment_left_join_hot", "feature_shares_bitmap")
 
 
 @pytest.fixture(scope="module")
