@@ -19,6 +19,8 @@ ORDER = 5
 SHARD_GRAMS = 4_000_000
 #: Most trusted ids that are broadcast (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Most languages whose discounts are broadcast (a few doubles each).
+BROADCAST_LANGS = 10_000
 #: Trusted documents of one in so many only set thresholds, so that these are not met by text the model has seen.
 THRESHOLD_FOLD = 4
 #: A limit on log perplexity is this quantile of held-back trusted texts.
@@ -101,7 +103,8 @@ def levels(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
                    F.least(F.greatest(k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}"), F.lit(0.05)), F.lit(k - 0.05)))
             .otherwise(F.lit(0.5 * k)).alias(f"d{k}") for k in (1, 2, 3)])
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        known = grams.join(cuts, "lang").select("lang", "gram", "n", (F.col("n") - cut).alias("kept"), cut.alias("cut"))
+        cuts = land(cuts, f"discounts-{order}")
+        known = grams.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_LANGS else cuts, "lang").select("lang", "gram", "n", (F.col("n") - cut).alias("kept"), cut.alias("cut"))
         contexts = known.groupBy("lang", F.shiftright("gram", 8).alias("context")).agg(
             F.sum("n").alias("total"), F.sum("cut").alias("left"))
         out.append((known.select("lang", "gram", "kept"), contexts))
@@ -274,7 +277,7 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     own = {c: free_name(out, f"_{c}") for c in ("lang", "band", "median", "limit")}
     flat = limits.select(*[F.col(c).alias(own[c]) for c in own])
     value, n = F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_grams")
-    joined = out.join(F.broadcast(flat) if flat.count() <= 10_000 else flat,
+    joined = out.join(F.broadcast(flat) if flat.count() <= BROADCAST_LANGS else flat,
                       (language(out) == F.col(own["lang"])) & (band(n) == F.col(own["band"])), "left")
     good = F.coalesce(shrunk(value, n, F.col(own["median"])) <= F.col(own["limit"]), F.lit(True))
     verdict = F.struct(value, n, F.col(own["limit"]).alias("limit"), good.alias("good"))
