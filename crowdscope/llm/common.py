@@ -3,6 +3,8 @@ passes, vectorised word hashing and a distributed gapless rank."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -18,6 +20,8 @@ from crowdscope.session import scratch_path
 
 #: Text bytes handled by one vectorised step inside a task.
 SLICE_BYTES = 1 << 19
+#: Bytes of an Arrow batch between Spark and a Python worker, where the session sets none.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +36,15 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session bound Arrow batches by bytes, not by rows alone, so that
+    what a task holds doesn't grow with the length of texts. A session that
+    sets a bound of its own keeps it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -113,6 +126,7 @@ def annotate(df: DataFrame, name: str, fields: T.StructType, make: Callable, kee
 
     def run(batches):
         step = make()
+        give_back()
         for batch in batches:
             col = batch.column(n_keep)
             raw, offsets = utf8_buffers(col)
@@ -120,7 +134,9 @@ def annotate(df: DataFrame, name: str, fields: T.StructType, make: Callable, kee
             arrays = step(raw, offsets, nulls, batch)
             made = pa.StructArray.from_arrays(arrays, names=names)
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], made], names=[*batch.schema.names[:n_keep], name])
+        give_back()
 
+    bound_batches(df.sparkSession)
     return src.mapInArrow(run, out), name
 
 
@@ -141,6 +157,29 @@ def held(key: str, build: Callable):
     return kept["made"]
 
 
+def give_back() -> None:
+    """Return freed memory of this Python process to the machine: a worker lives
+    on through later stages beside others, and allocators keep what it freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A pass over Arrow batches that holds no model: what the worker keeps for
+    an earlier stage goes before it, and its own freed memory after it."""
+
+    @functools.wraps(run)
+    def passed(batches):
+        held("", lambda: None)
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return passed
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit moves every output bit."""
     x = x ^ (x >> np.uint64(31))

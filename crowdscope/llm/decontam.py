@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate
+from crowdscope.llm.common import annotate, held
 
 #: Consecutive words of one window.
 WINDOW = 10
@@ -128,6 +128,7 @@ def find_benchmark(docs: DataFrame, bench: DataFrame, keep: list[str] | None = N
     shared = [sc.broadcast(b) for b in benchmark_blocks(bench, block_bytes)]
 
     def make():
+        held("", lambda: None)
         kept = {}
 
         def step(raw, offsets, nulls, batch):

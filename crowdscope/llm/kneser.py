@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, free_name, held, land, row_slices, text_column, utf8_buffers
+from crowdscope.llm.common import annotate, bound_batches, free_name, held, land, lean, row_slices, text_column, utf8_buffers
 
 #: Bytes of an n-gram.
 ORDER = 5
 #: N-grams of one scoring table: 48 MB as sorted codes and logarithms.
 SHARD_GRAMS = 4_000_000
+#: N-grams counted by a task before it passes partial counts on (32 MB), and rows of one batch of these.
+HELD_GRAMS, GRAM_ROWS = 2_000_000, 100_000
+#: N-grams put into a scoring table at once.
+INSERT_GRAMS = 1 << 18
 #: Most trusted ids that are broadcast (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Most languages whose discounts are broadcast (a few doubles each).
@@ -57,28 +61,49 @@ def gram_codes(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) partial counts: one row per n-gram, language and batch."""
+    """(lang, gram, n) partial counts: one row per n-gram and language, more
+    for a task that meets over about half of ``HELD_GRAMS`` n-grams."""
+
+    def merged(found):
+        codes, n = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(codes)
+        codes, n = codes[order], n[order]
+        at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+        return codes[at], np.add.reduceat(n, at)
+
+    def passed_on(counted):
+        for lang, found in counted.items():
+            codes, n = merged(found)
+            for lo in range(0, len(codes), GRAM_ROWS):
+                grams = codes[lo:lo + GRAM_ROWS].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams),
+                                                  pa.array(n[lo:lo + GRAM_ROWS])], names=["lang", "gram", "n"])
 
     def run(batches):
+        counted: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting = 0
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), object)
             for lang in sorted(set(langs)):
                 part = batch.filter(pa.array(langs == lang))
                 raw, offsets = utf8_buffers(part.column(0))
-                found: list[tuple[np.ndarray, np.ndarray]] = []
                 for i, j in row_slices(offsets):
-                    found.append(np.unique(gram_codes(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]),
-                                           return_counts=True))
-                if not found:
-                    continue
-                codes = np.concatenate([f[0] for f in found])
-                grams, back = np.unique(codes, return_inverse=True)
-                n = np.bincount(back, np.concatenate([f[1] for f in found])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()),
-                                                  pa.array(grams.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
-
+                    codes, n = np.unique(gram_codes(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), return_counts=True)
+                    if not len(codes):
+                        continue
+                    counted.setdefault(lang, []).append((codes, n.astype(np.int64)))
+                    waiting += len(codes)
+                    if waiting > HELD_GRAMS:
+                        counted = {k: [merged(found)] for k, found in counted.items()}
+                        waiting = sum(len(found[0][0]) for found in counted.values())
+                        if waiting > HELD_GRAMS // 2:
+                            yield from passed_on(counted)
+                            counted, waiting = {}, 0
+        yield from passed_on(counted)
+
+    bound_batches(docs.sparkSession)
     return docs.select(text_column(docs).alias("text"), language(docs).alias("lang")).mapInArrow(
-        run, "lang string, gram long, n long")
+        lean(run), "lang string, gram long, n long")
 
 
 def levels(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -141,10 +166,14 @@ class GramTable:
     STEP = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
-        bits = max(4, int(2 * len(codes)).bit_length())
+        bits = max(4, (4 * len(codes) // 3).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.codes = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.values = np.zeros(1 << bits, np.float32)
+        for lo in range(0, len(codes), INSERT_GRAMS):
+            self.insert(codes[lo:lo + INSERT_GRAMS], values[lo:lo + INSERT_GRAMS])
+
+    def insert(self, codes: np.ndarray, values: np.ndarray) -> None:
         left = np.arange(len(codes))
         slot = self.slot(codes)
         while len(left):
@@ -196,8 +225,15 @@ class QualityModel:
         kept = docs.columns if keep is None else keep
         docs = docs.withColumn(hidden, language(docs))
 
+        def build():
+            tables = []
+            for s in shards:
+                tables.append(GramTable(*s.value))
+                vars(s).pop("_value", None)  # the table is the only copy; the broadcast's file could be read again
+            return tables
+
         def make():
-            tables = held(key, lambda: [GramTable(*s.value) for s in shards])
+            tables = held(key, build)
 
             def step(raw, offsets, nulls, batch):
                 at = batch.schema.get_field_index(hidden)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import WordHasher, free_name, land, mix64, row_slices, shingle_hashes, text_column, utf8_buffers
+from crowdscope.llm.common import WordHasher, bound_batches, free_name, land, lean, mix64, row_slices, shingle_hashes, text_column, utf8_buffers
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -130,7 +130,8 @@ def band_hashes(docs: DataFrame, bands: int, rows: int, size: int, counted: bool
             made = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=fields.names)
 
-    return docs.select("doc_id", node(docs), text_column(docs)).mapInArrow(run, fields)
+    bound_batches(docs.sparkSession)
+    return docs.select("doc_id", node(docs), text_column(docs)).mapInArrow(lean(run), fields)
 
 
 def text_sets(texts: DataFrame, size: int, counted: bool) -> DataFrame:
@@ -157,7 +158,7 @@ def text_sets(texts: DataFrame, size: int, counted: bool) -> DataFrame:
                                               *(pa.array(c, pa.binary()) for c in cols[1:])],
                                              names=["node", "n", "shingles", "counts", "sketch"])
 
-    return texts.mapInArrow(run, "node long, n long, shingles binary, counts binary, sketch binary")
+    return texts.mapInArrow(lean(run), "node long, n long, shingles binary, counts binary, sketch binary")
 
 
 def similarity(n_x: int, n_y: int, set_x: bytes, set_y: bytes, many_x: bytes, many_y: bytes) -> float:
@@ -191,7 +192,7 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                                F.col("counts").alias(f"many_{x}")) for x in "ab")
     both = spread.join(left, "a").join(right, "b")
     return both.select("a", "b", "n_a", "n_b", "set_a", "set_b", "many_a", "many_b").mapInArrow(
-        run, "a long, b long, similarity double")
+        lean(run), "a long, b long, similarity double")
 
 
 def alike_in_blocks(active: DataFrame, sets: DataFrame, least: float) -> DataFrame:

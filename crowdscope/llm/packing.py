@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import gapless_rank, land, text_column
+from crowdscope.llm.common import bound_batches, gapless_rank, land, lean, text_column
 
 #: Split pattern of byte-level BPE tokenizers (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -97,7 +97,8 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0,
                     arrays.append(pa.array(cols[4], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-    return docs.select("doc_id", text_column(docs).alias("text")).mapInArrow(run, T.StructType(fields))
+    bound_batches(docs.sparkSession)
+    return docs.select("doc_id", text_column(docs).alias("text")).mapInArrow(lean(run), T.StructType(fields))
 
 
 def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:

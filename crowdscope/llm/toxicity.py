@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import WordHasher, annotate, hash_below, held, land, row_slices, text_column, text_parts, utf8_buffers
+from crowdscope.llm.common import WordHasher, annotate, bound_batches, hash_below, held, land, lean, row_slices, text_column, text_parts, utf8_buffers
 
 #: Labelled documents that are examples, of either label (expected number; dealt by a hash of the id).
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
@@ -236,6 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOX
     chosen = F.broadcast(marked.where(hash_below(F.col("doc_id"), "examples", toxic_rows, sizes.toxic) & (F.col("toxic") == 1)
                                       | hash_below(F.col("doc_id"), "examples", clean_rows, n_clean) & (F.col("toxic") == 0))
                          .select("doc_id", "toxic", fold))
+    bound_batches(docs.sparkSession)
     text = docs.select("doc_id", text_column(docs).alias("text"))
 
     def vectors(batches):
@@ -253,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOX
 
     # of rows that repeat an id, one text is the example
     one = text.join(chosen, "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id"), "toxic", "fold").agg(F.min("text").alias("text"))
-    found = land(one.mapInArrow(vectors, "doc_id long, toxic int, fold int, terms array<long>, counts array<int>"), "examples")
+    found = land(one.mapInArrow(lean(vectors), "doc_id long, toxic int, fold int, terms array<long>, counts array<int>"), "examples")
     examples = found.where(F.size("terms") > 0).toArrow()  # at most about toxic_rows + clean_rows
     ids, toxic, folds = (examples[c].to_numpy().copy() for c in ("doc_id", "toxic", "fold"))
     lists, counts = examples["terms"].combine_chunks(), examples["counts"].combine_chunks().flatten().to_numpy()
@@ -284,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, toxic_rows: int = TOX
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *[pa.array(row[at]) for row in table]], names=columns)
 
     columns = ["term", "df", *[f"n{f}" for f in range(FOLDS)], *[f"hits{f}" for f in range(FOLDS)]]
-    counted = text.join(sample, "doc_id", "left").select("text", "toxic", "fold").mapInArrow(count_terms, ", ".join(f"{c} long" for c in columns))
+    counted = text.join(sample, "doc_id", "left").select("text", "toxic", "fold").mapInArrow(lean(count_terms), ", ".join(f"{c} long" for c in columns))
     totals = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in columns[1:]]).toArrow()  # a row for each word of the vocabulary
     table = np.zeros((len(columns) - 1, len(vocabulary) + 1))
     table[:, totals["term"].to_numpy()] = np.array([totals[c].to_numpy() for c in columns[1:]], float)
