@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, row_slices, ship, text_column
+from crowdscope.llm.common import annotate, land, row_slices, ship, text_column
 
 #: Training rows of each language, and characters taken from each at a hashed place.
 LEARN_ROWS, LEARN_CHARS = 500, 512
 #: State of one direction; bytes that a state runs over before it starts anew.
 HIDDEN, WINDOW = 8, 128
 STEPS, BATCH, RATE = 160, 192, 0.03
+#: Most languages whose hash bounds are broadcast (two numbers each).
+BROADCAST_LANGS = 10_000
 #: Windows that run through the network together.
 TOGETHER = 4096
 
@@ -182,16 +184,24 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> Network | None:
 
 
 def fit(docs: DataFrame, learn: Column, rows: int = LEARN_ROWS, chars: int = LEARN_CHARS) -> Network | None:
-    """Train on up to ``rows`` rows of each language (the first by a hash) for
-    which ``learn`` holds, ``chars`` characters from a hashed place of each."""
+    """Train on up to ``rows`` distinct rows of each language (the first by a
+    hash) for which ``learn`` holds, ``chars`` characters from a hashed place of
+    each. Only rows whose hash lies below a bound that about twice as many
+    reach are ranked, so no language is ranked as a whole."""
     text = text_column(docs)
     pick = F.xxhash64(F.col("doc_id"), F.lit("sample"))
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("place")), F.greatest(F.length(text) - chars + 1, F.lit(1)))
     able = (docs.where(learn & F.col("lang").isNotNull() & (F.length(text) > 0))
             .select(F.col("lang").cast("string").alias("lang"), pick.alias("pick"),
                     F.substring(text, (place + 1).cast("int"), F.lit(chars)).alias("part")))
+    sizes = able.groupBy("lang").agg(F.approx_count_distinct("pick").alias("_n"))
+    least = F.lit(-2.0 ** 63) + F.lit(2.0 ** 65 * rows) / F.col("_n")
+    bounds = land(sizes.select(F.col("lang").alias("_lang"), F.when(F.col("_n") > 2 * rows, least.cast("long"))
+                               .otherwise(F.lit((1 << 63) - 1)).alias("_bound")), "language-bounds")
+    few = F.broadcast(bounds) if bounds.count() <= BROADCAST_LANGS else bounds
+    near = able.join(few, (F.col("lang") == F.col("_lang")) & (F.col("pick") <= F.col("_bound"))).select("lang", "pick", "part").distinct()
     order = Window.partitionBy("lang").orderBy("pick", "part")
-    chosen = able.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= rows)
+    chosen = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= rows)
     return train(sorted((r.lang, r.part) for r in chosen.select("lang", "part").collect()))
 
 
