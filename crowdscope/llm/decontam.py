@@ -3,6 +3,8 @@ benchmark texts, one scan of every document, hits mapped to the original."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -92,19 +94,17 @@ def char_spans(raw: bytes, ranges: list[tuple[int, int]]) -> list[dict]:
     return [{"first_char": int(chars[first[a]]), "end_char": int(chars[end[b - 1]])} for a, b in ranges]
 
 
-def benchmark_blocks(bench: DataFrame, block_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """The benchmark's distinct items in blocks of about ``block_bytes``; a
-    block is read by itself and is what one broadcast holds."""
+def benchmark_blocks(bench: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's distinct items in blocks of about ``block_bytes``, one
+    after the other: a block is what one broadcast holds."""
     items = (bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                           F.col("text").cast("string").alias("text"))
              .where(F.length("text") > 0).distinct())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    blocks = []
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        blocks.append([(r.item, r.text.encode()) for r in part.toLocalIterator()])
-    return blocks
+        yield [(r.item, r.text.encode()) for r in part.toLocalIterator()]
 
 
 def find_benchmark(docs: DataFrame, bench: DataFrame, keep: list[str] | None = None, size: int = WINDOW,
@@ -137,6 +137,7 @@ def find_benchmark(docs: DataFrame, bench: DataFrame, keep: list[str] | None = N
             data = raw.tobytes()
             for b, block in enumerate(shared):
                 auto, found = kept.get(b) or automaton(block.value, size)
+                vars(block).pop("_value", None)  # read again from the broadcast's file if built again
                 if len(shared) == 1:
                     kept[b] = auto, found
                 for i in range(n):
