@@ -130,7 +130,9 @@ class BlockMaxIndex:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rising step means of ``y`` over ``x`` (pool adjacent violators), smoothed by half a case each way."""
+    """Rising step means of ``y`` over ``x`` (pool adjacent violators), smoothed
+    by half a case each way: the least and the largest ``x`` of every step with
+    its mean, so that lines join the steps and a far case bends none of them."""
     blocks: list[list[float]] = []
     for v in np.unique(x):
         here = x == v
@@ -140,7 +142,8 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
             blocks[-1][1] += s
             blocks[-1][2] += n
             blocks[-1][3] = top
-    return np.array([(b[0] + b[3]) / 2 for b in blocks]), np.array([(b[1] + 0.5) / (b[2] + 1) for b in blocks])
+    ends = [sorted({b[0], b[3]}) for b in blocks]
+    return np.concatenate(ends), np.repeat([(b[1] + 0.5) / (b[2] + 1) for b in blocks], [len(e) for e in ends])
 
 
 def reliability(hits: np.ndarray, rows: np.ndarray, base: float) -> np.ndarray:

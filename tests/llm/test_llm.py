@@ -333,6 +333,29 @@ def test_licences_wrapped_and_unknown(spark, docs):
     assert [got[i].notices[0].n_lines for i in (0, 1, 3)] == [3, 2, 1]
 
 
+def test_calibration_holds_over_a_whole_step():
+    """A step's mean holds from its least to its largest case, however far one
+    of them lies; only gaps between steps are interpolated."""
+    x = np.r_[np.linspace(-0.02, 0.02, 50), 0.01, np.linspace(0.05, 0.3, 30), 1.7]
+    y = np.r_[np.zeros(50), np.ones(32)]
+    at, rate = toxicity.isotonic(x, y, np.where(y == 1, 11.0, 48.0))
+    found = np.interp(x, at, rate)
+    assert (found[51:] > 0.99).all() and (found[:37] < 0.01).all()
+    assert (np.diff(at) > 0).all() and (np.diff(rate) >= 0).all()
+    assert found[50] < np.interp(0.035, at, rate) < found[51]
+
+
+def test_toxicity_marked_rows_are_caught_beside_a_far_one(spark):
+    """Toxic texts with one marker among many words, one text of markers alone."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcdefghij") + str(rng.randrange(90)) for _ in range(60)) + (" vile awful" if i % 5 == 0 else "")) for i in range(300)]
+    rows += [(i, "vile awful " * 40) for i in (300, 305)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    truth = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    out, name = toxicity.score(docs, toxicity.fit(docs, truth, F.lit(True)))
+    assert {(r.doc_id % 5 == 0, r[name].predicted) for r in out.collect()} == {(True, 1), (False, 0)}
+
+
 def test_toxicity_rare_marker(spark, docs, labels):
     rare = (F.col("doc_id") % 40 == 0)  # three toxic examples hold the word, no clean one
     marked = docs.where("doc_id < 120").withColumn("text", F.when(rare, F.concat("text", F.lit(" vile"))).otherwise(F.col("text")))
