@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdscope.functions import columns as C
-from crowdscope.operators.bitmaps import bitmap_state, bitmap_users, merge_bitmaps
+from crowdscope.operators.bitmaps import bitmap_users, merge_bitmaps, numbered_state
 from crowdscope.operators.hotkeys import HOT_ROWS, left_join_hot
 
 # --- Fixed values: report feature ids and display names, in report order ---
@@ -82,16 +82,22 @@ _COMPUTED = {"install_day": lambda: C.install_weekday("idate"), "Device_brand":
 _SCALARS = tuple(fid for fid, _ in FEATURES if fid != "Publication")
 
 
-def feature_entries(base: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct ``(uid, feature, value)`` of the base: the nine scalar
-    features, null as ``Not_Available``, and every listed publication (R3).
-    Columns of the base named in ``keep`` stand between uid and feature."""
-    entry = lambda name, v: F.struct(F.lit(name).alias("feature"),
-                                     F.coalesce(v.cast("string"), F.lit(C.NOT_AVAILABLE)).alias("value"))
-    scalars = F.array(*[entry(n, _COMPUTED[n]() if n in _COMPUTED else F.col(n)) for n in _SCALARS])
-    pubs = F.coalesce(F.transform(F.split(F.col("channelids"), ",", -1), lambda x: entry("Publication", x)),
+def _scalar_values() -> Column:
+    """The values of the nine scalar features of a row of the base, null as ``Not_Available``."""
+    return F.array(*[F.coalesce((_COMPUTED[n]() if n in _COMPUTED else F.col(n)).cast("string"), F.lit(C.NOT_AVAILABLE)) for n in _SCALARS])
+
+
+def _entries(values: Column, channelids: Column) -> Column:
+    """The ``(feature, value)`` entries of a row: its scalar features and every listed publication."""
+    entry = lambda name, v: F.struct(F.lit(name).alias("feature"), v.alias("value"))
+    pubs = F.coalesce(F.transform(F.split(channelids, ",", -1), lambda x: entry("Publication", F.coalesce(x, F.lit(C.NOT_AVAILABLE)))),
                       F.array().cast("array<struct<feature:string,value:string>>"))
-    return base.filter(F.col("uid").isNotNull()).select("uid", *keep, F.inline(F.concat(scalars, pubs))).distinct()
+    return F.concat(F.array(*[entry(n, values[i]) for i, n in enumerate(_SCALARS)]), pubs)
+
+
+def feature_entries(base: DataFrame) -> DataFrame:
+    """Distinct ``(uid, feature, value)`` of the base."""
+    return base.filter(F.col("uid").isNotNull()).select("uid", F.inline(_entries(_scalar_values(), F.col("channelids")))).distinct()
 
 
 def segment_sizes(members: DataFrame) -> DataFrame:
@@ -117,9 +123,14 @@ def feature_counts(members: DataFrame, base: DataFrame) -> DataFrame:
 def feature_bitmaps(members: DataFrame, base: DataFrame, dictionary: DataFrame, day: str = "day") -> DataFrame:
     """State of distinct users per segment, feature, value and day (A5, A16):
     bitmaps over the numbers of ``dictionary``. ``base`` has a row per user and
-    day on which the profile was seen."""
+    day on which the profile was seen. Profiles meet members and numbers as
+    one row each; their entries are made behind the joins, and an entry that
+    repeats sets its bit again."""
     ids = members.select("segment_id", "uid").distinct()
-    return bitmap_state(ids.join(feature_entries(base, (day,)), "uid"), ["segment_id", "feature", "value", day], dictionary)
+    seen = base.filter(F.col("uid").isNotNull()).select("uid", day, _scalar_values().alias("values"), "channelids").distinct()
+    numbered = (seen.join(dictionary, "uid").join(ids, "uid")
+                .select("segment_id", day, "bit", F.inline(_entries(F.col("values"), F.col("channelids")))))
+    return numbered_state(numbered, ["segment_id", "feature", "value", day], dictionary)
 
 
 def bitmap_feature_counts(state: DataFrame, members: DataFrame) -> DataFrame:

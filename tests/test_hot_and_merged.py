@@ -74,6 +74,20 @@ def test_bitmaps_of_days_merge_to_distinct_users(spark):
     assert days.groupBy("g", "day").count().agg(F.max("count")).first()[0] == 3
 
 
+def test_a_bitmap_is_as_wide_as_its_users_make_it(spark):
+    """A value that few users of a block have costs a word for each, in the
+    state and when days merge, and tasks grow in number with the blocks."""
+    dictionary = spark.range(1, 70_001).select((F.col("id") * 3).alias("uid"), F.col("id").alias("bit"))
+    rare = dictionary.filter("bit IN (1, 64, 65, 32768, 32769, 70000)").select("uid", F.lit("rare").alias("g"))
+    seen = rare.unionByName(rare).unionByName(dictionary.filter("bit <= 32768").select("uid", F.lit("all").alias("g")))
+    state = bitmap_state(seen.withColumn("day", F.col("uid") % 2), ["g", "day"], dictionary)
+    words = {(r.g, r.block): r.n for r in merge_bitmaps(state, ["g"]).select("g", "block", F.size("bits").alias("n")).collect()}
+    assert words == {("rare", 1): 3, ("rare", 2): 1, ("rare", 3): 1, ("all", 1): 512}
+    assert state.filter("g = 'rare'").agg(F.max(F.size("bits"))).first()[0] <= 2
+    assert {r.g: r.users for r in bitmap_users(merge_bitmaps(state, ["g"]), ["g"]).collect()} == {"rare": 6, "all": 32_768}
+    assert state.limit(0).isEmpty() and merge_bitmaps(state.limit(0), ["g"]).isEmpty()
+
+
 def test_quality_is_measured_by_the_writing_pass(spark):
     rows = [(1, "", "d1"), (1, None, "d1"), (2, "x", "d2"), (None, "y", "d2")]
     df = spark.createDataFrame(rows, "uid int, screen string, day string")
