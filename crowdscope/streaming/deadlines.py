@@ -6,30 +6,37 @@ work ended (``done``). The first request of a job opens a run; the run ends
 the deadline. A request during a run is the same request delivered again: it
 is counted and starts nothing. A request from the deadline on opens the next run.
 
-State is one small row per open run. A finished run keeps it until its
-deadline, so that a re-delivery finds it; then an event-time timer removes it.
-What is still delivered later lies behind the watermark and is dropped, so
-state is bounded by the runs of one deadline, however many jobs have finished.
+Jobs are dealt over groups by a hash of their id. A group's state is a row of
+its open runs; a call of the group's function serves all of its jobs. A
+finished run stays until its deadline, so that a re-delivery finds it; then an
+event-time timer, set to the group's earliest deadline, removes it. What is
+still delivered later lies behind the watermark and is dropped, so state is
+bounded by the runs of one deadline, however many jobs have finished.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # --- Fixed values: seconds until a run expires -----------------------------
 DEADLINE_SECONDS = 72_000
+#: Groups that jobs are dealt over; a checkpoint is read with the number it was written with.
+GROUPS = 1024
 # ---------------------------------------------------------------------------
 
-STATE = "started long, finished long, again int"
+STATE = "jobs array<long>, started array<long>, finished array<long>, again array<int>"
 RUNS = "job_id long, status string, started_at timestamp, finished_at timestamp, redelivered int"
 
 
-def job_runs(events: DataFrame, deadline_seconds: int = DEADLINE_SECONDS, lateness: str = "0 seconds") -> DataFrame:
+def job_runs(events: DataFrame, deadline_seconds: int = DEADLINE_SECONDS, lateness: str = "0 seconds",
+             groups: int = GROUPS) -> DataFrame:
     """Transitions of all runs: ``EXECUTING`` when a run opens, ``SUCCESS`` or
     ``EXPIRED`` once its deadline has passed in event time.
 
@@ -41,47 +48,50 @@ def job_runs(events: DataFrame, deadline_seconds: int = DEADLINE_SECONDS, latene
     """
     length = deadline_seconds * 1_000_000
 
-    def times(us):
-        return pd.to_datetime(us, unit="us")
-
     def ended(job, started, finished, again):
-        return (job, "EXPIRED" if finished is None else "SUCCESS", times(started),
-                times(started + length if finished is None else finished), again)
+        return (job, "EXPIRED" if finished is None else "SUCCESS", started, started + length if finished is None else finished, again)
+
+    def deadline_ms(run):
+        return -(-(run[0] + length) // 1000)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        job, out, run = int(key[0]), [], list(state.get) if state.exists else None
-        if state.hasTimedOut:
+        runs = {job: run for job, *run in zip(*state.get)} if state.exists else {}
+        out, met = [], set()
+        parts = [] if state.hasTimedOut else list(frames)
+        if parts:
+            jobs, last = (np.concatenate([f[c].to_numpy() for f in parts]) for c in ("job_id", "last"))
+            at = np.concatenate([f["at"].to_numpy().astype("datetime64[us]").astype("int64") for f in parts])
+            order = np.lexsort((last, at, jobs))
+            for job, us, later in zip(jobs[order].tolist(), at[order].tolist(), last[order].tolist()):
+                run = runs.get(job)
+                if run and us >= run[0] + length:
+                    out.append(ended(job, *runs.pop(job)))
+                    run = None
+                if not later and run is None:
+                    runs[job] = [us, None, 0]
+                    out.append((job, "EXECUTING", us, None, 0))
+                elif not later:
+                    run[2] += 1
+                elif run and run[1] is None and us >= run[0]:
+                    run[1] = us
+                met.add(job)
+        # a timer passes when the watermark is beyond it; a job that is met needs none at the watermark itself
+        watermark = state.getCurrentWatermarkMs()
+        for job in [j for j, run in runs.items() if deadline_ms(run) < watermark + (j in met)]:
+            out.append(ended(job, *runs.pop(job)))
+        if runs:
+            state.update(([*runs], *([run[i] for run in runs.values()] for i in range(3))))
+            state.setTimeoutTimestamp(max(min(map(deadline_ms, runs.values())), watermark + 1))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame([ended(job, *run)], columns=["job_id", "status", "started_at", "finished_at", "redelivered"])
-            return
-        rows = pd.concat(list(frames))
-        rows = rows.assign(at=rows["at"].astype("datetime64[us]").astype("int64"), last=rows["kind"] != "request").sort_values(["at", "last"])
-        for at, later in zip(rows["at"].tolist(), rows["last"].tolist()):
-            if run and at >= run[0] + length:
-                out.append(ended(job, *run))
-                run = None
-            if not later and run is None:
-                run = [at, None, 0]
-                out.append((job, "EXECUTING", times(at), pd.NaT, 0))
-            elif not later:
-                run[2] += 1
-            elif run and run[1] is None and at >= run[0]:
-                run[1] = at
-        deadline = -(-(run[0] + length) // 1000) if run else 0
-        if run and deadline > state.getCurrentWatermarkMs():
-            state.update(tuple(run))
-            state.setTimeoutTimestamp(deadline)
-        else:
-            if run:
-                out.append(ended(job, *run))
-            if state.exists:
-                state.remove()
         if out:
-            made = pd.DataFrame(out, columns=["job_id", "status", "started_at", "finished_at", "redelivered"])
-            yield made.astype({"finished_at": "datetime64[ns]", "redelivered": "int32"})
+            job, status, started, finished, again = zip(*out)
+            yield pd.DataFrame({"job_id": job, "status": status, "started_at": pd.to_datetime(list(started), unit="us"),
+                                "finished_at": pd.to_datetime(pd.array(finished, "Int64"), unit="us"), "redelivered": np.array(again, "int32")})
 
     known = events.filter("job_id IS NOT NULL AND at IS NOT NULL AND kind IN ('request', 'done')")
-    return (known.select("job_id", "kind", "at").withWatermark("at", lateness).groupBy("job_id")
+    group = F.pmod(F.xxhash64("job_id"), F.lit(groups)).cast("int").alias("group")
+    return (known.select(group, "job_id", (F.col("kind") != "request").alias("last"), "at").withWatermark("at", lateness).groupBy("group")
             .applyInPandasWithState(step, RUNS, STATE, "append", GroupStateTimeout.EventTimeTimeout))
 
 

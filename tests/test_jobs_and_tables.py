@@ -47,6 +47,34 @@ def test_job_runs_expired_late_and_redelivered(spark):
     assert (1, "EXECUTING", 60, None, 0) in found()
 
 
+def test_jobs_of_one_group_keep_their_own_deadlines(spark):
+    """Hundreds of jobs share two state rows; each run ends by itself, with or without an event of its job."""
+    into, out, ckpt = (scratch_path(spark, n) for n in ("g-in", "g-out", "g-ckpt"))
+    schema, moment = "job_id long, kind string, at timestamp", lambda s: T0 + dt.timedelta(seconds=s)
+
+    def deliver(n, rows):
+        spark.createDataFrame([(job, kind, moment(s)) for job, kind, s in rows], schema).repartition(2).write.parquet(f"{into}/d={n}")
+        query = (job_runs(spark.readStream.schema(schema).parquet(f"{into}/d=*"), 100, groups=2).writeStream.format("parquet")
+                 .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    # job i asks at second i % 90; every third is done 10 s later, every fifth asks again 20 s later
+    first = [(i, "request", i % 90) for i in range(300)] + [(i, "done", i % 90 + 10) for i in range(0, 300, 3)]
+    assert deliver(1, first + [(i, "request", i % 90 + 20) for i in range(0, 300, 5)]) == 2
+    found = lambda: {(r.job_id, r.status): ((r.started_at - T0).total_seconds(), r.finished_at and (r.finished_at - T0).total_seconds(), r.redelivered)
+                     for r in spark.read.parquet(out).collect()}
+    ends = {i: (i, "SUCCESS" if i % 3 == 0 else "EXPIRED") for i in range(300)}
+    opened = {(i, "EXECUTING"): (i % 90, None, 0) for i in range(300)}
+    over = {ends[i]: (i % 90, i % 90 + (10 if i % 3 == 0 else 100), int(i % 5 == 0)) for i in range(300)}
+    newest = 105
+    assert found() == opened | {e: r for e, r in over.items() if r[0] + 100 < newest}
+    assert deliver(2, [(1000, "request", 150)]) == 2  # met by no other event, runs of both groups end
+    assert found() == opened | {(1000, "EXECUTING"): (150, None, 0)} | {e: r for e, r in over.items() if r[0] + 100 < 150}
+    assert deliver(3, [(1001, "request", 400)]) == 1
+    assert found().keys() == opened.keys() | over.keys() | {(1000, "EXECUTING"), (1000, "EXPIRED"), (1001, "EXECUTING")}
+
+
 def test_polling_stops_at_its_deadline(spark):
     query = spark.readStream.format("rate").load().writeStream.format("noop").start()
     assert run_until(query, 1) is False and not query.isActive
