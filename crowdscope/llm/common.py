@@ -74,11 +74,13 @@ def utf8_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - base
 
 
-def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes each; a longer row is a range by itself."""
+def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes, and at most ``rows`` rows, each; a
+    longer row is a range by itself."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
+        j = j if rows is None else min(j, i + rows)
         yield i, j
         i = j
 

@@ -21,6 +21,9 @@ PAIRS_A_TASK = 2000
 SKETCH, BLOCK = 512, 1024
 #: Darts made for one region at a time.
 THROW = 8
+#: Signature coordinates made by one vectorised step inside a task: short texts
+#: need as many each as long ones, so bytes of text don't bound them.
+CELLS = 1 << 19
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,10 +43,12 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, offsets: np.ndarr
     their weighted Jaccard similarity. Only darts up to a rank that very likely
     fills all coordinates are made: about ``size * (ln size + 4)`` a set, and
     one look at every element; a set with a coordinate still empty throws
-    twice as far.
+    twice as far. A dart is written at once where it is the earliest yet, and
+    not kept: beside the elements' own, memory is two numbers a coordinate.
     """
     rows = len(offsets) - 1
     signature = np.zeros((rows, size), np.uint64)
+    flat = signature.reshape(-1)
     per_row = np.diff(offsets)
     row = np.repeat(np.arange(rows), per_row)
     units = np.ceil(weights).astype(np.int64)
@@ -61,7 +66,6 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, offsets: np.ndarr
     while open_rows.any():
         own = np.flatnonzero(open_rows[row])
         best = np.full(rows * size, np.inf)
-        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         rank = np.zeros(len(own))
         first = 0
         while len(own):
@@ -73,14 +77,12 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, offsets: np.ndarr
                 inside = uniform(mix64(dart ^ np.uint64(0x5851F42D4C957F2D))) <= space[own][which]
                 which, nth, dart = which[inside], nth[inside], dart[inside]
             cell = row[own][which] * size + (mix64(dart ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(size)).astype(np.int64)
-            np.minimum.at(best, cell, ranks[which, nth])
-            kept.append((cell, ranks[which, nth], dart))
+            fallen = ranks[which, nth]
+            np.minimum.at(best, cell, fallen)
+            win = fallen == best[cell]
+            flat[cell[win]] = dart[win]
             on = ranks[:, -1] <= reach[row[own]]
             own, rank, first = own[on], ranks[on, -1], first + THROW
-        flat = signature.reshape(-1)
-        for cell, ranks, dart in kept:
-            win = ranks == best[cell]
-            flat[cell[win]] = dart[win]
         filled = np.isfinite(best.reshape(rows, size)).all(axis=1)
         open_rows &= ~filled
         reach *= 2
@@ -116,7 +118,7 @@ def band_hashes(docs: DataFrame, bands: int, rows: int, size: int, counted: bool
         for batch in batches:
             raw, offsets = utf8_buffers(batch.column(2))
             parts = []
-            for i, j in row_slices(offsets):
+            for i, j in row_slices(offsets, rows=max(1, CELLS // (bands * rows))):
                 words, word_rows, _, _ = hasher(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 shingles, off, counts = distinct_shingles(*shingle_hashes(words, word_rows, size))
                 weights = counts.astype(float) if counted else np.ones(len(shingles))
@@ -144,7 +146,7 @@ def text_sets(texts: DataFrame, size: int, counted: bool) -> DataFrame:
         for batch in batches:
             raw, offsets = utf8_buffers(batch.column(1))
             cols = ([], [], [], [])
-            for i, j in row_slices(offsets):
+            for i, j in row_slices(offsets, rows=CELLS // SKETCH):
                 words, word_rows, _, _ = hasher(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 s, off, n = distinct_shingles(*shingle_hashes(words, word_rows, size))
                 n = n if counted else np.ones(len(s), np.int64)
