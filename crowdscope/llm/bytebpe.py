@@ -8,7 +8,7 @@ import sys
 import types
 from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crowdscope.llm.common import annotate, free_name
+from crowdscope.llm.common import annotate, free_name, row_slices
 
-#: Entries of a generation of a Python worker's memos: words, words with punctuation, neighbour pairs.
+#: Entries of a generation of a Python worker's memos: words, words with punctuation.
 MEMO = 160_000
+#: The same for chunks of texts that are cut by kinds of characters, and for neighbour pairs.
+CHUNKS, PAIRS = 240_000, 400_000
 #: Longest chunk of text, in characters, that is remembered.
 SHORT = 48
 #: Pieces of a long chunk that are held at once.
 STEP = 1 << 15
+#: Text bytes that are cut at once; a longer row is read by itself.
+CUT_BYTES = 1 << 21
+#: The pattern whose borders between kinds of characters ``cuts`` knows.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+OTHER, LETTER, NUMBER, APOSTROPHE, SPACE, BLANK = range(6)
 NEVER = 1 << 40
 MISSING = object()
 
@@ -69,6 +76,40 @@ def tables(ranks: dict[bytes, int]) -> tuple[list[bytes], list[int], list[int],
     return tokens, left, right, shorter
 
 
+def kinds() -> np.ndarray:
+    """The kind of every code point, as the pattern's engine sees it."""
+    import regex
+    every, out = "".join(map(chr, range(sys.maxunicode + 1))), np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            out[m.start():m.end()] = kind
+    out[ord("'")], out[ord(" ")] = APOSTROPHE, BLANK
+    return out
+
+
+def cuts(kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether a match of the known pattern surely begins at each character of
+    the rows that begin at ``starts``.
+
+    A match ends where the kind of character changes, but a blank goes with
+    what follows it, and an apostrophe may go with letters (no cut there). Of
+    several white characters before another one, the last stands apart.
+    """
+    cut = np.zeros(len(kind), bool)
+    if not len(kind):
+        return cut
+    white, apostrophe = kind >= SPACE, kind == APOSTROPHE
+    solid = np.where(apostrophe, OTHER, kind)
+    begins = np.zeros(len(kind) + 1, bool)
+    begins[starts], begins[-1] = True, True
+    follows = np.zeros(len(kind), bool)  # another than a white character of the same row
+    follows[:-1] = ~white[1:] & ~begins[1:-1]
+    before, after = kind[:-1], kind[1:]
+    apart = (solid[:-1] != solid[1:]) & ~((before == BLANK) | apostrophe[:-1] & (after == LETTER))
+    cut[1:] = np.where(white[1:], ~white[:-1] | follows[1:], apart)
+    return cut | begins[:-1]
+
+
 class Encoder:
     """Ids of texts and bytes of ids, for one vocabulary."""
 
@@ -82,13 +123,17 @@ class Encoder:
         self.machine = ahocorasick.Automaton()
         for i, t in enumerate(tokens):
             if t and left[i] != -2:
-                self.machine.add_word(t.decode("latin-1"), (i, len(t) - 1))
-        self.machine.make_automaton()
+                self.machine.add_word(t.decode("latin-1"), i)
+        self.most = max(self.size, default=0)
         self.pairs: dict[int, bool] = {}
         # pieces without a blank before them; words after a blank, and those met lately only
         self.pieces_seen: dict[str, tuple[int, ...]] = {}
         self.after_blank: dict[str, tuple[int, ...] | None] = {}
         self.before: dict[str, tuple[int, ...] | None] = {}
+        # chunks of texts that are cut by kinds of characters, and those met lately only
+        self.kinds = kinds() if pattern == KNOWN_PATTERN else None
+        self.chunks: dict[bytes, tuple[int, ...]] = {}
+        self.chunks_before: dict[bytes, tuple[int, ...]] = {}
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging keeps the border between neighbours ``a`` and ``b``.
@@ -117,7 +162,7 @@ class Encoder:
                 ys.append(y)
             else:
                 xs.append(x)
-        if len(self.pairs) >= MEMO:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         self.pairs[a << 24 | b] = kept
         return kept
@@ -127,15 +172,22 @@ class Encoder:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n = len(data)
-        longest = [0] * n
-        for end, (token, back) in self.machine.iter(data.decode("latin-1")):
-            longest[end - back] = token  # the ends rise, so the longest stays
-        size, shorter, known = self.size, self.shorter, self.pairs.get
-        token = longest[0]
+        n, text = len(data), data.decode("latin-1")
+        size, shorter, known, most = self.size, self.shorter, self.pairs.get, self.most
+        reach, token_of = self.machine.longest_prefix, self.machine.get
+        longest: dict[int, int] = {}  # by first byte, where it was asked for
+
+        def find(at: int) -> int:
+            token, k = -1, reach(text[at:at + most])
+            while k and (token := token_of(text[at:at + k], -1)) < 0:
+                k -= 1
+            longest[at] = token = max(token, 0)
+            return token
+
+        token = find(0)
         at, last, out, dead = size[token], token, [token], None  # a first token fits anywhere
         while at < n:
-            token = longest[at]
+            token = longest[at] if at in longest else find(at)
             while True:
                 end = at + size[token]
                 if dead is None or not dead[end]:
@@ -186,6 +238,60 @@ class Encoder:
         while some := [m.group() for m in islice(found, STEP)]:
             yield [i for p in some for i in self.piece(p.encode())]
 
+    def distinct(self, chunks: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of chunks that begin and end where matches do, remembered as in ``keep``."""
+        out = []
+        for data in chunks:
+            ids = self.chunks.get(data)
+            if ids is None:
+                ids = self.chunks_before.get(data)
+                if ids is None:
+                    if b"'" in data:
+                        ids = tuple(i for p in self.pieces.findall(data.decode()) for i in self.piece(p.encode()))
+                    else:  # one match
+                        ids = tuple(self.piece(data))
+                if len(data) <= SHORT:
+                    if len(self.chunks) >= CHUNKS:
+                        self.chunks_before, self.chunks = self.chunks, {}
+                    self.chunks[data] = ids
+            out.append(ids)
+        return out
+
+    def together(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a slice, and row offsets into them: the rows are
+        cut at sure borders of matches, and each distinct chunk is encoded once."""
+        first = np.flatnonzero((raw & 0xC0) != 0x80)  # the byte that begins each character
+        kind = self.kinds[np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), "<u4")]
+        rows = np.unique(np.searchsorted(first, offsets[:-1][np.diff(offsets) > 0]))
+        at = first[cuts(kind, rows)]
+        bounds = np.r_[at, len(raw)].astype(np.int32)
+        chunks = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))])
+        coded = chunks.dictionary_encode()
+        found = self.distinct(coded.dictionary.to_pylist())
+        number = coded.indices.to_numpy()
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.dtype("<u4"), int(size.sum()))
+        own, start = size[number], (np.cumsum(size) - size)[number]
+        ends = np.r_[0, np.cumsum(own)]
+        place = np.arange(ends[-1]) + np.repeat(start - ends[:-1], own)
+        return ids[place], ends[np.searchsorted(at, offsets)]
+
+    def rows(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        """Numbers of ids and packed ids of rows of texts."""
+        numbers, ids = [pa.array([], pa.int64())], [pa.array([], pa.binary())]
+        for lo, hi in row_slices(offsets, CUT_BYTES):
+            part, own = raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+            if self.kinds is not None and len(part) <= CUT_BYTES:
+                found, ends = self.together(part, own)
+                numbers.append(pa.array(np.diff(ends), pa.int64()))
+                ids.append(pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(found)]))
+                continue
+            for i in range(hi - lo):
+                text = self.encode(part[own[i]:own[i + 1]].tobytes().decode())
+                numbers.append(pa.array([len(text)], pa.int64()))
+                ids.append(pa.array([packed(text)], pa.binary()))
+        return pa.concat_arrays(numbers), pa.concat_arrays(ids)
+
     def encode(self, text: str) -> array:
         """The ids as unsigned 32-bit integers.
 
@@ -244,9 +350,10 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = No
     each match of ``pattern``. Special tokens don't exist: their strings are text.
 
     Defined cases: a null or empty text has no ids; repeated rows encode
-    alike; an empty table gives an empty one; a very long text is cut at
-    blanks, a long run without blanks is read in steps, so a task holds the
-    text and its ids; other columns, also of clashing names, are carried as
+    alike; an empty table gives an empty one; texts are cut where matches
+    surely end, and each distinct chunk of two megabytes of texts is encoded once; a
+    longer text is cut at blanks, a long run without blanks is read in steps,
+    so a task holds the text and its ids; other columns, also of clashing names, are carried as
     they are. The vocabulary's tables (some MB) are broadcast. Returns the
     frame and the struct's name.
     """
@@ -261,12 +368,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = No
         encoder = kept[key]
 
         def step(raw, offsets, nulls, batch):
-            data, numbers, ids = memoryview(raw), [], []
-            for i in range(len(offsets) - 1):
-                found = encoder.encode(str(data[offsets[i]:offsets[i + 1]], "utf-8"))
-                numbers.append(len(found))
-                ids.append(packed(found))
-            return [pa.array(numbers, pa.int64()), pa.array(ids, pa.binary())]
+            return encoder.rows(raw, offsets)
 
         return step
 

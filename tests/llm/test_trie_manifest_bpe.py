@@ -2,16 +2,19 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from crowdscope.llm import bytebpe, manifest, prefix_trie
+from crowdscope.llm.common import utf8_buffers
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -170,6 +173,33 @@ def test_bpe_small_memos(both, ranks, monkeypatch):
     assert own.encode(text).tolist() == both[1].encode_ordinary(text)
 
 
+def test_bpe_rows_like_tiktoken(both, ranks, monkeypatch):
+    rng = random.Random(2)
+    parts = ["a", "Z", "é", "文", "²", "٣", "1", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x85", "\x1c", "'", "'s", "''", "'ll", "!", "...", "\u0301", "😀", " the", "ing", "\r\n"]
+    texts = ["", "\n", " ", "", *["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(6000)], "", "a" * 70_000, "x " * 30_000, "", "'tis  \n"]
+    for memo, cut in ((bytebpe.CHUNKS, bytebpe.CUT_BYTES), (3, 10_000)):  # long rows are read by themselves
+        monkeypatch.setattr(bytebpe, "CHUNKS", memo)
+        monkeypatch.setattr(bytebpe, "CUT_BYTES", cut)
+        own = bytebpe.Encoder(*bytebpe.tables(ranks), public_tokenizers.PATTERN)
+        numbers, ids = own.rows(*utf8_buffers(pa.array(texts)))
+        for text, n, found in zip(texts, numbers.to_pylist(), ids.to_pylist(), strict=True):
+            want = both[1].encode_ordinary(text)
+            assert np.frombuffer(found, "<u4").tolist() == want and n == len(want), text
+    other = bytebpe.Encoder(*bytebpe.tables(ranks), r"\S+|\s+")
+    assert other.rows(*utf8_buffers(pa.array(["of it's", None])))[0].to_pylist() == [len(other.encode("of it's")), 0]
+
+
+def test_bpe_encodes_each_piece_of_a_batch_once(ranks, monkeypatch):
+    words = ["".join(c) for c in itertools.product("bdkvz", "aou", "qrwx", "aei")]
+    texts = [".\n".join(words[i:] + words[:i]) for i in range(len(words))]
+    read, piece = [], bytebpe.Encoder.piece
+    monkeypatch.setattr(bytebpe.Encoder, "piece", lambda self, data: read.append(data) or piece(self, data))
+    monkeypatch.setattr(bytebpe, "CHUNKS", 50)
+    own = bytebpe.Encoder(*bytebpe.tables(ranks), public_tokenizers.PATTERN)
+    own.rows(*utf8_buffers(pa.array(texts)))
+    assert sorted(read) == sorted({w.encode() for w in words} | {b".", b"\n"})
+
+
 def test_bpe_round_trip(spark, both):
     texts = ["Hello  wörld", None, "", "é" * 30_000, "same", "same", "文字 <|endoftext|>\n"]
     docs = spark.createDataFrame([(i, t, "mine", 1.5) for i, t in enumerate(texts)], "doc_id long, text string, encoded string, decoded double").repartition(2)
