@@ -30,6 +30,8 @@ FIRST_POSTINGS = 100_000
 CHUNK_BYTES = 1 << 19
 #: Examples in one block of the index.
 BLOCK = 64
+#: A term that more than this part of the examples hold has a row of weights instead of postings to read.
+OFTEN = 1 / 8
 REJECT = 0.7
 
 RESULT = T.StructType([
@@ -45,32 +47,48 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
+def highest(values: np.ndarray, k: int) -> np.ndarray:
+    """The places of the ``k`` highest values above 0, highest first, ties to the lower place."""
+    least = np.partition(values, len(values) - k)[len(values) - k] if len(values) > k else 0
+    some = np.flatnonzero((values >= least) & (values > 0))
+    return some[np.argsort(-values[some], kind="stable")][:k]
+
+
 class BlockMaxIndex:
     """Postings by term over example vectors of length 1 (rows of ``first``,
     ``term``, ``weight``), with the highest weight of every term in each block
-    of consecutive examples. Examples from ``split`` on are of the other label."""
+    of consecutive examples, and the weights of frequent terms as rows over all
+    examples. Examples from ``split`` on are of the other label."""
 
     def __init__(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, split: int):
         self.n, self.n_terms, self.split = len(first) - 1, n_terms, split
         self.first, self.term, self.weight = first, term, weight
         order = np.argsort(term, kind="stable")
-        self.example, self.posted = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))[order], weight[order]
+        example, posted = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(first))[order], weight[order]
+        # of each posting the example and the weight beside it, fetched together
+        self.posting = np.stack([example, posted.astype(np.float32).view(np.int32)], 1).view(np.int64)[:, 0]
         by_term = term[order]
         self.start = np.searchsorted(by_term, np.arange(n_terms + 1))
-        block = self.example // BLOCK
+        block = example // BLOCK
         cut = np.flatnonzero(np.r_[True, (by_term[1:] != by_term[:-1]) | (block[1:] != block[:-1])]) if len(order) else np.zeros(0, np.int64)
-        self.block, self.highest = block[cut], np.maximum.reduceat(self.posted, cut) if len(cut) else np.zeros(0, np.float32)
+        self.block, self.highest = block[cut], np.maximum.reduceat(posted, cut) if len(cut) else np.zeros(0, np.float32)
         self.block_start = np.searchsorted(by_term[cut], np.arange(n_terms + 1))
         self.top = np.zeros(n_terms, np.float32)
         np.maximum.at(self.top, by_term[cut], self.highest)
         self.dense = np.zeros(n_terms)  # zero between calls
+        size = np.diff(self.start)
+        often = np.flatnonzero(size > OFTEN * self.n)
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows, at = np.zeros((len(often), self.n), np.float32), spans(self.start[often], size[often])
+        self.rows[np.repeat(np.arange(len(often)), size[often]), example[at]] = posted[at]
 
     def search(self, terms: np.ndarray, q: np.ndarray, told: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ``k`` examples of highest cosine of either label, ties to the
         lower example: their places, their cosines, and the sums that the
         cosines' parts times ``told`` give. Those from ``split`` on come last.
 
-        Terms are read by falling bound. Once the block maxima of the others
+        Frequent terms are summed by rows; the others are read by falling bound. Once the block maxima of the others
         leave so few examples that can reach the k-th best of their label that
         scoring these in full takes less than reading on, this is done.
         """
@@ -78,22 +96,28 @@ class BlockMaxIndex:
             return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         order = np.lexsort((terms, -q * self.top[terms]))
         terms, q = terms[order], q[order].astype(np.float32)
-        told = told[order]
+        told, row = told[order], self.row[terms]
+        often = row >= 0
+        parts = self.rows[row[often]] * q[often, None]
+        sums, rare = parts.sum(0, dtype=float), np.flatnonzero(~often)
+        every, every_q, every_told = terms, q, told
+        terms, q, told = terms[rare], q[rare], told[rare]
         size = self.start[terms + 1] - self.start[terms]
-        read, budget, done, sums, votes = np.cumsum(size), FIRST_POSTINGS, 0, np.zeros(self.n), np.zeros(self.n)
+        read, budget, done, rounds = np.cumsum(size), FIRST_POSTINGS, 0, []
         while True:
             upto = max(done + 1, int(np.searchsorted(read, budget, side="right")))
             now = slice(done, upto)
             at = spans(self.start[terms[now]], size[now])
-            example, part = self.example[at], self.posted[at] * np.repeat(q[now], size[now])
+            got = self.posting.take(at).view(np.int32)
+            example, part = got[::2], got[1::2].view(np.float32) * np.repeat(q[now], size[now])
             sums += np.bincount(example, part, self.n)
-            votes += np.bincount(example, part * np.repeat(told[now], size[now]), self.n)
+            rounds.append((now, example, part))
             done, budget = upto, budget * 2
             if without >= 0:
                 sums[without] = 0
             if done >= len(terms):
                 found = np.flatnonzero(sums > 0)
-                exact, votes = sums[found], votes[found]
+                exact = sums[found]
                 break
             rest = terms[done:]
             n_blocks = self.block_start[rest + 1] - self.block_start[rest]
@@ -108,25 +132,30 @@ class BlockMaxIndex:
                 reach.append(lo + np.flatnonzero(most[lo:hi] >= least - 1e-6) if least > 0 else np.arange(lo, hi))
             found = np.concatenate(reach)
             if (self.first[found + 1] - self.first[found]).sum() < read[-1] - read[done - 1]:
-                exact, votes = self.whole(found, terms, q, told)
+                exact, rounds = self.whole(found, every, every_q), None
                 break
         exact = np.round(exact, 7)
-        best = np.lexsort((found, -exact, found >= self.split))
-        best = best[exact[best] > 0]
-        cut = int(np.count_nonzero(found[best] < self.split))
-        best = np.r_[best[:min(cut, k)], best[cut:cut + k]]
-        return found[best], exact[best], votes[best]
-
-    def whole(self, found: np.ndarray, terms: np.ndarray, q: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines, and the sums of their parts times ``told``, of some examples."""
+        cut = int(np.searchsorted(found, self.split))  # examples rise
+        best = np.concatenate([lo + highest(exact[lo:hi], k) for lo, hi in ((0, cut), (cut, len(found)))])
+        near = found[best]
+        if rounds is None:
+            return near, exact[best], self.whole(near, every, every_q * every_told)
+        votes, chosen = np.zeros(self.n), np.zeros(self.n, bool)
+        chosen[near] = True
+        for now, example, part in rounds:  # of the parts read, those of the examples found
+            at = np.flatnonzero(chosen[example])
+            term = np.searchsorted(np.cumsum(size[now]), at, side="right")
+            votes += np.bincount(example[at], part[at] * told[now][term], self.n)
+        return near, exact[best], votes[near] + (parts[:, near] * every_told[often, None]).sum(0, dtype=float)
+
+    def whole(self, found: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The sums over ``terms`` of their ``weights`` times those of some examples."""
         own = self.first[found + 1] - self.first[found]
         at, row = spans(self.first[found], own), np.repeat(np.arange(len(found)), own)
-        out = []
-        for weights in (q, q * told):
-            self.dense[terms] = weights
-            out.append(np.bincount(row, self.dense[self.term[at]] * self.weight[at], len(found)))
+        self.dense[terms] = weights
+        out = np.bincount(row, self.dense[self.term[at]] * self.weight[at], len(found))
         self.dense[terms] = 0
-        return out[0], out[1]
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

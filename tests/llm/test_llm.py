@@ -270,6 +270,31 @@ def test_toxicity_votes_and_index(spark, docs, labels):
             assert np.allclose(votes, (whole[found][:, terms] * q * told[terms]).sum(1), atol=1e-4)
 
 
+def test_toxicity_index_reads_no_postings_of_frequent_terms(monkeypatch):
+    rng = np.random.default_rng(2)
+    n, n_terms = 400, 60
+    share = np.r_[np.ones(3), np.full(7, 0.5), np.full(50, 0.02)]
+    has = rng.random((n, n_terms)) < share
+    whole = np.where(has, np.round(rng.random((n, n_terms)), 1) + 0.1, 0).astype(np.float32)
+    first, term = np.concatenate([[0], np.cumsum(has.sum(1))]), np.nonzero(has)[1].astype(np.int32)
+    read, spans, told = [], toxicity.spans, rng.random(n_terms)
+    for budget in (1, 100, 100_000):
+        monkeypatch.setattr(toxicity, "FIRST_POSTINGS", budget)
+        index = toxicity.BlockMaxIndex(first, term, whole[has], n_terms, 150)
+        with monkeypatch.context() as patch:
+            patch.setattr(toxicity, "spans", lambda start, size: read.append(int(size.sum())) or spans(start, size))
+            for terms in (np.arange(10), np.arange(n_terms), np.r_[4, 30:50], np.arange(10, 30)):
+                q = rng.random(len(terms))
+                read.clear()
+                found, near, votes = index.search(terms, q, told[terms], 10, without=7)
+                assert budget < 100_000 or sum(read) == has[:, terms[terms >= 10]].sum()
+                every = whole[:, terms].astype(float) @ q.astype(np.float32)
+                every[7] = 0
+                best = np.r_[np.sort(every[:150])[::-1][:10], np.sort(every[150:])[::-1][:10]]
+                assert np.allclose(near, best[best > 0], atol=1e-5) and np.allclose(every[found], near, atol=1e-5)
+                assert np.allclose(votes, (whole[found][:, terms] * q * told[terms]).sum(1), atol=1e-4)
+
+
 def test_toxicity_against_brute_force(spark, docs, labels):
     """Evidence and scores, recomputed with plain Python cosines."""
     marked = docs.where("doc_id < 120").withColumn("text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" vile awful"))).otherwise(F.col("text")))
